@@ -98,15 +98,16 @@ def refresh_rollup_changed(spark, d):
 @query(
     "admit_until_full",
     """WITH a AS (SELECT event_id, user_id, row_number() OVER (PARTITION BY user_id
-                  ORDER BY ts, event_id) AS arrival_no FROM events)
-       SELECT event_id, user_id, arrival_no, CASE WHEN user_id % 10 = 0 OR arrival_no <= 50
-              THEN 1 ELSE 0 END AS accepted FROM a""",
+                  ORDER BY ts, event_id) AS arrival_no FROM events),
+            r AS (SELECT user_id, max(value) AS best FROM events GROUP BY user_id)
+       SELECT event_id, user_id, arrival_no, CASE WHEN best >= 300 OR arrival_no <= 50
+              THEN 1 ELSE 0 END AS accepted FROM a JOIN r USING (user_id)""",
 )
 def admit_until_full(spark, d):
-    """Every user has room for 50 events, every tenth has no limit."""
+    """Every user has room for 50 events; users with a high value have no limit."""
     events = table(spark, d, "events").select("event_id", "user_id", "ts")
-    limit = F.when(F.col("user_id") % 10 != 0, F.lit(50)).alias("capacity")
-    rooms = events.select("user_id").distinct().select("user_id", limit)
+    limit = F.when(F.max("value") < 300, F.lit(50)).alias("capacity")
+    rooms = table(spark, d, "events").groupBy("user_id").agg(limit)
     result = changes.admit_until_full(events, rooms, "user_id", "capacity", ["ts", "event_id"])
     both = result.accepted.withColumn("accepted", F.lit(1)).unionByName(
         result.rejected.withColumn("accepted", F.lit(0))

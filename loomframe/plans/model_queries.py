@@ -1 +1,373 @@
-"""Queries."""
+"""Evaluation with exact checks, and models compared by their results on held-out rows."""
+
+from __future__ import annotations
+
+from pyspark.ml.functions import array_to_vector
+from pyspark.ml.tuning import ParamGridBuilder
+from pyspark.sql import DataFrame, functions as F
+
+from loomframe.functions.scalar import round_half_up
+from loomframe.models import classifiers as c, evaluation as ev, regression, selection as sel
+from loomframe.operators import splits, timeseries
+from loomframe.plans.feature_queries import PAST, _r, event_windows
+from loomframe.plans.registry import query
+from loomframe.sources.tables import table
+
+# -- evaluation: the toxic label stands for a prediction of the quality label ----------------
+
+
+def _labels(spark, d):
+    return table(spark, d, "labels")
+
+
+@query(
+    "accuracy",
+    f"SELECT {_r('avg(CASE WHEN quality = toxic THEN 1 ELSE 0 END)', 9)} AS accuracy FROM labels",
+)
+def accuracy(spark, d):
+    score = ev.accuracy(_labels(spark, d), "quality", "toxic")
+    return score.select(round_half_up("accuracy", 9).alias("accuracy"))
+
+
+@query(
+    "confusion",
+    """SELECT quality, CAST(count(*) FILTER (toxic = 0) AS BIGINT) AS predicted_0,
+              CAST(count(*) FILTER (toxic = 1) AS BIGINT) AS predicted_1
+       FROM labels GROUP BY quality""",
+)
+def confusion(spark, d):
+    return ev.confusion(_labels(spark, d), "quality", "toxic", [0, 1])
+
+
+_REPORT = """SELECT c AS class, h / NULLIF(p, 0) AS "precision", h / NULLIF(s, 0) AS recall,
+    2 * h / NULLIF(p + s, 0) AS f1, CAST(s AS BIGINT) AS support FROM (
+      SELECT c, CAST(count(*) FILTER (t = c AND q = c) AS DOUBLE) AS h,
+             CAST(count(*) FILTER (q = c) AS DOUBLE) AS p,
+             CAST(count(*) FILTER (t = c) AS DOUBLE) AS s
+      FROM (SELECT {truth} AS t, {guess} AS q FROM {source}),
+           (SELECT unnest([0, 1]) AS c) GROUP BY c)"""
+
+
+@query("class_report", _REPORT.format(truth="quality", guess="toxic", source="labels"))
+def class_report(spark, d):
+    return ev.class_report(_labels(spark, d), "quality", "toxic")
+
+
+def _scored(spark, d):
+    documents = table(spark, d, "documents").select("doc_id", "n_chars")
+    return _labels(spark, d).join(documents, "doc_id")
+
+
+_STEPS = """steps AS (SELECT n_chars AS score, sum(quality) AS pos, sum(1 - quality) AS neg
+                      FROM labels JOIN documents USING (doc_id) GROUP BY n_chars),
+    cum AS (SELECT score, pos, neg, sum(pos) OVER (ORDER BY score DESC) AS tp,
+            sum(neg) OVER (ORDER BY score DESC) AS fp FROM steps)"""
+
+
+@query(
+    "roc_points",
+    f"""WITH {_STEPS} SELECT score, CAST(tp AS BIGINT) AS tp, CAST(fp AS BIGINT) AS fp,
+        CAST(tp AS DOUBLE) / (SELECT sum(pos) FROM steps) AS tpr,
+        CAST(fp AS DOUBLE) / (SELECT sum(neg) FROM steps) AS fpr FROM cum""",
+)
+def roc_points(spark, d):
+    return ev.roc_points(_scored(spark, d), "quality", "n_chars")
+
+
+@query(
+    "auc",
+    f"""WITH {_STEPS} SELECT {_r('''CAST(sum(neg * (2 * tp - pos)) AS DOUBLE) / 2
+        / CAST(sum(pos) AS DOUBLE) / CAST(sum(neg) AS DOUBLE)''', 9)} AS auc FROM cum""",
+)
+def auc(spark, d):
+    area = ev.auc(_scored(spark, d), "quality", "n_chars")
+    return area.select(round_half_up("auc", 9).alias("auc"))
+
+
+def _kpi(name: str, guess: str) -> str:
+    report = _REPORT.format(truth="quality", guess=guess, source="labels")
+    cells = ", ".join(
+        f"""{_r(f'COALESCE(max("{m}") FILTER (class = {k}), 0)', 6)} AS {m}_{k}"""
+        for k in (0, 1)
+        for m in ("precision", "recall", "f1")
+    )
+    share = _r("sum(recall * support) / sum(support)", 6)
+    return f"SELECT '{name}' AS model, {share} AS accuracy, {cells} FROM ({report})"
+
+
+@query(
+    "compare_models",
+    f"{_kpi('toxic', 'toxic')} UNION ALL {_kpi('always', '1')}",
+)
+def compare_models(spark, d):
+    labels = _labels(spark, d)
+    scored = {
+        "toxic": labels.select("quality", F.col("toxic").alias("guess")),
+        "always": labels.select("quality", F.lit(1).alias("guess")),
+    }
+    table_ = ev.compare_models(scored, "quality", "guess", [0, 1])
+    return table_.withColumns(
+        {f"{m}_{k}": round_half_up(f"{m}_{k}", 6) for k in (0, 1) for m in ("precision", "recall", "f1")}
+    )
+
+
+@query(
+    "train_test_gap",
+    f"""SELECT {_r("avg(CAST(quality = toxic AS INTEGER)) FILTER (lang = 'en')", 6)} AS train_accuracy,
+               {_r("avg(CAST(quality = toxic AS INTEGER)) FILTER (lang <> 'en')", 6)} AS test_accuracy
+        FROM labels JOIN documents USING (doc_id)""",
+)
+def train_test_gap(spark, d):
+    rows = _labels(spark, d).join(table(spark, d, "documents").select("doc_id", "lang"), "doc_id")
+    gap = ev.train_test_gap(rows.where("lang = 'en'"), rows.where("lang <> 'en'"), "quality", "toxic")
+    return gap.select(
+        round_half_up("train_accuracy", 6).alias("train_accuracy"),
+        round_half_up("test_accuracy", 6).alias("test_accuracy"),
+    )
+
+
+@query(
+    "regression_error",
+    f"""SELECT {_r('avg((o_totalprice - m) * (o_totalprice - m)) / 1000000', 4)} AS mse,
+               {_r('avg(abs(o_totalprice - m))', 4)} AS mae
+        FROM orders JOIN (SELECT o_custkey, avg(o_totalprice) AS m FROM orders GROUP BY o_custkey)
+        USING (o_custkey)""",
+)
+def regression_error(spark, d):
+    orders = table(spark, d, "orders").select("o_custkey", "o_totalprice")
+    means = orders.groupBy("o_custkey").agg(F.avg("o_totalprice").alias("mean"))
+    errors = ev.regression_error(orders.join(means, "o_custkey"), "o_totalprice", "mean")
+    return errors.select(
+        round_half_up(F.col("mse") / 1_000_000, 4).alias("mse"), round_half_up("mae", 4).alias("mae")
+    )
+
+
+# -- models ----------------------------------------------------------------------------------
+
+N_LABELS, N_DIMS, SEED = 10, 64, 11
+
+
+def vectors(spark, d) -> DataFrame:
+    return table(spark, d, "embeddings").select(
+        "vec_id",
+        F.col("label").cast("double").alias("label"),
+        array_to_vector(F.col("embedding").cast("array<double>")).alias("features"),
+    )
+
+
+def _count(text: str, pattern: str):
+    return F.length(text) - F.length(F.regexp_replace(text, pattern, ""))
+
+
+_TEXT_FEATURES = ["n_chars", "n_words", "n_lines", "n_digits", "n_capitals", "n_marks"]
+
+
+def documents(spark, d) -> DataFrame:
+    """Labelled documents with counts over their whole text, standardised."""
+    rows = table(spark, d, "documents").join(_labels(spark, d), "doc_id").select(
+        "doc_id", "quality", "n_chars",
+        F.size(F.split("text", r"\s+")).alias("n_words"),
+        F.size(F.split("text", "\n")).alias("n_lines"),
+        _count("text", r"\d").alias("n_digits"),
+        _count("text", r"\p{Lu}").alias("n_capitals"),
+        _count("text", r"\p{Punct}").alias("n_marks"),
+    )
+    return c.assemble(rows, _TEXT_FEATURES, "quality", "doc_id")
+
+
+def held_out(rows: DataFrame, key: str) -> tuple[DataFrame, DataFrame, int]:
+    """Training rows, test rows, and the number of training rows."""
+    marked = splits.hash_split(rows, 0.3, [key], SEED)
+    train, test = (marked.where(f"is_test = {i}").drop("is_test") for i in (0, 1))
+    return train, test, train.count()
+
+
+def predicted(model, test: DataFrame) -> DataFrame:
+    """Test rows per true and predicted class."""
+    scored = model.transform(test)
+    return scored.groupBy("label", "prediction").agg(F.count("*").alias("n_rows"))
+
+
+@query("m_logreg")
+def m_logreg(spark, d):
+    train, test, n = held_out(vectors(spark, d), "vec_id")
+    return predicted(c.logreg(n).fit(train), test)
+
+
+@query("m_tree")
+def m_tree(spark, d):
+    train, test, _ = held_out(vectors(spark, d), "vec_id")
+    return predicted(c.tree(seed=SEED).fit(train), test)
+
+
+@query("m_forest")
+def m_forest(spark, d):
+    train, test, _ = held_out(vectors(spark, d), "vec_id")
+    return predicted(c.forest(n_trees=50, max_depth=10, seed=SEED).fit(train), test)
+
+
+@query("m_nb")
+def m_nb(spark, d):
+    train, test, _ = held_out(vectors(spark, d), "vec_id")
+    return predicted(c.gaussian_nb().fit(train), test)
+
+
+@query("m_lda")
+def m_lda(spark, d):
+    train, test, _ = held_out(vectors(spark, d), "vec_id")
+    return predicted(c.LinearDiscriminant().fit(train), test)
+
+
+@query("m_perceptron")
+def m_perceptron(spark, d):
+    train, test, _ = held_out(vectors(spark, d), "vec_id")
+    return predicted(c.perceptron(max_iter=20).fit(train), test)
+
+
+@query("m_mlp")
+def m_mlp(spark, d):
+    train, test, _ = held_out(vectors(spark, d), "vec_id")
+    return predicted(c.mlp([N_DIMS, 32, N_LABELS], seed=SEED, max_iter=50).fit(train), test)
+
+
+@query("m_svm_linear")
+def m_svm_linear(spark, d):
+    train, test, n = held_out(documents(spark, d), "doc_id")
+    return predicted(c.svm_linear(n, C=0.1).fit(train), test)
+
+
+@query("m_svm_poly")
+def m_svm_poly(spark, d):
+    train, test, n = held_out(documents(spark, d), "doc_id")
+    return predicted(c.svm_poly(n, C=0.1, degree=2, coef0=2.0).fit(train), test)
+
+
+@query("m_svm_rbf")
+def m_svm_rbf(spark, d):
+    train, test, n = held_out(documents(spark, d), "doc_id")
+    return predicted(c.svm_rbf(n, C=2.0, gamma=0.5, seed=SEED).fit(train), test)
+
+
+@query("m_knn")
+def m_knn(spark, d):
+    """Nearest neighbours as an estimator with class probabilities."""
+    train, test, _ = held_out(documents(spark, d), "doc_id")
+    model = c.KNNClassifier(key="doc_id", n_features=len(_TEXT_FEATURES)).fit(train)
+    return predicted(model, test)
+
+
+@query("m_bagging")
+def m_bagging(spark, d):
+    train, test, n = held_out(documents(spark, d), "doc_id")
+    bagged = sel.Bagging(c.svm_poly(n, C=0.1, coef0=2.0, max_iter=20), n=5, frac=0.7, seed=SEED)
+    return predicted(bagged.fit(train), test)
+
+
+@query("m_stacking")
+def m_stacking(spark, d):
+    train, test, n = held_out(documents(spark, d), "doc_id")
+    bases = {
+        "forest": c.forest(n_trees=20, max_depth=8, seed=SEED),
+        "logreg": c.logreg(n),
+        "knn": c.KNNClassifier(key="doc_id", n_features=len(_TEXT_FEATURES)),
+    }
+    meta = c.forest(n_trees=20, max_depth=8, seed=SEED)
+    stacked = sel.Stacking(bases, meta, key="doc_id", folds=5, seed=SEED).fit(train)
+    return predicted(stacked, test)
+
+
+def _four(n: int) -> dict:
+    return {
+        "LR": c.logreg(n, max_iter=30),
+        "DTC": c.tree(max_depth=8, seed=SEED),
+        "PER": c.perceptron(max_iter=10),
+        "RFC": c.forest(n_trees=20, max_depth=8, seed=SEED),
+    }
+
+
+@query("m_cross_val")
+def m_cross_val(spark, d):
+    rows = sel.fold_rows(documents(spark, d), 5, "doc_id", SEED)
+    return sel.cross_val(_four(rows.count()), rows, 5, "doc_id")
+
+
+@query("m_cross_val_predict")
+def m_cross_val_predict(spark, d):
+    """Out-of-fold confusion counts of one model."""
+    rows = sel.fold_rows(documents(spark, d), 5, "doc_id", SEED)
+    models = {"LDA": c.LinearDiscriminant()}
+    predictions = sel.cross_val_predict(models, rows, 5, "doc_id")
+    return predictions.groupBy("model", "label", "prediction").agg(F.count("*").alias("n_rows"))
+
+
+@query("m_grid")
+def m_grid(spark, d):
+    rows = sel.fold_rows(documents(spark, d), 3, "doc_id", SEED)
+    forest = c.forest(n_trees=10, max_depth=5, seed=SEED)
+    grid = (
+        ParamGridBuilder()
+        .addGrid(forest.impurity, ["gini", "entropy"])
+        .addGrid(forest.featureSubsetStrategy, ["sqrt", "log2"])
+        .build()
+    )
+    _, results = sel.grid_search(forest, grid, rows, 3)
+    return results
+
+
+@query("m_pca_study")
+def m_pca_study(spark, d):
+    rows = sel.fold_rows(vectors(spark, d), 3, "vec_id", SEED)
+    n = rows.count()
+    models = {"LR": c.logreg(n, max_iter=20), "DTC": c.tree(max_depth=8, seed=SEED)}
+    return sel.pca_study(models, [2, 3, 4, 5], rows, 3, "vec_id")
+
+
+@query(
+    "m_linear_fit",
+    f"""SELECT p_partkey, {_r('''(SELECT regr_intercept(p_retailprice, p_size) FROM part)
+        + (SELECT regr_slope(p_retailprice, p_size) FROM part) * p_size''', 4)} AS prediction
+        FROM part""",
+)
+def m_linear_fit(spark, d):
+    """Least squares without penalty, which SQL can repeat for one feature."""
+    part = table(spark, d, "part").select("p_partkey", "p_size", "p_retailprice")
+    model = regression.fit_linear(part, ["p_size"], "p_retailprice")
+    return model.transform(part).select("p_partkey", round_half_up("prediction", 4).alias("prediction"))
+
+
+@query("m_regression")
+def m_regression(spark, d):
+    """Ridge regression and early-stopped boosting, by their error on held-out lines."""
+    lines = table(spark, d, "lineitem").select(
+        "l_orderkey", "l_linenumber", "l_quantity", "l_discount", "l_tax",
+        F.year("l_shipdate").alias("year"), "l_extendedprice",
+    )
+    features = ["l_quantity", "l_discount", "l_tax", "year"]
+    marked = splits.hash_split(lines, 0.25, ["l_orderkey", "l_linenumber"], SEED)
+    train, test = marked.where("is_test = 0").drop("is_test"), marked.where("is_test = 1")
+    ridge = regression.fit_linear(train, features, "l_extendedprice", l2=0.01)
+    flagged = splits.hash_split(train, 0.2, ["l_orderkey", "l_linenumber"], SEED + 1)
+    flagged = flagged.withColumn("is_validation", F.col("is_test") == 1)
+    boosted = regression.fit_boosted(
+        flagged, features, "l_extendedprice", "is_validation", max_iter=10, seed=SEED
+    )
+    errors = [
+        ev.regression_error(m.transform(test), "l_extendedprice", "prediction").withColumn(
+            "model", F.lit(name)
+        )
+        for name, m in (("ridge", ridge), ("boosted", boosted))
+    ]
+    return errors[0].unionByName(errors[1])
+
+
+@query("m_lag_forecast")
+def m_lag_forecast(spark, d):
+    """Forecast two events ahead from five lags and the season, next to persistence."""
+    windows = event_windows(spark, d)
+    forecast = regression.lag_forecast(windows, PAST, ["value", "portion_year"])
+    baseline = timeseries.persistence(windows.where("part = 'test'"), PAST, "value")
+    errors = [
+        ev.regression_error(rows, "y", "prediction").withColumn("model", F.lit(name))
+        for name, rows in (("lags", forecast), ("persistence", baseline))
+    ]
+    return errors[0].unionByName(errors[1])
