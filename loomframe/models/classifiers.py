@@ -34,14 +34,17 @@ from pyspark.ml.param.shared import (
 from pyspark.ml.stat import Correlation, Summarizer
 from pyspark.sql import Column, DataFrame, functions as F
 
-from loomframe.operators.neighbors import knn_votes, vector_columns
+from loomframe.operators.neighbors import knn_votes
+from loomframe.session import ship_package
 
 FEATURES, LABEL = "features", "label"
 MAX_CLASSES = 1_000
+# The usual stopping tolerances of logistic regression and of margin classifiers
+LOGREG_TOL, MARGIN_TOL = 1e-4, 1e-3
 
 
 def logreg(n_rows: int, C: float = 1.0, max_iter: int = 100) -> LogisticRegression:
-    return LogisticRegression(regParam=1.0 / (n_rows * C), maxIter=max_iter)
+    return LogisticRegression(regParam=1.0 / (n_rows * C), maxIter=max_iter, tol=LOGREG_TOL)
 
 
 def tree(max_depth: int = 30, seed: int = 0) -> DecisionTreeClassifier:
@@ -62,8 +65,14 @@ def gaussian_nb() -> NaiveBayes:
     return NaiveBayes(modelType="gaussian")
 
 
+def _margin(features: str, n_rows: int, C: float, max_iter: int) -> LinearSVC:
+    return LinearSVC(
+        featuresCol=features, regParam=1.0 / (n_rows * C), maxIter=max_iter, tol=MARGIN_TOL
+    )
+
+
 def svm_linear(n_rows: int, C: float = 1.0, max_iter: int = 100) -> LinearSVC:
-    return LinearSVC(regParam=1.0 / (n_rows * C), maxIter=max_iter)
+    return _margin("features", n_rows, C, max_iter)
 
 
 def svm_poly(
@@ -79,7 +88,7 @@ def svm_poly(
         stages=[
             Scale(inputCol=FEATURES, outputCol="__scaled", factor=float(shrink)),
             PolynomialExpansion(degree=degree, inputCol="__scaled", outputCol="__poly"),
-            LinearSVC(featuresCol="__poly", regParam=1.0 / (n_rows * C), maxIter=max_iter),
+            _margin("__poly", n_rows, C, max_iter),
         ]
     )
 
@@ -95,14 +104,14 @@ def svm_rbf(
                 inputCol=FEATURES, outputCol="__fourier", gamma=gamma,
                 n_components=n_components, seed=seed,
             ),
-            LinearSVC(featuresCol="__fourier", regParam=1.0 / (n_rows * C), maxIter=max_iter),
+            _margin("__fourier", n_rows, C, max_iter),
         ]
     )
 
 
 def perceptron(max_iter: int = 100) -> OneVsRest:
     """Linear threshold units, one per class, with hinge loss and no penalty."""
-    return OneVsRest(classifier=LinearSVC(regParam=0.0, maxIter=max_iter))
+    return OneVsRest(classifier=LinearSVC(regParam=0.0, maxIter=max_iter, tol=MARGIN_TOL))
 
 
 def mlp(layers: Sequence[int], seed: int = 0, max_iter: int = 100) -> MultilayerPerceptronClassifier:
@@ -141,6 +150,7 @@ class RandomFourierFeatures(Transformer, HasInputCol, HasOutputCol):
         self.gamma, self.n_components, self.seed = gamma, n_components, seed
 
     def _transform(self, df: DataFrame) -> DataFrame:
+        ship_package(df.sparkSession)
         gamma, m, seed = self.gamma, self.n_components, self.seed
 
         @F.pandas_udf("array<double>")
@@ -187,19 +197,11 @@ class LinearDiscriminant(Estimator, HasFeaturesCol, HasLabelCol, HasPredictionCo
         means = np.array([r["mean"].toArray() for r in rows])
         counts = np.array([r["n"] for r in rows], dtype=float)
 
-        own_mean = F.element_at(
-            F.create_map(
-                *[
-                    e
-                    for c, m in zip(classes, means)
-                    for e in (F.lit(c), F.array(*[F.lit(float(v)) for v in m]))
-                ]
-            ),
-            F.col(label).cast("double"),
-        )
-        centred = df.select(
-            array_to_vector(F.zip_with(vector_to_array(x), own_mean, lambda a, b: a - b)).alias("c")
-        )
+        # one row per class
+        own = grouped.select(F.col(label).alias("__class"), vector_to_array("mean").alias("__mean"))
+        joined = df.join(F.broadcast(own), F.col(label) == F.col("__class"))
+        shifted = F.zip_with(vector_to_array(x), "__mean", lambda a, b: a - b)
+        centred = joined.select(array_to_vector(shifted).alias("c"))
         spread = centred.select(Summarizer.std(F.col("c")).alias("s")).first()["s"].toArray()
         corr = np.nan_to_num(Correlation.corr(centred, "c").first()[0].toArray())
         np.fill_diagonal(corr, 1.0)
@@ -259,17 +261,10 @@ class KNNModel(Model, HasFeaturesCol, HasLabelCol, HasPredictionCol, HasProbabil
         )
         self.settings, self.train = parent, train
 
-    def _columns(self, df: DataFrame, *extra: str) -> tuple[DataFrame, list[str]]:
-        arrays = df.select(
-            self.settings.key, *extra, vector_to_array(self.getFeaturesCol()).alias("__x")
-        )
-        return vector_columns(arrays, "__x", self.settings.n_features)
-
     def _transform(self, df: DataFrame) -> DataFrame:
         s, label = self.settings, self.getLabelCol()
-        train, names = self._columns(self.train, label)
-        test, _ = self._columns(df)
-        votes = knn_votes(train, test, s.key, names, label, s.k)
+        x = vector_to_array(self.getFeaturesCol())
+        votes = knn_votes(self.train, df, s.key, x, s.n_features, label, s.k)
         counts = votes.groupBy(s.key).agg(
             *[
                 F.coalesce(F.sum(F.when(F.col("prediction") == c, F.col("votes"))), F.lit(0)).alias(f"__{c}")

@@ -59,26 +59,25 @@ def distinct_count(df: DataFrame, keys: Sequence[str], member: str, name: str =
     return distinct_pairs(df, keys, member).groupBy(*keys).agg(F.count("*").alias(name))
 
 
-def collect_distinct(
+def largest_sets(
     df: DataFrame, keys: Sequence[str], member: str, k: int, order_by: Sequence[str] = ()
 ) -> DataFrame:
-    """The ``k`` keys with most distinct members, and their members as a sorted array.
-
-    Counting comes first; arrays are built for the ``k`` winners alone, from distinct members.
-    """
-    known = df.dropna(subset=[*keys, member])
-    pairs = known.select(*keys, member).distinct()
+    """Members of the ``k`` known keys with most distinct members, one row per member."""
+    known = df.dropna(subset=[*keys, member]).select(*keys, member)
     winners = (
-        pairs.groupBy(*keys)
+        known.distinct()
+        .groupBy(*keys)
         .agg(F.count("*").alias("n_distinct"))
         .orderBy(F.desc("n_distinct"), *(order_by or keys))
         .limit(k)
     )
     # k rows
-    members = known.join(F.broadcast(winners), list(keys))
-    return members.groupBy(*keys, "n_distinct").agg(
-        F.array_sort(F.collect_set(member)).alias("members")
-    )
+    return known.join(F.broadcast(winners), list(keys)).distinct()
+
+
+def as_sets(members: DataFrame, keys: Sequence[str], member: str) -> DataFrame:
+    """Distinct members, from a small vocabulary, as one sorted array per key."""
+    return members.groupBy(*keys).agg(F.array_sort(F.collect_set(member)).alias("members"))
 
 
 def _extreme_groups(df: DataFrame, key: str, pick) -> DataFrame:

@@ -19,7 +19,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from loomframe.operators.joins import salted_join
-from loomframe.session import stage
+from loomframe.session import ship_package, stage
 
 BLOCK_ROWS = 4_096      # donors per block, unless there would be more than MAX_CELLS blocks
 MAX_CELLS = 16_384      # bounds the table of boxes that every task receives
@@ -28,36 +28,41 @@ QUERY_ROWS = 20_000     # queries that meet one block in one task
 AXES = 3                # leading features by which rows count as nearby
 
 
-def _edges(df: DataFrame, axes: Sequence[str], cells: int) -> list[list[float]]:
+def feature_array(cols: Sequence[str]) -> Column:
+    """Numeric columns as one array; NULL marks a gap."""
+    return F.array(*[F.col(c).cast("double") for c in cols])
+
+
+def _axis(i: int) -> Column:
+    return F.get("x", F.lit(i))
+
+
+def _edges(df: DataFrame, n_axes: int, cells: int) -> list[list[float]]:
     """Cut points per axis that give about this many cells of equal weight."""
-    bins = int(np.ceil(cells ** (1 / len(axes))))
+    bins = int(np.ceil(cells ** (1 / n_axes)))
     if bins == 1:
-        return [[] for _ in axes]
-    cuts = df.approxQuantile(list(axes), [i / bins for i in range(1, bins)], 0.005)
+        return [[] for _ in range(n_axes)]
+    axes = df.select(*[_axis(i).alias(f"a{i}") for i in range(n_axes)])
+    cuts = axes.approxQuantile(axes.columns, [i / bins for i in range(1, bins)], 0.005)
     return [sorted(set(c)) for c in cuts]
 
 
-def _gaps(features: Sequence[str]) -> Column:
-    """Which features of a row are missing, as a text of plus and minus signs."""
-    return F.concat(*[F.when(F.col(c).isNull(), "-").otherwise("+") for c in features])
-
-
-def _bins(axes: Sequence[str], edges: list[list[float]]) -> Column:
+def _bins(edges: list[list[float]]) -> Column:
     bins = []
-    for axis, cuts in zip(axes, edges):
-        rank = reduce(lambda a, b: a + b, [(F.col(axis) > c).cast("int") for c in cuts], F.lit(0))
+    for i, cuts in enumerate(edges):
+        rank = reduce(lambda a, b: a + b, [(_axis(i) > c).cast("int") for c in cuts], F.lit(0))
         bins.append(F.coalesce(rank, F.lit(-1)).cast("string"))
     return F.concat_ws(":", *bins)
 
 
-def _blocks(donors: DataFrame, features: Sequence[str], n_rows: int) -> DataFrame:
+def _blocks(donors: DataFrame, n_features: int, n_rows: int) -> DataFrame:
     """Donors with their block: a cell, or an equal part of a crowded one.
 
-    Rows of a block miss the same features. Rows with a rare pattern of gaps go to mixed blocks
-    (``__mixed``), which have no box and are never skipped.
+    Rows of a block miss the same features. Rows with a rare pattern of gaps go to mixed blocks,
+    which have no box and are never skipped.
     """
-    axes = list(features)[:AXES]
-    patterned = donors.withColumn("__gaps", _gaps(features))
+    gaps = F.array_join(F.transform("x", lambda v: F.when(v.isNull(), "-").otherwise("+")), "")
+    patterned = donors.withColumn("__gaps", gaps)
     common = [
         row["__gaps"]
         for row in patterned.groupBy("__gaps")
@@ -67,10 +72,10 @@ def _blocks(donors: DataFrame, features: Sequence[str], n_rows: int) -> DataFram
         .collect()
     ]
     mixed = ~F.col("__gaps").isin(*common)
-    cells = min(max(n_rows // BLOCK_ROWS, 1), MAX_CELLS // len(common)) if common else 1
-    edges = _edges(donors, axes, cells)
-    cell = F.concat_ws(":", F.when(mixed, "mixed").otherwise(F.col("__gaps")), _bins(axes, edges))
-    placed = patterned.withColumns({"__cell": cell, "__mixed": mixed}).drop("__gaps")
+    cells = min(max(n_rows // BLOCK_ROWS, 1), MAX_CELLS // max(len(common), 1))
+    edges = _edges(donors, min(AXES, n_features), cells)
+    cell = F.concat_ws(":", F.when(mixed, "mixed").otherwise(F.col("__gaps")), _bins(edges))
+    placed = patterned.withColumns({"__cell": cell, "mixed": mixed}).drop("__gaps")
     block_rows = max(BLOCK_ROWS, -(-n_rows // MAX_CELLS))
     crowd = placed.groupBy("__cell").agg(F.ceil(F.count("*") / block_rows).alias("__parts"))
     part = F.pmod(F.xxhash64("donor"), F.col("__parts"))
@@ -78,21 +83,41 @@ def _blocks(donors: DataFrame, features: Sequence[str], n_rows: int) -> DataFram
     return split.withColumn("block", F.concat_ws("/", "__cell", part)).drop("__cell", "__parts")
 
 
+def _matrix(arrays: pd.Series) -> np.ndarray:
+    return np.array([np.asarray(a, dtype=float) for a in arrays])
+
+
+def _box(block: pd.DataFrame) -> pd.DataFrame:
+    x = _matrix(block["x"])
+    return pd.DataFrame(
+        {
+            "block": [block["block"].iloc[0]], "mixed": [block["mixed"].iloc[0]],
+            "n": [len(x)], "low": [x.min(axis=0)], "high": [x.max(axis=0)],
+        }
+    )
+
+
 class _Boxes:
     """Bounding boxes of all blocks; MAX_CELLS bounds their number up to a small factor."""
 
-    def __init__(self, table: pd.DataFrame, n_features: int):
+    def __init__(self, blocks: DataFrame, n_features: int):
+        boxes = blocks.groupBy("block").applyInPandas(
+            _box, "block string, mixed boolean, n bigint, low array<double>, high array<double>"
+        )
+        table = boxes.orderBy("block").toPandas()
         self.names = table["block"].to_numpy()
-        self.counts = table["n"].to_numpy()
         self.mixed = table["mixed"].to_numpy(dtype=bool)
-        self.low = table[[f"lo{i}" for i in range(n_features)]].to_numpy(dtype=float)
-        self.high = table[[f"hi{i}" for i in range(n_features)]].to_numpy(dtype=float)
+        self.counts = table["n"].to_numpy()
+        self.low = _matrix(table["low"]).reshape(-1, n_features)
+        self.high = _matrix(table["high"]).reshape(-1, n_features)
 
     def candidates(self, x: np.ndarray, k: int) -> np.ndarray:
         """Blocks that can hold one of the k nearest donors of ``x`` (NaN marks a gap)."""
+        if not len(self.names):
+            return np.array([], dtype=int)
         shared = ~np.isnan(x) & ~np.isnan(self.low)
         n_shared = shared.sum(axis=1)
-        scale = np.where(n_shared > 0, len(x) / np.maximum(n_shared, 1), np.inf)
+        scale = len(x) / np.maximum(n_shared, 1)
         inner = np.where(shared, np.maximum(np.maximum(self.low - x, x - self.high), 0.0), 0.0)
         outer = np.where(shared, np.maximum(np.abs(x - self.low), np.abs(x - self.high)), 0.0)
         usable = (n_shared > 0) | self.mixed
@@ -106,37 +131,25 @@ class _Boxes:
         return np.flatnonzero(usable & (nearest <= limit))
 
 
-def _boxes(blocks: DataFrame, features: Sequence[str]) -> _Boxes:
-    sides = [
-        side(c).alias(f"{name}{i}")
-        for i, c in enumerate(features)
-        for name, side in (("lo", F.min), ("hi", F.max))
-    ]
-    table = blocks.groupBy("block").agg(
-        F.count("*").alias("n"), F.first("__mixed").alias("mixed"), *sides
-    ).orderBy("block")
-    return _Boxes(table.toPandas(), len(features))
-
-
-def _meet(queries: pd.DataFrame, donors: pd.DataFrame, features: list[str], k: int) -> pd.DataFrame:
+def _meet(queries: pd.DataFrame, donors: pd.DataFrame, k: int) -> pd.DataFrame:
     """The k best pairs of each query within one block."""
     if donors.empty or queries.empty:
         return pd.DataFrame({"query": [], "donor": [], "distance": []})
     donors = donors.sort_values("donor", ignore_index=True)
-    x = donors[features].to_numpy(dtype=float)
-    q = queries[features].to_numpy(dtype=float)
+    x, q = _matrix(donors["x"]), _matrix(queries["x"])
+    n_features = x.shape[1]
     ids, donor_ids = queries["query"].to_numpy(), donors["donor"].to_numpy()
     found = []
     for start in range(0, len(q), 256):
         chunk = q[start : start + 256]
         square, shared = np.zeros((len(chunk), len(x))), np.zeros((len(chunk), len(x)))
-        for j in range(len(features)):
+        for j in range(n_features):
             gap = chunk[:, j, None] - x[None, :, j]
             known = ~np.isnan(gap)
             square += np.where(known, gap * gap, 0.0)
             shared += known
         with np.errstate(divide="ignore", invalid="ignore"):
-            square = np.where(shared > 0, square * (len(features) / shared), np.inf)
+            square = np.where(shared > 0, square * (n_features / shared), np.inf)
         best = min(k, len(x))
         limit = np.partition(square, best - 1, axis=1)[:, best - 1]
         rows, cols = np.nonzero((square <= limit[:, None]) & np.isfinite(square))
@@ -147,86 +160,66 @@ def _meet(queries: pd.DataFrame, donors: pd.DataFrame, features: list[str], k: i
     return pd.concat(found, ignore_index=True)
 
 
-def nearest(
-    queries: DataFrame, donors: DataFrame, features: Sequence[str], k: int
-) -> DataFrame:
+def nearest(queries: DataFrame, donors: DataFrame, n_features: int, k: int) -> DataFrame:
     """The ``k`` nearest donors of each query: ``query, donor, distance, place``.
 
-    ``queries`` holds ``query`` (a bigint id) and the features, ``donors`` holds ``donor`` and the
-    same features as doubles. NULL features are left out of a distance, which is scaled up to
-    the full number of features. Distances are squared; ties go to the smaller donor.
+    ``queries`` has columns ``query`` (a bigint id) and ``x`` (an array of doubles), ``donors``
+    has ``donor`` and ``x``. NULL elements are left out of a distance, which is scaled up to the
+    full number of features. Distances are squared; ties go to the smaller donor.
     """
-    features = list(features)
-    blocks = _blocks(donors.select("donor", *features), features, donors.count())
-    spark = queries.sparkSession
-    boxes = spark.sparkContext.broadcast(_boxes(blocks, features))
+    ship_package(queries.sparkSession)
+    blocks = _blocks(donors.select("donor", "x"), n_features, donors.count())
+    sc = queries.sparkSession.sparkContext
+    boxes = sc.broadcast(_Boxes(blocks, n_features))
 
     def choose(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            x = batch[features].to_numpy(dtype=float)
-            hits = [boxes.value.candidates(row, k) for row in x]
+            hits = [boxes.value.candidates(row, k) for row in _matrix(batch["x"])]
             repeat = np.repeat(np.arange(len(batch)), [len(h) for h in hits])
             out = batch.iloc[repeat].reset_index(drop=True)
             chosen = np.concatenate(hits) if hits else np.array([], dtype=int)
             yield out.assign(block=boxes.value.names[chosen])
 
-    fields = ", ".join(f"`{c}` double" for c in features)
-    chosen = stage(
-        queries.select("query", *features).mapInPandas(
-            choose, f"query bigint, {fields}, block string"
-        ),
-        "candidates",
-    )
-    load = chosen.groupBy("block").agg(F.ceil(F.count("*") / QUERY_ROWS).alias("__tasks"))
+    schema = "query bigint, x array<double>, block string"
+    chosen = stage(queries.select("query", "x").mapInPandas(choose, schema), "candidates")
+    load = chosen.groupBy("block").agg(F.ceil(F.count("*") / QUERY_ROWS).alias("tasks"))
     # as many rows as there are blocks, bounded like the table of boxes
     load = F.broadcast(load)
-    left = chosen.join(load, "block").withColumn(
-        "task", F.pmod(F.xxhash64("query"), F.col("__tasks"))
-    )
-    right = blocks.drop("__mixed").join(load, "block").withColumn(
-        "task", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("__tasks") - 1))
-    )
+    left = chosen.join(load, "block").withColumn("task", F.pmod(F.xxhash64("query"), "tasks"))
+    every = F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("tasks") - 1))
+    right = blocks.drop("mixed").join(load, "block").withColumn("task", every)
     pairs = (
-        left.drop("__tasks")
+        left.drop("tasks")
         .groupBy("block", "task")
-        .cogroup(right.drop("__tasks").groupBy("block", "task"))
+        .cogroup(right.drop("tasks").groupBy("block", "task"))
         .applyInPandas(
-            lambda left, right: _meet(left, right, features, k),
-            "query bigint, donor bigint, distance double",
+            lambda a, b: _meet(a, b, k), "query bigint, donor bigint, distance double"
         )
     )
     place = F.row_number().over(W.partitionBy("query").orderBy("distance", "donor"))
     return pairs.withColumn("place", place).where(F.col("place") <= k)
 
 
-def _doubles(features: Sequence[str]) -> list[Column]:
-    return [F.col(c).cast("double").alias(c) for c in features]
-
-
-def vector_columns(df: DataFrame, vector: str, size: int) -> tuple[DataFrame, list[str]]:
-    """A numeric array as one double column per position."""
-    names = [f"v{i}" for i in range(size)]
-    cols = [F.col(vector)[i].cast("double").alias(n) for i, n in enumerate(names)]
-    return df.select(*[c for c in df.columns if c != vector], *cols), names
-
-
 def knn_votes(
-    train: DataFrame, test: DataFrame, key: str, features: Sequence[str], label: str, k: int = 5
+    train: DataFrame, test: DataFrame, key: str, x: Column, n_features: int, label: str, k: int = 5
 ) -> DataFrame:
-    """Votes per test row and label among its ``k`` nearest training rows."""
-    queries = test.select(F.col(key).alias("query"), *_doubles(features))
-    donors = train.select(F.col(key).alias("donor"), *_doubles(features))
-    pairs = nearest(queries, donors, features, k).select("query", "donor")
+    """Votes per test row and label among its ``k`` nearest training rows.
+
+    ``x`` is the array of features, and ``key`` a bigint that identifies a row.
+    """
+    queries = test.select(F.col(key).alias("query"), x.alias("x"))
+    donors = train.select(F.col(key).alias("donor"), x.alias("x"))
+    pairs = nearest(queries, donors, n_features, k).select("query", "donor")
     labels = train.select(F.col(key).alias("donor"), F.col(label).alias("prediction"))
     joined = pairs.join(labels, "donor")
     return joined.groupBy(F.col("query").alias(key), "prediction").agg(F.count("*").alias("votes"))
 
 
 def knn_classify(
-    train: DataFrame, test: DataFrame, key: str, features: Sequence[str], label: str, k: int = 5
+    train: DataFrame, test: DataFrame, key: str, x: Column, n_features: int, label: str, k: int = 5
 ) -> DataFrame:
     """Most frequent label among the ``k`` nearest training rows; ties go to the smaller label."""
-    votes = knn_votes(train, test, key, features, label, k)
+    votes = knn_votes(train, test, key, x, n_features, label, k)
     top = F.min(F.struct((-F.col("votes")).alias("neg"), F.col("prediction"))).alias("top")
     return votes.groupBy(key).agg(top).select(key, F.col("top.prediction").alias("prediction"))
 
@@ -235,25 +228,22 @@ def knn_impute(df: DataFrame, key: str, features: Sequence[str], k: int = 5) ->
     """Fill gaps with the mean of the ``k`` nearest rows that have the value.
 
     Distances use the features both rows have. A row that shares none with any donor gets the
-    mean of the column. ``key`` must identify a row.
+    mean of the column. ``key`` is a bigint that identifies a row.
     """
-    rows = df.select(key, *_doubles(features))
-    gappy = [c for c, n in rows.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in features])
-             .first().asDict().items() if n]
+    counts = df.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in features]).first()
+    rows = df.select(key, feature_array(features).alias("x"), *features)
     out = df
-    for column in gappy:
-        # the column itself is unknown on one side of every pair, so it adds nothing but scale
-        queries = rows.where(F.col(column).isNull()).withColumnRenamed(key, "query")
-        donors = rows.where(F.col(column).isNotNull()).withColumnRenamed(key, "donor")
-        values = donors.select("donor", F.col(column).alias("__value"))
-        pairs = nearest(queries, donors, features, k).select("query", "donor")
+    for column in (c for c in features if counts[c]):
+        gaps, known = F.col(column).isNull(), F.col(column).isNotNull()
+        queries = rows.where(gaps).select(F.col(key).alias("query"), "x")
+        donors = rows.where(known).select(F.col(key).alias("donor"), "x", column)
+        pairs = nearest(queries, donors, len(features), k).select("query", "donor")
         filled = (
-            pairs.join(values, "donor")
+            pairs.join(donors.select("donor", column), "donor")
             .groupBy(F.col("query").alias(key))
-            .agg(F.avg("__value").alias("__fill"))
+            .agg(F.avg(column).alias("__fill"))
         )
         mean = rows.select(F.avg(column)).scalar()
-        out = out.join(filled, key, "left").withColumn(
-            column, F.coalesce(F.col(column).cast("double"), F.col("__fill"), mean)
-        ).drop("__fill")
+        value = F.coalesce(F.col(column).cast("double"), F.col("__fill"), mean)
+        out = out.join(filled, key, "left").withColumn(column, value).drop("__fill")
     return out.select(*df.columns)

@@ -1,9 +1,10 @@
-"""Exact interpolated quantiles without holding a group's values in one task.
+"""Exact interpolated quantiles without holding an unbounded group in one task.
 
-A sketch gives, per group and probability, a narrow bracket of values around the quantile. A
-second scan folds everything outside the brackets to a few counts and keeps only the values
-inside, counted per value. Cumulative counts over that small rest give the exact order
-statistics.
+Where every group has few distinct values, which is checked first, Spark's ``percentile`` counts
+them whole. Otherwise a sketch gives, per group and probability, a narrow bracket of values
+around the quantile. A further scan folds everything outside the brackets to a few counts and
+keeps only the values inside, counted per value. Cumulative counts over that small rest give
+the exact order statistics.
 """
 
 from __future__ import annotations
@@ -15,6 +16,8 @@ from pyspark.sql import Column, DataFrame, functions as F
 from loomframe.operators.joins import salted_join
 from loomframe.operators.ordering import running_total
 
+FEW = 100_000   # distinct values of a group that one task may count
+
 
 def _brackets(values: DataFrame, by: list[str], probs: Sequence[float], accuracy: int) -> DataFrame:
     margin = 10.0 / accuracy
@@ -41,12 +44,29 @@ def exact_quantiles(
     probs: Sequence[float],
     by: Sequence[str] = (),
     accuracy: int = 10_000,
+    few: int = FEW,
 ) -> DataFrame:
     """Linearly interpolated quantiles ``q_0``, ``q_1``, ... per known group, skipping NULLs."""
     by = list(by)
     value = F.col(value) if isinstance(value, str) else value
     x = value.cast("double")
     values = df.select(*by, F.when(~F.isnan(x), x).alias("__x")).dropna()
+    if _most_distinct(values, by) <= few:
+        whole = F.percentile("__x", [float(p) for p in probs])
+        counted = values.groupBy(*by).agg(whole.alias("__q"))
+        return counted.select(*by, *[F.col("__q")[i].alias(f"q_{i}") for i in range(len(probs))])
+    return _by_brackets(values, probs, by, accuracy)
+
+
+def _most_distinct(values: DataFrame, by: list[str]) -> int:
+    """Estimated number of distinct values in the group that has most."""
+    sketch = values.groupBy(*by).agg(F.approx_count_distinct("__x").alias("n"))
+    return sketch.agg(F.coalesce(F.max("n"), F.lit(0))).first()[0]
+
+
+def _by_brackets(
+    values: DataFrame, probs: Sequence[float], by: list[str], accuracy: int
+) -> DataFrame:
     bracketed = _with_brackets(values, by, _brackets(values, by, probs, accuracy))
 
     inside, below = F.lit(False), []

@@ -102,21 +102,23 @@ def distinct_top5(spark, d):
 )
 def set_top5(spark, d):
     events = filters.where_not(table(spark, d, "events"), "event_type", "error")
-    top = agg.collect_distinct(events, ["user_id"], "event_type", 5)
+    top = agg.largest_sets(events, ["user_id"], "event_type", 5)
+    top = agg.as_sets(top, ["user_id", "n_distinct"], "event_type")
     return top.withColumn("members", F.concat_ws(",", "members"))
 
 
 @query(
     "set_top5_compound",
-    """SELECT o_custkey, CAST(year(o_orderdate) AS INTEGER) AS year,
-              CAST(count(DISTINCT o_orderpriority) AS BIGINT) AS n_distinct,
-              string_agg(DISTINCT o_orderpriority, ',' ORDER BY o_orderpriority) AS members
-       FROM orders GROUP BY ALL ORDER BY n_distinct DESC, o_custkey, year LIMIT 5""",
+    """SELECT DISTINCT o_custkey, year, n_distinct, o_orderpriority FROM (
+         SELECT o_custkey, CAST(year(o_orderdate) AS INTEGER) AS year,
+                CAST(count(DISTINCT o_orderpriority) AS BIGINT) AS n_distinct
+         FROM orders GROUP BY ALL ORDER BY n_distinct DESC, o_custkey, year LIMIT 5)
+       JOIN (SELECT o_custkey, CAST(year(o_orderdate) AS INTEGER) AS year, o_orderpriority
+             FROM orders) USING (o_custkey, year)""",
 )
 def set_top5_compound(spark, d):
     orders = table(spark, d, "orders").withColumn("year", F.year("o_orderdate"))
-    top = agg.collect_distinct(orders, ["o_custkey", "year"], "o_orderpriority", 5)
-    return top.withColumn("members", F.concat_ws(",", "members"))
+    return agg.largest_sets(orders, ["o_custkey", "year"], "o_orderpriority", 5)
 
 
 def _extreme_check(key: str, name: str, source: str, pick: str) -> str:

@@ -226,11 +226,10 @@ def shuffle_rows(spark, d):
         SELECT vec_id, label AS prediction FROM v WHERE r = 1""",
 )
 def knn_classify(spark, d):
-    vectors = table(spark, d, "embeddings")
-    wide, names = neighbors.vector_columns(vectors, "embedding", 64)
-    marked = splits.hash_split(wide, 0.3, ["vec_id"], seed=5)
+    marked = splits.hash_split(table(spark, d, "embeddings"), 0.3, ["vec_id"], seed=5)
     train, test = marked.where("is_test = 0"), marked.where("is_test = 1")
-    return neighbors.knn_classify(train, test, "vec_id", names, "label", k=5)
+    x = F.col("embedding").cast("array<double>")
+    return neighbors.knn_classify(train, test, "vec_id", x, 64, "label", k=5)
 
 
 def _gap_distance(cols: list[str]) -> str:

@@ -11,6 +11,7 @@ from loomframe.models import classifiers as c, evaluation as ev, regression, sel
 from loomframe.operators import splits, timeseries
 from loomframe.plans.feature_queries import PAST, _r, event_windows
 from loomframe.plans.registry import query
+from loomframe.session import stage
 from loomframe.sources.tables import table
 
 # -- evaluation: the toxic label stands for a prediction of the quality label ----------------
@@ -163,7 +164,10 @@ _TEXT_FEATURES = ["n_chars", "n_words", "n_lines", "n_digits", "n_capitals", "n_
 
 
 def documents(spark, d) -> DataFrame:
-    """Labelled documents with counts over their whole text, standardised."""
+    """Labelled documents with counts over their whole text, standardised.
+
+    Stored once: models read the features many times, the texts a single time.
+    """
     rows = table(spark, d, "documents").join(_labels(spark, d), "doc_id").select(
         "doc_id", "quality", "n_chars",
         F.size(F.split("text", r"\s+")).alias("n_words"),
@@ -172,7 +176,8 @@ def documents(spark, d) -> DataFrame:
         _count("text", r"\p{Lu}").alias("n_capitals"),
         _count("text", r"\p{Punct}").alias("n_marks"),
     )
-    return c.assemble(rows, _TEXT_FEATURES, "quality", "doc_id")
+    counted = stage(rows, "text-features")
+    return c.assemble(counted, _TEXT_FEATURES, "quality", "doc_id")
 
 
 def held_out(rows: DataFrame, key: str) -> tuple[DataFrame, DataFrame, int]:

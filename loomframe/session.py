@@ -2,12 +2,32 @@
 
 from __future__ import annotations
 
+import os
+import shutil
 import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 _local_dirs: dict[str, str] = {}
+_shipped: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the Python workers, once per application.
+
+    Needed by the few functions that run Python code in tasks; a package that came in an
+    archive (``--py-files``) is there already.
+    """
+    sc = spark.sparkContext
+    package = os.path.dirname(os.path.abspath(__file__))
+    if sc.applicationId in _shipped or not os.path.isdir(package):
+        return
+    target = os.path.join(tempfile.mkdtemp(prefix="loomframe-zip-"), "loomframe")
+    sc.addPyFile(
+        shutil.make_archive(target, "zip", os.path.dirname(package), os.path.basename(package))
+    )
+    _shipped.add(sc.applicationId)
 
 
 def shared_dir(spark: SparkSession) -> str:
