@@ -78,8 +78,10 @@ def _score_steps(df: DataFrame, label: str, score: str) -> DataFrame:
 def roc_points(df: DataFrame, label: str, score: str) -> DataFrame:
     """True and false positive rate at each distinct threshold."""
     steps = _score_steps(df, label, score)
-    whole = steps.select(
-        F.struct(F.max("tp").alias("tp"), F.max("fp").alias("fp"))
+    whole = df.select(
+        F.struct(
+            F.count_if(F.col(label) == 1).alias("tp"), F.count_if(F.col(label) == 0).alias("fp")
+        )
     ).scalar()
     return steps.select(
         "score", "tp", "fp",

@@ -78,15 +78,15 @@ def taken_places(admitted: DataFrame, key: str) -> DataFrame:
     return admitted.groupBy(key).agg(F.count("*").alias("taken"))
 
 
-def admit_until_full(
+def judge_arrivals(
     incoming: DataFrame,
     capacity: DataFrame,
     key: str,
     limit: str,
     order_by: Sequence[str],
     taken: DataFrame | None = None,
-) -> Admission:
-    """Accept arrivals per key, in order, while there is room.
+) -> DataFrame:
+    """Arrivals with their ``arrival_no`` per key, and ``accepted`` 1 while there is room.
 
     ``capacity`` holds ``key`` and ``limit``; a NULL limit, or no row for the key, always
     admits. ``taken`` (from :func:`taken_places`) counts the places that are gone already.
@@ -99,11 +99,25 @@ def admit_until_full(
     numbered = number_rows(incoming, order_by, within=[key], name="arrival_no")
     judged = salted_join(numbered, room, [key], F.col("arrival_no"), "left")
     fits = F.col("__limit").isNull() | (F.col("arrival_no") <= F.col("__limit"))
-    return Admission(
-        judged.where(fits).drop("__limit"), judged.where(~fits).drop("__limit")
+    return judged.withColumn("accepted", fits.cast("int")).select(
+        *incoming.columns, "arrival_no", "accepted"
     )
 
 
+def admit_until_full(
+    incoming: DataFrame,
+    capacity: DataFrame,
+    key: str,
+    limit: str,
+    order_by: Sequence[str],
+    taken: DataFrame | None = None,
+) -> Admission:
+    """Accepted and rejected arrivals, as judged by :func:`judge_arrivals`."""
+    judged = judge_arrivals(incoming, capacity, key, limit, order_by, taken)
+    accepted, rejected = (judged.where(F.col("accepted") == i).drop("accepted") for i in (1, 0))
+    return Admission(accepted, rejected)
+
+
 class ForeignKey(NamedTuple):
     child: str
     child_key: str

@@ -108,11 +108,8 @@ def admit_until_full(spark, d):
     events = table(spark, d, "events").select("event_id", "user_id", "ts")
     limit = F.when(F.max("value") < 300, F.lit(50)).alias("capacity")
     rooms = table(spark, d, "events").groupBy("user_id").agg(limit)
-    result = changes.admit_until_full(events, rooms, "user_id", "capacity", ["ts", "event_id"])
-    both = result.accepted.withColumn("accepted", F.lit(1)).unionByName(
-        result.rejected.withColumn("accepted", F.lit(0))
-    )
-    return both.drop("ts")
+    judged = changes.judge_arrivals(events, rooms, "user_id", "capacity", ["ts", "event_id"])
+    return judged.drop("ts")
 
 
 @query(

@@ -63,7 +63,7 @@ def compare(spark, con, name: str, folder: str, queries, oracles) -> tuple[bool,
     theirs = [tuple(r) for r in rel.select(*[f'"{c}"' for c in order]).fetchall()]
     a, b = _sorted(mine), _sorted(theirs)
     if a == b:
-        return bool(a), f"{len(a)} rows", seconds
+        return True, f"{len(a)} rows" + ("" if a else " (EMPTY)"), seconds
     odd = [(x, y) for x, y in zip(a, b) if x != y][:2]
     return False, f"{len(a)} vs {len(b)} rows, first differences {str(odd)[:400]}", seconds
 
