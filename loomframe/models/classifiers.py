@@ -174,6 +174,57 @@ def _class_rows(aggregated: DataFrame, label: str) -> list:
     return rows
 
 
+def covariance(df: DataFrame, vector: Column) -> tuple[np.ndarray, np.ndarray]:
+    """Mean and sample covariance of a vector column: one row per pair of features at most."""
+    x = df.select(vector.alias("x"))
+    moments = x.select(
+        Summarizer.metrics("mean", "std").summary(F.col("x")).alias("m")
+    ).first()["m"]
+    spread = moments["std"].toArray()
+    corr = np.nan_to_num(Correlation.corr(x, "x").first()[0].toArray())
+    np.fill_diagonal(corr, 1.0)
+    return moments["mean"].toArray(), corr * np.outer(spread, spread)
+
+
+class CentredPCA(Estimator, HasInputCol, HasOutputCol):
+    """Principal components of the centred data.
+
+    The covariance is a distributed aggregate, its decomposition a small local one. The largest
+    weight of each component is positive, which fixes the sign.
+    """
+
+    @keyword_only
+    def __init__(self, *, k: int, inputCol: str = FEATURES, outputCol: str = "components"):
+        super().__init__()
+        self._set(inputCol=inputCol, outputCol=outputCol)
+        self.k = k
+
+    def _fit(self, df: DataFrame) -> "CentredPCAModel":
+        mean, cov = covariance(df, F.col(self.getInputCol()))
+        _, vectors = np.linalg.eigh(cov)
+        axes = vectors[:, ::-1][:, : self.k].T
+        largest = axes[np.arange(len(axes)), np.abs(axes).argmax(axis=1)]
+        axes = axes * np.sign(largest)[:, None]
+        return self._copyValues(CentredPCAModel(axes, axes @ mean))
+
+
+class CentredPCAModel(Model, HasInputCol, HasOutputCol):
+    def __init__(self, axes: np.ndarray, offsets: np.ndarray):
+        super().__init__()
+        self.axes, self.offsets = axes, offsets
+
+    def _transform(self, df: DataFrame) -> DataFrame:
+        x = vector_to_array(self.getInputCol())
+        parts = [_dot(x, axis, -offset) for axis, offset in zip(self.axes, self.offsets)]
+        return df.withColumn(self.getOutputCol(), array_to_vector(F.array(*parts)))
+
+
+def _dot(x: Column, weights: np.ndarray, start: float) -> Column:
+    """``start`` plus the inner product of an array column with fixed weights."""
+    w = F.array(*[F.lit(float(v)) for v in weights])
+    return F.aggregate(F.zip_with(x, w, lambda a, b: a * b), F.lit(float(start)), lambda s, v: s + v)
+
+
 class LinearDiscriminant(Estimator, HasFeaturesCol, HasLabelCol, HasPredictionCol):
     """Linear discriminant analysis with a pooled covariance.
 
@@ -202,11 +253,9 @@ class LinearDiscriminant(Estimator, HasFeaturesCol, HasLabelCol, HasPredictionCo
         joined = df.join(F.broadcast(own), F.col(label) == F.col("__class"))
         shifted = F.zip_with(vector_to_array(x), "__mean", lambda a, b: a - b)
         centred = joined.select(array_to_vector(shifted).alias("c"))
-        spread = centred.select(Summarizer.std(F.col("c")).alias("s")).first()["s"].toArray()
-        corr = np.nan_to_num(Correlation.corr(centred, "c").first()[0].toArray())
-        np.fill_diagonal(corr, 1.0)
+        _, cov = covariance(centred, F.col("c"))
         n = counts.sum()
-        pooled = corr * np.outer(spread, spread) * (n - 1) / max(n - len(classes), 1)
+        pooled = cov * (n - 1) / max(n - len(classes), 1)
         weights = means @ np.linalg.pinv(pooled)
         offsets = np.log(counts / n) - 0.5 * np.sum(weights * means, axis=1)
         model = LinearDiscriminantModel(classes, weights, offsets)
@@ -219,13 +268,9 @@ class LinearDiscriminantModel(Model, HasFeaturesCol, HasPredictionCol):
         self._setDefault(featuresCol=FEATURES, predictionCol="prediction")
         self.classes, self.weights, self.offsets = classes, weights, offsets
 
-    def _score(self, i: int) -> Column:
-        w = F.array(*[F.lit(float(v)) for v in self.weights[i]])
-        products = F.zip_with(vector_to_array(self.getFeaturesCol()), w, lambda a, b: a * b)
-        return F.aggregate(products, F.lit(float(self.offsets[i])), lambda s, v: s + v)
-
     def _transform(self, df: DataFrame) -> DataFrame:
-        scores = F.array(*[self._score(i) for i in range(len(self.classes))])
+        x = vector_to_array(self.getFeaturesCol())
+        scores = F.array(*[_dot(x, w, b) for w, b in zip(self.weights, self.offsets)])
         classes = F.array(*[F.lit(c) for c in self.classes])
         best = F.array_position("__scores", F.array_max("__scores")).cast("int")
         scored = df.withColumn("__scores", scores)

@@ -8,13 +8,13 @@ from multiprocessing.pool import ThreadPool
 
 from pyspark.ml import Estimator, Model, Pipeline
 from pyspark.ml.evaluation import Evaluator, MulticlassClassificationEvaluator
-from pyspark.ml.feature import PCA, StandardScaler, VectorAssembler
+from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.param.shared import HasLabelCol, HasPredictionCol, HasProbabilityCol
 from pyspark.ml.tuning import CrossValidator
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from loomframe.models.classifiers import FEATURES, LABEL
+from loomframe.models.classifiers import FEATURES, LABEL, CentredPCA
 from loomframe.operators.splits import assign_folds
 from loomframe.session import stage
 
@@ -54,16 +54,11 @@ def cross_val(models: Mapping[str, Estimator], rows: DataFrame, k: int, key: str
 
 
 def pca_steps(n: int, estimator: Estimator) -> Pipeline:
-    """Centre, project to ``n`` components, then fit the estimator on them."""
+    """Project to ``n`` centred components, then fit the estimator on them."""
     estimator = estimator.copy()
     estimator.set(estimator.getParam("featuresCol"), "__components")
-    return Pipeline(
-        stages=[
-            StandardScaler(inputCol=FEATURES, outputCol="__centred", withMean=True, withStd=False),
-            PCA(k=n, inputCol="__centred", outputCol="__components"),
-            estimator,
-        ]
-    )
+    pca = CentredPCA(k=n, inputCol=FEATURES, outputCol="__components")
+    return Pipeline(stages=[pca, estimator])
 
 
 def pca_study(

@@ -20,14 +20,24 @@ FEW = 100_000   # distinct values of a group that one task may count
 
 
 def _brackets(values: DataFrame, by: list[str], probs: Sequence[float], accuracy: int) -> DataFrame:
+    """Per group ``__total`` and, per probability, ``__lo`` and ``__hi`` around its quantile.
+
+    The margin is ten times the error of the sketch. Where it spans less than a few rows the
+    group is small, and the bracket holds all of it.
+    """
     margin = 10.0 / accuracy
     lows = [max(0.0, p - margin) for p in probs]
     highs = [min(1.0, p + margin) for p in probs]
     sketch = F.percentile_approx("__x", [*lows, *highs], accuracy)
     n = len(probs)
     found = values.groupBy(*by).agg(sketch.alias("__q"), F.count("*").alias("__total"))
+    small = F.col("__total") * margin < 8
+    everything = [F.array_repeat(F.lit(sign * float("inf")), n) for sign in (-1, 1)]
     return found.select(
-        *by, "__total", F.slice("__q", 1, n).alias("__lo"), F.slice("__q", n + 1, n).alias("__hi")
+        *by,
+        "__total",
+        F.when(small, everything[0]).otherwise(F.slice("__q", 1, n)).alias("__lo"),
+        F.when(small, everything[1]).otherwise(F.slice("__q", n + 1, n)).alias("__hi"),
     )
 
 

@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.ml.feature import PCA, StandardScaler
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import functions as F
 
 from loomframe.functions.scalar import round_half_up
+from loomframe.models.classifiers import CentredPCA
 from loomframe.models.evaluation import regression_error
 from loomframe.operators import encoding, neighbors, ordering, splits, timeseries
 from loomframe.plans.registry import query
@@ -126,15 +126,13 @@ def robust_scale(spark, d):
 
 @query("pca")
 def pca(spark, d):
-    """Embeddings on three principal components, centred; the sign of a component is free."""
+    """Embeddings on three principal components."""
     vectors = table(spark, d, "embeddings").select(
         "vec_id", array_to_vector(F.col("embedding").cast("array<double>")).alias("features")
     )
-    scaler = StandardScaler(inputCol="features", outputCol="centred", withMean=True, withStd=False)
-    centred = scaler.fit(vectors).transform(vectors)
-    model = PCA(k=3, inputCol="centred", outputCol="components").fit(centred)
+    model = CentredPCA(k=3).fit(vectors)
     parts = vector_to_array("components")
-    return model.transform(centred).select("vec_id", *[parts[i].alias(f"pc{i}") for i in range(3)])
+    return model.transform(vectors).select("vec_id", *[parts[i].alias(f"pc{i}") for i in range(3)])
 
 
 # -- splits ----------------------------------------------------------------------------------
