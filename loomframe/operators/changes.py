@@ -97,7 +97,10 @@ def judge_arrivals(
         left = F.col("__limit") - F.coalesce("taken", F.lit(0))
         room = room.join(taken, key, "left").select(key, left.alias("__limit"))
     numbered = number_rows(incoming, order_by, within=[key], name="arrival_no")
-    judged = salted_join(numbered, room, [key], F.col("arrival_no"), "left")
+    sizes = numbered.groupBy(key).agg(F.max("arrival_no").alias("__size"))
+    judged = salted_join(
+        numbered, room.join(sizes, key), [key], "__size", F.col("arrival_no"), "left"
+    )
     fits = F.col("__limit").isNull() | (F.col("arrival_no") <= F.col("__limit"))
     return judged.withColumn("accepted", fits.cast("int")).select(
         *incoming.columns, "arrival_no", "accepted"

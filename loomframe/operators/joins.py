@@ -12,6 +12,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+HOT_ROWS = 1_000_000    # rows of one key that one task may join
+
 
 def join_agg(
     fact: DataFrame,
@@ -61,18 +63,26 @@ def salted_join(
     rows: DataFrame,
     facts: DataFrame,
     keys: Sequence[str],
+    size: str,
     salt_on: Column,
     how: str = "inner",
-    salts: int = 32,
+    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Join facts (one row per key) to rows of which one key may hold a large share.
 
-    Each fact is repeated once per salt, so the rows of a hot key meet it in ``salts`` tasks.
-    Aggregations after the join start from that spread as well.
+    ``size`` is a column of ``facts`` with the number of rows of each key. A key with more than
+    ``hot_rows`` is cut into salted parts, and its fact repeated once per part; other keys join
+    as usual. There are at most ``rows / hot_rows`` hot keys, which bounds what is broadcast.
+    Aggregations after the join start from the spread as well.
     """
-    salted = rows.withColumn("__salt", F.pmod(F.xxhash64(salt_on), F.lit(salts)).cast("int"))
-    every = F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))
-    copies = facts.withColumn("__salt", every)
+    keys = list(keys)
+    parts = F.ceil(F.col(size) / hot_rows)
+    hot = facts.where(F.col(size) > hot_rows).select(*keys, parts.alias("__parts"))
+    n_parts = F.coalesce("__parts", F.lit(1).cast("bigint"))
+    marked = rows.join(F.broadcast(hot), keys, "left")
+    salted = marked.withColumn("__salt", F.pmod(F.xxhash64(salt_on), n_parts)).drop("__parts")
+    last = F.greatest(F.coalesce(parts, F.lit(1)), F.lit(1)) - 1
+    copies = facts.withColumn("__salt", F.explode(F.sequence(F.lit(0).cast("bigint"), last)))
     return salted.join(copies, [*keys, "__salt"], how).drop("__salt")
 
 

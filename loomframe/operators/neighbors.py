@@ -26,6 +26,7 @@ MAX_CELLS = 16_384      # bounds the table of boxes that every task receives
 MAX_PATTERNS = 64       # patterns of gaps with boxes of their own; rarer ones share blocks
 QUERY_ROWS = 20_000     # queries that meet one block in one task
 AXES = 3                # leading features by which rows count as nearby
+ANY = -1                # target of a query that takes any donor
 
 
 def feature_array(cols: Sequence[str]) -> Column:
@@ -77,42 +78,44 @@ def _blocks(donors: DataFrame, n_features: int, n_rows: int) -> DataFrame:
     cell = F.concat_ws(":", F.when(mixed, "mixed").otherwise(F.col("__gaps")), _bins(edges))
     placed = patterned.withColumns({"__cell": cell, "mixed": mixed}).drop("__gaps")
     block_rows = max(BLOCK_ROWS, -(-n_rows // MAX_CELLS))
-    crowd = placed.groupBy("__cell").agg(F.ceil(F.count("*") / block_rows).alias("__parts"))
-    part = F.pmod(F.xxhash64("donor"), F.col("__parts"))
-    split = salted_join(placed, crowd, ["__cell"], F.col("donor"))
-    return split.withColumn("block", F.concat_ws("/", "__cell", part)).drop("__cell", "__parts")
+    crowd = placed.groupBy("__cell").agg(F.count("*").alias("__crowd"))
+    part = F.pmod(F.xxhash64("donor"), F.ceil(F.col("__crowd") / block_rows))
+    split = salted_join(placed, crowd, ["__cell"], "__crowd", F.col("donor"))
+    return split.withColumn("block", F.concat_ws("/", "__cell", part)).drop("__cell", "__crowd")
 
 
 def _matrix(arrays: pd.Series) -> np.ndarray:
     return np.array([np.asarray(a, dtype=float) for a in arrays])
 
 
-def _box(block: pd.DataFrame) -> pd.DataFrame:
-    x = _matrix(block["x"])
-    return pd.DataFrame(
-        {
-            "block": [block["block"].iloc[0]], "mixed": [block["mixed"].iloc[0]],
-            "n": [len(x)], "low": [x.min(axis=0)], "high": [x.max(axis=0)],
-        }
+def _box_table(blocks: DataFrame) -> DataFrame:
+    """Size and bounds of each block, folded on the map side feature by feature."""
+    values = blocks.select("block", "mixed", F.posexplode("x").alias("pos", "v"))
+    sides = values.groupBy("block", "mixed", "pos").agg(
+        F.count("*").alias("n"), F.min("v").alias("low"), F.max("v").alias("high")
     )
+    # one entry per feature
+    bounds = F.array_sort(F.collect_list(F.struct("pos", "low", "high"))).alias("b")
+    boxes = sides.groupBy("block", "mixed", "n").agg(bounds)
+    return boxes.select("block", "mixed", "n", F.col("b.low").alias("low"), F.col("b.high").alias("high"))
 
 
 class _Boxes:
     """Bounding boxes of all blocks; MAX_CELLS bounds their number up to a small factor."""
 
     def __init__(self, blocks: DataFrame, n_features: int):
-        boxes = blocks.groupBy("block").applyInPandas(
-            _box, "block string, mixed boolean, n bigint, low array<double>, high array<double>"
-        )
-        table = boxes.orderBy("block").toPandas()
+        table = _box_table(blocks).orderBy("block").toPandas()
         self.names = table["block"].to_numpy()
         self.mixed = table["mixed"].to_numpy(dtype=bool)
         self.counts = table["n"].to_numpy()
         self.low = _matrix(table["low"]).reshape(-1, n_features)
         self.high = _matrix(table["high"]).reshape(-1, n_features)
 
-    def candidates(self, x: np.ndarray, k: int) -> np.ndarray:
-        """Blocks that can hold one of the k nearest donors of ``x`` (NaN marks a gap)."""
+    def candidates(self, x: np.ndarray, k: int, target: int = ANY) -> np.ndarray:
+        """Blocks that can hold one of the k nearest donors of ``x`` (NaN marks a gap).
+
+        With a ``target`` only donors that have this feature count.
+        """
         if not len(self.names):
             return np.array([], dtype=int)
         shared = ~np.isnan(x) & ~np.isnan(self.low)
@@ -120,7 +123,10 @@ class _Boxes:
         scale = len(x) / np.maximum(n_shared, 1)
         inner = np.where(shared, np.maximum(np.maximum(self.low - x, x - self.high), 0.0), 0.0)
         outer = np.where(shared, np.maximum(np.abs(x - self.low), np.abs(x - self.high)), 0.0)
-        usable = (n_shared > 0) | self.mixed
+        usable = n_shared > 0
+        if target != ANY:
+            usable &= ~np.isnan(self.low[:, target])
+        usable |= self.mixed
         # a hair of slack keeps rounding from excluding a block that touches the limit
         nearest = np.where(usable, (inner**2).sum(axis=1) * scale * (1 - 1e-9), np.inf)
         farthest = np.where(usable, (outer**2).sum(axis=1) * scale * (1 + 1e-9), np.inf)
@@ -131,72 +137,96 @@ class _Boxes:
         return np.flatnonzero(usable & (nearest <= limit))
 
 
+_PAIRS = "query bigint, target int, donor bigint, distance double, value double"
+
+
+def _best_pairs(q: np.ndarray, x: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Query and donor positions with their distance: at least the k nearest of each query."""
+    known_x, known_q = ~np.isnan(x), ~np.isnan(q)
+    complete = known_x.all() and known_q.all()
+    square = np.zeros((len(q), len(x)))
+    for j in range(x.shape[1]):
+        gap = q[:, j, None] - x[None, :, j]
+        gap *= gap
+        if not complete:
+            gap[~known_q[:, j]] = 0.0
+            gap[:, ~known_x[:, j]] = 0.0
+        square += gap
+    if not complete:
+        shared = known_q.astype(float) @ known_x.T.astype(float)
+        with np.errstate(divide="ignore", invalid="ignore"):
+            square = np.where(shared > 0, square * (x.shape[1] / shared), np.inf)
+    place = min(k, len(x)) - 1
+    limit = np.partition(square, place, axis=1)[:, place]
+    rows, cols = np.nonzero((square <= limit[:, None]) & np.isfinite(square))
+    return rows, cols, square[rows, cols]
+
+
 def _meet(queries: pd.DataFrame, donors: pd.DataFrame, k: int) -> pd.DataFrame:
     """The k best pairs of each query within one block."""
-    if donors.empty or queries.empty:
-        return pd.DataFrame({"query": [], "donor": [], "distance": []})
-    donors = donors.sort_values("donor", ignore_index=True)
-    x, q = _matrix(donors["x"]), _matrix(queries["x"])
-    n_features = x.shape[1]
-    ids, donor_ids = queries["query"].to_numpy(), donors["donor"].to_numpy()
-    found = []
-    for start in range(0, len(q), 256):
-        chunk = q[start : start + 256]
-        square, shared = np.zeros((len(chunk), len(x))), np.zeros((len(chunk), len(x)))
-        for j in range(n_features):
-            gap = chunk[:, j, None] - x[None, :, j]
-            known = ~np.isnan(gap)
-            square += np.where(known, gap * gap, 0.0)
-            shared += known
-        with np.errstate(divide="ignore", invalid="ignore"):
-            square = np.where(shared > 0, square * (n_features / shared), np.inf)
-        best = min(k, len(x))
-        limit = np.partition(square, best - 1, axis=1)[:, best - 1]
-        rows, cols = np.nonzero((square <= limit[:, None]) & np.isfinite(square))
-        pairs = pd.DataFrame(
-            {"query": ids[start + rows], "donor": donor_ids[cols], "distance": square[rows, cols]}
-        ).sort_values(["query", "distance", "donor"], kind="stable")
-        found.append(pairs.groupby("query", sort=False).head(k))
-    return pd.concat(found, ignore_index=True)
+    found = [pd.DataFrame({"query": [], "target": [], "donor": [], "distance": [], "value": []})]
+    every = _matrix(donors["x"])
+    for target, group in queries.groupby("target"):
+        has = np.ones(len(donors), dtype=bool) if target == ANY else ~np.isnan(every[:, target])
+        x, donor_ids = every[has], donors["donor"].to_numpy()[has]
+        if not len(x):
+            continue
+        q, ids = _matrix(group["x"]), group["query"].to_numpy()
+        for start in range(0, len(q), 256):
+            rows, cols, distance = _best_pairs(q[start : start + 256], x, k)
+            value = np.full(len(cols), np.nan) if target == ANY else x[cols, target]
+            pairs = pd.DataFrame(
+                {
+                    "query": ids[start + rows], "target": target, "donor": donor_ids[cols],
+                    "distance": distance, "value": value,
+                }
+            ).sort_values(["query", "distance", "donor"], kind="stable")
+            found.append(pairs.groupby("query", sort=False).head(k))
+    return pd.concat(found[1:] or found, ignore_index=True)
 
 
 def nearest(queries: DataFrame, donors: DataFrame, n_features: int, k: int) -> DataFrame:
-    """The ``k`` nearest donors of each query: ``query, donor, distance, place``.
+    """The ``k`` nearest donors of each query: ``query, target, donor, distance, value, place``.
 
-    ``queries`` has columns ``query`` (a bigint id) and ``x`` (an array of doubles), ``donors``
-    has ``donor`` and ``x``. NULL elements are left out of a distance, which is scaled up to the
-    full number of features. Distances are squared; ties go to the smaller donor.
+    ``queries`` has columns ``query`` (a bigint id), ``x`` (an array of doubles) and ``target``,
+    ``donors`` has ``donor`` and ``x``. NULL elements are left out of a distance, which is scaled
+    up to the full number of features. ``target`` is the position of a feature that a donor must
+    have, and then ``value`` is the donor's, or ANY. Distances are squared; ties go to the
+    smaller donor.
     """
     ship_package(queries.sparkSession)
     blocks = _blocks(donors.select("donor", "x"), n_features, donors.count())
     sc = queries.sparkSession.sparkContext
-    boxes = sc.broadcast(_Boxes(blocks, n_features))
+    table = _Boxes(blocks, n_features)
+    boxes = sc.broadcast(table)
 
     def choose(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            hits = [boxes.value.candidates(row, k) for row in _matrix(batch["x"])]
+            hits = [
+                boxes.value.candidates(row, k, target)
+                for row, target in zip(_matrix(batch["x"]), batch["target"])
+            ]
             repeat = np.repeat(np.arange(len(batch)), [len(h) for h in hits])
             out = batch.iloc[repeat].reset_index(drop=True)
             chosen = np.concatenate(hits) if hits else np.array([], dtype=int)
             yield out.assign(block=boxes.value.names[chosen])
 
-    schema = "query bigint, x array<double>, block string"
-    chosen = stage(queries.select("query", "x").mapInPandas(choose, schema), "candidates")
+    schema = "query bigint, x array<double>, target int, block string"
+    chosen = stage(queries.select("query", "x", "target").mapInPandas(choose, schema), "candidates")
     load = chosen.groupBy("block").agg(F.ceil(F.count("*") / QUERY_ROWS).alias("tasks"))
     # as many rows as there are blocks, bounded like the table of boxes
     load = F.broadcast(load)
     left = chosen.join(load, "block").withColumn("task", F.pmod(F.xxhash64("query"), "tasks"))
     every = F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("tasks") - 1))
     right = blocks.drop("mixed").join(load, "block").withColumn("task", every)
-    pairs = (
-        left.drop("tasks")
-        .groupBy("block", "task")
-        .cogroup(right.drop("tasks").groupBy("block", "task"))
-        .applyInPandas(
-            lambda a, b: _meet(a, b, k), "query bigint, donor bigint, distance double"
-        )
-    )
-    place = F.row_number().over(W.partitionBy("query").orderBy("distance", "donor"))
+    # a meeting is heavy for its size in bytes: spread blocks instead of merging small partitions
+    n_tasks = max(len(table.names), 1)
+    sides = [
+        side.drop("tasks").repartition(n_tasks, "block", "task").groupBy("block", "task")
+        for side in (left, right)
+    ]
+    pairs = sides[0].cogroup(sides[1]).applyInPandas(lambda a, b: _meet(a, b, k), _PAIRS)
+    place = F.row_number().over(W.partitionBy("query", "target").orderBy("distance", "donor"))
     return pairs.withColumn("place", place).where(F.col("place") <= k)
 
 
@@ -207,7 +237,7 @@ def knn_votes(
 
     ``x`` is the array of features, and ``key`` a bigint that identifies a row.
     """
-    queries = test.select(F.col(key).alias("query"), x.alias("x"))
+    queries = test.select(F.col(key).alias("query"), x.alias("x"), F.lit(ANY).alias("target"))
     donors = train.select(F.col(key).alias("donor"), x.alias("x"))
     pairs = nearest(queries, donors, n_features, k).select("query", "donor")
     labels = train.select(F.col(key).alias("donor"), F.col(label).alias("prediction"))
@@ -230,20 +260,18 @@ def knn_impute(df: DataFrame, key: str, features: Sequence[str], k: int = 5) ->
     Distances use the features both rows have. A row that shares none with any donor gets the
     mean of the column. ``key`` is a bigint that identifies a row.
     """
-    counts = df.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in features]).first()
-    rows = df.select(key, feature_array(features).alias("x"), *features)
-    out = df
-    for column in (c for c in features if counts[c]):
-        gaps, known = F.col(column).isNull(), F.col(column).isNotNull()
-        queries = rows.where(gaps).select(F.col(key).alias("query"), "x")
-        donors = rows.where(known).select(F.col(key).alias("donor"), "x", column)
-        pairs = nearest(queries, donors, len(features), k).select("query", "donor")
-        filled = (
-            pairs.join(donors.select("donor", column), "donor")
-            .groupBy(F.col("query").alias(key))
-            .agg(F.avg(column).alias("__fill"))
-        )
-        mean = rows.select(F.avg(column)).scalar()
-        value = F.coalesce(F.col(column).cast("double"), F.col("__fill"), mean)
-        out = out.join(filled, key, "left").withColumn(column, value).drop("__fill")
-    return out.select(*df.columns)
+    rows = df.select(key, feature_array(features).alias("x"))
+    gaps = F.filter(F.sequence(F.lit(0), F.lit(len(features) - 1)), lambda i: F.get("x", i).isNull())
+    queries = rows.select(F.col(key).alias("query"), "x", F.explode(gaps).alias("target"))
+    donors = rows.select(F.col(key).alias("donor"), "x")
+    pairs = nearest(queries, donors, len(features), k)
+    fills = pairs.groupBy("query", "target").agg(F.avg("value").alias("fill"))
+    wide = fills.groupBy(F.col("query").alias("__key")).agg(
+        *[F.max(F.when(F.col("target") == i, F.col("fill"))).alias(f"__{c}") for i, c in enumerate(features)]
+    )
+    means = df.select(F.struct(*[F.avg(c).alias(c) for c in features])).scalar()
+    filled = {
+        c: F.coalesce(F.col(c).cast("double"), F.col(f"__{c}"), means[c]) for c in features
+    }
+    joined = df.join(wide, F.col(key) == F.col("__key"), "left")
+    return joined.withColumns(filled).select(*df.columns)

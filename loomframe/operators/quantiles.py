@@ -10,13 +10,16 @@ the exact order statistics.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
 from loomframe.operators.joins import salted_join
 from loomframe.operators.ordering import running_total
+from loomframe.session import stage
 
-FEW = 100_000   # distinct values of a group that one task may count
+FEW = 100_000       # distinct values of a group that one task may count
+ACCURACY = 10_000   # of the sketch behind the brackets
 
 
 def _brackets(values: DataFrame, by: list[str], probs: Sequence[float], accuracy: int) -> DataFrame:
@@ -43,7 +46,8 @@ def _brackets(values: DataFrame, by: list[str], probs: Sequence[float], accuracy
 
 def _with_brackets(values: DataFrame, by: list[str], brackets: DataFrame) -> DataFrame:
     if by:
-        return salted_join(values, brackets, by, F.col("__x"))
+        # stored, so that the sketch runs once for all uses of the small table
+        return salted_join(values, stage(brackets, "brackets"), by, "__total", F.col("__x"))
     facts = brackets.select(F.struct("*")).scalar()
     return values.withColumn("__b", facts).select("__x", "__b.*")
 
@@ -53,7 +57,7 @@ def exact_quantiles(
     value: str | Column,
     probs: Sequence[float],
     by: Sequence[str] = (),
-    accuracy: int = 10_000,
+    accuracy: int = ACCURACY,
     few: int = FEW,
 ) -> DataFrame:
     """Linearly interpolated quantiles ``q_0``, ``q_1``, ... per known group, skipping NULLs."""
@@ -124,9 +128,37 @@ def long_values(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     return doubles.unpivot([], list(cols), "column", "value")
 
 
-def column_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float]) -> DataFrame:
-    """Exact quantiles of several columns, one row per column."""
-    return exact_quantiles(long_values(df, cols), "value", probs, by=["column"])
+def _finite(c: str) -> Column:
+    x = F.col(c).cast("double")
+    return F.when(~F.isnan(x), x)
+
+
+def column_quantiles(
+    df: DataFrame, cols: Sequence[str], probs: Sequence[float], few: int = FEW
+) -> DataFrame:
+    """Exact quantiles ``q_0``, ``q_1``, ... of several columns, one row per ``column``.
+
+    Columns with few distinct values are counted side by side in one pass.
+    """
+    sizes = df.agg(*[F.approx_count_distinct(c).alias(c) for c in cols]).first()
+    small, large = ([c for c in cols if (sizes[c] <= few) == flag] for flag in (True, False))
+    parts = []
+    if small:
+        wide = df.agg(*[F.percentile(_finite(c), [float(p) for p in probs]).alias(c) for c in small])
+        lines = [
+            F.struct(
+                F.lit(c).alias("column"),
+                *[F.get(F.col(c), F.lit(i)).alias(f"q_{i}") for i in range(len(probs))],
+            )
+            for c in small
+        ]
+        parts.append(wide.select(F.inline(F.array(*lines))))
+    if large:
+        values = long_values(df, large).select(
+            "column", F.when(~F.isnan("value"), F.col("value")).alias("__x")
+        )
+        parts.append(_by_brackets(values.dropna(), probs, ["column"], ACCURACY))
+    return reduce(DataFrame.unionByName, parts)
 
 
 def fit_row(stats: DataFrame, key: str, names: Sequence[str], fields: Sequence[str]) -> Column:

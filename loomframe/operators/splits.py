@@ -24,7 +24,7 @@ def stratified_split(
     drawn = df.withColumn("__draw", seeded_hash(key, seed))
     placed = number_rows(drawn, ["__draw", *key], within=[label], name="__place")
     sizes = df.groupBy(label).agg(F.count("*").alias("__n"))
-    joined = salted_join(placed, sizes, [label], F.col("__draw"))
+    joined = salted_join(placed, sizes, [label], "__n", F.col("__draw"))
     cut = F.round(F.col("__n") * F.lit(frac)).cast("bigint")
     return joined.withColumn("is_test", (F.col("__place") <= cut).cast("int")).select(
         *df.columns, "is_test"

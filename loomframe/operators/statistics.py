@@ -145,9 +145,10 @@ def box_stats(df: DataFrame, by: str, column: str) -> DataFrame:
         .groupBy(by, "__x")
         .agg(F.count("*").alias("__n"))
     )
+    sizes = values.groupBy(by).agg(F.count("*").alias("__size"))
     inside = x.between(F.col("__lo"), F.col("__hi"))
     return (
-        salted_join(values, fences, [by], x)
+        salted_join(values, fences.join(sizes, by), [by], "__size", x)
         .groupBy(by)
         .agg(
             F.first("q_0").alias("q25"),

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from loomframe.functions.scalar import decade, money
+from loomframe.functions.scalar import cents, decade, from_cents
 from loomframe.operators import aggregates as agg, filters, ordering, sets
 from loomframe.plans.registry import query
 from loomframe.plans.scalar_queries import _SCORE, line_score
@@ -42,8 +42,8 @@ def group_count(spark, d):
        FROM lineitem GROUP BY l_suppkey""",
 )
 def group_sum(spark, d):
-    sums = agg.group_sum(table(spark, d, "lineitem"), ["l_suppkey"], money("l_extendedprice"), "total")
-    return sums.withColumn("total", F.col("total").cast("double"))
+    sums = agg.group_sum(table(spark, d, "lineitem"), ["l_suppkey"], cents("l_extendedprice"), "total")
+    return sums.withColumn("total", from_cents("total"))
 
 
 @query(
@@ -232,10 +232,10 @@ def list_and_sum(spark, d):
         table(spark, d, "customer"), ["c_mktsegment"], ["c_acctbal", "c_nationkey"]
     )
     named = known.join(table(spark, d, "nation"), F.col("c_nationkey") == F.col("n_nationkey"))
-    listed = agg.list_and_sum(named, "c_mktsegment", "n_name", money("c_acctbal"))
+    listed = agg.list_and_sum(named, "c_mktsegment", "n_name", cents("c_acctbal"))
     return listed.select(
         "c_mktsegment", F.concat_ws(",", "members").alias("members"),
-        F.col("total").cast("double").alias("total"),
+        from_cents("total").alias("total"),
     )
 
 

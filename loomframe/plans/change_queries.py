@@ -6,7 +6,7 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, functions as F
 
-from loomframe.functions.scalar import money, with_default
+from loomframe.functions.scalar import cents, from_cents, with_default
 from loomframe.operators import changes, integrity
 from loomframe.operators.changes import ForeignKey
 from loomframe.plans.registry import query
@@ -68,7 +68,7 @@ def _costly_lines(spark, d):
 
 
 def _as_double(df: DataFrame) -> DataFrame:
-    return df.withColumn("cost", F.col("cost").cast("double"))
+    return df.withColumn("cost", from_cents("cost"))
 
 
 @query("refresh_rollup", _ROLLUP)
@@ -76,7 +76,7 @@ def refresh_rollup(spark, d):
     parts = table(spark, d, "part").select("p_partkey")
     return _as_double(
         changes.refresh_rollup(
-            parts, _costly_lines(spark, d), "p_partkey", "l_partkey", money("l_extendedprice"), "cost"
+            parts, _costly_lines(spark, d), "p_partkey", "l_partkey", cents("l_extendedprice"), "cost"
         )
     )
 
@@ -86,7 +86,7 @@ def refresh_rollup_changed(spark, d):
     """Lines with status O arrive after the first totals; only their parts are recomputed."""
     parts, lines = table(spark, d, "part").select("p_partkey"), _costly_lines(spark, d)
     old, new = lines.where("l_linestatus <> 'O'"), lines.where("l_linestatus = 'O'")
-    amount = money("l_extendedprice")
+    amount = cents("l_extendedprice")
     first = changes.refresh_rollup(parts, old, "p_partkey", "l_partkey", amount, "cost")
     return _as_double(
         changes.refresh_rollup(

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from loomframe.operators import arrays, ordering
+from loomframe.operators.aggregates import as_sets
 from loomframe.plans.filter_queries import part_words
 from loomframe.plans.registry import query
 from loomframe.session import new_path
@@ -19,16 +20,14 @@ def unwind(spark, d):
 
 
 def _customer_documents(spark, d):
-    """One document per customer: order priorities and order years seen, as arrays.
-
-    Both arrays hold distinct values of small vocabularies.
-    """
+    """One document per customer: order priorities and order years seen, as arrays."""
     orders = table(spark, d, "orders").select(
-        F.col("o_custkey").alias("custkey"), "o_orderpriority", F.year("o_orderdate").alias("y")
-    )
-    return orders.groupBy("custkey").agg(
-        F.collect_set("o_orderpriority").alias("priority"), F.collect_set("y").alias("year")
+        F.col("o_custkey").alias("custkey"), F.col("o_orderpriority").alias("priority"),
+        F.year("o_orderdate").alias("year"),
     )
+    priorities = as_sets(orders, ["custkey"], "priority").withColumnRenamed("members", "priority")
+    years = as_sets(orders, ["custkey"], "year").withColumnRenamed("members", "year")
+    return priorities.join(years, "custkey")
 
 
 @query(
@@ -111,7 +110,6 @@ def push_records(spark, d):
 def longest_array(spark, d):
     orders = table(spark, d, "orders")
     item = F.concat_ws("/", "o_orderpriority", F.year("o_orderdate").cast("string"))
-    documents = orders.groupBy(F.col("o_custkey").alias("custkey")).agg(
-        F.collect_set(item).alias("items")
-    )
-    return ordering.longest_array(documents, "items", ["custkey"]).select("custkey", "n_items")
+    items = orders.select(F.col("o_custkey").alias("custkey"), item.alias("item"))
+    documents = as_sets(items, ["custkey"], "item")
+    return ordering.longest_array(documents, "members", ["custkey"]).select("custkey", "n_items")

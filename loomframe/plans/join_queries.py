@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from loomframe.functions.scalar import coalesce_zero, money, pct
+from loomframe.functions.scalar import cents, coalesce_zero, from_cents, pct
 from loomframe.operators import joins
 from loomframe.operators.ordering import top_k
 from loomframe.plans.registry import query
@@ -31,9 +31,9 @@ def join_count_by_key(spark, d):
 def join_sum_by_key(spark, d):
     sums = joins.join_agg(
         table(spark, d, "orders"), table(spark, d, "customer"), "o_custkey", "c_custkey",
-        ["c_name"], sums={"earned": money("o_totalprice")},
+        ["c_name"], sums={"earned": cents("o_totalprice")},
     )
-    return sums.withColumn("earned", F.col("earned").cast("double"))
+    return sums.withColumn("earned", from_cents("earned"))
 
 
 def _orders_of_nation(spark, d):
@@ -71,7 +71,7 @@ def top3_by_children(spark, d):
 def cost_by_parent(spark, d):
     """Amounts are folded per order, then per customer, so each join sees distinct keys."""
     per_order = table(spark, d, "lineitem").groupBy("l_orderkey").agg(
-        F.sum(money("l_extendedprice")).alias("amount")
+        F.sum(cents("l_extendedprice")).alias("amount")
     )
     orders = table(spark, d, "orders").select("o_orderkey", "o_custkey")
     per_customer = (
@@ -82,7 +82,7 @@ def cost_by_parent(spark, d):
     customers = table(spark, d, "customer").select("c_custkey", "c_name", "c_mktsegment")
     joined = customers.join(per_customer, F.col("c_custkey") == F.col("o_custkey"))
     totals = joined.groupBy("c_mktsegment", "c_name").agg(
-        F.sum("amount").cast("double").alias("total_cost")
+        from_cents(F.sum("amount")).alias("total_cost")
     )
     return totals.orderBy(F.desc("total_cost"), "c_name")
 
@@ -159,9 +159,9 @@ def profit_view(spark, d):
     view = joins.profit_view(
         table(spark, d, "customer").select("c_custkey", "c_acctbal"), "c_custkey",
         orders, "o_custkey", costly, "o_custkey",
-        cost=money("o_totalprice"), price=F.lit(100).cast("decimal(10,2)"), rent=money("c_acctbal"),
+        cost=cents("o_totalprice"), price=F.lit(100_00), rent=cents("c_acctbal"),
     )
-    return view.select("c_custkey", F.col("profit").cast("double").alias("profit"))
+    return view.select("c_custkey", from_cents("profit").alias("profit"))
 
 
 @query(

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F, types as T
 
 from loomframe.functions import html as h
-from loomframe.functions.scalar import money
+from loomframe.functions.scalar import cents, from_cents, money
 from loomframe.operators import arrays
 from loomframe.plans.registry import query
 from loomframe.session import new_path
@@ -189,7 +189,7 @@ def materialize_exploded(spark, d):
 )
 def sink_json(spark, d):
     totals = table(spark, d, "customer").groupBy("c_mktsegment").agg(
-        F.sum(money("c_acctbal")).cast("double").alias("total")
+        from_cents(F.sum(cents("c_acctbal"))).alias("total")
     )
     path = new_path(spark, "json")
     documents.write_json(totals, path)

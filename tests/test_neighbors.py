@@ -31,8 +31,9 @@ def frame(spark, name: str, values: np.ndarray):
 
 
 def check(spark, queries, donors, k):
+    asked = frame(spark, "query", queries).withColumn("target", F.lit(neighbors.ANY))
     got = neighbors.nearest(
-        frame(spark, "query", queries), frame(spark, "donor", donors), queries.shape[1], k
+        asked, frame(spark, "donor", donors), queries.shape[1], k
     ).toPandas()
     want = brute(queries, donors, k)
     assert len(got) == sum(map(len, want))
@@ -101,6 +102,23 @@ def test_imputation_without_any_shared_feature(spark):
     assert got == {1: (6.0, 1.0), 2: (4.0, 1.0), 3: (8.0, 1.0)}
 
 
+def test_imputation_equals_brute_force(spark):
+    rng = np.random.default_rng(6)
+    x = rng.normal(size=(200, 3))
+    x[rng.random(x.shape) < 0.25] = np.nan
+    df = spark.createDataFrame(
+        [(i, *[None if np.isnan(v) else float(v) for v in r]) for i, r in enumerate(x)],
+        "id bigint, a double, b double, c double",
+    )
+    got = neighbors.knn_impute(df, "id", ["a", "b", "c"], k=3).orderBy("id").toPandas()
+    for c, name in enumerate("abc"):
+        donors = np.flatnonzero(~np.isnan(x[:, c]))
+        for i in np.flatnonzero(np.isnan(x[:, c])):
+            pairs = brute(x[i : i + 1], x[donors], 3)[0]
+            want = x[donors[[p[0] for p in pairs]], c].mean() if pairs else np.nanmean(x[:, c])
+            assert got[name][i] == pytest.approx(want)
+
+
 def test_votes_tie_to_the_smaller_label(spark):
     train = spark.createDataFrame([(1, 0.0, 2), (2, 1.0, 1), (3, 9.0, 3)], "id bigint, v double, y int")
     test = spark.createDataFrame([(7, 0.4)], "id bigint, v double")

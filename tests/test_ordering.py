@@ -76,6 +76,15 @@ def test_brackets_with_many_rows_per_group(spark):
     assert np.allclose(list(got), np.quantile(values, (0.25, 0.5, 0.75)), atol=1e-12)
 
 
+@pytest.mark.parametrize("few", [0, 200, 100_000])
+def test_column_quantiles_mix_both_ways(skewed, few):
+    df, pdf = skewed
+    both = df.select("v", (F.col("id") % 100).alias("w"))
+    got = quantiles.column_quantiles(both, ["v", "w"], (0.25, 0.6), few=few).toPandas().set_index("column")
+    assert np.allclose(got.loc["v"].to_numpy(dtype=float), np.quantile(pdf.v, (0.25, 0.6)))
+    assert np.allclose(got.loc["w"].to_numpy(dtype=float), np.quantile(pdf.id % 100, (0.25, 0.6)))
+
+
 def test_quantiles_of_the_empty_and_the_tiny(spark):
     tiny = spark.createDataFrame([("a", 1.0), ("b", 1.0), ("b", 2.0), ("c", None)], "k string, v double")
     for few in (0, 100):
@@ -161,3 +170,39 @@ def test_stratified_share(skewed):
     marked = splits.stratified_split(df, "k", 0.25, ["id"], 5).toPandas()
     want = (pdf.groupby("k").size() * 0.25 + 0.5).astype(int)
     assert (marked.groupby("k").is_test.sum() == want).all()
+
+
+# -- hot keys --------------------------------------------------------------------------------
+
+
+@pytest.mark.parametrize("how", ["inner", "left"])
+def test_salted_join_equals_a_plain_join(spark, skewed, how):
+    from loomframe.operators.joins import salted_join
+
+    df, _ = skewed
+    facts = df.groupBy("k").agg(F.count("*").alias("n"), F.max("v").alias("top"))
+    if how == "left":
+        facts = facts.where("k <> 'a'")
+    got = salted_join(df, facts, ["k"], "n", F.col("id"), how, hot_rows=100)
+    assert rows(got.select("id", "top")) == rows(df.join(facts, "k", how).select("id", "top"))
+
+
+def test_admission_with_a_hot_key(spark, skewed, monkeypatch):
+    from loomframe.operators import changes, joins
+
+    monkeypatch.setattr(joins.salted_join, "__defaults__", ("inner", 50))
+    df, pdf = skewed
+    rooms = df.select("k").distinct().withColumn("places", F.lit(300))
+    judged = changes.judge_arrivals(df, rooms, "k", "places", ["id"]).toPandas()
+    assert len(judged) == len(pdf)
+    want = pdf.groupby("k").size().clip(upper=300)
+    assert (judged.groupby("k").accepted.sum() == want).all()
+
+
+def test_large_groups_are_refused_as_arrays(spark, monkeypatch):
+    from loomframe.operators import aggregates
+
+    monkeypatch.setattr(aggregates, "MAX_MEMBERS", 3)
+    df = spark.createDataFrame([("a", i) for i in range(4)], "k string, m int")
+    with pytest.raises(ValueError, match="long form"):
+        aggregates.as_sets(df, ["k"], "m")
