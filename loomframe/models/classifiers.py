@@ -111,7 +111,8 @@ def svm_rbf(
 
 def perceptron(max_iter: int = 100) -> OneVsRest:
     """Linear threshold units, one per class, with hinge loss and no penalty."""
-    return OneVsRest(classifier=LinearSVC(regParam=0.0, maxIter=max_iter, tol=MARGIN_TOL))
+    unit = LinearSVC(regParam=0.0, maxIter=max_iter, tol=MARGIN_TOL)
+    return OneVsRest(classifier=unit, parallelism=4)
 
 
 def mlp(layers: Sequence[int], seed: int = 0, max_iter: int = 100) -> MultilayerPerceptronClassifier:

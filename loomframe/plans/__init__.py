@@ -10,6 +10,7 @@ from loomframe.plans import (  # noqa: F401
     feature_queries,
     filter_queries,
     join_queries,
+    lifecycle_queries,
     model_queries,
     scalar_queries,
     source_queries,

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, functions as F
 from loomframe.functions.scalar import round_half_up
 from loomframe.models import classifiers as c, evaluation as ev, regression, selection as sel
 from loomframe.operators import splits, timeseries
-from loomframe.plans.feature_queries import PAST, _r, event_windows
+from loomframe.plans.feature_queries import PAST, _draw, _r, event_windows
 from loomframe.plans.registry import query
 from loomframe.session import stage
 from loomframe.sources.tables import table
@@ -211,7 +211,23 @@ def m_forest(spark, d):
     return predicted(c.forest(n_trees=50, max_depth=10, seed=SEED).fit(train), test)
 
 
-@query("m_nb")
+@query(
+    "m_nb",
+    f"""WITH s AS (SELECT *, {_draw('vec_id', SEED)} % 10000 < 3000 AS is_test FROM embeddings),
+             l AS (SELECT vec_id, label, is_test, generate_subscripts(embedding, 1) AS j,
+                   CAST(unnest(embedding) AS DOUBLE) AS x FROM s),
+             f AS (SELECT label AS c, j, avg(x) AS m, var_pop(x) AS v, count(*) AS n FROM l
+                   WHERE NOT is_test GROUP BY label, j),
+             e AS (SELECT max(v) * 1e-9 AS eps FROM (SELECT j, var_pop(x) AS v FROM l
+                   WHERE NOT is_test GROUP BY j)),
+             p AS (SELECT vec_id, label, c, ln(any_value(n)) - 0.5 * sum(ln(2 * pi() * (v + eps))
+                   + (x - m) * (x - m) / (v + eps)) AS score
+                   FROM l JOIN f USING (j), e WHERE is_test GROUP BY vec_id, label, c),
+             r AS (SELECT *, row_number() OVER (PARTITION BY vec_id ORDER BY score DESC, c) AS r
+                   FROM p)
+        SELECT CAST(label AS DOUBLE) AS label, CAST(c AS DOUBLE) AS prediction,
+               CAST(count(*) AS BIGINT) AS n_rows FROM r WHERE r = 1 GROUP BY label, c""",
+)
 def m_nb(spark, d):
     train, test, _ = held_out(vectors(spark, d), "vec_id")
     return predicted(c.gaussian_nb().fit(train), test)

@@ -45,9 +45,14 @@ def _sorted(rows):
     return sorted((tuple(map(_plain, r)) for r in rows), key=repr)
 
 
-def compare(spark, con, name: str, folder: str, queries, oracles) -> tuple[bool, str, float]:
+def compare(
+    spark, con, name: str, folder: str, queries, oracles, inspect=None
+) -> tuple[bool, str, float]:
+    """Whether the query equals its SQL, a note, and seconds; ``inspect`` sees the DataFrame."""
     start = time.time()
     df = queries[name](spark, folder)
+    if inspect:
+        inspect(df)
     order = sorted(df.columns)
     mine = [tuple(r) for r in df.select(*[f"`{c}`" for c in order]).collect()]
     seconds = time.time() - start

@@ -10,22 +10,10 @@ from conftest import SF_DIR
 from loomframe.sources.tables import table
 
 QUERIES = entry.queries()
-# models run many jobs; neighbours run Python in tasks by design
-PYTHON = {"knn_classify", "knn_impute"}
-DECLARATIVE = [n for n in QUERIES if not n.startswith("m_") and n not in PYTHON]
-
-
 def plan(df) -> str:
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("name", DECLARATIVE)
-def test_no_products_and_no_python(spark, name):
-    text = plan(QUERIES[name](spark, SF_DIR))
-    for node in ("CartesianProduct", "BroadcastNestedLoopJoin", "EvalPython", "MapInPandas", "FlatMapGroups"):
-        assert node not in text, node
-
-
 def test_filters_and_columns_reach_the_scan(spark):
     text = plan(QUERIES["where_equals"](spark, SF_DIR))
     assert "EqualTo(o_orderpriority,1-URGENT)" in text
