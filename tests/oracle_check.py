@@ -1,6 +1,7 @@
 """Compare registered queries with their SQL on the same tables.
 
 Run as a script for a table of results: ``python tests/oracle_check.py [--sf DIR] [name ...]``.
+``--spread`` keeps small partitions apart and never broadcasts on its own, as large data would.
 """
 
 from __future__ import annotations
@@ -82,8 +83,16 @@ def main() -> None:
     folder = "/root/testdata/sf0.01"
     if args[:1] == ["--sf"]:
         folder, args = args[1], args[2:]
+    builder = SparkSession.builder
+    if "--spread" in args:
+        args.remove("--spread")
+        builder = (
+            builder.config("spark.sql.adaptive.coalescePartitions.enabled", "false")
+            .config("spark.sql.autoBroadcastJoinThreshold", "-1")
+            .config("spark.sql.files.maxPartitionBytes", "200k")
+        )
     spark = (
-        SparkSession.builder.master("local[8]")
+        builder.master("local[8]")
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.ui.enabled", "false")
         .config("spark.driver.memory", "8g")
