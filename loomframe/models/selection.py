@@ -116,7 +116,9 @@ def _class_shares(model: Model, df: DataFrame, name: str, n_classes: int) -> Dat
 class Bagging(Estimator, HasLabelCol):
     """Average of copies of an estimator, each fitted on a bootstrap sample of the rows."""
 
-    def __init__(self, estimator: Estimator, n: int = 50, frac: float = 0.7, n_classes: int = 2, seed: int = 0):
+    def __init__(
+        self, estimator: Estimator, n: int = 50, frac: float = 0.7, n_classes: int = 2, seed: int = 0
+    ):
         super().__init__()
         self.estimator, self.n, self.frac = estimator, n, frac
         self.n_classes, self.seed = n_classes, seed

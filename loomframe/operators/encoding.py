@@ -18,9 +18,11 @@ from loomframe.functions.scalar import equals_flag
 from loomframe.operators.quantiles import column_quantiles, fit_row
 
 MAX_CATEGORIES = 10_000
+# Fixed value: the name of all rare categories together
+OTHER = "resto"
 
 
-def lump_rare(df: DataFrame, column: str, n: int, other: str = "resto") -> DataFrame:
+def lump_rare(df: DataFrame, column: str, n: int, other: str = OTHER) -> DataFrame:
     """Keep the ``n`` most frequent values and name all others ``other``; NULL is an other.
 
     Equally frequent values are taken in ascending order.

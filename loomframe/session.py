@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 _local_dirs: dict[str, str] = {}
 _shipped: set[str] = set()
+_staged: dict[str, list[str]] = {}
 
 
 def ship_package(spark: SparkSession) -> None:
@@ -56,6 +57,22 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     The rows are then fixed: later branches see the same values even if an executor is lost,
     and each branch reads only the columns it needs.
     """
-    path = new_path(df.sparkSession, label)
+    spark = df.sparkSession
+    path = new_path(spark, label)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    _staged.setdefault(spark.sparkContext.applicationId, []).append(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def drop_staged(spark: SparkSession) -> int:
+    """Delete what :func:`stage` wrote in this application, and return the number of folders.
+
+    To be called once the results are stored elsewhere; DataFrames that read a staged copy can
+    no longer run afterwards.
+    """
+    paths = _staged.pop(spark.sparkContext.applicationId, [])
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    for name in paths:
+        path = spark._jvm.org.apache.hadoop.fs.Path(name)
+        path.getFileSystem(conf).delete(path, True)
+    return len(paths)
