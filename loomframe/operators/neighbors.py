@@ -84,6 +84,17 @@ def _blocks(donors: DataFrame, n_features: int, n_rows: int) -> DataFrame:
     return split.withColumn("block", F.concat_ws("/", "__cell", part)).drop("__cell", "__crowd")
 
 
+def _without_spare_copies(donors: DataFrame, k: int) -> DataFrame:
+    """Donors without the copies that cannot be among the k nearest, stored for several scans.
+
+    Equal donors are equally far from everything, and ties go to the smaller id, so the ``k``
+    smallest of each group of copies are enough. The rank is cut before the shuffle as well.
+    """
+    rank = F.row_number().over(W.partitionBy("x").orderBy("donor"))
+    ranked = donors.select("donor", "x").withColumn("__rank", rank)
+    return stage(ranked.where(F.col("__rank") <= k).drop("__rank"), "donors")
+
+
 def _matrix(arrays: pd.Series) -> np.ndarray:
     return np.array([np.asarray(a, dtype=float) for a in arrays])
 
@@ -141,7 +152,7 @@ _PAIRS = "query bigint, target int, donor bigint, distance double, value double"
 
 
 def _best_pairs(q: np.ndarray, x: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Query and donor positions with their distance: at least the k nearest of each query."""
+    """Query and donor positions of the k nearest pairs of each query, with their distances."""
     known_x, known_q = ~np.isnan(x), ~np.isnan(q)
     complete = known_x.all() and known_q.all()
     square = np.zeros((len(q), len(x)))
@@ -156,15 +167,20 @@ def _best_pairs(q: np.ndarray, x: np.ndarray, k: int) -> tuple[np.ndarray, np.nd
         shared = known_q.astype(float) @ known_x.T.astype(float)
         with np.errstate(divide="ignore", invalid="ignore"):
             square = np.where(shared > 0, square * (x.shape[1] / shared), np.inf)
-    place = min(k, len(x)) - 1
-    limit = np.partition(square, place, axis=1)[:, place]
-    rows, cols = np.nonzero((square <= limit[:, None]) & np.isfinite(square))
+    best = min(k, len(x))
+    limit = np.partition(square, best - 1, axis=1)[:, best - 1, None]
+    nearer, level = square < limit, square == limit
+    # of the donors level with the k-th, the first ones fill the places that are left
+    left = best - nearer.sum(axis=1, keepdims=True)
+    level &= np.cumsum(level, axis=1) <= left
+    rows, cols = np.nonzero((nearer | level) & np.isfinite(square))
     return rows, cols, square[rows, cols]
 
 
 def _meet(queries: pd.DataFrame, donors: pd.DataFrame, k: int) -> pd.DataFrame:
     """The k best pairs of each query within one block."""
     found = [pd.DataFrame({"query": [], "target": [], "donor": [], "distance": [], "value": []})]
+    donors = donors.sort_values("donor", ignore_index=True)
     every = _matrix(donors["x"])
     for target, group in queries.groupby("target"):
         has = np.ones(len(donors), dtype=bool) if target == ANY else ~np.isnan(every[:, target])
@@ -175,13 +191,14 @@ def _meet(queries: pd.DataFrame, donors: pd.DataFrame, k: int) -> pd.DataFrame:
         for start in range(0, len(q), 256):
             rows, cols, distance = _best_pairs(q[start : start + 256], x, k)
             value = np.full(len(cols), np.nan) if target == ANY else x[cols, target]
-            pairs = pd.DataFrame(
-                {
-                    "query": ids[start + rows], "target": target, "donor": donor_ids[cols],
-                    "distance": distance, "value": value,
-                }
-            ).sort_values(["query", "distance", "donor"], kind="stable")
-            found.append(pairs.groupby("query", sort=False).head(k))
+            found.append(
+                pd.DataFrame(
+                    {
+                        "query": ids[start + rows], "target": target, "donor": donor_ids[cols],
+                        "distance": distance, "value": value,
+                    }
+                )
+            )
     return pd.concat(found[1:] or found, ignore_index=True)
 
 
@@ -195,7 +212,8 @@ def nearest(queries: DataFrame, donors: DataFrame, n_features: int, k: int) -> D
     smaller donor.
     """
     ship_package(queries.sparkSession)
-    blocks = _blocks(donors.select("donor", "x"), n_features, donors.count())
+    donors = _without_spare_copies(donors, k)
+    blocks = _blocks(donors, n_features, donors.count())
     sc = queries.sparkSession.sparkContext
     table = _Boxes(blocks, n_features)
     boxes = sc.broadcast(table)
