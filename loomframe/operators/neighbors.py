@@ -3,7 +3,8 @@
 Donor rows are cut into blocks of nearby rows, each with its bounding box. The boxes alone tell
 a query row how far its k-th neighbour can be at most, and so which blocks cannot hold any
 neighbour. Queries meet only the remaining blocks, one block per task, and each meeting returns
-its k best pairs. Nothing is approximated: a block is skipped only if its box proves it useless.
+its k best pairs. With many blocks a query first meets its closest one, and the distances found
+there rule out most of the others. Nothing is approximated: a block is skipped only if its box proves it useless.
 
 Boxes prune well in a few dimensions. In many dimensions without structure most blocks remain,
 and the work approaches queries times donors, as for any exact method.
@@ -11,7 +12,7 @@ and the work approaches queries times donors, as for any exact method.
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
 from functools import reduce
 
 import numpy as np
@@ -26,6 +27,7 @@ MAX_CELLS = 16_384      # bounds the table of boxes that every task receives
 MAX_PATTERNS = 64       # patterns of gaps with boxes of their own; rarer ones share blocks
 QUERY_ROWS = 20_000     # queries that meet one block in one task
 AXES = 3                # leading features by which rows count as nearby
+FEW_BLOCKS = 32         # up to here one round of meetings is cheaper than two
 ANY = -1                # target of a query that takes any donor
 
 
@@ -122,13 +124,8 @@ class _Boxes:
         self.low = _matrix(table["low"]).reshape(-1, n_features)
         self.high = _matrix(table["high"]).reshape(-1, n_features)
 
-    def candidates(self, x: np.ndarray, k: int, target: int = ANY) -> np.ndarray:
-        """Blocks that can hold one of the k nearest donors of ``x`` (NaN marks a gap).
-
-        With a ``target`` only donors that have this feature count.
-        """
-        if not len(self.names):
-            return np.array([], dtype=int)
+    def _bounds(self, x: np.ndarray, target: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Per block whether it can serve ``x``, and the least and greatest distance in it."""
         shared = ~np.isnan(x) & ~np.isnan(self.low)
         n_shared = shared.sum(axis=1)
         scale = len(x) / np.maximum(n_shared, 1)
@@ -142,10 +139,29 @@ class _Boxes:
         nearest = np.where(usable, (inner**2).sum(axis=1) * scale * (1 - 1e-9), np.inf)
         farthest = np.where(usable, (outer**2).sum(axis=1) * scale * (1 + 1e-9), np.inf)
         nearest[self.mixed], farthest[self.mixed] = 0.0, np.inf
+        return usable, nearest, farthest
+
+    def candidates(
+        self, x: np.ndarray, k: int, target: int = ANY, limit: float = np.inf
+    ) -> np.ndarray:
+        """Blocks that can hold one of the k nearest donors of ``x`` (NaN marks a gap).
+
+        With a ``target`` only donors that have this feature count. ``limit`` is a distance
+        within which k donors are known already.
+        """
+        if not len(self.names):
+            return self.names
+        usable, nearest, farthest = self._bounds(x, target)
         order = np.argsort(farthest, kind="stable")
         enough = np.searchsorted(np.cumsum(self.counts[order]), k)
-        limit = farthest[order[min(enough, len(order) - 1)]]
-        return np.flatnonzero(usable & (nearest <= limit))
+        limit = min(limit, farthest[order[min(enough, len(order) - 1)]])
+        return self.names[usable & (nearest <= limit)]
+
+    def home(self, x: np.ndarray, target: int = ANY) -> np.ndarray:
+        """The block closest to ``x``, if any can serve it."""
+        usable, nearest, farthest = self._bounds(x, target)
+        best = np.lexsort((farthest, nearest))[:1]
+        return self.names[best[usable[best]]]
 
 
 _PAIRS = "query bigint, target int, donor bigint, distance double, value double"
@@ -211,26 +227,56 @@ def nearest(queries: DataFrame, donors: DataFrame, n_features: int, k: int) -> D
     have, and then ``value`` is the donor's, or ANY. Distances are squared; ties go to the
     smaller donor.
     """
-    ship_package(queries.sparkSession)
+    spark = queries.sparkSession
+    ship_package(spark)
     donors = _without_spare_copies(donors, k)
     blocks = _blocks(donors, n_features, donors.count())
-    sc = queries.sparkSession.sparkContext
     table = _Boxes(blocks, n_features)
-    boxes = sc.broadcast(table)
+    boxes, n_tasks = spark.sparkContext.broadcast(table), max(len(table.names), 1)
+    asked = queries.select("query", "x", "target")
+
+    if len(table.names) <= FEW_BLOCKS:
+        every = _assign(asked, lambda x, target: boxes.value.candidates(x, k, target))
+        pairs = _meetings(every, blocks, k, n_tasks)
+    else:
+        # the closest block first: the distances found there rule out most of the others
+        home = _assign(asked, lambda x, target: boxes.value.home(x, target))
+        first = stage(_meetings(home, blocks, k, n_tasks), "pairs")
+        found = first.groupBy("query", "target").agg(
+            F.when(F.count("*") >= k, F.max("distance")).alias("limit")
+        )
+        bounded = asked.join(found, ["query", "target"], "left").join(
+            home.select("query", "target", F.col("block").alias("home")), ["query", "target"], "left"
+        )
+        rest = _assign(
+            bounded.fillna(float("inf"), ["limit"]).fillna("", ["home"]),
+            lambda x, target, limit, home: [
+                b for b in boxes.value.candidates(x, k, target, limit) if b != home
+            ],
+            "limit", "home",
+        )
+        pairs = first.unionByName(_meetings(rest, blocks, k, n_tasks))
+    place = F.row_number().over(W.partitionBy("query", "target").orderBy("distance", "donor"))
+    return pairs.withColumn("place", place).where(F.col("place") <= k)
+
+
+def _assign(queries: DataFrame, choose: Callable, *extra: str) -> DataFrame:
+    """Queries once per block that ``choose`` picks from their features, target and extras."""
 
-    def choose(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            hits = [
-                boxes.value.candidates(row, k, target)
-                for row, target in zip(_matrix(batch["x"]), batch["target"])
-            ]
+            facts = [batch[c] for c in ("target", *extra)]
+            hits = [choose(row, *rest) for row, *rest in zip(_matrix(batch["x"]), *facts)]
             repeat = np.repeat(np.arange(len(batch)), [len(h) for h in hits])
-            out = batch.iloc[repeat].reset_index(drop=True)
-            chosen = np.concatenate(hits) if hits else np.array([], dtype=int)
-            yield out.assign(block=boxes.value.names[chosen])
+            out = batch.iloc[repeat][["query", "x", "target"]].reset_index(drop=True)
+            yield out.assign(block=pd.Series([b for h in hits for b in h], dtype=object))
 
     schema = "query bigint, x array<double>, target int, block string"
-    chosen = stage(queries.select("query", "x", "target").mapInPandas(choose, schema), "candidates")
+    return stage(queries.mapInPandas(run, schema), "candidates")
+
+
+def _meetings(chosen: DataFrame, blocks: DataFrame, k: int, n_tasks: int) -> DataFrame:
+    """Bring queries and their blocks together, crowds of queries in several tasks."""
     load = chosen.groupBy("block").agg(F.ceil(F.count("*") / QUERY_ROWS).alias("tasks"))
     # as many rows as there are blocks, bounded like the table of boxes
     load = F.broadcast(load)
@@ -238,14 +284,11 @@ def nearest(queries: DataFrame, donors: DataFrame, n_features: int, k: int) -> D
     every = F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("tasks") - 1))
     right = blocks.drop("mixed").join(load, "block").withColumn("task", every)
     # a meeting is heavy for its size in bytes: spread blocks instead of merging small partitions
-    n_tasks = max(len(table.names), 1)
     sides = [
         side.drop("tasks").repartition(n_tasks, "block", "task").groupBy("block", "task")
         for side in (left, right)
     ]
-    pairs = sides[0].cogroup(sides[1]).applyInPandas(lambda a, b: _meet(a, b, k), _PAIRS)
-    place = F.row_number().over(W.partitionBy("query", "target").orderBy("distance", "donor"))
-    return pairs.withColumn("place", place).where(F.col("place") <= k)
+    return sides[0].cogroup(sides[1]).applyInPandas(lambda a, b: _meet(a, b, k), _PAIRS)
 
 
 def knn_votes(

@@ -42,8 +42,9 @@ def check(spark, queries, donors, k):
         assert np.allclose(mine.distance, [p[1] for p in pairs])
 
 
-@pytest.fixture(autouse=True)
-def small_blocks(monkeypatch):
+@pytest.fixture(autouse=True, params=[0, 10_000], ids=["two rounds", "one round"])
+def small_blocks(monkeypatch, request):
+    monkeypatch.setattr(neighbors, "FEW_BLOCKS", request.param)
     monkeypatch.setattr(neighbors, "BLOCK_ROWS", 20)
     monkeypatch.setattr(neighbors, "QUERY_ROWS", 15)
 
