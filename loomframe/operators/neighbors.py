@@ -26,6 +26,7 @@ BLOCK_ROWS = 4_096      # donors per block, unless there would be more than MAX_
 MAX_CELLS = 16_384      # bounds the table of boxes that every task receives
 MAX_PATTERNS = 64       # patterns of gaps with boxes of their own; rarer ones share blocks
 QUERY_ROWS = 20_000     # queries that meet one block in one task
+DONOR_ROWS = 50_000     # donors of one block in one task
 AXES = 3                # leading features by which rows count as nearby
 FEW_BLOCKS = 32         # up to here one round of meetings is cheaper than two
 ANY = -1                # target of a query that takes any donor
@@ -232,16 +233,16 @@ def nearest(queries: DataFrame, donors: DataFrame, n_features: int, k: int) -> D
     donors = _without_spare_copies(donors, k)
     blocks = _blocks(donors, n_features, donors.count())
     table = _Boxes(blocks, n_features)
-    boxes, n_tasks = spark.sparkContext.broadcast(table), max(len(table.names), 1)
+    boxes = spark.sparkContext.broadcast(table)
     asked = queries.select("query", "x", "target")
 
     if len(table.names) <= FEW_BLOCKS:
         every = _assign(asked, lambda x, target: boxes.value.candidates(x, k, target))
-        pairs = _meetings(every, blocks, k, n_tasks)
+        pairs = _meetings(every, blocks, k, table)
     else:
         # the closest block first: the distances found there rule out most of the others
         home = _assign(asked, lambda x, target: boxes.value.home(x, target))
-        first = stage(_meetings(home, blocks, k, n_tasks), "pairs")
+        first = stage(_meetings(home, blocks, k, table), "pairs")
         found = first.groupBy("query", "target").agg(
             F.when(F.count("*") >= k, F.max("distance")).alias("limit")
         )
@@ -255,7 +256,7 @@ def nearest(queries: DataFrame, donors: DataFrame, n_features: int, k: int) -> D
             ],
             "limit", "home",
         )
-        pairs = first.unionByName(_meetings(rest, blocks, k, n_tasks))
+        pairs = first.unionByName(_meetings(rest, blocks, k, table))
     place = F.row_number().over(W.partitionBy("query", "target").orderBy("distance", "donor"))
     return pairs.withColumn("place", place).where(F.col("place") <= k)
 
@@ -275,19 +276,32 @@ def _assign(queries: DataFrame, choose: Callable, *extra: str) -> DataFrame:
     return stage(queries.mapInPandas(run, schema), "candidates")
 
 
-def _meetings(chosen: DataFrame, blocks: DataFrame, k: int, n_tasks: int) -> DataFrame:
-    """Bring queries and their blocks together, crowds of queries in several tasks."""
+def _meetings(chosen: DataFrame, blocks: DataFrame, k: int, boxes: _Boxes) -> DataFrame:
+    """Bring queries and their blocks together.
+
+    A crowd of queries is split over several tasks, and so are the donors of large blocks, which
+    every query of the block then meets part by part.
+    """
     load = chosen.groupBy("block").agg(F.ceil(F.count("*") / QUERY_ROWS).alias("tasks"))
     # as many rows as there are blocks, bounded like the table of boxes
     load = F.broadcast(load)
-    left = chosen.join(load, "block").withColumn("task", F.pmod(F.xxhash64("query"), "tasks"))
-    every = F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("tasks") - 1))
-    right = blocks.drop("mixed").join(load, "block").withColumn("task", every)
+    n_parts = max(-(-int(boxes.counts.max(initial=1)) // DONOR_ROWS), 1)
+    left = chosen.join(load, "block").withColumns(
+        {
+            "task": F.pmod(F.xxhash64("query"), "tasks"),
+            "part": F.explode(F.sequence(F.lit(0), F.lit(n_parts - 1))),
+        }
+    )
+    right = blocks.drop("mixed").join(load, "block").withColumns(
+        {
+            "task": F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("tasks") - 1)),
+            "part": F.pmod(F.xxhash64("donor"), F.lit(n_parts)).cast("int"),
+        }
+    )
     # a meeting is heavy for its size in bytes: spread blocks instead of merging small partitions
-    sides = [
-        side.drop("tasks").repartition(n_tasks, "block", "task").groupBy("block", "task")
-        for side in (left, right)
-    ]
+    n_tasks = max(len(boxes.names), 1) * n_parts
+    keys = ("block", "task", "part")
+    sides = [s.drop("tasks").repartition(n_tasks, *keys).groupBy(*keys) for s in (left, right)]
     return sides[0].cogroup(sides[1]).applyInPandas(lambda a, b: _meet(a, b, k), _PAIRS)
 
 

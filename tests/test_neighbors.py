@@ -78,6 +78,12 @@ def test_a_third_of_the_donors_are_copies(spark):
     check(spark, donors[::7], donors, 6)
 
 
+def test_large_blocks_are_met_in_parts(spark, monkeypatch):
+    monkeypatch.setattr(neighbors, "DONOR_ROWS", 6)
+    rng = np.random.default_rng(7)
+    check(spark, rng.normal(size=(40, 2)), rng.normal(size=(300, 2)), 5)
+
+
 def test_fewer_donors_than_neighbours(spark):
     rng = np.random.default_rng(4)
     check(spark, rng.normal(size=(5, 2)), rng.normal(size=(3, 2)), 5)
