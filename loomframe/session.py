@@ -43,12 +43,16 @@ def shared_dir(spark: SparkSession) -> str:
     sc = spark.sparkContext
     if not sc.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-    return _local_dirs.setdefault(sc.applicationId, tempfile.mkdtemp(prefix="loomframe-"))
+    if sc.applicationId not in _local_dirs:
+        _local_dirs[sc.applicationId] = tempfile.mkdtemp(prefix="loomframe-")
+    return _local_dirs[sc.applicationId]
 
 
 def new_path(spark: SparkSession, label: str) -> str:
-    """A path under the shared folder that nothing else uses."""
-    return f"{shared_dir(spark)}/loomframe/{label}-{uuid.uuid4().hex}"
+    """A path under the shared folder that nothing else uses; :func:`drop_staged` deletes it."""
+    path = f"{shared_dir(spark)}/loomframe/{label}-{uuid.uuid4().hex}"
+    _staged.setdefault(spark.sparkContext.applicationId, []).append(path)
+    return path
 
 
 def stage(df: DataFrame, label: str) -> DataFrame:
@@ -60,12 +64,11 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     spark = df.sparkSession
     path = new_path(spark, label)
     df.write.parquet(path)
-    _staged.setdefault(spark.sparkContext.applicationId, []).append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
 def drop_staged(spark: SparkSession) -> int:
-    """Delete what :func:`stage` wrote in this application, and return the number of folders.
+    """Delete every :func:`new_path` of this application, and return the number of folders.
 
     To be called once the results are stored elsewhere; DataFrames that read a staged copy can
     no longer run afterwards.
