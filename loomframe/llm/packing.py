@@ -20,7 +20,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window, functions as F
 
 from loomframe.llm.common import slices, text_of
-from loomframe.llm.words import WordMemory
+from loomframe.llm.features import find_words
+from loomframe.llm.words import WordMemory, per_text
 from loomframe.session import ship_package, stage
 
 SEQUENCE = 2048
@@ -78,18 +79,19 @@ def _memory(path: str) -> WordMemory:
     mark = ids([_MARK])[0]
     assert len(mark) == 1, "the mark between words must be one id"
 
-    def encode(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    def encode(words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """Words in one text, a mark after each; words that hold the mark go one by one."""
-        odd = [i for i, w in enumerate(words) if _MARK in w]
-        plain = [w for w in words if _MARK not in w] if odd else words
-        flat = np.array(ids([f" {_MARK} ".join([*plain, ""])])[0], np.int32)
+        texts = [w.decode() for w in words]
+        odd = [i for i, w in enumerate(texts) if _MARK in w]
+        plain = [w for w in texts if _MARK not in w] if odd else texts
+        flat = np.array(ids([f" {_MARK} ".join([*plain, ""])])[0] if plain else [], np.int32)
         ends = np.flatnonzero(flat == mark[0])
         parts = flat[flat != mark[0]]
         size = np.diff(ends, prepend=-1) - 1
         if not odd:
             return parts, size
         pieces = np.split(parts, np.cumsum(size)[:-1]) if plain else []
-        for i, own in zip(odd, ids([words[i] for i in odd])):
+        for i, own in zip(odd, ids([texts[i] for i in odd])):
             pieces.insert(i, np.array(own, np.int32))
         return np.concatenate(pieces), np.array([len(p) for p in pieces])
 
@@ -100,18 +102,16 @@ def encode_texts(texts: list[str], path: str) -> list[np.ndarray]:
     """Ids of each text.
 
     The tokenizer drops white space and no piece reaches across it, so the ids of a text are
-    those of its parts between white space, one after the other. It also lowers the text, letter
-    by letter; that is done first where all letters are Latin-1, to meet fewer different words.
+    those of its parts between ASCII white space, one after the other. It also lowers the text,
+    letter by letter; that is done first where all letters are Latin-1, to meet fewer words.
     """
-    texts = [t if _WIDE.search(t) else t.lower() for t in texts]
-    # str.split() also cuts at four control characters that the tokenizer keeps
-    return _memory(path).encode(
-        [_SPACES.split(t) if _CONTROLS.search(t) else t.split() for t in texts]
-    )
+    if not texts:
+        return []
+    words = find_words([t if _WIDE.search(t) else t.lower() for t in texts])
+    ids, ends = _memory(path).encode(words.joined.tobytes(), words.start, words.size)
+    return per_text(ids, ends, np.bincount(words.text, minlength=len(texts)))
 
 
-_SPACES = re.compile("[ \t\n\r\x0b\x0c]+")
-_CONTROLS = re.compile("[\x1c-\x1f]")
 _WIDE = re.compile("[^\x00-\xff]")
 _MARK = "\x01"
 

@@ -13,7 +13,6 @@ cut by a rule. Characters that no piece holds become byte pieces.
 
 from __future__ import annotations
 
-import re
 from dataclasses import dataclass
 from functools import lru_cache
 
@@ -22,10 +21,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from loomframe.llm.common import in_batches, text_of
-from loomframe.llm.words import WordMemory
+from loomframe.llm.words import WordMemory, per_text
 
 SPACE = "▁"
-_WORDS = re.compile(f"{SPACE}*[^{SPACE}]+|{SPACE}+")
 _PRIME = np.uint64(0x100000001B3)
 
 
@@ -215,17 +213,14 @@ def _spaces(model: Model, count: int) -> list[int]:
     return [model.runs[n] for n in parts]
 
 
-def encode_words(words: list[str], path: str) -> tuple[np.ndarray, np.ndarray]:
-    """Ids of distinct words; those of equal length go through the search as one batch.
-
-    A word without a space mark stands for itself with one mark before it.
-    """
+def encode_words(words: list[bytes], path: str) -> tuple[np.ndarray, np.ndarray]:
+    """Ids of words, each with the spaces before it; those of equal length are one batch."""
     model = load(path)
     out: list[list[int]] = [[] for _ in words]
     groups: dict[int, list[tuple[int, int, str]]] = {}
     for i, word in enumerate(words):
-        body = word.lstrip(SPACE)
-        spaces = max(1, len(word) - len(body))
+        body = word.lstrip(b" ").decode()
+        spaces = len(word) - len(word.lstrip(b" "))
         if body:
             groups.setdefault(len(body) + 1, []).append((i, spaces, SPACE + body))
         else:
@@ -249,17 +244,27 @@ def _memory(path: str) -> WordMemory:
     return WordMemory(lambda words: encode_words(words, path))
 
 
-def split_words(text: str) -> list[str]:
-    """The text cut where no piece can cross; spaces are marks, but a single one is left out."""
-    words = text.split(" ")
-    if "" in words or SPACE in text:
-        return _WORDS.findall(SPACE + text.replace(" ", SPACE)) if text else []
-    return words
-
-
 def encode_texts(texts: list[str], path: str) -> list[np.ndarray]:
-    """Ids of each text; the new words of all of them are encoded together."""
-    return _memory(path).encode(list(map(split_words, texts)))
+    """Ids of each text; the new words of all of them are encoded together.
+
+    The model puts one space before a text and shows spaces as marks. No piece has a mark after
+    another character, so a word with the spaces before it is encoded by itself.
+    """
+    full = [t for t in texts if t]
+    if not full:
+        return [np.zeros(0, np.int32) for _ in texts]
+    raw = [b" " + t.replace(SPACE, " ").encode() for t in full]
+    joined = b"".join(raw)
+    size = np.array([len(r) for r in raw])
+    first = np.cumsum(size) - size
+    space = np.frombuffer(joined, np.uint8) == 32
+    begins = space & ~np.concatenate([[False], space[:-1]])
+    begins[first] = True
+    start = np.flatnonzero(begins)
+    ids, ends = _memory(path).encode(joined, start, np.diff(start, append=len(joined)))
+    words = np.bincount(np.searchsorted(first, start, "right") - 1, minlength=len(full))
+    found = iter(per_text(ids, ends, words))
+    return [next(found) if t else np.zeros(0, np.int32) for t in texts]
 
 
 def decode_ids(ids: np.ndarray, path: str) -> str:
