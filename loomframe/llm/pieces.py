@@ -24,34 +24,56 @@ from loomframe.llm.common import in_batches, text_of
 from loomframe.llm.words import WordMemory, per_text
 
 SPACE = "▁"
-_PRIME = np.uint64(0x100000001B3)
+_PRIME, _SEED = np.uint64(0x100000001B3), np.uint64(0xCBF29CE484222325)
+
+
+class Table:
+    """Numbers by 64-bit keys, open-addressed; -1 (or ``missing``) for keys that are not there."""
+
+    def __init__(self, keys: np.ndarray, values: np.ndarray, missing: float = -1):
+        slots = 1 << int(4 * len(keys) + 4).bit_length()
+        self._mask = np.uint64(slots - 1)
+        self._keys = np.zeros(slots, np.uint64)
+        self._values = np.full(slots, missing, values.dtype)
+        self._held = np.zeros(slots, bool)
+        for key, value in zip(keys.tolist(), values.tolist()):
+            at = key & (slots - 1)
+            while self._held[at]:
+                at = (at + 1) & (slots - 1)
+            self._keys[at], self._values[at], self._held[at] = key, value, True
+
+    def __getitem__(self, keys: np.ndarray) -> np.ndarray:
+        at = keys & self._mask
+        out = self._values[at]
+        left = np.flatnonzero(self._held[at] & (self._keys[at] != keys))
+        at = at[left]
+        while len(left):
+            at = (at + np.uint64(1)) & self._mask
+            out[left] = self._values[at]
+            on = self._held[at] & (self._keys[at] != keys[left])
+            left, at = left[on], at[on]
+        return out
 
 
 @dataclass(frozen=True)
 class Model:
-    """Tables of one model: ids and ranks of pieces by sorted hash, and how pieces split."""
+    """Tables of one model: pieces by hash, ranks, and how pieces split and join."""
 
-    hashes: np.ndarray
-    numbers: np.ndarray
-    rank: np.ndarray  # by id; pieces that cannot be made last
+    pieces: Table
+    pairs: Table  # keys of pairs of pieces -> rank of the piece they form, infinite for none
+    rank: np.ndarray  # by id; single characters come first
     left: np.ndarray  # by id: the two pieces of the last merge, or -1
     right: np.ndarray
     longest: int
     byte_ids: np.ndarray
     bytes_of: list[bytes]
     runs: dict[int, int]  # length of a run of spaces -> id
-    pair_left: np.ndarray  # sorted keys of pairs of pieces that form a piece
-    pair_rank: np.ndarray
 
 
-def _hash_all(codes: np.ndarray, size: int) -> np.ndarray:
-    """Hashes of all substrings of ``size`` code points along the last axis."""
-    n = codes.shape[-1] - size + 1
-    value = np.full((*codes.shape[:-1], n), np.uint64(0xCBF29CE484222325 + size))
-    for k in range(size):
-        value = (value ^ codes[..., k : k + n]) * _PRIME
-        value ^= value >> np.uint64(29)
-    return value
+def _grown(hashes: np.ndarray, codes: np.ndarray) -> np.ndarray:
+    """Hashes of substrings that are one code point longer."""
+    value = (hashes ^ codes) * _PRIME
+    return value ^ (value >> np.uint64(29))
 
 
 def _codes(words: list[str]) -> np.ndarray:
@@ -90,22 +112,32 @@ def load(path: str) -> Model:
         rank[i] = merge_rank[name] if len(name) > 1 else -np.inf
         if len(name) > 1:
             left[i], right[i] = (vocabulary[part] for part in _last_merge(name, merge_rank))
-    by_hash = sorted(
-        (int(_hash_all(_codes([name]), len(name))[0, 0]), i) for name, i in vocabulary.items()
-    )
-    pairs = sorted(
-        (vocabulary[name[:k]] * (total + 1) + vocabulary[name[k:]], rank[i])
+    hashes = []
+    for name in vocabulary:
+        value = np.full(1, _SEED)
+        for code in _codes([name])[0]:
+            value = _grown(value, code)
+        hashes.append(value[0])
+    pairs = {
+        vocabulary[name[:k]] * (total + 1) + vocabulary[name[k:]]: rank[i]
         for name, i in vocabulary.items()
         for k in range(1, len(name))
         if name[:k] in vocabulary and name[k:] in vocabulary
-    )
+    }
+    keys = _mix(np.array([*pairs], np.uint64))
     return Model(
-        np.array([h for h, _ in by_hash], np.uint64), np.array([i for _, i in by_hash], np.int32),
+        Table(np.array(hashes, np.uint64), np.array([*vocabulary.values()], np.int32)),
+        Table(keys, np.array([*pairs.values()]), np.inf),
         rank, left, right, max(map(len, vocabulary)), byte_ids, bytes_of, runs,
-        np.array([k for k, _ in pairs], np.int64), np.array([r for _, r in pairs]),
     )
 
 
+def _mix(keys: np.ndarray) -> np.ndarray:
+    """One to one; spreads keys over a table."""
+    value = keys * np.uint64(0x9E3779B97F4A7C15)
+    return value ^ (value >> np.uint64(32))
+
+
 def _last_merge(name: str, rank: dict[str, float]) -> tuple[str, str]:
     """The two parts that the model joins last to make the piece ``name``."""
     parts = list(name)
@@ -115,19 +147,6 @@ def _last_merge(name: str, rank: dict[str, float]) -> tuple[str, str]:
     return parts[0], parts[1]
 
 
-def _lookup(model: Model, hashes: np.ndarray) -> np.ndarray:
-    """Ids of hashed substrings, -1 where no piece is."""
-    at = np.minimum(np.searchsorted(model.hashes, hashes), len(model.hashes) - 1)
-    return np.where(model.hashes[at] == hashes, model.numbers[at], -1)
-
-
-def _pair_rank(model: Model, a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Rank of the piece that two neighbours form, infinite where they form none."""
-    key = a.astype(np.int64) * len(model.rank) + b
-    at = np.minimum(np.searchsorted(model.pair_left, key), len(model.pair_left) - 1)
-    return np.where(model.pair_left[at] == key, model.pair_rank[at], np.inf)
-
-
 def _stands(model: Model, a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """Whether merging the text of piece a and piece b gives just a, b.
 
@@ -135,27 +154,21 @@ def _stands(model: Model, a: np.ndarray, b: np.ndarray) -> np.ndarray:
     later comes apart first. The pair fails when a merge across the border would have come
     before the merge that closed it; at equal rank the pair further left goes first.
     """
-    ok = (a >= 0) & (b >= 0)
-    good = ok.copy()
-    limit = np.full(a.shape, np.inf)
-    right = np.zeros(a.shape, bool)  # whether the limiting merge lies right of the border
-    x, y = np.where(ok, a, 0), np.where(ok, b, 0)
-    active = ok.copy()
-    while active.any():
-        joined = _pair_rank(model, x, y)
-        before = (joined < limit) | ((joined == limit) & right & np.isfinite(joined))
-        bad = active & before
-        good &= ~bad
-        active &= ~bad
-        rx, ry = model.rank[x], model.rank[y]
-        split_left = rx > ry
-        can = np.where(split_left, model.right[x] >= 0, model.left[y] >= 0)
-        active &= can
-        step_l, step_r = active & split_left, active & ~split_left
-        limit = np.where(step_l, rx, np.where(step_r, ry, limit))
-        right = step_r | (right & ~step_l)
-        x = np.where(step_l, model.right[x], x)
-        y = np.where(step_r, model.left[y], y)
+    good = np.ones(len(a), bool)
+    left, x, y = np.arange(len(a)), a, b
+    limit = np.full(len(a), np.inf)
+    right = np.zeros(len(a), bool)  # whether the limiting merge lies right of the border
+    many = np.uint64(len(model.rank))
+    while len(left):
+        joined = model.pairs[_mix(x.astype(np.uint64) * many + y.astype(np.uint64))]
+        bad = (joined < limit) | ((joined == limit) & right & np.isfinite(joined))
+        good[left[bad]] = False
+        rank_x, rank_y = model.rank[x], model.rank[y]
+        right = rank_x <= rank_y  # the piece right of the border comes apart
+        limit = np.where(right, rank_y, rank_x)
+        on = ~bad & (limit > -np.inf)
+        left, right, limit = left[on], right[on], limit[on]
+        x, y = np.where(right, x[on], model.right[x[on]]), np.where(right, model.left[y[on]], y[on])
     return good
 
 
@@ -163,41 +176,69 @@ def _viterbi(model: Model, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
     """Last pieces and their lengths for all prefixes of words of one length, which advance together."""
     codes = _codes(words)
     count, size = codes.shape
-    sizes = range(min(model.longest, size), 0, -1)
-    piece = {k: _lookup(model, _hash_all(codes, k)) for k in sizes}
-    last = np.full((count, size + 1), -1, np.int32)  # the backpointers: last piece of a prefix
-    back = np.ones((count, size + 1), np.int32)  # and its length
+    longest = min(model.longest, size)
+    piece = np.full((longest, size, count), -1, np.int32)  # by length - 1 and beginning
+    hashes = np.full(codes.shape, _SEED)
+    for k in range(1, longest + 1):
+        hashes = _grown(hashes[:, : size - k + 1], codes[:, k - 1 :])
+        piece[k - 1, : size - k + 1] = model.pieces[hashes.ravel()].reshape(hashes.shape).T
+    last = np.full((size + 1, count), -1, np.int32)  # the backpointers: last piece of a prefix
+    back = np.ones((size + 1, count), np.int32)  # and its length
     for end in range(1, size + 1):
-        # the maximum over allowed pieces, longest first: a word leaves when it has its maximum
-        rows = np.arange(count)
-        for k in sizes:
-            if k > end or not len(rows):
-                continue
-            these = piece[k][rows, end - k]
-            hit = np.flatnonzero(these >= 0)
-            if not len(hit):
-                continue
-            before, these = last[rows[hit], end - k], these[hit]
-            # an unknown character (-1) or the beginning: anything may follow
-            fine = before < 0
-            check = np.flatnonzero(~fine)
-            fine[check] = _stands(model, before[check], these[check])
-            last[rows[hit[fine]], end] = these[fine]
-            back[rows[hit[fine]], end] = k
-            rows = np.delete(rows, hit[fine])
+        lengths = np.arange(1, min(longest, end) + 1)
+        these = piece[lengths - 1, end - lengths]
+        k, row = np.nonzero(these >= 0)
+        these, k = these[k, row], k + 1
+        before = last[end - k, row]
+        # an unknown character (-1) or the beginning: anything may follow
+        fine = before < 0
+        check = np.flatnonzero(~fine)
+        fine[check] = _stands(model, before[check], these[check])
+        # the maximum: allowed pieces score their length, all others minus infinity
+        best = np.zeros(count, np.int64)
+        np.maximum.at(best, row[fine], k[fine])
+        won = fine & (k == best[row])
+        last[end, row[won]] = these[won]
+        back[end] = np.maximum(best, 1)
     return last, back
 
 
-def _trace(model: Model, word: str, last: np.ndarray, back: np.ndarray) -> list[int]:
-    ids, end = [], len(word)
-    while end:
-        number = last[end]
-        if number >= 0:
-            ids.append(number)
-        else:
-            ids += model.byte_ids[list(word[end - 1].encode("utf-8", "replace"))].tolist()[::-1]
-        end -= back[end]
-    return ids[::-1]
+def _trace(model: Model, words: list[str], last: np.ndarray, back: np.ndarray) -> list[list[int]]:
+    """Follow the backpointers of all words at once; unknown characters become byte pieces."""
+    rows = np.arange(len(words))
+    place = np.full(len(words), len(last) - 1)
+    out: list[list[int]] = [[] for _ in words]
+    found, owners = [], []
+    unknown: dict[int, list[tuple[int, int]]] = {}
+    step = 0
+    while len(rows):
+        number = last[place, rows]
+        for row in rows[number < 0].tolist():
+            unknown.setdefault(row, []).append((step, int(place[rows == row][0])))
+        found.append(number)
+        owners.append(rows)
+        place = place - back[place, rows]
+        on = place > 0
+        rows, place, step = rows[on], place[on], step + 1
+    ids, owner = np.concatenate(found), np.concatenate(owners)
+    order = np.argsort(owner, kind="stable")
+    size = np.bincount(owner, minlength=len(words))
+    flat = ids[order].tolist()
+    at = 0
+    for row, n in enumerate(size.tolist()):
+        own = flat[at : at + n]
+        at += n
+        if row in unknown:
+            ends = dict(unknown[row])
+            own = [
+                i for k, number in enumerate(own)
+                for i in (
+                    [number] if k not in ends
+                    else model.byte_ids[list(words[row][ends[k] - 1].encode("utf-8", "replace"))].tolist()[::-1]
+                )
+            ]
+        out[row] = own[::-1]
+    return out
 
 
 def _spaces(model: Model, count: int) -> list[int]:
@@ -229,9 +270,8 @@ def encode_words(words: list[bytes], path: str) -> tuple[np.ndarray, np.ndarray]
         step = max(1, 200_000 // size)  # bounds the tables of one batch
         for at in range(0, len(members), step):
             some = members[at : at + step]
-            last, back = _viterbi(model, [body for *_, body in some])
-            for (i, spaces, body), numbers, sizes in zip(some, last.tolist(), back.tolist()):
-                ids = _trace(model, body, numbers, sizes)
+            bodies = [body for *_, body in some]
+            for (i, spaces, _), ids in zip(some, _trace(model, bodies, *_viterbi(model, bodies))):
                 if spaces > 1:  # the last space of the run may have joined the word, or not
                     alone = ids[0] == model.runs[1]
                     ids = _spaces(model, spaces - 1 + alone) + ids[alone:]

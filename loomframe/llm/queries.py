@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from loomframe.llm import exact_dedup, packing, pieces, secret_scan
+from loomframe.llm import exact_dedup, packing, pieces, quality, secret_scan, simhash, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 CHECKS: dict[str, str] = {}
@@ -58,3 +58,20 @@ def op3(spark: SparkSession, folder: str) -> DataFrame:
 @query("op5_secret_scan")
 def op5(spark: SparkSession, folder: str) -> DataFrame:
     return secret_scan.secret_report(read(spark, folder, "documents"))
+
+
+@query("op6_quality_classifier")
+def op6(spark: SparkSession, folder: str) -> DataFrame:
+    return quality.assess(read(spark, folder, "documents"), read(spark, folder, "labels"))
+
+
+@query("op8_simhash_near_dedup")
+def op8(spark: SparkSession, folder: str) -> DataFrame:
+    return simhash.near_duplicates(read(spark, folder, "documents")).select(
+        "doc_id", "fingerprint", "component_id"
+    )
+
+
+@query("op9_toxicity")
+def op9(spark: SparkSession, folder: str) -> DataFrame:
+    return toxicity.assess(read(spark, folder, "documents"), read(spark, folder, "labels"))

@@ -1,10 +1,11 @@
 """Toxicity by weak supervision.
 
-Many weak voters look at every document: one per lexicon word found in the labelled training
-rows, and patterns of style. Nobody says how good they are: a generative model of a hidden class
-estimates from their agreements over all documents how often each fires on either class, and
-which of them depend on each other; dependent voters share one vote. Its posterior labels train
-a linear classifier over hashed words, and that classifier scores the documents.
+Many weak voters look at every document: one per word or word stem found in the labelled training
+rows, patterns of style, and the given labels themselves as one more fallible voter that speaks
+on few documents. A generative model of a hidden class estimates from their agreements how often
+each fires on either class, and which of them depend on each other; dependent voters share one
+vote. Its posterior labels train a linear classifier over hashed words and stems, and that
+classifier alone scores the documents.
 """
 
 from __future__ import annotations
@@ -17,14 +18,17 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from loomframe.llm.common import in_batches, remainder, slices, text_of
-from loomframe.llm.features import Words, labelled_sample, find_words
+from loomframe.llm.features import Words, find_words, labelled_sample
+from loomframe.llm.words import hash_words
 from loomframe.session import stage
 
 #: Labelled documents the lexicon comes from, and documents with posterior labels the classifier
 #: is fitted on, at most.
 TRAIN_ROWS, FIT_ROWS = 12_000, 16_000
-#: Lexicon words, words considered for it, and the least share of toxic families of one.
-LEXICON, CANDIDATES, LEAST_SHARE = 56, 160, 0.015
+#: Voters from the lexicon, items considered for it, and the least share of toxic families of one.
+LEXICON, CANDIDATES, LEAST_SHARE = 56, 160, 0.02
+#: A stem is a word's first bytes, of these lengths; it counts where this share of words has it.
+STEMS, STEM_SHARE = (4, 6, 8, 10), 0.01
 THRESHOLD = 0.7
 BUCKETS = 1 << 18
 
@@ -74,73 +78,126 @@ def _styles(texts: list[str], words: Words) -> np.ndarray:
     return np.column_stack([values[name] >= least for name, least in PATTERNS])
 
 
-def votes(texts: list[str], lexicon: np.ndarray) -> tuple[np.ndarray, Words]:
-    """A row per text, a column per voter: whether it fires. ``lexicon``: sorted word hashes."""
+def _bucket(item: np.ndarray) -> np.ndarray:
+    return (item % np.uint64(BUCKETS)).astype(np.int64)
+
+
+def _distinct(text: np.ndarray, item: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct (text, item) pairs and how often each stands there."""
+    order = np.lexsort((item, text))
+    text, item = text[order], item[order]
+    new = np.ones(len(text), bool)
+    new[1:] = (text[1:] != text[:-1]) | (item[1:] != item[:-1])
+    first = np.flatnonzero(new)
+    return text[first], item[first], np.diff(first, append=len(text))
+
+
+def items(words: Words, texts: int, wanted: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct (text, item) pairs: the words of a text, and stems that are frequent in it.
+
+    ``wanted``: which buckets of items to look for; all by default.
+    """
+    count = np.bincount(words.text, minlength=texts)
+    found = []
+    for size in (0, *STEMS):
+        if size:
+            some = np.flatnonzero(words.size > size)
+            item = hash_words(words.joined, words.start[some], np.full(len(some), size)) + np.uint64(size)
+        else:
+            some, item = np.arange(len(words.size)), words.hashes
+        text = words.text[some]
+        if wanted is not None:
+            asked = wanted[_bucket(item)]
+            text, item = text[asked], item[asked]
+        text, item, times = _distinct(text, item)
+        often = times >= STEM_SHARE * count[text] if size else slice(None)
+        found.append((text[often], item[often]))
+    return np.concatenate([t for t, _ in found]), np.concatenate([i for _, i in found])
+
+
+def votes(texts: list[str], lexicon: np.ndarray) -> np.ndarray:
+    """A row per text, a column per voter: whether it fires. ``lexicon``: sorted item hashes."""
     words = find_words(texts, FOLD)
     fired = np.zeros((len(texts), len(lexicon) + len(PATTERNS)), bool)
     if len(lexicon):
-        at = np.minimum(np.searchsorted(lexicon, words.hashes), len(lexicon) - 1)
-        hit = lexicon[at] == words.hashes
-        fired[words.text[hit], at[hit]] = True
+        wanted = np.zeros(BUCKETS, bool)
+        wanted[_bucket(lexicon)] = True
+        text, item = items(words, len(texts), wanted)
+        at = np.minimum(np.searchsorted(lexicon, item), len(lexicon) - 1)
+        hit = lexicon[at] == item
+        fired[text[hit], at[hit]] = True
     if texts:
         fired[:, len(lexicon) :] = _styles(texts, words)
-    return fired, words
+    return fired
 
 
-def mine_lexicon(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> tuple[np.ndarray, float] | None:
-    """(sorted word hashes, share of toxic rows) from labelled training rows.
+@dataclass(frozen=True)
+class Lexicon:
+    """Sorted item hashes; the share of rows labelled toxic, and how often a voter fires on them."""
+
+    items: np.ndarray
+    labelled: int
+    toxic: int
+    fired: np.ndarray
+    fired_toxic: np.ndarray
+
 
-    Words are counted once per family of documents, told apart by the smallest word hash, so
-    that copies of one text do not make its words look toxic. Of words that mostly occur in the
-    same documents, as those of near copies do, the strongest alone becomes a voter.
+def mine_lexicon(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> Lexicon | None:
+    """The items that mark toxic rows among the labelled training rows; None without both labels.
+
+    Items are counted once per family of documents, told apart by the smallest word hash, so
+    that copies of one text do not make its words look toxic. Of items that mostly occur in the
+    same documents, the strongest alone becomes a voter.
     """
     sample = stage(labelled_sample(docs, labels, "toxic", remainder("doc_id", 3) != 1, rows), "labelled")
+    by_label = {r["toxic"]: r["n"] for r in sample.groupBy((F.col("label") > 0).alias("toxic")).agg(F.count(F.lit(1)).alias("n")).collect()}
+    if len(by_label) < 2:
+        return None
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         words = find_words(batch.column(1).to_pylist(), FOLD)
         least = np.full(batch.num_rows, np.iinfo(np.uint64).max, np.uint64)
         np.minimum.at(least, words.text, words.hashes)
-        pairs = np.unique(np.stack([words.text.astype(np.uint64), words.hashes]), axis=1)
-        text = pairs[0].astype(np.int64)
+        text, item = items(words, batch.num_rows)
         label = (batch.column(2).to_numpy(zero_copy_only=False) > 0).astype(np.int64)
         return pa.RecordBatch.from_arrays(
-            [pa.array(pairs[1].view(np.int64)), pa.array(least[text].view(np.int64)), pa.array(label[text])],
-            names=["word", "family", "label"],
+            [pa.array(item.view(np.int64)), pa.array(least[text].view(np.int64)), pa.array(label[text])],
+            names=["item", "family", "label"],
         )
 
-    pairs = in_batches(sample.select("doc_id", "text", "label"), run, "word long, family long, label long", 1)
-    # a family is toxic if any of its members is; words of one family count once
-    families = pairs.groupBy("word", "family").agg(F.max("label").alias("label"))
-    words = families.groupBy("word").agg(F.sum("label").alias("toxic"), F.count(F.lit(1)).alias("n"))
-    share = sample.agg(F.avg((F.col("label") > 0).cast("double")), F.count(F.lit(1))).first()
-    if not share[1] or share[0] in (0.0, 1.0):
-        return None
-    total = pairs.select("family", "label").distinct().groupBy("label").count().collect()
-    total = {r["label"]: r["count"] for r in total}
+    pairs = in_batches(sample.select("doc_id", "text", "label"), run, "item long, family long, label long", 1)
+    # a family is toxic if any of its members is
+    families = stage(pairs.groupBy("item", "family").agg(F.max("label").alias("label")), "families")
+    total = families.groupBy("family").agg(F.max("label").alias("label")).groupBy("label").count()
+    total = {r["label"]: r["count"] for r in total.collect()}
     toxic, clean = total.get(1, 0), total.get(0, 0)
-    own = F.col("toxic") + 0.5
-    rest = F.col("n") - F.col("toxic") + 0.5
+    own, rest = F.col("toxic") + 0.5, F.col("n") - F.col("toxic") + 0.5
     odds = F.log(own / (toxic + 1.0)) - F.log(rest / (clean + 1.0))
     best = (
-        words.where(F.col("toxic") >= F.lit(max(4.0, LEAST_SHARE * toxic)))
+        families.groupBy("item").agg(F.sum("label").alias("toxic"), F.count(F.lit(1)).alias("n"))
+        .where(F.col("toxic") >= F.lit(max(3.0, LEAST_SHARE * toxic)))
         .withColumn("score", odds / F.sqrt(1 / own + 1 / rest))
         .where((F.col("score") > 3) & (odds > 2))
-        .orderBy(F.desc("score"), "word")
+        .orderBy(F.desc("score"), "item")
         .limit(CANDIDATES)
         .collect()
     )
-    found = np.array([r["word"] for r in best], np.int64).view(np.uint64)
+    found = np.array([r["item"] for r in best], np.int64).view(np.uint64)
     order = np.argsort(found)
-    _, together = count_votes(sample, found[order])
     rank = np.empty(len(found), np.int64)
     rank[order] = np.arange(len(found))
+    _, together = count_votes(sample, found[order])
     together = together[np.ix_(rank, rank)]  # strongest first again
     alone = np.diag(together)
     chosen: list[int] = []
     for i in range(len(found)):
-        if not any(together[i, j] > 0.5 * min(alone[i], alone[j]) for j in chosen):
+        either = [alone[i] + alone[j] - together[i, j] for j in chosen]
+        if not any(together[i, j] > 0.6 * max(1, n) for j, n in zip(chosen, either)):
             chosen.append(i)
-    return np.sort(found[chosen[:LEXICON]]), float(share[0])
+    lexicon = np.sort(found[chosen[:LEXICON]])
+    _, fired = count_votes(sample, lexicon)
+    _, toxic_fired = count_votes(sample.where("label > 0"), lexicon)
+    return Lexicon(lexicon, sum(by_label.values()), by_label[True], np.diag(fired), np.diag(toxic_fired))
 
 
 # --- the label model --------------------------------------------------------------------------
@@ -161,43 +218,43 @@ class LabelModel:
         return 1 / (1 + np.exp(-np.clip(odds, -30, 30)))
 
 
-def label_model(n: int, together: np.ndarray, seeds: int, prior: float) -> LabelModel:
-    """Fit to how often each pair of voters fires together, over ``n`` documents.
+def label_model(n: int, together: np.ndarray, mined: Lexicon) -> LabelModel:
+    """Rates of all voters from their agreements over ``n`` documents and with the labels.
 
-    Under a hidden class a pair fires together with probability p a_j a_k + (1 - p) b_j b_k if
-    the two are independent given the class. The rates are fitted to all pairs by weighted least
-    squares, starting from the first ``seeds`` voters being toxic. Pairs far above the fit are
-    taken as dependent and left out of a second fit; voters tied by such pairs share one vote.
+    Under a hidden class, two voters that are independent given the class fire together with
+    probability p a_j a_k + (1 - p) b_j b_k. The labels are one such voter, with unknown rates
+    (a, b). For given (a, b) its agreements fix the rates of every other voter, and (a, b) is
+    the pair that explains best how often the others fire together. Pairs far off that fit are
+    dependent: they are left out of a second fit, and voters that fire together too often share
+    one vote.
     """
     k = len(together)
-    alone = np.clip(np.diag(together) / n, 1e-6, 1 - 1e-6)
-    both = together / n
-    spread = np.sqrt(np.outer(alone, alone) / n) + 1e-6
-    apart = ~np.eye(k, dtype=bool)
-    a = np.clip(np.where(np.arange(k) < seeds, alone / prior * 0.8, alone), 1e-4, 0.99)
+    share = np.clip(mined.toxic / mined.labelled, 1e-4, 0.9)
+    alone = (np.pad(mined.fired, (0, k - len(mined.fired))) + 0.5) / (mined.labelled + 1)
+    with_label = (np.pad(mined.fired_toxic, (0, k - len(mined.fired_toxic))) + 0.25) / (mined.labelled + 1)
+    both, overall = together / max(n, 1), (np.diag(together) + 0.5) / (n + 1)
+    noise = np.sqrt(np.maximum(np.outer(overall, overall), both) / max(n, 1)) + 1e-6
+
+    def rates(a: float, b: float) -> tuple[float, np.ndarray, np.ndarray]:
+        prior = np.clip((share - b) / (a - b), 1e-4, 0.9)
+        toxic = (with_label - b * alone) / (prior * (a - b))
+        clean = (a * alone - with_label) / ((1 - prior) * (a - b))
+        return prior, np.clip(toxic, 1e-5, 0.99), np.clip(clean, 1e-5, 0.99)
+
+    def excess(a: float, b: float) -> np.ndarray:
+        prior, x, y = rates(a, b)
+        return (both - prior * np.outer(x, x) - (1 - prior) * np.outer(y, y)) / noise
+
+    tied, free = np.zeros((k, k), bool), ~np.eye(k, dtype=bool)
     for _ in range(2):
-        a, b = _fit_rates(both, alone, spread, apart, a, prior)
-        excess = (both - prior * np.outer(a, a) - (1 - prior) * np.outer(b, b)) / spread
-        strong = both > 0.5 * np.minimum.outer(alone, alone)
-        tied = (excess > 6) & strong & ~np.eye(k, dtype=bool)
-        apart = ~np.eye(k, dtype=bool) & ~tied
-    weight = 1 / (1 + tied.sum(1))
-    return LabelModel(prior, a, b, weight)
-
-
-def _fit_rates(both, alone, spread, apart, a, prior):
-    """Rates on toxic documents by descent on all pairs that are not tied; the rest follow."""
-    floor = 1e-4
-    clean_of = lambda a: np.clip((alone - prior * a) / (1 - prior), floor, 0.99)
-    weight = np.where(apart, 1 / spread**2, 0)
-    weight = weight / max(weight.max(), 1e-12)
-    for _ in range(400):
-        b = clean_of(a)
-        # best a_j with the others held, a step of half way
-        gap = weight * (both - (1 - prior) * np.outer(b, b))
-        value = (gap @ a) / np.maximum(prior * (weight @ (a * a)), 1e-12)
-        a = np.clip(0.5 * a + 0.5 * np.minimum(value, alone / prior), floor, 0.99)
-    return a, clean_of(a)
+        choices = [(a, share * b) for a in np.linspace(0.6, 0.99, 14) for b in np.linspace(0, 0.5, 11)]
+        a, b = min(choices, key=lambda c: (np.log1p(excess(*c) ** 2) * free).sum())
+        off = excess(a, b)
+        free = ~np.eye(k, dtype=bool) & (np.abs(off) < 6)
+        close = both > 0.5 * (overall[:, None] + overall[None, :] - both)
+        tied = (off > 6) & close & ~np.eye(k, dtype=bool)
+    prior, toxic, clean = rates(a, b)
+    return LabelModel(float(prior), toxic, clean, 1 / (1 + tied.sum(1)))
 
 
 def count_votes(docs: DataFrame, lexicon: np.ndarray) -> tuple[int, np.ndarray]:
@@ -208,7 +265,7 @@ def count_votes(docs: DataFrame, lexicon: np.ndarray) -> tuple[int, np.ndarray]:
         total, n = np.zeros((width, width), np.int64), 0
         for batch in batches:
             for part in slices(batch, 0):
-                fired = votes(part.column(0).to_pylist(), lexicon)[0].astype(np.float64)
+                fired = votes(part.column(0).to_pylist(), lexicon).astype(np.float64)
                 total += (fired.T @ fired).astype(np.int64)
                 n += part.num_rows
         cells = np.flatnonzero(total)
@@ -225,34 +282,40 @@ def count_votes(docs: DataFrame, lexicon: np.ndarray) -> tuple[int, np.ndarray]:
 
 # --- the classifier ---------------------------------------------------------------------------
 
-def _buckets(words: Words) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct (text, bucket of a word) pairs."""
-    key = words.text.astype(np.int64) * BUCKETS + (words.hashes % np.uint64(BUCKETS)).astype(np.int64)
-    return np.divmod(np.unique(key), BUCKETS)
-
-
 def fit_linear(text: np.ndarray, bucket: np.ndarray, label: np.ndarray) -> tuple[np.ndarray, float]:
-    """Logistic regression with an L1 penalty, by accelerated proximal steps; label in [0, 1]."""
+    """Logistic regression with soft labels: an L1 penalty chooses buckets, which are then fitted
+    again with hardly any penalty, as the first fit makes all weights too small."""
     used, column = np.unique(bucket, return_inverse=True)
-    n, scale = len(label), np.sqrt(np.maximum(np.bincount(column), 1))
+    value, bias = _descend(text, column, len(used), label, 1.5e-4, 300)
+    chosen = np.flatnonzero(np.abs(value) > 0.02 * np.abs(value).max(initial=0.0))
+    weights = np.zeros(BUCKETS)
+    if not len(chosen):
+        return weights, bias
+    place = np.full(len(used), -1)
+    place[chosen] = np.arange(len(chosen))
+    rows = place[column] >= 0
+    value, bias = _descend(text[rows], place[column[rows]], len(chosen), label, 1e-6, 600)
+    weights[used[chosen]] = value
+    return weights, bias
+
+
+def _descend(text, column, width, label, penalty, rounds) -> tuple[np.ndarray, float]:
+    """Accelerated proximal descent on the logistic loss; common columns take smaller steps."""
+    n = len(label)
+    scale = 1 / np.sqrt(np.maximum(np.bincount(column, minlength=width) / (0.02 * n), 1)) * np.sqrt(0.02 * n) / 10
     bias = float(np.log((label.mean() + 1e-6) / (1 - label.mean() + 1e-6)))
-    value = np.zeros(len(used))
-    ahead, pace = value.copy(), 1.0
-    step, penalty = 20.0, 1.5e-4
-    scaled = 1 / np.minimum(scale, np.sqrt(n * 0.02)) * np.sqrt(n * 0.02) / 10
-    for _ in range(300):
-        odds = bias + np.bincount(text, (ahead * scaled)[column], n)
+    value = ahead = np.zeros(width)
+    pace, step = 1.0, 20.0
+    for _ in range(rounds):
+        odds = bias + np.bincount(text, (ahead * scale)[column], n)
         error = 1 / (1 + np.exp(-np.clip(odds, -30, 30))) - label
-        slope = np.bincount(column, error[text], len(used)) * scaled / n
-        moved = ahead - step * slope
+        moved = ahead - step * np.bincount(column, error[text], width) * scale / n
         new = np.sign(moved) * np.maximum(np.abs(moved) - step * penalty, 0)
         bias -= 2.0 * error.mean()
         faster = (1 + np.sqrt(1 + 4 * pace * pace)) / 2
         ahead = new + (pace - 1) / faster * (new - value)
         value, pace = new, faster
-    weights = np.zeros(BUCKETS)
-    weights[used] = value * scaled
-    return weights, bias
+    return value * scale, bias
 
 
 def train(docs: DataFrame, labels: DataFrame) -> tuple[np.ndarray, float] | None:
@@ -260,9 +323,9 @@ def train(docs: DataFrame, labels: DataFrame) -> tuple[np.ndarray, float] | None
     mined = mine_lexicon(docs, labels)
     if mined is None:
         return None
-    lexicon, prior = mined
+    lexicon = mined.items
     n, together = count_votes(docs, lexicon)
-    model = label_model(n, together, len(lexicon), prior)
+    model = label_model(n, together, mined)
     drawn = (
         docs.where(F.col("doc_id").isNotNull() & (remainder("doc_id", 3) != 1))
         .select("doc_id").orderBy(F.xxhash64("doc_id"), "doc_id").limit(FIT_ROWS)
@@ -270,8 +333,11 @@ def train(docs: DataFrame, labels: DataFrame) -> tuple[np.ndarray, float] | None
     sample = docs.select("doc_id", text_of().alias("text")).join(F.broadcast(drawn.distinct()), "doc_id").limit(FIT_ROWS)
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        fired, words = votes(batch.column(1).to_pylist(), lexicon)
-        text, bucket = _buckets(words)
+        texts = batch.column(1).to_pylist()
+        fired = votes(texts, lexicon)
+        text, item = items(find_words(texts, FOLD), len(texts))
+        order = np.argsort(text, kind="stable")
+        text, bucket = text[order], _bucket(item[order])
         cuts = np.searchsorted(text, np.arange(batch.num_rows + 1))
         lists = [bucket[a:b].tolist() for a, b in zip(cuts[:-1], cuts[1:])]
         return pa.RecordBatch.from_arrays(
@@ -292,11 +358,8 @@ def score_texts(model: tuple[np.ndarray, float] | None, texts: list[str]) -> np.
     if model is None or not texts:
         return np.zeros(len(texts))
     weights, bias = model
-    words = find_words(texts, FOLD)
-    counts = weights[(words.hashes % np.uint64(BUCKETS)).astype(np.int64)] != 0
-    some = Words(words.joined, words.text[counts], words.start[counts], words.size[counts])
-    text, bucket = _buckets(some)
-    odds = bias + np.bincount(text, weights[bucket], len(texts))
+    text, item = items(find_words(texts, FOLD), len(texts), weights != 0)
+    odds = bias + np.bincount(text, weights[_bucket(item)], len(texts))
     return 1 / (1 + np.exp(-np.clip(odds, -30, 30)))
 
 
