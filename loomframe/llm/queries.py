@@ -5,9 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from loomframe.llm import exact_dedup, packing, pieces, quality, secret_scan, simhash, toxicity
+from loomframe.llm import chat, exact_dedup, neighbour_tree, packing, pieces, quality, secret_scan, simhash, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 CHECKS: dict[str, str] = {}
@@ -75,3 +75,13 @@ def op8(spark: SparkSession, folder: str) -> DataFrame:
 @query("op9_toxicity")
 def op9(spark: SparkSession, folder: str) -> DataFrame:
     return toxicity.assess(read(spark, folder, "documents"), read(spark, folder, "labels"))
+
+
+@query("op7_nearest_neighbours")
+def op7(spark: SparkSession, folder: str) -> DataFrame:
+    return neighbour_tree.search(read(spark, folder, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
+@query("op10_chat_format")
+def op10(spark: SparkSession, folder: str) -> DataFrame:
+    return chat.parse(read(spark, folder, "conversations"))

@@ -27,6 +27,8 @@ from loomframe.session import stage
 TRAIN_ROWS, FIT_ROWS = 12_000, 16_000
 #: Voters from the lexicon, items considered for it, and the least share of toxic families of one.
 LEXICON, CANDIDATES, LEAST_SHARE = 56, 160, 0.02
+#: The least log-likelihood gain of an item, and the share with a stronger one that rules it out.
+LEAST_GAIN, CONTAINED = 15.0, 0.75
 #: A stem is a word's first bytes, of these lengths; it counts where this share of words has it.
 STEMS, STEM_SHARE = (4, 6, 8, 10), 0.01
 THRESHOLD = 0.7
@@ -146,8 +148,8 @@ def mine_lexicon(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) ->
     """The items that mark toxic rows among the labelled training rows; None without both labels.
 
     Items are counted once per family of documents, told apart by the smallest word hash, so
-    that copies of one text do not make its words look toxic. Of items that mostly occur in the
-    same documents, the strongest alone becomes a voter.
+    that copies of one text do not make its words look toxic. An item that hardly
+    occurs without a stronger one, as words do whose stem marks them, does not become a voter.
     """
     sample = stage(labelled_sample(docs, labels, "toxic", remainder("doc_id", 3) != 1, rows), "labelled")
     by_label = {r["toxic"]: r["n"] for r in sample.groupBy((F.col("label") > 0).alias("toxic")).agg(F.count(F.lit(1)).alias("n")).collect()}
@@ -173,12 +175,15 @@ def mine_lexicon(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) ->
     toxic, clean = total.get(1, 0), total.get(0, 0)
     own, rest = F.col("toxic") + 0.5, F.col("n") - F.col("toxic") + 0.5
     odds = F.log(own / (toxic + 1.0)) - F.log(rest / (clean + 1.0))
+    share = (toxic + 1.0) / (toxic + clean + 2.0)
+    # log-likelihood ratio of the item against no difference between the classes
+    gain = 2 * (own * F.log(own / ((own + rest) * share)) + rest * F.log(rest / ((own + rest) * (1 - share))))
     best = (
         families.groupBy("item").agg(F.sum("label").alias("toxic"), F.count(F.lit(1)).alias("n"))
         .where(F.col("toxic") >= F.lit(max(3.0, LEAST_SHARE * toxic)))
-        .withColumn("score", odds / F.sqrt(1 / own + 1 / rest))
-        .where((F.col("score") > 3) & (odds > 2))
-        .orderBy(F.desc("score"), "item")
+        .withColumn("gain", gain)
+        .where((F.col("gain") > LEAST_GAIN) & (odds > 2))
+        .orderBy(F.desc("gain"), "item")
         .limit(CANDIDATES)
         .collect()
     )
@@ -191,8 +196,7 @@ def mine_lexicon(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) ->
     alone = np.diag(together)
     chosen: list[int] = []
     for i in range(len(found)):
-        either = [alone[i] + alone[j] - together[i, j] for j in chosen]
-        if not any(together[i, j] > 0.6 * max(1, n) for j, n in zip(chosen, either)):
+        if not any(together[i, j] > CONTAINED * alone[i] for j in chosen):
             chosen.append(i)
     lexicon = np.sort(found[chosen[:LEXICON]])
     _, fired = count_votes(sample, lexicon)
@@ -212,9 +216,13 @@ class LabelModel:
     weight: np.ndarray
 
     def posterior(self, fired: np.ndarray) -> np.ndarray:
-        yes = np.log(self.toxic) - np.log(self.clean)
-        no = np.log1p(-self.toxic) - np.log1p(-self.clean)
-        odds = np.log(self.prior / (1 - self.prior)) + (np.where(fired, yes, no) * self.weight).sum(1)
+        """Probability of toxic. A voter that does not fire abstains, as those for words of other
+        languages do on every text; only the silence of all of them is evidence as well."""
+        yes = (np.log(self.toxic) - np.log(self.clean)) * self.weight
+        no = ((np.log1p(-self.toxic) - np.log1p(-self.clean)) * self.weight).sum()
+        against = (yes > 0) & (self.toxic > 5 * self.clean)  # voters that speak up for toxic
+        silent = ~fired[:, against].any(1)
+        odds = np.log(self.prior / (1 - self.prior)) + fired @ yes + np.where(silent, no, 0)
         return 1 / (1 + np.exp(-np.clip(odds, -30, 30)))
 
 

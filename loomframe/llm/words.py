@@ -11,7 +11,7 @@ from collections.abc import Callable
 import numpy as np
 
 #: Words remembered per task; beyond it the memory starts anew. Longer words are not remembered.
-MEMORY, LONGEST = 1_500_000, 255
+MEMORY, LONGEST = 700_000, 255
 
 #: Distinct words -> their ids one after the other, and how many each word has.
 Encoder = Callable[[list[bytes]], tuple[np.ndarray, np.ndarray]]
