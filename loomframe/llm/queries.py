@@ -7,7 +7,18 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from loomframe.llm import chat, exact_dedup, neighbour_tree, packing, pieces, quality, secret_scan, simhash, toxicity
+from loomframe.llm import (
+    chat,
+    exact_dedup,
+    neighbour_tree,
+    packing,
+    pieces,
+    quality,
+    repeats,
+    secret_scan,
+    simhash,
+    toxicity,
+)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 CHECKS: dict[str, str] = {}
@@ -85,3 +96,8 @@ def op7(spark: SparkSession, folder: str) -> DataFrame:
 @query("op10_chat_format")
 def op10(spark: SparkSession, folder: str) -> DataFrame:
     return chat.parse(read(spark, folder, "conversations"))
+
+
+@query("op4_suffix_array_dedup")
+def op4(spark: SparkSession, folder: str) -> DataFrame:
+    return repeats.repeat_report(read(spark, folder, "documents"))
