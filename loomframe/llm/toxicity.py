@@ -357,7 +357,7 @@ def train(docs: DataFrame, labels: DataFrame) -> tuple[np.ndarray, float] | None
     rows = rows.sort_values("doc_id", kind="stable")
     size = rows["buckets"].map(len).to_numpy()
     text = np.repeat(np.arange(len(rows)), size)
-    bucket = np.concatenate([np.zeros(0, np.int32), *rows["buckets"]])
+    bucket = np.concatenate([np.zeros(0, np.int64), *(np.asarray(b, np.int64) for b in rows["buckets"])])
     return fit_linear(text, bucket, rows["label"].to_numpy())
 
 
