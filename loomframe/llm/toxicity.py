@@ -241,7 +241,10 @@ def label_model(n: int, together: np.ndarray, mined: Lexicon) -> LabelModel:
     alone = (np.pad(mined.fired, (0, k - len(mined.fired))) + 0.5) / (mined.labelled + 1)
     with_label = (np.pad(mined.fired_toxic, (0, k - len(mined.fired_toxic))) + 0.25) / (mined.labelled + 1)
     both, overall = together / max(n, 1), (np.diag(together) + 0.5) / (n + 1)
+    # of the counts over all documents, and of the fewer labelled ones behind the rates
+    few = 1 / (mined.labelled * with_label + 1)
     noise = np.sqrt(np.maximum(np.outer(overall, overall), both) / max(n, 1)) + 1e-6
+    noise = np.sqrt(noise**2 + both**2 * (few[:, None] + few[None, :]))
 
     def rates(a: float, b: float) -> tuple[float, np.ndarray, np.ndarray]:
         prior = np.clip((share - b) / (a - b), 1e-4, 0.9)
@@ -255,8 +258,8 @@ def label_model(n: int, together: np.ndarray, mined: Lexicon) -> LabelModel:
 
     tied, free = np.zeros((k, k), bool), ~np.eye(k, dtype=bool)
     for _ in range(2):
-        choices = [(a, share * b) for a in np.linspace(0.6, 0.99, 14) for b in np.linspace(0, 0.5, 11)]
-        a, b = min(choices, key=lambda c: (np.log1p(excess(*c) ** 2) * free).sum())
+        choices = [(a, share * b) for a in np.linspace(0.6, 0.99, 40) for b in np.linspace(0, 0.5, 26)]
+        a, b = min(choices, key=lambda c: (np.minimum(excess(*c) ** 2, 36) * free).sum())
         off = excess(a, b)
         free = ~np.eye(k, dtype=bool) & (np.abs(off) < 6)
         close = both > 0.5 * (overall[:, None] + overall[None, :] - both)
