@@ -15,15 +15,30 @@ def _blank_to_null(c: Column) -> Column:
     return F.when(c != "", c)
 
 
+#: Named entities of running text. Fixed values.
+ENTITIES = {"&lt;": "<", "&gt;": ">", "&quot;": '"', "&#39;": "'", "&apos;": "'", "&nbsp;": "\u00a0", "&amp;": "&"}
+
+
+def plain_text(markup: Column | str) -> Column:
+    """Text of a piece of markup: tags go, the usual entities are read, ends are trimmed."""
+    text = F.regexp_replace(_col(markup), r"(?s)<!--.*?-->|<[^>]*>", "")
+    for entity, sign in ENTITIES.items():  # the ampersand last, so that no entity is read twice
+        text = F.replace(text, F.lit(entity), F.lit(sign))
+    return F.trim(text)
+
+
 def tag_text(html: Column | str, tag: str) -> Column:
-    """Text of the first ``tag`` element; NULL when the page has none."""
-    return _blank_to_null(F.regexp_extract(_col(html), f"(?s)<{tag}(?: [^>]*)?>(.*?)</{tag}>", 1))
+    """Text of the first ``tag`` element, without inner markup; NULL when the page has none."""
+    inner = F.regexp_extract(_col(html), f"(?is)<{tag}(?:\\s[^>]*)?>(.*?)</{tag}\\s*>", 1)
+    return _blank_to_null(plain_text(inner))
 
 
 def meta_content(html: Column | str, name: str) -> Column:
-    """``content`` of the ``meta`` element with the given name."""
-    pattern = f'<meta[^>]*name="{re.escape(name)}"[^>]*content="([^"]*)"'
-    return _blank_to_null(F.regexp_extract(_col(html), pattern, 1))
+    """``content`` of the ``meta`` element with the given name, in any order and kind of quotes."""
+    named = f"(?=[^>]*\\sname\\s*=\\s*[\"']{re.escape(name)}[\"'])"
+    pattern = f"(?is)<meta{named}[^>]*\\scontent\\s*=\\s*(?:\"([^\"]*)\"|'([^']*)')"
+    found = F.concat(F.regexp_extract(_col(html), pattern, 1), F.regexp_extract(_col(html), pattern, 2))
+    return _blank_to_null(found)
 
 
 def all_texts(

@@ -31,11 +31,11 @@ def money(c: Column | str) -> Column:
 
 
 def cents(c: Column | str) -> Column:
-    """Amount in whole hundredths: exact like :func:`money`, and much cheaper to sum.
+    """Amount in whole hundredths, rounded half up like :func:`money`, and much cheaper to sum.
 
     A total beyond the range of ``bigint`` fails instead of wrapping around.
     """
-    return F.rint(_col(c) * 100).cast("bigint")
+    return (_col(c).cast("decimal(18,2)") * 100).cast("bigint")
 
 
 def from_cents(c: Column | str) -> Column:

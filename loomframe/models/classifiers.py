@@ -7,6 +7,8 @@ becomes ``1 / (n * C)``.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from itertools import combinations_with_replacement
+from math import factorial
 
 import numpy as np
 import pandas as pd
@@ -21,8 +23,9 @@ from pyspark.ml.classification import (
     OneVsRest,
     RandomForestClassifier,
 )
-from pyspark.ml.feature import PolynomialExpansion, StandardScaler, VectorAssembler
+from pyspark.ml.feature import StandardScaler, VectorAssembler
 from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.param import Param, Params, TypeConverters
 from pyspark.ml.param.shared import (
     HasFeaturesCol,
     HasInputCol,
@@ -31,14 +34,14 @@ from pyspark.ml.param.shared import (
     HasPredictionCol,
     HasProbabilityCol,
 )
+from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
 from pyspark.ml.stat import Correlation, Summarizer
 from pyspark.sql import Column, DataFrame, functions as F
 
 from loomframe.operators.neighbors import knn_votes
 from loomframe.session import ship_package
 
-FEATURES, LABEL = "features", "label"
-MAX_CLASSES = 1_000
+RAW, FEATURES, LABEL = "raw", "features", "label"
 # The usual stopping tolerances of logistic regression and of margin classifiers
 LOGREG_TOL, MARGIN_TOL = 1e-4, 1e-3
 
@@ -48,15 +51,15 @@ def logreg(n_rows: int, C: float = 1.0, max_iter: int = 100) -> LogisticRegressi
 
 
 def tree(max_depth: int = 30, seed: int = 0) -> DecisionTreeClassifier:
-    """MLlib stops at depth 30."""
-    return DecisionTreeClassifier(maxDepth=min(max_depth, 30), seed=seed)
+    """A single tree; MLlib itself refuses a depth above 30."""
+    return DecisionTreeClassifier(maxDepth=max_depth, seed=seed)
 
 
 def forest(
     n_trees: int = 100, max_depth: int = 30, subset: str = "sqrt", impurity: str = "gini", seed: int = 0
 ) -> RandomForestClassifier:
     return RandomForestClassifier(
-        numTrees=n_trees, maxDepth=min(max_depth, 30), featureSubsetStrategy=subset,
+        numTrees=n_trees, maxDepth=max_depth, featureSubsetStrategy=subset,
         impurity=impurity, seed=seed,
     )
 
@@ -78,16 +81,10 @@ def svm_linear(n_rows: int, C: float = 1.0, max_iter: int = 100) -> LinearSVC:
 def svm_poly(
     n_rows: int, C: float = 1.0, degree: int = 2, coef0: float = 0.0, max_iter: int = 100
 ) -> Pipeline:
-    """Linear SVM over all products of up to ``degree`` features.
-
-    ``coef0`` scales down the features, which weighs low against high degrees as in the kernel
-    ``(x.y + coef0) ** degree``; the products carry no multinomial weights.
-    """
-    shrink = 1.0 / np.sqrt(coef0) if coef0 > 0 else 1.0
+    """Linear SVM over the exact features of the kernel ``(x.y + coef0) ** degree``."""
     return Pipeline(
         stages=[
-            Scale(inputCol=FEATURES, outputCol="__scaled", factor=float(shrink)),
-            PolynomialExpansion(degree=degree, inputCol="__scaled", outputCol="__poly"),
+            PolynomialFeatures(inputCol=FEATURES, outputCol="__poly", degree=degree, coef0=coef0),
             _margin("__poly", n_rows, C, max_iter),
         ]
     )
@@ -120,39 +117,74 @@ def mlp(layers: Sequence[int], seed: int = 0, max_iter: int = 100) -> Multilayer
     return MultilayerPerceptronClassifier(layers=list(layers), seed=seed, maxIter=max_iter)
 
 
-class Scale(Transformer, HasInputCol, HasOutputCol):
-    """Multiply a vector by one number."""
+class PolynomialFeatures(
+    Transformer, HasInputCol, HasOutputCol, DefaultParamsReadable, DefaultParamsWritable
+):
+    """Products of features whose inner product is ``(x.y + coef0) ** degree`` exactly.
+
+    Each product carries the root of its multinomial coefficient; with ``coef0`` 0 only those of
+    full degree are there. The input needs a size of a few dozen at most.
+    """
+
+    degree = Param(Params._dummy(), "degree", "degree of the kernel", TypeConverters.toInt)
+    coef0 = Param(Params._dummy(), "coef0", "constant of the kernel", TypeConverters.toFloat)
 
     @keyword_only
-    def __init__(self, *, inputCol: str = FEATURES, outputCol: str = "scaled", factor: float = 1.0):
+    def __init__(
+        self, *, inputCol: str = FEATURES, outputCol: str = "poly", degree: int = 2, coef0: float = 0.0
+    ):
         super().__init__()
-        self._set(inputCol=inputCol, outputCol=outputCol)
-        self.factor = factor
+        self._setDefault(degree=2, coef0=0.0)
+        self._set(inputCol=inputCol, outputCol=outputCol, degree=degree, coef0=coef0)
 
     def _transform(self, df: DataFrame) -> DataFrame:
-        scaled = F.transform(vector_to_array(self.getInputCol()), lambda x: x * F.lit(self.factor))
-        return df.withColumn(self.getOutputCol(), array_to_vector(scaled))
-
-
-class RandomFourierFeatures(Transformer, HasInputCol, HasOutputCol):
+        degree, coef0 = self.getOrDefault(self.degree), self.getOrDefault(self.coef0)
+        first = df.select(vector_to_array(self.getInputCol()).alias("x")).first()
+        width = len(first["x"]) if first else 0
+        x, products = F.col("__x"), []
+        for size in range(degree + 1):
+            rest = coef0 ** (degree - size)
+            if rest == 0:
+                continue
+            for chosen in combinations_with_replacement(range(width), size):
+                ways = factorial(degree) / factorial(degree - size)
+                for i in set(chosen):
+                    ways /= factorial(chosen.count(i))
+                term = F.lit(float(np.sqrt(ways * rest)))
+                for i in chosen:
+                    term = term * x[i]
+                products.append(term)
+        expanded = df.withColumn("__x", vector_to_array(self.getInputCol()))
+        return expanded.withColumn(self.getOutputCol(), array_to_vector(F.array(*products))).drop("__x")
+
+
+class RandomFourierFeatures(
+    Transformer, HasInputCol, HasOutputCol, DefaultParamsReadable, DefaultParamsWritable
+):
     """Cosine features whose inner product approximates ``exp(-gamma * |x - y| ** 2)``.
 
     The random directions depend on the seed and the input size alone, so every task draws the
     same ones.
     """
 
+    gamma = Param(Params._dummy(), "gamma", "width of the kernel", TypeConverters.toFloat)
+    n_components = Param(Params._dummy(), "n_components", "number of features", TypeConverters.toInt)
+    seed = Param(Params._dummy(), "seed", "seed of the directions", TypeConverters.toInt)
+
     @keyword_only
     def __init__(
         self, *, inputCol: str = FEATURES, outputCol: str = "fourier", gamma: float = 1.0,
         n_components: int = 200, seed: int = 0,
     ):
         super().__init__()
-        self._set(inputCol=inputCol, outputCol=outputCol)
-        self.gamma, self.n_components, self.seed = gamma, n_components, seed
+        self._setDefault(gamma=1.0, n_components=200, seed=0)
+        self._set(
+            inputCol=inputCol, outputCol=outputCol, gamma=gamma, n_components=n_components, seed=seed
+        )
 
     def _transform(self, df: DataFrame) -> DataFrame:
         ship_package(df.sparkSession)
-        gamma, m, seed = self.gamma, self.n_components, self.seed
+        gamma, m, seed = (self.getOrDefault(p) for p in (self.gamma, self.n_components, self.seed))
 
         @F.pandas_udf("array<double>")
         def project(vectors: pd.Series) -> pd.Series:
@@ -168,13 +200,6 @@ class RandomFourierFeatures(Transformer, HasInputCol, HasOutputCol):
         return df.withColumn(self.getOutputCol(), array_to_vector(arrays))
 
 
-def _class_rows(aggregated: DataFrame, label: str) -> list:
-    rows = aggregated.orderBy(label).limit(MAX_CLASSES + 1).collect()
-    if len(rows) > MAX_CLASSES:
-        raise ValueError(f"{label} has more than {MAX_CLASSES} classes")
-    return rows
-
-
 def covariance(df: DataFrame, vector: Column) -> tuple[np.ndarray, np.ndarray]:
     """Mean and sample covariance of a vector column: one row per pair of features at most."""
     x = df.select(vector.alias("x"))
@@ -244,7 +269,7 @@ class LinearDiscriminant(Estimator, HasFeaturesCol, HasLabelCol, HasPredictionCo
         grouped = df.groupBy(F.col(label).cast("double").alias(label)).agg(
             F.count("*").alias("n"), Summarizer.mean(x).alias("mean")
         )
-        rows = _class_rows(grouped, label)
+        rows = grouped.orderBy(label).collect()  # one row per class
         classes = [float(r[label]) for r in rows]
         means = np.array([r["mean"].toArray() for r in rows])
         counts = np.array([r["n"] for r in rows], dtype=float)
@@ -327,11 +352,13 @@ class KNNModel(Model, HasFeaturesCol, HasLabelCol, HasPredictionCol, HasProbabil
         return df.join(scored, s.key)
 
 
-def assemble(df: DataFrame, cols: Sequence[str], label: str, key: str, scale: bool = True) -> DataFrame:
-    """``key``, ``label`` and standardised ``features`` from numeric columns."""
-    raw = VectorAssembler(inputCols=list(cols), outputCol="__raw").transform(df)
-    kept = [F.col(key), F.col(label).cast("double").alias(LABEL)]
-    if not scale:
-        return raw.select(*kept, F.col("__raw").alias(FEATURES))
-    scaler = StandardScaler(inputCol="__raw", outputCol=FEATURES, withMean=True).fit(raw)
-    return scaler.transform(raw).select(*kept, FEATURES)
+def assemble(df: DataFrame, cols: Sequence[str], label: str, key: str) -> DataFrame:
+    """``key``, ``label`` and ``raw``, the vector of numeric columns as they are."""
+    raw = VectorAssembler(inputCols=list(cols), outputCol=RAW).transform(df)
+    return raw.select(key, F.col(label).cast("double").alias(LABEL), RAW)
+
+
+def scaled(estimator: Estimator) -> Pipeline:
+    """The estimator behind a standardisation that is fitted on the same rows, and on no others."""
+    scaler = StandardScaler(inputCol=RAW, outputCol=FEATURES, withMean=True)
+    return Pipeline(stages=[scaler, estimator])

@@ -16,12 +16,27 @@ def accuracy(df: DataFrame, label: str, prediction: str) -> DataFrame:
     return df.agg(F.avg(hit).alias("accuracy"))
 
 
+def _listed(column: str, classes: Sequence) -> Column:
+    """The value if it is one of the classes, and an error otherwise: no row may vanish."""
+    value = F.col(column)
+    message = F.concat(F.lit(f"{column} has a class that is not listed: "), F.coalesce(value.cast("string"), F.lit("NULL")))
+    return F.when(value.isin(list(classes)), value).otherwise(F.raise_error(message).cast("string"))
+
+
 def confusion(df: DataFrame, label: str, prediction: str, classes: Sequence) -> DataFrame:
-    """One row per true class, one column ``predicted_<class>`` each; 0 where never met."""
+    """One row per class, true or listed, and one column ``predicted_<class>`` each.
+
+    0 where a pair never occurs; a prediction that is not listed, or NULL, is an error.
+    """
+    counts = _pair_counts(df.select(label, prediction), label, prediction)
+    spark, kind = df.sparkSession, df.schema[label].dataType.simpleString()
+    empty = spark.createDataFrame([(c, None, 0) for c in classes], f"t {kind}, p {kind}, n bigint")
+    known = counts.withColumn("p", _listed("p", classes).cast(kind)).unionByName(empty)
     cells = [
-        F.count_if(F.col(prediction) == F.lit(c)).alias(f"predicted_{c}") for c in classes
+        F.coalesce(F.sum(F.when(F.col("p") == F.lit(c), F.col("n"))), F.lit(0)).alias(f"predicted_{c}")
+        for c in classes
     ]
-    return df.groupBy(label).agg(*cells)
+    return known.groupBy(F.col("t").alias(label)).agg(*cells)
 
 
 def _pair_counts(df: DataFrame, label: str, prediction: str) -> DataFrame:
@@ -111,10 +126,14 @@ def train_test_gap(train: DataFrame, test: DataFrame, label: str, prediction: st
 def compare_models(
     scored: Mapping[str, DataFrame], label: str, prediction: str, classes: Sequence
 ) -> DataFrame:
-    """One row per model: accuracy, and precision, recall and F1 of each class."""
+    """One row per model: accuracy, and precision, recall and F1 of each class.
+
+    A class in the rows that is not listed is an error.
+    """
     rows = []
     for name, df in scored.items():
         report = class_report(df, label, prediction)
+        report = report.withColumn("class", _listed("class", classes).cast(report.schema["class"].dataType))
         cells = [
             F.coalesce(F.max(F.when(F.col("class") == F.lit(c), F.col(m))), F.lit(0.0)).alias(f"{m}_{c}")
             for c in classes

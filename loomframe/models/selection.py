@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
 from functools import reduce
+from math import exp
 from multiprocessing.pool import ThreadPool
 
 from pyspark.ml import Estimator, Model, Pipeline
@@ -14,7 +15,8 @@ from pyspark.ml.param.shared import HasLabelCol, HasPredictionCol, HasProbabilit
 from pyspark.ml.tuning import CrossValidator
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from loomframe.models.classifiers import FEATURES, LABEL, CentredPCA
+from loomframe.models.classifiers import FEATURES, LABEL, RAW, CentredPCA
+from loomframe.operators.ordering import seeded_hash
 from loomframe.operators.splits import assign_folds
 from loomframe.session import stage
 
@@ -113,19 +115,35 @@ def _class_shares(model: Model, df: DataFrame, name: str, n_classes: int) -> Dat
     return scored.select(*before, shares.alias(name))
 
 
+def bootstrap(df: DataFrame, key: str, frac: float, seed: int) -> DataFrame:
+    """Each row as often as its own Poisson draw says, ``frac`` times on average.
+
+    The draw depends on the key and the seed alone, so it is the same on any partitioning.
+    """
+    draw = (seeded_hash([key], seed) % 1_000_000) / F.lit(1_000_000.0)
+    copies, weight, below = F.lit(0), exp(-frac), 0.0
+    for times in range(1, 12):  # beyond that less than one row in a thousand million
+        below += weight
+        weight *= frac / times
+        copies = copies + (draw >= F.lit(below)).cast("int")
+    counted = df.withColumn("__copies", copies).where("__copies > 0")
+    return counted.withColumn("__copy", F.explode(F.sequence(F.lit(1), "__copies"))).select(df.columns)
+
+
 class Bagging(Estimator, HasLabelCol):
     """Average of copies of an estimator, each fitted on a bootstrap sample of the rows."""
 
     def __init__(
-        self, estimator: Estimator, n: int = 50, frac: float = 0.7, n_classes: int = 2, seed: int = 0
+        self, estimator: Estimator, key: str, n: int = 50, frac: float = 0.7, n_classes: int = 2,
+        seed: int = 0,
     ):
         super().__init__()
-        self.estimator, self.n, self.frac = estimator, n, frac
+        self.estimator, self.key, self.n, self.frac = estimator, key, n, frac
         self.n_classes, self.seed = n_classes, seed
 
     def _fit(self, df: DataFrame) -> "BaggingModel":
         def one(i: int) -> Model:
-            return self.estimator.fit(df.sample(True, self.frac, self.seed + i))
+            return self.estimator.fit(bootstrap(df, self.key, self.frac, self.seed + i))
 
         return BaggingModel(_in_parallel(one, range(self.n)), self.n_classes)
 
@@ -167,8 +185,7 @@ class Stacking(Estimator, HasLabelCol):
         self.folds, self.n_classes, self.seed = folds, n_classes, seed
 
     def _fit(self, df: DataFrame) -> "StackingModel":
-        inner = df.select(self.key, LABEL, FEATURES)
-        rows = fold_rows(inner, self.folds, self.key, self.seed)
+        rows = fold_rows(df, self.folds, self.key, self.seed)
         jobs = [(name, fold) for fold in range(self.folds) for name in self.bases]
         fitted = dict(
             zip(
@@ -194,7 +211,7 @@ class Stacking(Estimator, HasLabelCol):
 def _meta_features(df: DataFrame, names: Sequence[str], n_classes: int) -> DataFrame:
     """Class probabilities of all bases as the features of the meta-model."""
     parts = [F.col(f"__{name}")[c].alias(f"__{name}_{c}") for name in names for c in range(n_classes)]
-    kept = [c for c in df.columns if c not in (FEATURES, *(f"__{n}" for n in names))]
+    kept = [c for c in df.columns if c not in (RAW, FEATURES, *(f"__{n}" for n in names))]
     wide = df.select(*kept, *parts)
     inputs = [f"__{name}_{c}" for name in names for c in range(n_classes)]
     assembled = VectorAssembler(inputCols=inputs, outputCol=FEATURES).transform(wide)

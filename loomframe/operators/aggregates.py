@@ -49,20 +49,6 @@ def career_span(df: DataFrame, key: str, year: Column) -> DataFrame:
     return spans.withColumn("span", F.col("last_year") - F.col("first_year"))
 
 
-MAX_MEMBERS = 100_000   # members that one array or map may hold
-
-
-def _require_small(pairs: DataFrame, keys: Sequence[str]) -> None:
-    """Fail before collecting a group that is too large for one array."""
-    sizes = pairs.groupBy(*keys).agg(F.count("*").alias("n"))
-    largest = sizes.agg(F.max("n")).first()[0] or 0
-    if largest > MAX_MEMBERS:
-        raise ValueError(
-            f"a group has {largest} members, more than one array should hold ({MAX_MEMBERS}): "
-            "keep the rows in long form"
-        )
-
-
 def distinct_pairs(df: DataFrame, keys: Sequence[str], member: str) -> DataFrame:
     """One row per key and member: the set of each key in long form, of any size."""
     return df.where(F.col(member).isNotNull()).select(*keys, member).distinct()
@@ -90,8 +76,10 @@ def largest_sets(
 
 
 def as_sets(members: DataFrame, keys: Sequence[str], member: str) -> DataFrame:
-    """Distinct members, from a small vocabulary, as one sorted array per key."""
-    _require_small(members.select(*keys, member).distinct(), keys)
+    """Distinct members as one sorted array per key.
+
+    For members from a small vocabulary; :func:`distinct_pairs` keeps sets of any size in long form.
+    """
     return members.groupBy(*keys).agg(F.array_sort(F.collect_set(member)).alias("members"))
 
 
@@ -117,17 +105,29 @@ def nested_count(df: DataFrame, outer: str, inner: str) -> DataFrame:
 
 
 def as_nested_map(counts: DataFrame, outer: str, inner: str) -> DataFrame:
-    """Long counts as one map per outer key, for inner keys from a small vocabulary."""
-    _require_small(counts, [outer])
+    """Long counts as one map per outer key, for inner keys from a small vocabulary.
+
+    The counts themselves are the form for any number of inner keys.
+    """
     entries = F.collect_list(F.struct(inner, "n_rows"))
     return counts.groupBy(outer).agg(F.map_from_entries(entries).alias("counts"))
 
 
 def pivot_mean(df: DataFrame, index: str, columns: str, values: Sequence, measure: str | Column) -> DataFrame:
-    """Mean per cell of a table; cells without rows are 0. The column values are given."""
+    """Mean per cell of a table; cells without rows are 0.
+
+    The column values are given; a row with another one is an error, and NULL counts as known
+    to be outside.
+    """
     measure = F.col(measure) if isinstance(measure, str) else measure
+    value = F.col(columns)
+    message = F.concat(F.lit(f"{columns} has a value that is not listed: "), value.cast("string"))
+    listed = F.when(value.isNull() | value.isin(list(values)), value).otherwise(
+        F.raise_error(message).cast(df.schema[columns].dataType)
+    )
     return (
         _known(df, [index])
+        .withColumn(columns, listed)
         .groupBy(index)
         .pivot(columns, list(values))
         .agg(F.avg(measure))
@@ -159,7 +159,6 @@ def mode_per_key(df: DataFrame, key: str, value: str) -> DataFrame:
 def list_and_sum(df: DataFrame, key: str, member: str, amount: Column) -> DataFrame:
     """Distinct members (from a small vocabulary, such as countries) and total per key."""
     per_member = df.groupBy(key, member).agg(F.sum(amount).alias("__sum"))
-    _require_small(per_member, [key])
     return per_member.groupBy(key).agg(
         F.array_sort(F.collect_set(member)).alias("members"), F.sum("__sum").alias("total")
     )

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import or_
 from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, functions as F
@@ -122,41 +124,115 @@ def admit_until_full(
 
 
 class ForeignKey(NamedTuple):
+    """``child_key`` refers to ``parent_key``; both are a column or several in the same order."""
+
     child: str
-    child_key: str
+    child_key: str | Sequence[str]
     parent: str
-    parent_key: str
+    parent_key: str | Sequence[str]
     on_delete: str = "cascade"  # or "set null"
 
 
+def _names(key: str | Sequence[str]) -> list[str]:
+    return [key] if isinstance(key, str) else list(key)
+
+
+def _top_down(links: Sequence[ForeignKey], root: str) -> list[str]:
+    """Tables that can be reached from the root, each after all its parents among them."""
+    reached = {root}
+    while more := {k.child for k in links if k.parent in reached} - reached:
+        reached |= more
+    parents = {t: {k.parent for k in links if k.child == t and k.parent in reached} for t in reached}
+    order: list[str] = []
+    while len(order) < len(reached):
+        ready = sorted(t for t in reached - set(order) if t == root or parents[t] <= set(order))
+        if not ready or root in {k.child for k in links if k.parent in reached}:
+            raise ValueError("the foreign keys form a circle")
+        order += ready
+    return order
+
+
+def _marked(df: DataFrame, columns: Sequence[str], keys: DataFrame, mark: str) -> DataFrame:
+    """``df`` with a column that says whether its columns hold one of the keys; NULL never does."""
+    named = [f"__k{i}" for i in range(len(columns))]
+    distinct = keys.toDF(*named).distinct().withColumn(mark, F.lit(True))
+    same = [df[c] == distinct[n] for c, n in zip(columns, named)]
+    return df.join(distinct, same, "left").drop(*named).withColumn(mark, F.coalesce(mark, F.lit(False)))
+
+
 def cascade_delete(
-    tables: dict[str, DataFrame], links: Sequence[ForeignKey], root: str, doomed: DataFrame, key: str
+    tables: dict[str, DataFrame],
+    links: Sequence[ForeignKey],
+    root: str,
+    doomed: DataFrame,
+    key: str | Sequence[str],
 ) -> dict[str, DataFrame]:
     """Delete rows of ``root`` by key and follow the foreign keys, parents before children.
 
-    ``doomed`` has one column with the keys to delete. Children are deleted in turn, or keep
-    their row with a NULL key. ``links`` must list a table's parents before its own children.
+    ``doomed`` holds the keys to delete. A child goes when any of its cascading links points to a
+    deleted row, on whatever path; otherwise its other links to deleted rows become NULL. Links
+    may be listed in any order, but must not form a circle.
     """
-    out = dict(tables)
-    gone = {(root, key): doomed.select(F.col(doomed.columns[0]).alias("__gone")).distinct()}
-    out[root] = tables[root].join(gone[root, key], tables[root][key] == F.col("__gone"), "left_anti")
-    removed = {root: _matching(tables[root], key, gone[root, key])}
-    for link in links:
-        if link.parent not in removed:
-            continue
-        keys = removed[link.parent].select(F.col(link.parent_key).alias("__gone")).distinct()
-        child = out[link.child]
-        if link.on_delete == "cascade":
-            removed[link.child] = _matching(child, link.child_key, keys)
-            out[link.child] = child.join(
-                keys, child[link.child_key] == F.col("__gone"), "left_anti"
-            )
+    out, removed = dict(tables), {}
+    for table in _top_down(links, root):
+        df, columns = tables[table], tables[table].columns
+        if table == root:
+            df, goes = _marked(df, _names(key), doomed, "__goes"), F.col("__goes")
         else:
-            marked = child.join(keys, child[link.child_key] == F.col("__gone"), "left")
-            kept_key = F.when(F.col("__gone").isNull(), F.col(link.child_key))
-            out[link.child] = marked.withColumn(link.child_key, kept_key).select(*child.columns)
+            goes = F.lit(False)
+            incoming = [k for k in links if k.child == table and k.parent in removed]
+            for i, link in enumerate(incoming):
+                keys = removed[link.parent].select(*_names(link.parent_key))
+                df = _marked(df, _names(link.child_key), keys, f"__m{i}")
+                if link.on_delete == "cascade":
+                    goes = goes | F.col(f"__m{i}")
+        removed[table] = df.where(goes).select(columns)
+        left = df.where(~goes)
+        if table != root:
+            for i, link in enumerate(incoming):
+                if link.on_delete != "cascade":
+                    left = left.withColumns(
+                        {c: F.when(~F.col(f"__m{i}"), F.col(c)) for c in _names(link.child_key)}
+                    )
+        out[table] = left.select(columns)
     return out
 
 
-def _matching(df: DataFrame, column: str, keys: DataFrame) -> DataFrame:
-    return df.join(keys, df[column] == F.col("__gone"), "left_semi")
+def cascade_update(
+    tables: dict[str, DataFrame],
+    links: Sequence[ForeignKey],
+    root: str,
+    changed: DataFrame,
+    key: str | Sequence[str],
+) -> dict[str, DataFrame]:
+    """Give rows of ``root`` new keys and carry them into all tables that refer to them.
+
+    ``changed`` holds, one row per old key, the old key's columns and then the new key's in the
+    same order. A child's own key that contains the changed columns is carried on in turn.
+    """
+    out, before = dict(tables), {}
+
+    def replaced(df: DataFrame, columns: list[str], pairs: DataFrame) -> DataFrame:
+        old, new = ([f"__{kind}{i}" for i in range(len(columns))] for kind in "on")
+        named = pairs.toDF(*old, *new).withColumn("__hit", F.lit(True))
+        joined = df.join(named, [df[c] == named[o] for c, o in zip(columns, old)], "left")
+        fresh = {c: F.when(F.col("__hit"), F.col(n)).otherwise(F.col(c)) for c, n in zip(columns, new)}
+        return joined.withColumns(fresh).select(df.columns)
+
+    for table in _top_down(links, root):
+        columns = tables[table].columns
+        # the old values stay next to the new ones, for the tables further down
+        df = tables[table].withColumns({f"__was_{c}": F.col(c) for c in columns})
+        if table == root:
+            df = replaced(df, _names(key), changed)
+        for link in links:
+            if link.child != table or link.parent not in before:
+                continue
+            names = _names(link.parent_key)
+            was = [F.col(f"__was_{c}") for c in names]
+            moved = before[link.parent].select(*was, *names)
+            differs = reduce(or_, [~w.eqNullSafe(F.col(c)) for w, c in zip(was, names)])
+            df = replaced(df, _names(link.child_key), moved.where(differs).distinct())
+        before[table] = df
+        out[table] = df.select(columns)
+    return out

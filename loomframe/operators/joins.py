@@ -67,19 +67,29 @@ def salted_join(
     salt_on: Column,
     how: str = "inner",
     hot_rows: int = HOT_ROWS,
+    null_safe: bool = False,
 ) -> DataFrame:
     """Join facts (one row per key) to rows of which one key may hold a large share.
 
     ``size`` is a column of ``facts`` with the number of rows of each key. A key with more than
     ``hot_rows`` is cut into salted parts, and its fact repeated once per part; other keys join
-    as usual. There are at most ``rows / hot_rows`` hot keys, which bounds what is broadcast.
-    Aggregations after the join start from the spread as well.
+    as usual. The few hot keys are joined without a hint: Spark broadcasts them while they fit its
+    threshold. Aggregations after the join start from the spread as well. ``null_safe`` joins a
+    NULL key to the fact of NULL instead of nothing.
     """
     keys = list(keys)
+    if null_safe:
+        named = [f"__key{i}" for i in range(len(keys))]
+        # a struct is never NULL itself, and equal structs may hold equal NULLs
+        held = {n: F.struct(F.col(k).isNull().alias("n"), F.coalesce(F.col(k).cast("string"), F.lit("")).alias("v")) for n, k in zip(named, keys)}
+        joined = salted_join(
+            rows.withColumns(held), facts.withColumns(held).drop(*keys), named, size, salt_on, how, hot_rows
+        )
+        return joined.drop(*named)
     parts = F.ceil(F.col(size) / hot_rows)
     hot = facts.where(F.col(size) > hot_rows).select(*keys, parts.alias("__parts"))
     n_parts = F.coalesce("__parts", F.lit(1).cast("bigint"))
-    marked = rows.join(F.broadcast(hot), keys, "left")
+    marked = rows.join(hot, keys, "left")
     salted = marked.withColumn("__salt", F.pmod(F.xxhash64(salt_on), n_parts)).drop("__parts")
     last = F.greatest(F.coalesce(parts, F.lit(1)), F.lit(1)) - 1
     copies = facts.withColumn("__salt", F.explode(F.sequence(F.lit(0).cast("bigint"), last)))

@@ -20,11 +20,11 @@ def hash_split(df: DataFrame, frac: float, key: Sequence[str], seed: int) -> Dat
 def stratified_split(
     df: DataFrame, label: str, frac: float, key: Sequence[str], seed: int
 ) -> DataFrame:
-    """Mark exactly ``round(frac * n)`` rows of each label as test rows."""
+    """Mark exactly ``round(frac * n)`` rows of each label as test rows; NULL is a label, too."""
     drawn = df.withColumn("__draw", seeded_hash(key, seed))
     placed = number_rows(drawn, ["__draw", *key], within=[label], name="__place")
     sizes = df.groupBy(label).agg(F.count("*").alias("__n"))
-    joined = salted_join(placed, sizes, [label], "__n", F.col("__draw"))
+    joined = salted_join(placed, sizes, [label], "__n", F.col("__draw"), null_safe=True)
     cut = F.round(F.col("__n") * F.lit(frac)).cast("bigint")
     return joined.withColumn("is_test", (F.col("__place") <= cut).cast("int")).select(
         *df.columns, "is_test"
@@ -38,11 +38,13 @@ def ordered_split(df: DataFrame, order_by: Sequence[str], n: int) -> DataFrame:
     return numbered.withColumn("part", part).drop("__place")
 
 
-def tail_split(df: DataFrame, order_by: Sequence[str], frac: float) -> DataFrame:
-    """Part ``validation`` for the last ``frac`` of the order, ``train`` before it."""
+def tail_split(
+    df: DataFrame, order_by: Sequence[str], frac: float, parts: tuple[str, str] = ("train", "validation")
+) -> DataFrame:
+    """The second of ``parts`` for the last ``frac`` of the order, the first before it."""
     numbered = number_rows(df, order_by, name="__place")
     cut = numbered.select(F.floor(F.count("*") * F.lit(1.0 - frac))).scalar()
-    part = F.when(F.col("__place") <= cut, "train").otherwise("validation")
+    part = F.when(F.col("__place") <= cut, parts[0]).otherwise(parts[1])
     return numbered.withColumn("part", part).drop("__place")
 
 

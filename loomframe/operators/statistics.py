@@ -17,6 +17,12 @@ from loomframe.operators.quantiles import (
 QUARTILES = (0.25, 0.5, 0.75)
 
 
+def without_nan(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """NaN in floating columns as NULL: a missing value like any other."""
+    floats = [c for c in cols if df.schema[c].dataType.simpleString() in ("float", "double")]
+    return df.withColumns({c: F.when(~F.isnan(c), F.col(c)) for c in floats}) if floats else df
+
+
 def profile_columns(df: DataFrame) -> DataFrame:
     """Position, name, type and number of known values of every column."""
     counts = df.agg(*[F.count(c).alias(c) for c in df.columns])
@@ -32,8 +38,9 @@ def profile_columns(df: DataFrame) -> DataFrame:
 def describe(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """Count, mean, sample deviation, extremes and quartiles, one row per column.
 
-    The moments of all columns come from one pass without a shuffle of rows.
+    The moments of all columns come from one pass without a shuffle of rows. NaN is missing.
     """
+    df = without_nan(df, cols)
     wide = df.agg(
         *[
             F.struct(
@@ -61,12 +68,18 @@ def nunique(df: DataFrame, cols: Sequence[str]) -> DataFrame:
 
 
 def missing_counts(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """Missing values per column; NaN is one."""
+    df = without_nan(df, cols)
     missing = df.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in cols])
     return missing.unpivot([], list(cols), "column", "n_missing")
 
 
 def corr_matrix(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """Pearson correlation of every pair of columns, in long form, from a single pass."""
+    """Pearson correlation of every pair of columns, in long form, from a single pass.
+
+    NaN is missing; a pair uses the rows where both are known.
+    """
+    df = without_nan(df, cols)
     pairs = list(combinations(cols, 2))
     one = df.agg(*[F.corr(a, b).alias(f"r{i}") for i, (a, b) in enumerate(pairs)])
     cells = [

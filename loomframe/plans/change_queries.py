@@ -172,6 +172,79 @@ def set_null_delete(spark, d):
     return left["customer"].select("c_custkey", "c_nationkey")
 
 
+_TWO_PATHS = [
+    ForeignKey("supplier", "s_nationkey", "nation", "n_nationkey"),
+    ForeignKey("lineitem", "l_suppkey", "supplier", "s_suppkey"),
+    ForeignKey("lineitem", "l_orderkey", "orders", "o_orderkey"),
+    ForeignKey("orders", "o_custkey", "customer", "c_custkey"),
+    ForeignKey("customer", "c_nationkey", "nation", "n_nationkey"),
+]
+
+
+@query(
+    "cascade_two_paths",
+    """SELECT l_orderkey, l_linenumber, l_suppkey, CAST(count(*) AS BIGINT) AS n_rows FROM lineitem
+       JOIN supplier ON l_suppkey = s_suppkey JOIN orders ON l_orderkey = o_orderkey
+       JOIN customer ON o_custkey = c_custkey
+       WHERE s_nationkey <> 3 AND c_nationkey <> 3 GROUP BY ALL""",
+)
+def cascade_two_paths(spark, d):
+    """Lines hang on a nation through their supplier and through their customer."""
+    tables = {n: table(spark, d, n) for n in ("nation", "supplier", "customer", "orders", "lineitem")}
+    doomed = tables["nation"].where("n_nationkey = 3").select("n_nationkey")
+    left = changes.cascade_delete(tables, _TWO_PATHS, "nation", doomed, "n_nationkey")["lineitem"]
+    return left.groupBy("l_orderkey", "l_linenumber", "l_suppkey").agg(F.count("*").alias("n_rows"))
+
+
+@query(
+    "cascade_composite",
+    """SELECT e.event_id, CASE WHEN u.event_type IS NULL THEN e.user_id END AS user_id,
+              CASE WHEN u.event_type IS NULL THEN e.event_type END AS event_type
+       FROM events e LEFT JOIN (SELECT DISTINCT user_id, event_type FROM events WHERE user_id % 10 = 3) u
+       ON e.user_id = u.user_id AND e.event_type = u.event_type""",
+)
+def cascade_composite(spark, d):
+    """A key of two columns; rows that refer to a deleted one lose both."""
+    events = table(spark, d, "events").select("event_id", "user_id", "event_type")
+    tables = {"pair": events.select("user_id", "event_type").distinct(), "event": events}
+    both = ["user_id", "event_type"]
+    doomed = tables["pair"].where("user_id % 10 = 3")
+    link = ForeignKey("event", both, "pair", both, "set null")
+    return changes.cascade_delete(tables, [link], "pair", doomed, both)["event"]
+
+
+@query(
+    "cascade_update",
+    """SELECT o_orderkey, c_custkey + CASE WHEN c_nationkey = 4 THEN 1000000 ELSE 0 END AS o_custkey,
+              l.n AS n_lines
+       FROM orders JOIN customer ON o_custkey = c_custkey
+       JOIN (SELECT l_orderkey, CAST(count(*) AS BIGINT) AS n FROM lineitem GROUP BY 1) l
+       ON l_orderkey = o_orderkey""",
+)
+def cascade_update(spark, d):
+    """New keys for the customers of one nation reach their orders, and lines by (customer, order)."""
+    lines = table(spark, d, "lineitem").join(
+        table(spark, d, "orders").select(F.col("o_orderkey").alias("l_orderkey"), F.col("o_custkey").alias("l_custkey")),
+        "l_orderkey",
+    )
+    tables = {
+        "customer": table(spark, d, "customer").select("c_custkey", "c_nationkey"),
+        "orders": table(spark, d, "orders").select("o_orderkey", "o_custkey"),
+        "lineitem": lines.select("l_orderkey", "l_custkey"),
+    }
+    links = [
+        ForeignKey("orders", "o_custkey", "customer", "c_custkey"),
+        ForeignKey("lineitem", ["l_custkey", "l_orderkey"], "orders", ["o_custkey", "o_orderkey"]),
+    ]
+    moved = tables["customer"].where("c_nationkey = 4").select(
+        "c_custkey", (F.col("c_custkey") + 1_000_000).alias("new")
+    )
+    out = changes.cascade_update(tables, links, "customer", moved, "c_custkey")
+    counts = out["lineitem"].groupBy("l_custkey", "l_orderkey").agg(F.count("*").alias("n_lines"))
+    same = [F.col("o_custkey") == F.col("l_custkey"), F.col("o_orderkey") == F.col("l_orderkey")]
+    return out["orders"].join(counts, same).select("o_orderkey", "o_custkey", "n_lines")
+
+
 @query(
     "check_pk",
     """SELECT l_orderkey, l_linenumber, CAST(count(*) AS BIGINT) AS n_rows FROM lineitem

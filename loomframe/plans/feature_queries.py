@@ -159,6 +159,19 @@ def stratified_split(spark, d):
     return splits.stratified_split(labels, "quality", 0.2, ["doc_id"], 7)
 
 
+@query(
+    "stratified_null",
+    f"""SELECT doc_id, nullif(quality, 1) AS quality, CASE WHEN row_number() OVER
+               (PARTITION BY quality ORDER BY {_draw('doc_id', 7)}, doc_id)
+               <= round(count(*) OVER (PARTITION BY quality) * 0.2::DOUBLE) THEN 1 ELSE 0 END
+               AS is_test FROM labels""",
+)
+def stratified_null(spark, d):
+    """Rows without a label are split like those of any label."""
+    labels = table(spark, d, "labels").select("doc_id", F.nullif("quality", F.lit(1)).alias("quality"))
+    return splits.stratified_split(labels, "quality", 0.2, ["doc_id"], 7)
+
+
 @query(
     "ordered_split",
     """SELECT o_orderkey, CASE WHEN row_number() OVER (ORDER BY o_orderdate, o_orderkey) <= 3000
@@ -282,7 +295,7 @@ def knn_impute(spark, d):
 
 # -- windows ---------------------------------------------------------------------------------
 
-PAST, HORIZON, TRAIN_ROWS = 5, 2, 3000
+PAST, HORIZON, TEST_SHARE = 5, 2, 0.18
 
 
 def event_windows(spark, d):
@@ -290,14 +303,15 @@ def event_windows(spark, d):
     events = table(spark, d, "events").select("ts", "event_id", "value")
     events = timeseries.add_season(events, "ts")
     order = ["ts", "event_id"]
-    marked = splits.ordered_split(events, order, TRAIN_ROWS)
+    marked = splits.tail_split(events, order, TEST_SHARE, ("train", "test"))
     return timeseries.create_windows(
         marked, PAST, HORIZON, ["value", "portion_year"], "value", order, part="part"
     )
 
 
 _SERIES = f"""e AS (SELECT ts, event_id, value, CAST(dayofyear(ts) AS DOUBLE) / 365.0::DOUBLE AS season,
-                    CASE WHEN row_number() OVER (ORDER BY ts, event_id) <= {TRAIN_ROWS}
+                    CASE WHEN row_number() OVER (ORDER BY ts, event_id)
+                              <= floor(count(*) OVER () * {1.0 - TEST_SHARE}::DOUBLE)
                     THEN 'train' ELSE 'test' END AS part FROM events),
     w AS (SELECT part, row_number() OVER o - 1 AS window_no,
           {', '.join(f"lead(value, {i}) OVER o AS x_value_{i}" for i in range(PAST))},

@@ -11,6 +11,15 @@ from loomframe.plans.registry import query
 from loomframe.sources.tables import table
 
 
+def _plain(markup: str) -> str:
+    """Text of markup in SQL: without tags and comments, with the usual entities read."""
+    text = f"regexp_replace({markup}, '(?s)<!--.*?-->|<[^>]*>', '', 'g')"
+    for entity, sign in h.ENTITIES.items():
+        sign = "chr(160)" if sign == "\u00a0" else "'" + sign.replace("'", "''") + "'"
+        text = f"replace({text}, '{entity}', {sign})"
+    return f"trim({text})"
+
+
 @query("project_fields", "SELECT p_partkey, p_brand, p_size FROM part")
 def project_fields(spark, d):
     return s.project(table(spark, d, "part"), include=[0, "p_brand", 4])
@@ -65,8 +74,8 @@ def cut_url(spark, d):
 
 @query(
     "typed_record",
-    """SELECT page_id, split_part(trim(url), '?page', 1) AS link,
-              trim(replace(regexp_extract(html, '(?s)<title>(.*?)</title>', 1), chr(160), '')) AS title,
+    f"""SELECT page_id, split_part(trim(url), '?page', 1) AS link,
+              trim(replace({_plain("regexp_extract(html, '(?s)<title>(.*?)</title>', 1)")}, chr(160), '')) AS title,
               COALESCE(TRY_CAST(regexp_extract(url, 'page=(\\d+)', 1) AS BIGINT), -1) AS page_no
        FROM pages""",
 )
@@ -292,7 +301,7 @@ def nan_to_null(spark, d):
 
 @query(
     "html_title",
-    """SELECT page_id, NULLIF(regexp_extract(html, '(?s)<title>(.*?)</title>', 1), '') AS title,
+    f"""SELECT page_id, NULLIF({_plain("regexp_extract(html, '(?s)<title>(.*?)</title>', 1)")}, '') AS title,
               NULLIF(regexp_extract(html, '<meta[^>]*name="description"[^>]*content="([^"]*)"', 1), '')
               AS description,
               regexp_extract_all(html, '(?s)<li(?:\\s[^>]*)?>(.*?)</li>', 1)[3] AS third_item
@@ -310,6 +319,23 @@ def html_title(spark, d):
     )
 
 
+@query(
+    "html_meta",
+    "SELECT page_id, url AS description, 'page ' || page_id || ' & more' AS heading FROM pages",
+)
+def html_meta(spark, d):
+    """Attributes in any order and quotes, and an element with markup and entities inside."""
+    page = F.concat(
+        F.lit("<META charset=x><meta content='"), "url", F.lit("' name='description'><h1 class=a>page <b>"),
+        F.col("page_id").cast("string"), F.lit("</b> &amp;<!-- x > y --> more </h1>"), "html",
+    )
+    return h.extract_html(
+        table(spark, d, "pages").select("page_id", page.alias("html")),
+        "html",
+        {"description": h.meta_content("html", "description"), "heading": h.tag_text("html", "h1")},
+    )
+
+
 @query(
     "html_links_exploded",
     """SELECT page_id, unnest(regexp_extract_all(html, '<a [^>]*href="([^"]*)"', 1)) AS link

@@ -79,6 +79,33 @@ def scan_csv_several_files(spark, d):
     return delimited.read_csv_typed(spark, paths, "k bigint, balance double", sep=";")
 
 
+@query(
+    "scan_csv_bad_rows",
+    """SELECT c_custkey AS k, c_acctbal AS balance, NULL AS line FROM customer WHERE c_custkey % 7 <> 0
+       UNION ALL SELECT NULL, NULL, c_custkey || ';oops' FROM customer WHERE c_custkey % 14 = 0
+       UNION ALL SELECT NULL, NULL, c_custkey || ';1.5;more' FROM customer WHERE c_custkey % 14 = 7""",
+)
+def scan_csv_bad_rows(spark, d):
+    """Lines with a wrong type or too many fields are set aside, none is lost."""
+    key = F.col("c_custkey").cast("string")
+    line = (
+        F.when(F.col("c_custkey") % 14 == 0, F.concat(key, F.lit(";oops")))
+        .when(F.col("c_custkey") % 14 == 7, F.concat(key, F.lit(";1.5;more")))
+        .otherwise(F.concat(key, F.lit(";"), F.col("c_acctbal").cast("string")))
+    )
+    path = new_path(spark, "csv")
+    customers = table(spark, d, "customer").select(line.alias("k;balance"))
+    customers.write.option("header", True).option("quote", "").option("sep", "|").csv(path)
+    schema = T.StructType().add("k", T.LongType()).add("balance", T.DoubleType())
+    good, bad = delimited.read_csv_checked(spark, path, schema, sep=";")
+    return good.withColumn("line", F.lit(None).cast("string")).unionByName(
+        bad.select(
+            F.lit(None).cast("bigint").alias("k"), F.lit(None).cast("double").alias("balance"),
+            F.col(delimited.QUARANTINE).alias("line"),
+        )
+    )
+
+
 _PART_FIELDS = T.StructType(
     [
         T.StructField("p_partkey", T.LongType()),

@@ -26,7 +26,10 @@ def _describe_one(source: str, c: str) -> str:
         {_r(f'quantile_cont({x}, 0.75)', 6)} AS q75, max({x}) AS max FROM {source}"""
 
 
-_MEASURES = ["l_quantity", "l_extendedprice", "l_discount", "l_linenumber"]
+_MEASURES = [
+    "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice",
+    "l_discount", "l_tax",
+]
 
 
 @query("describe", " UNION ALL ".join(_describe_one("lineitem", c) for c in _MEASURES))
@@ -35,7 +38,20 @@ def describe(spark, d):
     return _rounded(_rounded(stats, 4, "mean", "std"), 6, "q25", "q50", "q75")
 
 
-_ORDER_COLS = ["o_custkey", "o_orderstatus", "o_orderdate", "o_orderpriority"]
+@query(
+    "describe_nan",
+    _describe_one("(SELECT nullif(l_quantity, 1) AS l_quantity FROM lineitem)", "l_quantity"),
+)
+def describe_nan(spark, d):
+    """NaN counts as missing in every figure."""
+    x = F.when(F.col("l_quantity") == 1, float("nan")).otherwise(F.col("l_quantity"))
+    stats = st.describe(table(spark, d, "lineitem").select(x.alias("l_quantity")), ["l_quantity"])
+    return _rounded(_rounded(stats, 4, "mean", "std"), 6, "q25", "q50", "q75")
+
+
+_ORDER_COLS = [
+    "o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority"
+]
 
 
 @query(
@@ -61,6 +77,22 @@ def missing_counts(spark, d):
     return st.missing_counts(gaps, ["lang", "source"])
 
 
+@query(
+    "missing_nan",
+    """SELECT 'l_quantity' AS "column", CAST(count(*) FILTER (l_quantity = 1) AS BIGINT) AS n_missing
+       FROM lineitem UNION ALL SELECT 'l_tax', count(*) FILTER (l_tax = 0) FROM lineitem
+       UNION ALL SELECT 'l_linenumber', 0""",
+)
+def missing_nan(spark, d):
+    """NaN and NULL are both missing."""
+    gaps = table(spark, d, "lineitem").select(
+        F.when(F.col("l_quantity") == 1, float("nan")).otherwise(F.col("l_quantity")).alias("l_quantity"),
+        F.nullif("l_tax", F.lit(0.0)).alias("l_tax"),
+        "l_linenumber",
+    )
+    return st.missing_counts(gaps, ["l_quantity", "l_tax", "l_linenumber"])
+
+
 _CORR = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
 
 

@@ -51,7 +51,11 @@ def read_csv_typed(
     sep: str = ",",
     date_format: str = "yyyy-MM-dd",
 ) -> DataFrame:
-    """Declared types, a free separator, and one path or several with the same columns."""
+    """Declared types, a free separator, and one path or several with the same columns.
+
+    A header in another order, a value that does not fit its type, and a line with another number
+    of fields are errors; :func:`read_csv_checked` sets such lines aside instead.
+    """
     return (
         spark.read.schema(schema)
         .option("header", True)
@@ -59,8 +63,37 @@ def read_csv_typed(
         .option("quote", '"')
         .option("escape", '"')
         .option("dateFormat", date_format)
+        .option("enforceSchema", False)
+        .option("mode", "FAILFAST")
+        .csv(path)
+    )
+
+
+def read_csv_checked(
+    spark: SparkSession, path: str | list[str], schema: T.StructType, sep: str = ","
+) -> tuple[DataFrame, DataFrame]:
+    """Typed rows, and the lines with a wrong number of fields or a value of another type.
+
+    A header in another order is an error. Dates and timestamps are in their usual form.
+    """
+    raw = _string_schema([f.name for f in schema]).add(QUARANTINE, T.StringType())
+    lines = (
+        spark.read.schema(raw)
+        .option("header", True)
+        .option("sep", sep)
+        .option("quote", '"')
+        .option("escape", '"')
+        .option("enforceSchema", False)
+        .option("columnNameOfCorruptRecord", QUARANTINE)
         .csv(path)
     )
+    typed, bad = [], F.col(QUARANTINE).isNotNull()
+    for field in schema:
+        value = F.col(field.name).try_cast(field.dataType)
+        typed.append(value.alias(field.name))
+        bad = bad | (F.col(field.name).isNotNull() & value.isNull())
+    line = F.coalesce(QUARANTINE, _joined(lines, [f.name for f in schema], sep))
+    return lines.where(~bad).select(*typed), lines.where(bad).select(line.alias(QUARANTINE))
 
 
 def write_csv(df: DataFrame, path: str, sep: str = ",") -> None:

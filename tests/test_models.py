@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from conftest import rows
 from loomframe.models import classifiers as c, evaluation as ev, regression, selection as sel
-from loomframe.operators import encoding
+from loomframe.operators import aggregates, encoding
 
 
 @pytest.fixture(scope="module")
@@ -90,7 +90,7 @@ def test_margin_classifiers_learn(binary, make):
 
 
 def test_bagging_averages_probabilities(binary):
-    model = sel.Bagging(c.logreg(400), n=3, frac=0.7).fit(binary)
+    model = sel.Bagging(c.logreg(400), "id", n=3, frac=0.7).fit(binary)
     scored = model.transform(binary)
     total = F.aggregate(vector_to_array("probability"), F.lit(0.0), lambda a, v: a + v)
     assert scored.where(F.abs(total - 1) > 1e-9).count() == 0
@@ -171,3 +171,38 @@ def test_unknown_categories_are_all_zero(spark):
     model = encoding.column_transform(df, one_hot_cols=["k"], categories_of={"k": ["a", "b"]})
     wide = model.transform(df).select(vector_to_array("features")).collect()
     assert [r[0] for r in wide] == [[1.0, 0.0], [0.0, 0.0], [0.0, 0.0]]
+
+
+def test_bootstrap_is_free_of_the_partitioning(binary):
+    one = sel.bootstrap(binary, "id", 0.7, 3).groupBy("id").count()
+    other = sel.bootstrap(binary.repartition(3), "id", 0.7, 3).groupBy("id").count()
+    assert rows(one) == rows(other)
+    assert 0.6 < sum(n for _, n in rows(one)) / binary.count() < 0.8
+
+
+@pytest.mark.parametrize("degree, coef0", [(2, 0.0), (2, 2.0), (3, 1.0)])
+def test_polynomial_features_give_the_kernel(binary, degree, coef0):
+    poly = c.PolynomialFeatures(degree=degree, coef0=coef0)
+    got = poly.transform(binary.limit(4)).select("features", "poly").collect()
+    for a in got:
+        for b in got:
+            kernel = (a.features.dot(b.features) + coef0) ** degree
+            assert abs(a.poly.dot(b.poly) - kernel) < 1e-9 * max(1, abs(kernel))
+
+
+def test_scaling_is_fitted_with_the_model(binary):
+    raw = binary.withColumnRenamed("features", "raw")
+    model = c.scaled(c.logreg(400)).fit(raw.where("id < 100"))
+    mean = model.stages[0].mean.toArray()
+    part = [r.raw.toArray() for r in raw.where("id < 100").select("raw").collect()]
+    assert abs(mean - sum(part) / len(part)).max() < 1e-9
+
+
+def test_unlisted_classes_are_errors(spark):
+    df = spark.createDataFrame([(0, 0), (1, 2)], "y int, p int")
+    with pytest.raises(Exception, match="not listed"):
+        ev.confusion(df, "y", "p", [0, 1]).collect()
+    with pytest.raises(Exception, match="not listed"):
+        ev.compare_models({"m": df}, "y", "p", [0, 1]).collect()
+    with pytest.raises(Exception, match="not listed"):
+        aggregates.pivot_mean(df, "y", "p", [0], "y").collect()

@@ -110,6 +110,7 @@ def test_histogram_modes(spark):
 
 # -- windows ---------------------------------------------------------------------------------
 
+# A published series and its windows
 SERIES = [20.7, 17.9, 18.8, 14.6, 15.8, 15.8, 15.8, 17.4, 21.8, 20.0]
 
 
@@ -190,19 +191,10 @@ def test_salted_join_equals_a_plain_join(spark, skewed, how):
 def test_admission_with_a_hot_key(spark, skewed, monkeypatch):
     from loomframe.operators import changes, joins
 
-    monkeypatch.setattr(joins.salted_join, "__defaults__", ("inner", 50))
+    monkeypatch.setattr(joins.salted_join, "__defaults__", ("inner", 50, False))
     df, pdf = skewed
     rooms = df.select("k").distinct().withColumn("places", F.lit(300))
     judged = changes.judge_arrivals(df, rooms, "k", "places", ["id"]).toPandas()
     assert len(judged) == len(pdf)
     want = pdf.groupby("k").size().clip(upper=300)
     assert (judged.groupby("k").accepted.sum() == want).all()
-
-
-def test_large_groups_are_refused_as_arrays(spark, monkeypatch):
-    from loomframe.operators import aggregates
-
-    monkeypatch.setattr(aggregates, "MAX_MEMBERS", 3)
-    df = spark.createDataFrame([("a", i) for i in range(4)], "k string, m int")
-    with pytest.raises(ValueError, match="long form"):
-        aggregates.as_sets(df, ["k"], "m")

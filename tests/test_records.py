@@ -177,7 +177,7 @@ def test_html_fields(spark):
         },
     )
     assert rows(got) == [
-        (1, "T &amp; x", "Plot.", ["Ann", "Bob"], "$3"), (2, None, None, [], None)
+        (1, "T & x", "Plot.", ["Ann", "Bob"], "$3"), (2, None, None, [], None)
     ]
 
 
