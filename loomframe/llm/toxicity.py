@@ -24,11 +24,13 @@ from loomframe.session import stage
 
 #: Labelled documents the lexicon comes from, and documents with posterior labels the classifier
 #: is fitted on, at most.
-TRAIN_ROWS, FIT_ROWS = 12_000, 16_000
+TRAIN_ROWS, FIT_ROWS = 12_000, 8_000
 #: Voters from the lexicon, items considered for it, and the least share of toxic families of one.
 LEXICON, CANDIDATES, LEAST_SHARE = 56, 160, 0.02
 #: The least log-likelihood gain of an item, and the share with a stronger one that rules it out.
 LEAST_GAIN, CONTAINED = 15.0, 0.75
+#: Rows of the fit that a bucket must occur in to get a weight.
+LEAST_ROWS = 3
 #: A stem is a word's first bytes, of these lengths; it counts where this share of words has it.
 STEMS, STEM_SHARE = (4, 6, 8, 10), 0.01
 THRESHOLD = 0.7
@@ -350,18 +352,20 @@ def train(docs: DataFrame, labels: DataFrame) -> tuple[np.ndarray, float] | None
         order = np.argsort(text, kind="stable")
         text, bucket = text[order], _bucket(item[order])
         cuts = np.searchsorted(text, np.arange(batch.num_rows + 1))
-        lists = [bucket[a:b].tolist() for a, b in zip(cuts[:-1], cuts[1:])]
+        lists = [bucket[a:b].astype("<i4").tobytes() for a, b in zip(cuts[:-1], cuts[1:])]
         return pa.RecordBatch.from_arrays(
-            [batch.column(0), pa.array(model.posterior(fired)), pa.array(lists, pa.list_(pa.int32()))],
+            [batch.column(0), pa.array(model.posterior(fired)), pa.array(lists, pa.binary())],
             names=["doc_id", "label", "buckets"],
         )
 
-    rows = in_batches(sample, run, "doc_id long, label double, buckets array<int>", 1).toPandas()
+    rows = in_batches(sample, run, "doc_id long, label double, buckets binary", 1).toPandas()
     rows = rows.sort_values("doc_id", kind="stable")
-    size = rows["buckets"].map(len).to_numpy()
-    text = np.repeat(np.arange(len(rows)), size)
-    bucket = np.concatenate([np.zeros(0, np.int64), *(np.asarray(b, np.int64) for b in rows["buckets"])])
-    return fit_linear(text, bucket, rows["label"].to_numpy())
+    size = rows["buckets"].map(len).to_numpy(np.int64) // 4
+    text = np.repeat(np.arange(len(rows), dtype=np.int32), size)
+    bucket = np.frombuffer(b"".join(rows["buckets"]), "<i4")
+    # a bucket of fewer rows says nothing that carries over
+    often = np.bincount(bucket, minlength=BUCKETS)[bucket] >= LEAST_ROWS
+    return fit_linear(text[often], bucket[often], rows["label"].to_numpy())
 
 
 def score_texts(model: tuple[np.ndarray, float] | None, texts: list[str]) -> np.ndarray:
