@@ -4,14 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.feature import (
-    OneHotEncoder,
-    StringIndexer,
-    StringIndexerModel,
-    StandardScaler,
-    VectorAssembler,
-)
+from pyspark.ml import Transformer
+from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame, functions as F
 
 from loomframe.functions.scalar import equals_flag
@@ -64,44 +58,84 @@ def one_hot(
     return df.withColumns(_indicators(column, values)).drop(column)
 
 
+class ColumnTransform(Transformer):
+    """One vector of encoded, scaled and passed columns; made by :func:`column_transform`."""
+
+    def __init__(self, parts: dict[str, list[Column]], out: str, names: list[str]):
+        super().__init__()
+        self.parts, self.out, self.names = parts, out, names
+
+    def _transform(self, df: DataFrame) -> DataFrame:
+        cells = [cell.cast("double") for column in self.parts.values() for cell in column]
+        return df.withColumn(self.out, array_to_vector(F.array(*cells)))
+
+
 def column_transform(
     df: DataFrame,
     one_hot_cols: Sequence[str] = (),
     scaled_cols: Sequence[str] = (),
     passthrough: Sequence[str] = (),
-    categories_of: dict[str, Sequence[str]] | None = None,
+    categories_of: dict[str, Sequence] | None = None,
+    drop: dict[str, str] | None = None,
+    impute: dict[str, str] | None = None,
+    remainder: str = "drop",
     out: str = "features",
-) -> PipelineModel:
-    """Fit one transform per column and assemble the results; columns not named are dropped.
-
-    Categories are encoded in full, with zeros for unknown values, and can be given in advance.
+) -> ColumnTransform:
+    """Fit one transform per column and assemble the results, in the order they are named.
+
+    Categories are 0/1 values, zeros for unknown ones; ``categories_of`` gives them in advance,
+    and ``drop`` leaves out the ``first`` one, or does so ``if_binary``. ``scaled_cols`` are
+    centred and divided by the population deviation. ``impute`` fills a numeric column with its
+    ``mean`` or ``median`` before that. With ``remainder`` ``passthrough`` all other columns
+    follow as they are, otherwise they are dropped.
     """
-    stages, parts = [], []
-    given = categories_of or {}
-    for column in one_hot_cols:
-        index, vector = f"{column}__index", f"{column}__hot"
-        if column in given:
-            stages.append(
-                StringIndexerModel.from_labels(
-                    list(given[column]), inputCol=column, outputCol=index, handleInvalid="keep"
-                )
-            )
-        else:
-            stages.append(
-                StringIndexer(
-                    inputCol=column, outputCol=index,
-                    handleInvalid="keep", stringOrderType="alphabetAsc",
-                )
-            )
-        stages.append(OneHotEncoder(inputCol=index, outputCol=vector, dropLast=True))
-        parts.append(vector)
-    if scaled_cols:
-        stages.append(VectorAssembler(inputCols=list(scaled_cols), outputCol="__raw"))
-        stages.append(StandardScaler(inputCol="__raw", outputCol="__scaled", withMean=True))
-        parts.append("__scaled")
-    parts.extend(passthrough)
-    stages.append(VectorAssembler(inputCols=parts, outputCol=out))
-    return Pipeline(stages=stages).fit(df)
+    given, drops, fills = categories_of or {}, drop or {}, impute or {}
+    named = [*one_hot_cols, *scaled_cols, *passthrough]
+    rest = [c for c in df.columns if c not in named] if remainder == "passthrough" else []
+    facts = {c: _finite(c) for c in {*scaled_cols, *fills}}
+    sums = [
+        f(x).alias(f"{k}_{c}")
+        for c, x in facts.items()
+        for k, f in (("mean", F.avg), ("std", F.stddev_pop))
+    ]
+    fit = df.agg(*sums).first() if sums else None
+    medians = [c for c, how in fills.items() if how == "median"]
+    middle = (
+        {r["column"]: r["q_0"] for r in column_quantiles(df, medians, (0.5,)).collect()} if medians else {}
+    )
+
+    def value(c: str) -> Column:
+        x = F.col(c).cast("double")
+        return F.coalesce(_finite(c), F.lit(middle.get(c, fit[f"mean_{c}"]))) if c in fills else x
+
+    parts: dict[str, list[Column]] = {}
+    names: list[str] = []
+    for c in one_hot_cols:
+        values = list(given[c]) if c in given else categories(df, c)
+        how = drops.get(c)
+        if how == "first" or (how == "if_binary" and len(values) == 2):
+            values = values[1:]
+        parts[c] = [equals_flag(c, v) for v in values]
+        names += [f"{c}_{v}" for v in values]
+    for c in scaled_cols:
+        # filling with the mean or the median moves the moments
+        mean, std = fit[f"mean_{c}"], fit[f"std_{c}"]
+        if c in fills:
+            total = df.agg(
+                F.avg(value(c)).alias("m"), F.stddev_pop(value(c)).alias("s")
+            ).first()
+            mean, std = total["m"], total["s"]
+        parts[c] = [(value(c) - F.lit(mean)) / F.lit(std or 1.0)]
+        names.append(c)
+    for c in [*passthrough, *rest]:
+        parts[c] = [value(c)]
+        names.append(c)
+    return ColumnTransform(parts, out, names)
+
+
+def _finite(c: str) -> Column:
+    x = F.col(c).cast("double")
+    return F.when(~F.isnan(x), x)
 
 
 # -- scaling: parameters are scalar subqueries over the training rows -------------------------

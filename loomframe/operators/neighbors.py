@@ -1,5 +1,8 @@
 """Exact k nearest neighbours, for classification and for filling gaps.
 
+A classifier keeps a bounded number of labelled rows as one matrix, which all queries meet. To
+fill gaps, where any row can be a donor:
+
 Donor rows are cut into blocks of nearby rows, each with its bounding box. The boxes alone tell
 a query row how far its k-th neighbour can be at most, and so which blocks cannot hold any
 neighbour. Queries meet only the remaining blocks, one block per task, and each meeting returns
@@ -29,6 +32,7 @@ QUERY_ROWS = 20_000     # queries that meet one block in one task
 DONOR_ROWS = 50_000     # donors of one block in one task
 AXES = 3                # leading features by which rows count as nearby
 FEW_BLOCKS = 32         # up to here one round of meetings is cheaper than two
+LABELLED_ROWS, LABELLED_BYTES = 200_000, 256_000_000  # labelled rows of a classifier, at most
 ANY = -1                # target of a query that takes any donor
 
 
@@ -305,19 +309,65 @@ def _meetings(chosen: DataFrame, blocks: DataFrame, k: int, boxes: _Boxes) -> Da
     return sides[0].cogroup(sides[1]).applyInPandas(lambda a, b: _meet(a, b, k), _PAIRS)
 
 
+def _nearest_rows(q: np.ndarray, x: np.ndarray, k: int) -> np.ndarray:
+    """Row numbers in ``x`` of the ``k`` nearest rows for each row of ``q``; ties to the smaller.
+
+    NaN is left out of a distance, which is scaled up to the full number of features. Matrix
+    products find the candidates, with a margin; their exact distances decide.
+    """
+    k = min(k, len(x))
+    known_q, known_x = ~np.isnan(q), ~np.isnan(x)
+    q0, x0 = np.where(known_q, q, 0.0), np.where(known_x, x, 0.0)
+    shared = known_q.astype(float) @ known_x.T
+    far = (q0**2) @ known_x.T + known_q @ (x0**2).T - 2 * q0 @ x0.T
+    far = np.where(shared > 0, far * q.shape[1] / np.maximum(shared, 1), np.inf)
+    bar = np.partition(far, k - 1, axis=1)[:, k - 1 : k]
+    scale = (q0**2).sum(1, keepdims=True) + (x0**2).sum(1).max(initial=0.0)
+    row, col = np.nonzero(far <= bar + 1e-9 * scale + 1e-12)
+    both = known_q[row] & known_x[col]
+    gap = np.where(both, q0[row] - x0[col], 0.0)
+    n = both.sum(1)
+    exact = np.where(n > 0, (gap * gap).sum(1) * q.shape[1] / np.maximum(n, 1), np.inf)
+    order = np.lexsort((col, exact, row))
+    row, col = row[order], col[order]
+    first = np.searchsorted(row, np.arange(len(q)))
+    return col[first[:, None] + np.arange(k)]
+
+
 def knn_votes(
-    train: DataFrame, test: DataFrame, key: str, x: Column, n_features: int, label: str, k: int = 5
+    train: DataFrame, test: DataFrame, key: str, x: Column, n_features: int, label: str, k: int = 5,
+    max_rows: int = LABELLED_ROWS,
 ) -> DataFrame:
     """Votes per test row and label among its ``k`` nearest training rows.
 
-    ``x`` is the array of features, and ``key`` a bigint that identifies a row.
+    ``x`` is the array of features, and ``key`` a bigint that identifies a row. At most
+    ``max_rows`` training rows take part, drawn by their key, and no more than fit in
+    LABELLED_BYTES: one matrix that every task receives. Test rows pass once, without a shuffle.
     """
-    queries = test.select(F.col(key).alias("query"), x.alias("x"), F.lit(ANY).alias("target"))
-    donors = train.select(F.col(key).alias("donor"), x.alias("x"))
-    pairs = nearest(queries, donors, n_features, k).select("query", "donor")
-    labels = train.select(F.col(key).alias("donor"), F.col(label).alias("prediction"))
-    joined = pairs.join(labels, "donor")
-    return joined.groupBy(F.col("query").alias(key), "prediction").agg(F.count("*").alias("votes"))
+    spark = train.sparkSession
+    ship_package(spark)
+    rows = max(1, min(max_rows, LABELLED_BYTES // (8 * max(n_features, 1))))
+    kept = train.select(F.col(key).alias("donor"), x.alias("x"), F.col(label).alias("prediction"))
+    kept = kept.orderBy(F.xxhash64("donor"), "donor").limit(rows).toPandas().sort_values("donor")
+    kind = train.schema[label].dataType.simpleString()
+    schema = f"`{key}` bigint, prediction {kind}, votes bigint"
+    if kept.empty:
+        return spark.createDataFrame([], schema)
+    held = spark.sparkContext.broadcast((_matrix(kept["x"]), kept["prediction"].to_numpy()))
+
+    def vote(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        donors, labels = held.value
+        step = max(1, 4_000_000 // len(donors))
+        for batch in batches:
+            for at in range(0, len(batch), step):
+                some = batch.iloc[at : at + step]
+                near = _nearest_rows(_matrix(some["x"]), donors, k)
+                pairs = pd.DataFrame(
+                    {key: np.repeat(some[key].to_numpy(), near.shape[1]), "prediction": labels[near.ravel()]}
+                )
+                yield pairs.groupby([key, "prediction"], sort=False).size().rename("votes").reset_index()
+
+    return test.select(F.col(key).cast("bigint"), x.alias("x")).mapInPandas(vote, schema)
 
 
 def knn_classify(
@@ -325,6 +375,7 @@ def knn_classify(
 ) -> DataFrame:
     """Most frequent label among the ``k`` nearest training rows; ties go to the smaller label."""
     votes = knn_votes(train, test, key, x, n_features, label, k)
+    # all votes of a row come from one batch, but grouping keeps repeated rows together
     top = F.min(F.struct((-F.col("votes")).alias("neg"), F.col("prediction"))).alias("top")
     return votes.groupBy(key).agg(top).select(key, F.col("top.prediction").alias("prediction"))
 

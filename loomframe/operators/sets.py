@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame, Window as W, functions as F
+from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 
 def concat(dfs: Sequence[DataFrame]) -> DataFrame:
@@ -13,15 +13,20 @@ def concat(dfs: Sequence[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, dfs)
 
 
+def _digest(df: DataFrame) -> Column:
+    """256 bits that stand for a whole row, so that long texts do not travel as keys."""
+    return F.sha2(F.to_json(F.struct(*df.columns), {"ignoreNullFields": "false"}).cast("binary"), 256)
+
+
 def dedupe(df: DataFrame, cols: Sequence[str] = ()) -> DataFrame:
     """Distinct rows over all columns, or distinct values of some."""
     return (df.select(*cols) if cols else df).distinct()
 
 
 def duplicate_count(df: DataFrame, cols: Sequence[str] = ()) -> DataFrame:
-    """How many rows repeat an earlier row."""
-    groups = (df.select(*cols) if cols else df).groupBy(*(cols or df.columns))
-    copies = groups.agg(F.count("*").alias("n"))
+    """How many rows repeat an earlier row; only digests of the rows are shuffled."""
+    kept = df.select(*cols) if cols else df
+    copies = kept.select(_digest(kept).alias("d")).groupBy("d").agg(F.count("*").alias("n"))
     return copies.agg(F.coalesce(F.sum(F.col("n") - 1), F.lit(0)).alias("n_duplicates"))
 
 

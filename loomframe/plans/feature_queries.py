@@ -66,7 +66,7 @@ def one_hot_binary(spark, d):
         f"CAST(CASE WHEN p_type = '{t}' THEN 1 ELSE 0 END AS DOUBLE) AS f{i}"
         for i, t in enumerate(_TYPES)
     )
-    + f""", {_r('(p_size - (SELECT avg(p_size) FROM part)) / (SELECT stddev_samp(p_size) FROM part)', 6)}
+    + f""", {_r('(p_size - (SELECT avg(p_size) FROM part)) / (SELECT stddev_pop(p_size) FROM part)', 6)}
          AS f6, p_retailprice AS f7 FROM part""",
 )
 def column_transform(spark, d):
@@ -80,6 +80,41 @@ def column_transform(spark, d):
     return wide.withColumn("f6", round_half_up("f6", 6))
 
 
+_BRANDS = ["Brand#1", "Brand#2", "Brand#99"]
+_FILLED = "COALESCE(CAST(nullif(p_size, 7) AS DOUBLE), (SELECT median(nullif(p_size, 7)) FROM part))"
+
+
+@query(
+    "column_transform_full",
+    "SELECT p_partkey, "
+    + ", ".join(
+        f"CAST(CASE WHEN p_type = '{t}' THEN 1 ELSE 0 END AS DOUBLE) AS f{i}" for i, t in enumerate(_TYPES[1:])
+    )
+    + ", "
+    + ", ".join(
+        f"CAST(CASE WHEN p_brand = '{b}' THEN 1 ELSE 0 END AS DOUBLE) AS f{i + 5}" for i, b in enumerate(_BRANDS)
+    )
+    + f""", CAST(CASE WHEN p_size > 25 THEN 1 ELSE 0 END AS DOUBLE) AS f8,
+        {_r(f"({_FILLED} - (SELECT avg({_FILLED}) FROM part)) / (SELECT stddev_pop({_FILLED}) FROM part)", 6)} AS f9,
+        CAST(p_partkey AS DOUBLE) AS f10, p_retailprice AS f11 FROM part""",
+)
+def column_transform_full(spark, d):
+    """Dropped first and binary categories, given categories, imputing, and all other columns."""
+    part = table(spark, d, "part").select(
+        "p_partkey", "p_type", "p_brand",
+        F.when(F.col("p_size") > 25, "yes").otherwise("no").alias("dear"),
+        F.nullif("p_size", F.lit(7)).alias("p_size"), "p_retailprice",
+    )
+    model = encoding.column_transform(
+        part, one_hot_cols=["p_type", "p_brand", "dear"], scaled_cols=["p_size"],
+        categories_of={"p_brand": _BRANDS}, drop={"p_type": "first", "dear": "if_binary"},
+        impute={"p_size": "median"}, remainder="passthrough",
+    )
+    values = vector_to_array("features")
+    wide = model.transform(part).select("p_partkey", *[values[i].alias(f"f{i}") for i in range(12)])
+    return wide.withColumn("f9", round_half_up("f9", 6))
+
+
 @query(
     "standardize",
     f"""WITH s AS (SELECT *, {_draw('p_partkey', 3)} % 10000 < 3000 AS is_test FROM part),
