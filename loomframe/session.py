@@ -67,6 +67,26 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def _delete(spark: SparkSession, name: str) -> None:
+    path = spark._jvm.org.apache.hadoop.fs.Path(name)
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def discard(staged: DataFrame) -> None:
+    """Delete one staged copy that nothing reads any more.
+
+    Shuffle files of finished jobs go as well: Spark removes them when the driver collects its
+    garbage, which it is asked to do here.
+    """
+    spark = staged.sparkSession
+    folders = {name.rsplit("/", 1)[0] for name in staged.inputFiles()}
+    held = _staged.get(spark.sparkContext.applicationId, [])
+    for name in [n for n in held if any(f.endswith(n.split("://")[-1].split(":", 1)[-1]) for f in folders)]:
+        held.remove(name)
+        _delete(spark, name)
+    spark.sparkContext._jvm.System.gc()
+
+
 def drop_staged(spark: SparkSession) -> int:
     """Delete every :func:`new_path` of this application, and return the number of folders.
 
@@ -74,8 +94,6 @@ def drop_staged(spark: SparkSession) -> int:
     no longer run afterwards.
     """
     paths = _staged.pop(spark.sparkContext.applicationId, [])
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
     for name in paths:
-        path = spark._jvm.org.apache.hadoop.fs.Path(name)
-        path.getFileSystem(conf).delete(path, True)
+        _delete(spark, name)
     return len(paths)

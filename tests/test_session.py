@@ -30,3 +30,12 @@ def test_a_cluster_needs_the_setting(spark):
     assert session.shared_dir(_Stub("local[2]")) == session.shared_dir(_Stub("local[2]"))
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
         session.shared_dir(_Stub("yarn"))
+
+
+def test_one_staged_copy_can_go_alone(spark):
+    first, second = (session.stage(spark.range(n), "part") for n in (3, 4))
+    folder = os.path.dirname(first.inputFiles()[0].removeprefix("file:").replace("///", "/"))
+    assert os.path.exists(folder)
+    session.discard(first)
+    assert not os.path.exists(folder) and second.count() == 4
+    assert session.drop_staged(spark) >= 1
