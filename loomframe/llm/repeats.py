@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from loomframe.llm.common import slices, text_of
 from loomframe.llm.words import spread
-from loomframe.session import ship_package, stage
+from loomframe.session import discard, ship_package, stage
 
 #: Bytes in a repeat; bytes under the rolling hash; one trigger in so many places.
 SPAN, TRIGGER, EVERY = 200, 32, 128
@@ -282,10 +282,12 @@ def remove_repeats(docs: DataFrame, hot: int = HOT) -> DataFrame:
     parsed = stage(phrases(keyed), "phrases")
     shared = parsed.groupBy("trigger").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     spot = F.shiftleft("spot", 1).bitwiseOR((F.col("n") > hot).cast("long"))
-    spots = (
+    spots = stage(
         parsed.join(shared, "trigger").select("id", "own", spot.alias("spot"))
-        .groupBy("id", "own").agg(F.collect_set("spot").alias("spots"))
+        .groupBy("id", "own").agg(F.collect_set("spot").alias("spots")),
+        "spots",
     )
+    discard(parsed)  # before the texts are shuffled
 
     def extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -300,6 +302,7 @@ def remove_repeats(docs: DataFrame, hot: int = HOT) -> DataFrame:
         .drop("meet").mapInArrow(_compare, FOUND),
         "found",
     )
+    discard(spots)
     stretches = found.where(F.col("kind") == STRETCH).select("id", "own", F.col("cut").alias("s"), F.col("far").alias("e"))
     stretches = stretches.unionByName(_common(found))
     spans = stretches.groupBy("id", "own").agg(
