@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from loomframe.session import ship_package
 
 #: What an Arrow task handles at once: rows, and bytes of text (one longer text stands alone).
-ROWS, BYTES = 1024, 2_000_000
+ROWS, BYTES = 1024, 1_000_000
 
 
 def text_of(column: str = "text") -> Column:

@@ -11,7 +11,10 @@ from collections.abc import Callable
 import numpy as np
 
 #: Words remembered per task; beyond it the memory starts anew. Longer words are not remembered.
-MEMORY, LONGEST = 700_000, 255
+MEMORY, LONGEST = 1_200_000, 255
+
+#: New words that are encoded in one call.
+STEP = 50_000
 
 #: Distinct words -> their ids one after the other, and how many each word has.
 Encoder = Callable[[list[bytes]], tuple[np.ndarray, np.ndarray]]
@@ -85,7 +88,9 @@ class WordMemory:
             left, at = left[on], (at[on] + 1) & mask
 
     def _learn(self, low: np.ndarray, high: np.ndarray, words: list[bytes]) -> None:
-        flat, size = self._encode(words)
+        # some words at a time, as encoders hold much beside the ids
+        parts = [self._encode(words[at : at + STEP]) for at in range(0, len(words), STEP)]
+        flat, size = (np.concatenate(some) for some in zip(*parts))
         known, total = self._known, self._known + len(words)
         for name in ("_low", "_high", "_start", "_size"):
             setattr(self, name, _room(getattr(self, name), total))
@@ -97,7 +102,7 @@ class WordMemory:
         self._used += len(flat)
         self._known = total
         if 2 * total > len(self._slots):
-            self._slots = np.full(1 << int(4 * total).bit_length(), -1, np.int32)
+            self._slots = np.full(1 << int(3 * total).bit_length(), -1, np.int32)
             known = 0
         self._place(known)
 
