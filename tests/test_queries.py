@@ -6,9 +6,10 @@ import pytest
 
 import __spark_entry__ as entry
 from conftest import SF_DIR
+from loomframe.plans import CHECKS, QUERIES
+from loomframe.session import drop_staged
 from oracle_check import compare, connect
 
-QUERIES, CHECKS = entry.queries(), entry.oracle_sql()
 # models run Python and products of their own; neighbours run Python in tasks by design
 OWN_PLANS = {n for n in QUERIES if n.startswith("m_")} | {"knn_classify", "knn_impute"}
 UNWANTED = (
@@ -30,6 +31,7 @@ def con():
 def test_matches_sql(spark, con, name):
     inspect = None if name in OWN_PLANS else no_products_and_no_python
     ok, note, _ = compare(spark, con, name, SF_DIR, QUERIES, CHECKS, inspect)
+    drop_staged(spark)
     assert ok, note
 
 
@@ -41,6 +43,7 @@ def test_gives_rows(spark, con, name):
 
 def test_checks_belong_to_queries():
     assert set(CHECKS) <= set(QUERIES)
+    assert set(QUERIES) <= set(entry.queries()) and set(CHECKS) <= set(entry.oracle_sql())
 
 
 def test_entry(spark):
