@@ -11,7 +11,7 @@ from collections.abc import Callable
 import numpy as np
 
 #: Words remembered per task; beyond it the memory starts anew. Longer words are not remembered.
-MEMORY, LONGEST = 1_200_000, 255
+MEMORY, LONGEST = 1_500_000, 255
 
 #: New words that are encoded in one call.
 STEP = 50_000
@@ -59,7 +59,7 @@ class WordMemory:
     def _forget(self) -> None:
         self._slots = np.full(1 << 16, -1, np.int32)  # number of the word in a slot
         self._low, self._high = (np.zeros(1 << 15, np.uint64) for _ in range(2))
-        self._start, self._size = np.zeros(1 << 15, np.int64), np.zeros(1 << 15, np.int32)
+        self._start, self._size = np.zeros(1 << 15, np.uint32), np.zeros(1 << 15, np.uint16)
         self._flat, self._used, self._known = np.zeros(1 << 17, np.int32), 0, 0
 
     def _find(self, low: np.ndarray, high: np.ndarray) -> np.ndarray:
@@ -139,7 +139,8 @@ def _room(values: np.ndarray, needed: int) -> np.ndarray:
     """``values`` with room for ``needed`` of them."""
     if needed <= len(values):
         return values
-    return np.concatenate([values, np.zeros(max(needed, 2 * len(values)) - len(values), values.dtype)])
+    more = max(needed, len(values) * 5 // 4) - len(values)
+    return np.concatenate([values, np.zeros(more, values.dtype)])
 
 
 def per_text(ids: np.ndarray, ends: np.ndarray, words: np.ndarray) -> list[np.ndarray]:
