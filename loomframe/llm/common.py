@@ -25,25 +25,26 @@ def remainder(column: str, divisor: int) -> Column:
     return F.crc32(F.coalesce(F.col(column).cast("string"), F.lit("")).cast("binary")) % divisor
 
 
-def slices(batch: pa.RecordBatch, text: int) -> Iterator[pa.RecordBatch]:
-    """Parts of at most :data:`ROWS` rows and about :data:`BYTES` bytes in the column ``text``."""
-    size = pc.fill_null(pc.binary_length(batch.column(text)), 0).to_numpy(zero_copy_only=False)
-    upto, at = np.cumsum(size, dtype=np.int64), 0
+def slices(batch: pa.RecordBatch, text: int, size: int = BYTES) -> Iterator[pa.RecordBatch]:
+    """Parts of at most :data:`ROWS` rows and about ``size`` bytes in the column ``text``."""
+    length = pc.fill_null(pc.binary_length(batch.column(text)), 0).to_numpy(zero_copy_only=False)
+    upto, at = np.cumsum(length, dtype=np.int64), 0
     while at < batch.num_rows:
         before = upto[at - 1] if at else 0
-        end = min(at + ROWS, max(at + 1, int(np.searchsorted(upto, before + BYTES, "right"))))
+        end = min(at + ROWS, max(at + 1, int(np.searchsorted(upto, before + size, "right"))))
         yield batch.slice(at, end - at)
         at = end
 
 
 def in_batches(
-    df: DataFrame, function: Callable[[pa.RecordBatch], pa.RecordBatch], schema: str, text: int
+    df: DataFrame, function: Callable[[pa.RecordBatch], pa.RecordBatch], schema: str, text: int,
+    size: int = BYTES,
 ) -> DataFrame:
     """Apply ``function`` to the :func:`slices` of ``df`` by its column number ``text``."""
     ship_package(df.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            yield from map(function, slices(batch, text))
+            yield from map(function, slices(batch, text, size))
 
     return df.mapInArrow(run, schema)

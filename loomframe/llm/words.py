@@ -13,7 +13,7 @@ import numpy as np
 #: Words remembered per task; beyond it the memory starts anew. Longer words are not remembered.
 MEMORY, LONGEST = 1_500_000, 255
 
-#: New words that are encoded in one call.
+#: New words that are encoded in one call, if the encoder does not say otherwise.
 STEP = 50_000
 
 #: Distinct words -> their ids one after the other, and how many each word has.
@@ -52,8 +52,8 @@ def hash_words(joined: np.ndarray, start: np.ndarray, size: np.ndarray, which: i
 class WordMemory:
     """The ids of words met so far; all new words of a batch are encoded in one call."""
 
-    def __init__(self, encode: Encoder):
-        self._encode = encode
+    def __init__(self, encode: Encoder, step: int = STEP):
+        self._encode, self._step = encode, step
         self._forget()
 
     def _forget(self) -> None:
@@ -89,7 +89,7 @@ class WordMemory:
 
     def _learn(self, low: np.ndarray, high: np.ndarray, words: list[bytes]) -> None:
         # some words at a time, as encoders hold much beside the ids
-        parts = [self._encode(words[at : at + STEP]) for at in range(0, len(words), STEP)]
+        parts = [self._encode(words[at : at + self._step]) for at in range(0, len(words), self._step)]
         flat, size = (np.concatenate(some) for some in zip(*parts))
         known, total = self._known, self._known + len(words)
         for name in ("_low", "_high", "_start", "_size"):
