@@ -140,7 +140,7 @@ def search(rows: DataFrame, is_query: Column, nearest: int = NEAREST, recall: fl
     cosine in double precision; ties go to the smaller vec_id. A query's own vec_id is never its
     candidate. Vectors that are null, zero or hold null or non-finite numbers take no part, nor do
     rows without vec_id or of another dimension than most of the sample; a repeated row counts
-    once. If there are fewer candidates than asked, all of them are returned; an empty table gives
+    once, and a query with several vectors asks with the smallest. If there are fewer candidates than asked, all of them are returned; an empty table gives
     no rows. Other columns are not read.
     """
     spark = rows.sparkSession
@@ -174,7 +174,7 @@ def search(rows: DataFrame, is_query: Column, nearest: int = NEAREST, recall: fl
             [*batch.columns, pa.array(opened, pa.list_(pa.int64()))], names=["query_id", "v", "leaves"]
         )
 
-    asked = indexed.where(is_query).dropDuplicates(["vec_id"]).select(F.col("vec_id").alias("query_id"), "v")
+    asked = indexed.where(is_query).groupBy(F.col("vec_id").alias("query_id")).agg(F.min("v").alias("v"))
     asked = _in_rows(asked, routes, "query_id long, v array<double>, leaves array<long>")
     asked = stage(asked.select("query_id", "v", F.explode("leaves").alias("leaf")), "queries")
     meant = {r["leaf"]: r["count"] for r in asked.groupBy("leaf").count().collect()}
