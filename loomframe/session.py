@@ -5,12 +5,14 @@ from __future__ import annotations
 import os
 import shutil
 import tempfile
+import threading
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 _local_dirs: dict[str, str] = {}
 _shipped: set[str] = set()
+_shipping = threading.Lock()
 _staged: dict[str, list[str]] = {}
 
 
@@ -22,13 +24,14 @@ def ship_package(spark: SparkSession) -> None:
     """
     sc = spark.sparkContext
     package = os.path.dirname(os.path.abspath(__file__))
-    if sc.applicationId in _shipped or not os.path.isdir(package):
-        return
-    target = os.path.join(tempfile.mkdtemp(prefix="loomframe-zip-"), "loomframe")
-    sc.addPyFile(
-        shutil.make_archive(target, "zip", os.path.dirname(package), os.path.basename(package))
-    )
-    _shipped.add(sc.applicationId)
+    with _shipping:  # models of a grid are fitted by several threads
+        if sc.applicationId in _shipped or not os.path.isdir(package):
+            return
+        target = os.path.join(tempfile.mkdtemp(prefix="loomframe-zip-"), "loomframe")
+        sc.addPyFile(
+            shutil.make_archive(target, "zip", os.path.dirname(package), os.path.basename(package))
+        )
+        _shipped.add(sc.applicationId)
 
 
 def shared_dir(spark: SparkSession) -> str:
