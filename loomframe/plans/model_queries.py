@@ -442,7 +442,7 @@ _WIDTHS = [0.05, 0.5]
 def m_kernel_grid(spark, d):
     """The width of a kernel chosen by cross-validation."""
     rows = sel.fold_rows(_english(languages(spark, d)), 3, "doc_id", SEED)
-    kernel = c.svm_rbf(rows.count(), C=1.0, seed=SEED, max_iter=30)
+    kernel = c.svm_rbf(rows.count(), C=1.0, n_components=50, seed=SEED, max_iter=15)
     fourier = kernel.getStages()[0]
     grid = ParamGridBuilder().addGrid(fourier.gamma, _WIDTHS).build()
     _, results = sel.grid_search(c.scaled(kernel), grid, rows, 3)
