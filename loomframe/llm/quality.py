@@ -7,6 +7,8 @@ labels; the attention learns which passages decide.
 
 from __future__ import annotations
 
+from collections.abc import Iterable, Iterator
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
@@ -14,10 +16,10 @@ from pyspark.sql import DataFrame, functions as F
 from loomframe.llm.common import in_batches, remainder, text_of
 from loomframe.llm.features import labelled_sample, find_words
 
-#: Words in a passage; a text of more than PASSAGES of these has longer passages instead.
-PASSAGE, PASSAGES = 48, 64
-#: Labelled documents the model is fitted on, at most.
-TRAIN_ROWS = 6000
+#: Words in a passage, in texts of any length, and passages that are in memory at once.
+PASSAGE, PART = 48, 4096
+#: Labelled documents the model is fitted on, and passages drawn from each for the fit, at most.
+TRAIN_ROWS, TRAIN_PASSAGES = 6000, 64
 THRESHOLD = 0.7
 HIDDEN, GATES, ROUNDS, BATCH = 24, 12, 30, 64
 
@@ -49,53 +51,71 @@ def _share_repeated(group: np.ndarray, values: np.ndarray) -> np.ndarray:
     return again
 
 
-def passages_of(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """(features, text number) of all passages; a text without words has one of zeros."""
+def passage_parts(texts: list[str], part: int = PART) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(features, text number) of all passages in order, at most ``part`` at a time.
+
+    A text without words has one passage of zeros. Of the features only the share of repeated
+    word sequences looks beyond the passage, at what stands earlier in the text.
+    """
     words = find_words(texts)
-    count = np.bincount(words.text, minlength=len(texts))
-    step = np.maximum(PASSAGE, -(-count // PASSAGES))
-    first_word = np.cumsum(count) - count
-    nth = np.arange(len(words.text)) - first_word[words.text]
-    bags = np.maximum(1, -(-count // step))
+    h, count = words.hashes, np.bincount(words.text, minlength=len(texts))
+    bags = np.maximum(1, -(-count // PASSAGE))
     first_passage = np.cumsum(bags) - bags
-    passage = first_passage[words.text] + nth // step[words.text]
-    total = int(bags.sum())
+    nth = np.arange(len(words.text)) - (np.cumsum(count) - count)[words.text]
+    owner = first_passage[words.text] + nth // PASSAGE
     text = np.repeat(np.arange(len(texts)), bags)
-    n = np.bincount(passage, minlength=total)
-    per_word = np.maximum(n, 1)
-
-    def mean(values: np.ndarray) -> np.ndarray:
-        return np.bincount(passage, values, total) / per_word
-
-    # bytes belong to the passage of the word before them
-    reach = np.diff(np.append(words.start, len(words.joined)))
-    owner = np.repeat(passage, reach)
-    body = words.joined[words.start[0] :] if len(words.start) else words.joined[:0]
-    kinds = np.bincount(owner * KINDS + _CLASS[body], minlength=total * KINDS).reshape(total, KINDS)
-    shares = kinds / np.maximum(kinds.sum(1, keepdims=True), 1)
-    h, same = words.hashes, np.zeros(len(words.hashes), bool)
+    same = np.zeros(len(h), bool)
     same[1:] = (h[1:] == h[:-1]) & (words.text[1:] == words.text[:-1])
     grams = h.copy()
     for k in range(1, 4):
         grams[:-k] = grams[:-k] * np.uint64(0x9E3779B97F4A7C15) + h[k:]
-    last = _CLASS[words.joined[words.start + words.size - 1]] if len(h) else np.zeros(0, np.int64)
-    start = _CLASS[words.joined[words.start]] if len(h) else last
-    size = np.minimum(words.size, 40).astype(float)
-    mean_size = mean(size)
-    features = np.column_stack(
-        [
-            shares,
-            mean_size / 8,
-            np.sqrt(np.maximum(mean(size**2) - mean_size**2, 0)) / 8,
-            mean(same),
-            mean(_share_repeated(passage, h)),
-            mean(_share_repeated(words.text, grams)),
-            mean(last == 8),
-            mean(start == 1),
-            np.log1p(n) / 4,
-        ]
-    )
-    return features.astype(np.float32), text
+    again = _share_repeated(words.text, grams)
+    end = np.append(words.start[1:], len(words.joined))
+    for first in range(0, len(text), part):
+        total = min(part, len(text) - first)
+        a, b = np.searchsorted(owner, [first, first + total])
+        passage, start, length = owner[a:b] - first, words.start[a:b], words.size[a:b]
+        n = np.bincount(passage, minlength=total)
+        per_word = np.maximum(n, 1)
+
+        def mean(values: np.ndarray) -> np.ndarray:
+            return np.bincount(passage, values, total) / per_word
+
+        # bytes belong to the passage of the word before them
+        place = np.repeat(passage, end[a:b] - start)
+        body = words.joined[start[0] : end[b - 1]] if b > a else words.joined[:0]
+        kinds = np.bincount(place * KINDS + _CLASS[body], minlength=total * KINDS).reshape(total, KINDS)
+        size = np.minimum(length, 40).astype(float)
+        mean_size = mean(size)
+        features = np.column_stack(
+            [
+                kinds / np.maximum(kinds.sum(1, keepdims=True), 1),
+                mean_size / 8,
+                np.sqrt(np.maximum(mean(size**2) - mean_size**2, 0)) / 8,
+                mean(same[a:b]),
+                mean(_share_repeated(passage, h[a:b])),
+                mean(again[a:b]),
+                mean(_CLASS[words.joined[start + length - 1]] == 8),
+                mean(_CLASS[words.joined[start]] == 1),
+                np.log1p(n) / 4,
+            ]
+        )
+        yield features.astype(np.float32), text[first : first + total]
+
+
+def passages_of(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """(features, text number) of all passages; a text without words has one of zeros."""
+    parts = list(passage_parts(texts))
+    if not parts:
+        return np.zeros((0, SIZE), np.float32), np.zeros(0, np.int64)
+    return np.concatenate([x for x, _ in parts]), np.concatenate([t for _, t in parts])
+
+
+def draw_passages(key: int, n: int, most: int = TRAIN_PASSAGES) -> np.ndarray:
+    """Places, in order, of at most ``most`` of ``n`` passages; equal for equal keys."""
+    if n <= most:
+        return np.arange(n)
+    return np.sort(np.random.default_rng(key % (1 << 63)).choice(n, most, replace=False))
 
 
 # --- the model --------------------------------------------------------------------------------
@@ -113,12 +133,17 @@ class GatedAttention:
             "attend": start(GATES, 1)[:, 0], "score": start(HIDDEN, 1)[:, 0], "score0": np.zeros(1),
         }
 
-    def forward(self, x: np.ndarray, bag: np.ndarray, bags: int) -> dict[str, np.ndarray]:
+    def encode(self, x: np.ndarray) -> tuple[np.ndarray, ...]:
+        """Scaled features, representations, the gates' two factors and the attention of passages."""
         w = self.weights
         x = np.clip((x - self.mean) / self.scale, -6, 6)
         h = np.tanh(x @ w["encode"] + w["encode0"])
         v, u = np.tanh(h @ w["tanh"]), 1 / (1 + np.exp(-(h @ w["gate"])))
-        s = (v * u) @ w["attend"]
+        return x, h, v, u, (v * u) @ w["attend"]
+
+    def forward(self, x: np.ndarray, bag: np.ndarray, bags: int) -> dict[str, np.ndarray]:
+        w = self.weights
+        x, h, v, u, s = self.encode(x)
         top = np.full(bags, -np.inf)
         np.maximum.at(top, bag, s)
         e = np.exp(s - top[bag])
@@ -143,8 +168,20 @@ class GatedAttention:
             "attend": (f["v"] * f["u"]).T @ ds, "score": f["z"].T @ error, "score0": error.sum(keepdims=True),
         }
 
-    def score(self, x: np.ndarray, bag: np.ndarray, bags: int) -> np.ndarray:
-        return 1 / (1 + np.exp(-self.forward(x, bag, bags)["logit"]))
+    def score(self, parts: Iterable[tuple[np.ndarray, np.ndarray]], bags: int) -> np.ndarray:
+        """Scores of bags whose passages come in parts: sums of attention relative to the largest yet."""
+        w = self.weights
+        top, below, above = np.full(bags, -1e300), np.zeros(bags), np.zeros(bags)
+        for x, bag in parts:
+            _, h, _, _, s = self.encode(x)
+            new = top.copy()
+            np.maximum.at(new, bag, s)
+            shrink, e = np.exp(top - new), np.exp(s - new[bag])
+            below = below * shrink + np.bincount(bag, e, bags)
+            above = above * shrink + np.bincount(bag, e * (h @ w["score"]), bags)
+            top = new
+        logit = above / np.where(below > 0, below, 1) + w["score0"]
+        return 1 / (1 + np.exp(-logit))
 
 
 def fit(x: np.ndarray, bag: np.ndarray, label: np.ndarray) -> GatedAttention:
@@ -175,14 +212,16 @@ def train(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> GatedAt
     """The model of ``labels.quality`` from at most ``rows`` documents; None without both labels.
 
     Labels of the held-out remainder are not read. The features of these documents, at most
-    PASSAGES times SIZE numbers each, are fitted on the driver.
+    TRAIN_PASSAGES times SIZE numbers each, are fitted on the driver. A longer document takes
+    part with a random draw of its passages, which depends on its id and length only.
     """
     sample = labelled_sample(docs, labels, "quality", remainder("doc_id", 4) != 2, rows)
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         x, text = passages_of(batch.column(1).to_pylist())
         cuts = np.searchsorted(text, np.arange(batch.num_rows + 1))
-        flat = [x[a:b].ravel().tolist() for a, b in zip(cuts[:-1], cuts[1:])]
+        ids = batch.column(0).to_pylist()
+        flat = [x[a + draw_passages(i, b - a)].ravel().tolist() for i, a, b in zip(ids, cuts[:-1], cuts[1:])]
         return pa.RecordBatch.from_arrays(
             [batch.column(0), batch.column(2), pa.array(flat, pa.list_(pa.float32()))],
             names=["doc_id", "label", "x"],
@@ -203,8 +242,7 @@ def score_texts(model: GatedAttention | None, texts: list[str]) -> np.ndarray:
     """Scores between 0 and 1; 0.5 each without a model."""
     if model is None or not texts:
         return np.full(len(texts), 0.5)
-    x, bag = passages_of(texts)
-    return model.score(x, bag, len(texts))
+    return model.score(passage_parts(texts), len(texts))
 
 
 def assess(docs: DataFrame, labels: DataFrame) -> DataFrame:

@@ -93,6 +93,36 @@ def test_scores_of_odd_rows(spark, tables, module):
     assert [r.score for r in none] == [0.5 if module is quality else 0.0]
 
 
+def test_passages_keep_their_length_in_long_texts():
+    draw = random.Random(4)
+    alone = [" ".join(f"{draw.choice('abcXYZ')}{draw.randrange(10**9)}" for _ in range(quality.PASSAGE)) for _ in range(300)]
+    short, _ = quality.passages_of([f"{p} " for p in alone])
+    long, text = quality.passages_of(["", " ".join(alone), "x"])
+    assert text.tolist() == [0] + [1] * 300 + [2]
+    # the blank after the last word of a short text is doubled by the end of the line
+    assert np.allclose(long[1:-1, quality.KINDS :], short[:, quality.KINDS :])
+    assert np.allclose(long[1:-1, :3], short[:, :3], atol=0.01)
+    parts = list(quality.passage_parts(["", " ".join(alone), "x"], 7))
+    assert max(len(x) for x, _ in parts) == 7
+    assert np.array_equal(np.concatenate([x for x, _ in parts]), long)
+
+
+def test_scores_from_parts_equal_those_of_whole_texts():
+    model = quality.GatedAttention(np.zeros(quality.SIZE), np.ones(quality.SIZE))
+    texts = ["", "One two. " * 4000, "a b c", "$ % & " * 900, ""]
+    x, bag = quality.passages_of(texts)
+    whole = 1 / (1 + np.exp(-model.forward(x.astype(float), bag, len(texts))["logit"]))
+    assert np.allclose(model.score(quality.passage_parts(texts, 5), len(texts)), whole)
+    assert np.allclose(quality.score_texts(model, texts), whole)
+
+
+def test_drawn_passages_do_not_depend_on_the_batch():
+    assert quality.draw_passages(7, 64).tolist() == list(range(64))
+    drawn = quality.draw_passages(-7, 1000)
+    assert len(set(drawn)) == quality.TRAIN_PASSAGES and sorted(drawn) == drawn.tolist()
+    assert np.array_equal(drawn, quality.draw_passages(-7, 1000))
+
+
 def test_attention_gradient():
     draw = np.random.default_rng(0)
     x, bag, label = draw.normal(size=(9, 4)), np.array([0, 0, 1, 1, 1, 2, 2, 2, 2]), np.array([1.0, 0, 1])
