@@ -4,13 +4,13 @@ Many weak voters look at every document: one per word or word stem found in the
 rows, patterns of style, and the given labels themselves as one more fallible voter that speaks
 on few documents. A generative model of a hidden class estimates from their agreements how often
 each fires on either class, and which of them depend on each other; dependent voters share one
-vote. Its posterior labels train a linear classifier over hashed words and stems, and that
-classifier alone scores the documents.
+vote. Its posterior labels train a linear classifier over hashed words and stems of all rows that
+may be learned, and that classifier alone scores the documents.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -20,21 +20,25 @@ from pyspark.sql import DataFrame, functions as F
 from loomframe.llm.common import in_batches, remainder, slices, text_of
 from loomframe.llm.features import Words, find_words, labelled_sample
 from loomframe.llm.words import hash_words
-from loomframe.session import stage
+from loomframe.session import discard, ship_package, stage
 
-#: Labelled documents the lexicon comes from, and documents with posterior labels the classifier
-#: is fitted on, at most.
-TRAIN_ROWS, FIT_ROWS = 12_000, 8_000
+#: Labelled documents the lexicon comes from, at most.
+TRAIN_ROWS = 12_000
 #: Voters from the lexicon, items considered for it, and the least share of toxic families of one.
 LEXICON, CANDIDATES, LEAST_SHARE = 56, 160, 0.02
 #: The least log-likelihood gain of an item, and the share with a stronger one that rules it out.
 LEAST_GAIN, CONTAINED = 15.0, 0.75
-#: Rows of the fit that a bucket must occur in to get a weight.
-LEAST_ROWS = 3
+#: A bucket gets a weight where the errors of its rows sum to more than one row, and to more than
+#: this times the root of their number.
+DOUBT = 0.25
+#: Buckets that join the fit at a time; four passes for each time, if all join, and for each of PASSES.
+JOINING, PASSES = 48, 60
 #: A stem is a word's first bytes, of these lengths; it counts where this share of words has it.
 STEMS, STEM_SHARE = (4, 6, 8, 10), 0.01
 THRESHOLD = 0.7
 BUCKETS = 1 << 18
+#: Numbers of a summed vector that travel together.
+CHUNK = 4096
 
 #: Bytes: A-Z lowered, other ASCII signs and digits blank.
 FOLD = bytes(
@@ -189,6 +193,7 @@ def mine_lexicon(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) ->
         .limit(CANDIDATES)
         .collect()
     )
+    discard(families)
     found = np.array([r["item"] for r in best], np.int64).view(np.uint64)
     order = np.argsort(found)
     rank = np.empty(len(found), np.int64)
@@ -203,6 +208,7 @@ def mine_lexicon(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) ->
     lexicon = np.sort(found[chosen[:LEXICON]])
     _, fired = count_votes(sample, lexicon)
     _, toxic_fired = count_votes(sample.where("label > 0"), lexicon)
+    discard(sample)
     return Lexicon(lexicon, sum(by_label.values()), by_label[True], np.diag(fired), np.diag(toxic_fired))
 
 
@@ -295,40 +301,177 @@ def count_votes(docs: DataFrame, lexicon: np.ndarray) -> tuple[int, np.ndarray]:
 
 # --- the classifier ---------------------------------------------------------------------------
 
-def fit_linear(text: np.ndarray, bucket: np.ndarray, label: np.ndarray) -> tuple[np.ndarray, float]:
-    """Logistic regression with soft labels: an L1 penalty chooses buckets, which are then fitted
-    again with hardly any penalty, as the first fit makes all weights too small."""
-    used, column = np.unique(bucket, return_inverse=True)
-    value, bias = _descend(text, column, len(used), label, 1.5e-4, 300)
-    chosen = np.flatnonzero(np.abs(value) > 0.02 * np.abs(value).max(initial=0.0))
-    weights = np.zeros(BUCKETS)
-    if not len(chosen):
-        return weights, bias
-    place = np.full(len(used), -1)
-    place[chosen] = np.arange(len(chosen))
-    rows = place[column] >= 0
-    value, bias = _descend(text[rows], place[column[rows]], len(chosen), label, 1e-6, 600)
-    weights[used[chosen]] = value
-    return weights, bias
+@dataclass
+class Sums:
+    """Over all rows at some weights: loss, errors per bucket, and the curvature of active ones."""
+
+    loss: float
+    errors: np.ndarray
+    bias_error: float
+    curvature: np.ndarray
+
+
+def _chunks(whole: np.ndarray) -> pa.RecordBatch:
+    """The parts of a vector that are not all zero, with their numbers."""
+    parts = np.pad(whole, (0, -len(whole) % CHUNK)).reshape(-1, CHUNK)
+    some = np.flatnonzero(parts.any(1))
+    return pa.RecordBatch.from_arrays(
+        [pa.array(some), pa.array([parts[i].tobytes() for i in some], pa.binary())], names=["chunk", "part"]
+    )
+
+
+def _read_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """(row, bucket) pairs and labels of slices of staged rows."""
+    for batch in batches:
+        for some in slices(batch, 1):
+            lists = some.column(1).to_pylist()
+            row = np.repeat(np.arange(len(lists)), [len(x) // 4 for x in lists])
+            yield row, np.frombuffer(b"".join(lists), "<i4"), some.column(0).to_numpy(zero_copy_only=False)
+
+
+def _add_up(
+    rows: DataFrame, function: Callable[..., np.ndarray], size: int, tables: Callable[[], tuple] = tuple
+) -> np.ndarray:
+    """Sum over all rows of vectors made by ``function``; tasks and the driver hold one vector each.
+
+    ``tables`` makes the first arguments of ``function``, once a task.
+    """
+    def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total, first = np.zeros(size), tables()
+        for row, bucket, label in _read_rows(batches):
+            total += function(*first, row, bucket, label)
+        yield _chunks(total)
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums: dict[int, np.ndarray] = {}
+        for batch in batches:
+            for i, part in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                sums[i] = sums.get(i, 0) + np.frombuffer(part)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(list(sums), pa.int64()), pa.array([v.tobytes() for v in sums.values()], pa.binary())],
+            names=["chunk", "part"],
+        )
 
+    ship_package(rows.sparkSession)
+    # few long tasks, as each of them sends a vector
+    parts = rows.coalesce(max(1, rows.sparkSession.sparkContext.defaultParallelism)).mapInArrow(each, "chunk long, part binary")
+    whole = np.zeros(size + CHUNK)
+    for found in parts.repartition("chunk").mapInArrow(add, "chunk long, part binary").collect():
+        at = found["chunk"] * CHUNK
+        whole[at : at + CHUNK] = np.frombuffer(found["part"])
+    return whole[:size]
 
-def _descend(text, column, width, label, penalty, rounds) -> tuple[np.ndarray, float]:
-    """Accelerated proximal descent on the logistic loss; common columns take smaller steps."""
-    n = len(label)
-    scale = 1 / np.sqrt(np.maximum(np.bincount(column, minlength=width) / (0.02 * n), 1)) * np.sqrt(0.02 * n) / 10
-    bias = float(np.log((label.mean() + 1e-6) / (1 - label.mean() + 1e-6)))
-    value = ahead = np.zeros(width)
-    pace, step = 1.0, 20.0
-    for _ in range(rounds):
-        odds = bias + np.bincount(text, (ahead * scale)[column], n)
-        error = 1 / (1 + np.exp(-np.clip(odds, -30, 30))) - label
-        moved = ahead - step * np.bincount(column, error[text], width) * scale / n
-        new = np.sign(moved) * np.maximum(np.abs(moved) - step * penalty, 0)
-        bias -= 2.0 * error.mean()
-        faster = (1 + np.sqrt(1 + 4 * pace * pace)) / 2
-        ahead = new + (pace - 1) / faster * (new - value)
-        value, pace = new, faster
-    return value * scale, bias
+
+def sums_at(rows: DataFrame, weights: np.ndarray, bias: float, active: np.ndarray, full: bool = True) -> Sums:
+    """The sums behind a Newton step, in one pass over ``rows`` (label, buckets as int32 bytes).
+
+    The errors of buckets that are not active are summed in ``full`` passes only.
+    """
+    k, m = len(active), BUCKETS if full else len(active)
+    used = np.flatnonzero(weights)
+    values = weights[used]  # whole tables would go to the tasks as a file each pass
+
+    def tables() -> tuple[np.ndarray, np.ndarray]:
+        weight, place = np.zeros(BUCKETS), np.full(BUCKETS, -1)
+        weight[used], place[active] = values, np.arange(k)
+        return weight, place
+
+    def one(weight: np.ndarray, place: np.ndarray, row: np.ndarray, bucket: np.ndarray, label: np.ndarray) -> np.ndarray:
+        n = len(label)
+        odds = np.clip(bias + np.bincount(row, weight[bucket], n), -30, 30)
+        p = 1 / (1 + np.exp(-odds))
+        loss = np.logaddexp(0, odds).sum() - (label * odds).sum()
+        spread = p * (1 - p)
+        curvature = np.zeros((k + 1, k + 1))
+        curvature[k, k] = spread.sum()
+        hit = np.flatnonzero(place[bucket] >= 0)
+        seen = slice(None) if full else hit
+        errors = np.bincount((bucket if full else place[bucket])[seen], (p - label)[row[seen]], m)
+        if len(hit):
+            some, own = np.unique(row[hit], return_inverse=True)
+            carries = np.zeros((len(some), k + 1))
+            carries[own, place[bucket[hit]]] = 1
+            carries[:, k] = 1
+            inner = carries.T @ (carries * spread[some, None])
+            inner[k, k] = curvature[k, k]
+            curvature = inner
+        return np.concatenate([errors, [loss, (p - label).sum()], curvature.ravel()])
+
+    whole = _add_up(rows, one, m + 2 + (k + 1) ** 2, tables)
+    errors = np.zeros(BUCKETS)
+    errors[slice(None) if full else active] = whole[:m]
+    return Sums(whole[m], errors, whole[m + 1], whole[m + 2 :].reshape(k + 1, k + 1))
+
+
+def _newton(value: np.ndarray, error: np.ndarray, curvature: np.ndarray, penalty: np.ndarray, ridge: float) -> np.ndarray:
+    """The weights that minimise the quadratic model with an L1 ``penalty`` each, by coordinates."""
+    inner = curvature + np.diag(np.full(len(value), ridge + 1e-9))
+    new, slope = value.copy(), error + ridge * value
+    for _ in range(200):
+        largest = 0.0
+        for j in range(len(value)):
+            at = new[j] - slope[j] / inner[j, j]
+            best = np.sign(at) * max(abs(at) - penalty[j] / inner[j, j], 0.0)
+            step = np.clip(best, value[j] - 4, value[j] + 4) - new[j]
+            if step:
+                new[j] += step
+                slope += step * inner[:, j]
+                largest = max(largest, abs(step))
+        if largest < 1e-5:
+            break
+    return new
+
+
+def fit_linear(rows: DataFrame) -> tuple[np.ndarray, float]:
+    """Logistic regression with soft labels over all ``rows`` (label, buckets as int32 bytes).
+
+    An L1 penalty chooses buckets, which are then fitted again with hardly any penalty, as the
+    first fit makes all weights too small. Newton steps, a pass over all rows each, move the active
+    buckets until the loss stands still; others join while their errors exceed the penalty, so
+    that at the end no bucket is left out that the penalty would let in.
+    """
+    n, share = rows.agg(F.count("label"), F.avg("label")).first()
+    weights = np.zeros(BUCKETS)
+    if not n:
+        return weights, 0.0
+    bias = float(np.log((share + 1e-6) / (1 - share + 1e-6)))
+    count = _add_up(rows, lambda row, bucket, label: np.bincount(bucket, minlength=BUCKETS).astype(float), BUCKETS)
+    penalty = np.maximum(1.0, DOUBT * np.sqrt(count))
+    weights, bias = _fit_active(rows, weights, bias, penalty, 0.0)
+    chosen = np.flatnonzero(weights)
+    return _fit_active(rows, weights, bias, np.where(weights != 0, 0.0, np.inf), 1e-2) if len(chosen) else (weights, bias)
+
+
+def _fit_active(rows: DataFrame, weights: np.ndarray, bias: float, penalty: np.ndarray, ridge: float) -> tuple[np.ndarray, float]:
+    """Newton steps until the loss stands still and no bucket has errors beyond its penalty."""
+    active = np.flatnonzero(weights)
+    kept, before = (weights, bias), np.inf
+    full = may_join = bool(np.isfinite(np.delete(penalty, active)).any())
+    for nth in range(4 * (PASSES + BUCKETS // JOINING)):
+        sums = sums_at(rows, weights, bias, active, full)
+        w = weights[active]
+        loss = sums.loss + (penalty[active] * np.abs(w)).sum() + ridge / 2 * (w**2).sum()
+        if loss > before + 1e-6 * abs(before):  # too far: half the way back
+            weights, bias = (weights + kept[0]) / 2, (bias + kept[1]) / 2
+            active = np.union1d(active, np.flatnonzero(weights))
+            continue
+        over = np.abs(sums.errors) - 1.02 * penalty
+        over[active] = 0  # as are, in a pass that is not full, all errors of others
+        joining = np.flatnonzero(over > 0)
+        joining = joining[np.argsort(-over[joining] / penalty[joining], kind="stable")][:JOINING]
+        still = before - loss < 1e-6 * abs(loss) + 1e-3
+        if still and full == may_join and not len(joining):
+            break
+        full = may_join and not full and (still or nth % 3 == 0)
+        kept, before = (weights, bias), loss
+        new = _newton(
+            np.append(w, bias), np.append(sums.errors[active], sums.bias_error), sums.curvature,
+            np.append(penalty[active], 0.0), ridge,
+        )
+        weights, bias = np.zeros(BUCKETS), float(new[-1])
+        weights[active] = new[:-1]
+        active = np.union1d(active[new[:-1] != 0], joining)
+    return weights, bias
 
 
 def train(docs: DataFrame, labels: DataFrame) -> tuple[np.ndarray, float] | None:
@@ -339,33 +482,25 @@ def train(docs: DataFrame, labels: DataFrame) -> tuple[np.ndarray, float] | None
     lexicon = mined.items
     n, together = count_votes(docs, lexicon)
     model = label_model(n, together, mined)
-    drawn = (
-        docs.where(F.col("doc_id").isNotNull() & (remainder("doc_id", 3) != 1))
-        .select("doc_id").orderBy(F.xxhash64("doc_id"), "doc_id").limit(FIT_ROWS)
-    )
-    sample = docs.select("doc_id", text_of().alias("text")).join(F.broadcast(drawn.distinct()), "doc_id").limit(FIT_ROWS)
+    sample = docs.where(F.col("doc_id").isNotNull() & (remainder("doc_id", 3) != 1)).select(text_of().alias("text"))
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        texts = batch.column(1).to_pylist()
-        fired = votes(texts, lexicon)
+        texts = batch.column(0).to_pylist()
         text, item = items(find_words(texts, FOLD), len(texts))
-        order = np.argsort(text, kind="stable")
-        text, bucket = text[order], _bucket(item[order])
+        # two items of a text may share a bucket
+        both = np.unique(text * BUCKETS + _bucket(item))
+        text, bucket = both // BUCKETS, (both % BUCKETS).astype("<i4")
         cuts = np.searchsorted(text, np.arange(batch.num_rows + 1))
-        lists = [bucket[a:b].astype("<i4").tobytes() for a, b in zip(cuts[:-1], cuts[1:])]
+        lists = [bucket[a:b].tobytes() for a, b in zip(cuts[:-1], cuts[1:])]
         return pa.RecordBatch.from_arrays(
-            [batch.column(0), pa.array(model.posterior(fired)), pa.array(lists, pa.binary())],
-            names=["doc_id", "label", "buckets"],
+            [pa.array(model.posterior(votes(texts, lexicon))), pa.array(lists, pa.binary())],
+            names=["label", "buckets"],
         )
 
-    rows = in_batches(sample, run, "doc_id long, label double, buckets binary", 1).toPandas()
-    rows = rows.sort_values("doc_id", kind="stable")
-    size = rows["buckets"].map(len).to_numpy(np.int64) // 4
-    text = np.repeat(np.arange(len(rows), dtype=np.int32), size)
-    bucket = np.frombuffer(b"".join(rows["buckets"]), "<i4")
-    # a bucket of fewer rows says nothing that carries over
-    often = np.bincount(bucket, minlength=BUCKETS)[bucket] >= LEAST_ROWS
-    return fit_linear(text[often], bucket[often], rows["label"].to_numpy())
+    rows = stage(in_batches(sample, run, "label double, buckets binary", 0), "posteriors")
+    fitted = fit_linear(rows)
+    discard(rows)
+    return fitted
 
 
 def score_texts(model: tuple[np.ndarray, float] | None, texts: list[str]) -> np.ndarray:
@@ -374,7 +509,9 @@ def score_texts(model: tuple[np.ndarray, float] | None, texts: list[str]) -> np.
         return np.zeros(len(texts))
     weights, bias = model
     text, item = items(find_words(texts, FOLD), len(texts), weights != 0)
-    odds = bias + np.bincount(text, weights[_bucket(item)], len(texts))
+    # once per bucket, as in the fit
+    both = np.unique(text * BUCKETS + _bucket(item))
+    odds = bias + np.bincount(both // BUCKETS, weights[both % BUCKETS], len(texts))
     return 1 / (1 + np.exp(-np.clip(odds, -30, 30)))
 
 

@@ -144,6 +144,38 @@ def test_attention_gradient():
         assert np.isclose((up - down) / 2e-5, slope[at], atol=1e-6), name
 
 
+def test_fit_covers_all_rows(spark):
+    draw = np.random.default_rng(5)
+    n, rare, common = 20_000, 200_000, 7
+    rows = []
+    for i in range(n):
+        words = set(draw.integers(1000, 1400, 6).tolist())
+        toxic = i % 10 == 3
+        if toxic:
+            words.add(rare if i in (3, 15_003) else common)
+        rows.append((float(toxic), bytearray(np.array(sorted(words), "<i4").tobytes())))
+    fitted = spark.createDataFrame(rows, "label double, buckets binary").repartition(6)
+    weights, bias = toxicity.fit_linear(fitted)
+    assert bias + weights[rare] > 1 and bias + weights[common] > 1 > 0 > bias  # two rows of 20,000 are enough
+    assert np.abs(weights[1000:1400]).max() < 1
+
+
+def test_sums_equal_those_of_one_task(spark):
+    draw = np.random.default_rng(6)
+    carries, label = draw.random((300, 5)) < 0.4, draw.random(300)
+    rows = [(float(y), bytearray(np.flatnonzero(c).astype("<i4").tobytes())) for c, y in zip(carries, label)]
+    weights, active = np.zeros(toxicity.BUCKETS), np.array([1, 4])
+    weights[:5] = draw.normal(size=5)
+    got = toxicity.sums_at(spark.createDataFrame(rows, "label double, buckets binary").repartition(5), weights, 0.3, active)
+    odds = 0.3 + carries @ weights[:5]
+    p = 1 / (1 + np.exp(-odds))
+    assert np.allclose(got.errors[:5], carries.T @ (p - label)) and not got.errors[5:].any()
+    assert np.isclose(got.loss, -(label * np.log(p) + (1 - label) * np.log1p(-p)).sum())
+    inner = np.column_stack([carries[:, active], np.ones(300)])
+    assert np.allclose(got.curvature, inner.T @ (inner * (p * (1 - p))[:, None]))
+    assert np.isclose(got.bias_error, (p - label).sum())
+
+
 def test_label_model_finds_the_rates():
     draw = np.random.default_rng(2)
     n, k, prior = 60_000, 6, 0.2
