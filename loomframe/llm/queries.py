@@ -19,6 +19,7 @@ from loomframe.llm import (
     secret_scan,
     simhash,
     toxicity,
+    turn_repair,
 )
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -152,3 +153,9 @@ def op4(spark: SparkSession, folder: str) -> DataFrame:
 )
 def op11(spark: SparkSession, folder: str) -> DataFrame:
     return collocations.collocations(read(spark, folder, "documents"))
+
+
+@query("op12_conversation_repair")
+def op12(spark: SparkSession, folder: str) -> DataFrame:
+    conversations = read(spark, folder, "conversations")
+    return turn_repair.report(conversations, turn_repair.damaged(conversations))
