@@ -11,6 +11,7 @@ from loomframe.llm import (
     chat,
     collocations,
     exact_dedup,
+    languages,
     neighbour_tree,
     packing,
     pieces,
@@ -159,3 +160,8 @@ def op11(spark: SparkSession, folder: str) -> DataFrame:
 def op12(spark: SparkSession, folder: str) -> DataFrame:
     conversations = read(spark, folder, "conversations")
     return turn_repair.report(conversations, turn_repair.damaged(conversations))
+
+
+@query("op13_language_id")
+def op13(spark: SparkSession, folder: str) -> DataFrame:
+    return languages.report(read(spark, folder, "documents"))

@@ -63,7 +63,7 @@ def test_all_documents_are_packed(steps):
 
 def test_each_operator_has_one_query():
     numbers = sorted(int(name[2:].split("_")[0]) for name in queries.QUERIES)
-    assert numbers == list(range(1, 11))
+    assert numbers == list(range(1, 14))
     assert [n for n, _ in corpus_pipeline.STAGES] == [
         "quality classifier", "exact dedup", "SimHash near-dedup", "secret scans", "packing"
     ]

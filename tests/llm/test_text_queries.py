@@ -19,6 +19,9 @@ COLUMNS = {
     "op7_nearest_neighbours": "query_id rank vec_id score",
     "op8_simhash_near_dedup": "doc_id fingerprint component_id",
     "op9_toxicity": "doc_id held_out score predicted",
+    "op11_phrase_collocations": "lang rank phrase a l r n score",
+    "op12_conversation_repair": "conv_id gaps blank duplicate truncated illegal cost audit repaired_sha256",
+    "op13_language_id": "doc_id held_out lang_pred score",
 }
 
 
