@@ -24,6 +24,7 @@ from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
@@ -31,7 +32,7 @@ from loomframe.llm.common import slices, text_of
 from loomframe.session import discard, ship_package, stage
 
 #: Words a block holds, and bytes after which a text is cut (at the next separator).
-BLOCK, CUT = 1_000_000, 2_000_000
+BLOCK, CUT = 400_000, 2_000_000
 
 #: Bits of the map of frequent groups; at most 2 MB, whatever the number of groups.
 BITS = 1 << 24
@@ -49,6 +50,17 @@ _WORD = re.compile(rb" *[^ \n]+")
 
 # --- the relation of single words ---------------------------------------------------------------
 
+def _pack(values: np.ndarray) -> bytes:
+    """Whole numbers below 2**31 by the planes of their bytes, compressed."""
+    planes = np.ascontiguousarray(values, "<i4").view(np.uint8).reshape(-1, 4).T
+    return zstandard.ZstdCompressor(level=1).compress(planes.tobytes())
+
+
+def _numbers(packed: bytes) -> np.ndarray:
+    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(packed), np.uint8).reshape(4, -1)
+    return np.ascontiguousarray(planes.T).view("<i4").ravel()
+
+
 def _cuts(raw: bytes, tail: int, cut: int) -> Iterator[tuple[bytes, bytes]]:
     """A normalised text in parts of about ``cut`` bytes, each with the next ``tail`` words."""
     at = 0
@@ -105,7 +117,7 @@ class _Block:
         ]
         langs, words, counts, numbers = (list(c) for c in zip(*listed)) if listed else ([], [], [], [])
         return (
-            block, at.astype(np.int32).tobytes(), code.tobytes(), np.packbits(own).tobytes(),
+            block, _pack(np.diff(at, prepend=0)), _pack(code), np.packbits(own).tobytes(),
             langs, words, counts, numbers, list(self.sizes), list(self.sizes.values()),
         )
 
@@ -178,7 +190,7 @@ def _pairs(at: np.ndarray, code: np.ndarray) -> tuple[np.ndarray, np.ndarray, np
 
 
 def _unpack(row: dict) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    at, code = np.frombuffer(row["at"], np.int32), np.frombuffer(row["code"], np.int32)
+    at, code = np.cumsum(_numbers(row["at"]), dtype=np.int64), _numbers(row["code"])
     return at, code, np.unpackbits(np.frombuffer(row["own"], np.uint8), count=len(at)).astype(bool)
 
 
@@ -207,7 +219,7 @@ def _kept(row: dict, at: np.ndarray, code: np.ndarray, own: np.ndarray) -> tuple
     place = np.minimum(np.searchsorted(numbers, code), len(numbers) - 1)
     stays = numbers[place] == code
     return (
-        row["block"], at[stays].tobytes(), place[stays].astype(np.int32).tobytes(),
+        row["block"], _pack(np.diff(at[stays], prepend=0)), _pack(place[stays]),
         np.packbits(own[stays]).tobytes(), ids.tobytes(),
     )
 
