@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from loomframe.functions.scalar import round_half_up, row_mean
+from loomframe.functions.scalar import round_half_up, row_mean, without_nan
 
 
 def _known(df: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -32,9 +32,9 @@ def group_sum(df: DataFrame, keys: Sequence[str], amount: Column, name: str) ->
 
 
 def group_mean(df: DataFrame, keys: Sequence[str], cols: Sequence[str], digits: int = 2) -> DataFrame:
-    """Rounded mean of several columns per known key."""
+    """Rounded mean of several columns per known key; NaN is missing."""
     means = [round_half_up(F.avg(c), digits).alias(f"mean_{c}") for c in cols]
-    return _known(df, keys).groupBy(*keys).agg(*means)
+    return _known(without_nan(df, cols), keys).groupBy(*keys).agg(*means)
 
 
 def extremes(df: DataFrame, keys: Sequence[str], column: str) -> DataFrame:
@@ -195,7 +195,7 @@ def distinct_then_count(df: DataFrame, key: str, member: str) -> DataFrame:
 
 
 def mean_of_means(df: DataFrame, key: str, cols: Sequence[str], digits: int = 2) -> DataFrame:
-    """Mean over the group means of several columns."""
-    means = _known(df, [key]).groupBy(key).agg(*[F.avg(c).alias(f"__{c}") for c in cols])
+    """Mean over the group means of several columns; NaN is missing, as is a mean without values."""
+    means = _known(without_nan(df, cols), [key]).groupBy(key).agg(*[F.avg(c).alias(f"__{c}") for c in cols])
     mean = row_mean(*[f"__{c}" for c in cols])
     return means.select(key, round_half_up(mean, digits).alias("mean_score"))

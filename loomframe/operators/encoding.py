@@ -2,16 +2,18 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
+from functools import reduce
 
-from pyspark.ml import Transformer
-from pyspark.ml.functions import array_to_vector
+from pyspark.ml import Estimator, Model, Transformer
+from pyspark.ml.feature import OneHotEncoder, VectorAssembler
 from pyspark.sql import Column, DataFrame, functions as F
 
-from loomframe.functions.scalar import equals_flag
+from loomframe.functions.scalar import equals_flag, without_nan
+from loomframe.operators.ordering import number_rows
 from loomframe.operators.quantiles import column_quantiles, fit_row
+from loomframe.session import stage
 
-MAX_CATEGORIES = 10_000
 # Fixed value: the name of all rare categories together
 OTHER = "resto"
 
@@ -29,21 +31,32 @@ def lump_rare(df: DataFrame, column: str, n: int, other: str = OTHER) -> DataFra
 
 
 def categories(df: DataFrame, column: str) -> list:
-    """Known values of a category in ascending order; fails on a column that is no category."""
-    found = df.select(column).dropna().distinct().orderBy(column).limit(MAX_CATEGORIES + 1).collect()
-    if len(found) > MAX_CATEGORIES:
-        raise ValueError(f"{column} has more than {MAX_CATEGORIES} values: lump it first")
-    return [row[0] for row in found]
+    """Known values in ascending order. They become columns of a plan: for an open vocabulary,
+    which no schema should hold, there is :func:`category_index`."""
+    return [row[0] for row in df.select(column).dropna().distinct().orderBy(column).collect()]
 
 
 def _indicators(column: str, values: Sequence) -> dict[str, Column]:
-    return {f"{column}_{v}": equals_flag(column, v) for v in values}
-
+    """0/1 columns by name; points and backticks, which no name can be addressed with, become _."""
+    out: dict[str, Column] = {}
+    for v in values:
+        name = f"{column}_{v}".replace(".", "_").replace("`", "_")
+        while name in out:
+            name += "_"
+        out[name] = equals_flag(column, v)
+    return out
+
+
+def dummies(
+    df: DataFrame, cols: Sequence[str], drop_first: bool = True, values_of: Mapping[str, Sequence] | None = None
+) -> DataFrame:
+    """0/1 columns ``<column>_<value>`` in place of categories, without the first value each.
 
-def dummies(df: DataFrame, cols: Sequence[str], drop_first: bool = True) -> DataFrame:
-    """0/1 columns ``<column>_<value>`` in place of categories, without the first value each."""
+    ``values_of`` lists the values of a column, or they are learned.
+    """
     for column in cols:
-        values = categories(df, column)
+        given = (values_of or {}).get(column)
+        values = list(given) if given is not None else categories(df, column)
         df = df.withColumns(_indicators(column, values[1:] if drop_first else values)).drop(column)
     return df
 
@@ -58,16 +71,137 @@ def one_hot(
     return df.withColumns(_indicators(column, values)).drop(column)
 
 
+# -- categories of any number ------------------------------------------------------------------
+
+
+def category_index(df: DataFrame, column: str) -> DataFrame:
+    """``value, position``: all known values of a category in ascending order, from 0.
+
+    A stored table, however many values there are; none of them reaches the driver.
+    """
+    values = df.select(F.col(column).alias("value")).dropna().distinct()
+    return stage(
+        number_rows(values, ["value"], name="position").withColumn("position", F.col("position") - 1),
+        "categories",
+    )
+
+
+class SparseOneHot(Estimator):
+    """One sparse 0/1 vector per category, with a place for every value; built for open vocabularies.
+
+    Values are looked up by a join with their :func:`category_index`, so neither the plan nor the
+    driver grows with them. Unknown and missing values give a vector without ones. ``drop`` leaves
+    out the ``first`` value, or does so ``if_binary``. ``given`` lists values in place of learning.
+    """
+
+    def __init__(
+        self, cols: Sequence[str], suffix: str = "_hot", drop: Mapping[str, str] | None = None,
+        given: Mapping[str, Sequence] | None = None,
+    ):
+        super().__init__()
+        self.cols, self.suffix, self.drop, self.given = list(cols), suffix, dict(drop or {}), dict(given or {})
+
+    def _index(self, df: DataFrame, column: str) -> DataFrame:
+        if column not in self.given:
+            return category_index(df, column)
+        kind = df.schema[column].dataType.simpleString()
+        listed = [(v, i) for i, v in enumerate(dict.fromkeys(self.given[column]))]
+        return df.sparkSession.createDataFrame(listed, f"value {kind}, position bigint")
+
+    def _fit(self, df: DataFrame) -> "SparseOneHotModel":
+        indexes, sizes, shifts = {}, {}, {}
+        for column in self.cols:
+            indexes[column] = self._index(df, column)
+            n, how = indexes[column].count(), self.drop.get(column)
+            shifts[column] = 1 if how == "first" or (how == "if_binary" and n == 2) else 0
+            sizes[column] = max(n - shifts[column], 0)
+        # the encoder learns nothing but the number of places
+        places = df.sparkSession.createDataFrame(
+            [tuple(float(max(sizes[c], 1) - 1) for c in self.cols)], [f"__{c}" for c in self.cols]
+        )
+        encoder = OneHotEncoder(
+            inputCols=[f"__{c}" for c in self.cols], outputCols=[f"{c}{self.suffix}" for c in self.cols],
+            handleInvalid="keep", dropLast=True,
+        ).fit(places)
+        return SparseOneHotModel(self.cols, indexes, sizes, shifts, encoder)
+
+
+class SparseOneHotModel(Model):
+    """``indexes`` holds the position of each value, ``sizes`` the length of each vector."""
+
+    def __init__(self, cols, indexes, sizes, shifts, encoder):
+        super().__init__()
+        self.cols, self.indexes, self.sizes, self.shifts, self.encoder = cols, indexes, sizes, shifts, encoder
+
+    def _transform(self, df: DataFrame) -> DataFrame:
+        kept = df.columns
+        for column in self.cols:
+            size, shift = max(self.sizes[column], 1), self.shifts[column]
+            index = self.indexes[column].select(
+                F.col("value").alias(f"__v_{column}"), (F.col("position") - shift).alias(f"__p_{column}")
+            )
+            # an unknown or missing value, and a dropped one, point behind the last place
+            place = F.when(F.col(f"__p_{column}") >= 0, F.col(f"__p_{column}"))
+            df = df.join(index, df[column] == index[f"__v_{column}"], "left").withColumn(
+                f"__{column}", F.coalesce(place, F.lit(size)).cast("double")
+            )
+        return self.encoder.transform(df).select(*kept, *[f"{c}{self.suffix}" for c in self.cols])
+
+    @property
+    def suffix(self) -> str:
+        return self.encoder.getOutputCols()[0].removeprefix(self.cols[0])
+
+    def names(self) -> DataFrame:
+        """``column, value, place`` of every entry of the vectors; values as text."""
+        parts = [
+            index.where(F.col("position") >= self.shifts[c]).select(
+                F.lit(c).alias("column"), F.col("value").cast("string").alias("value"),
+                (F.col("position") - self.shifts[c]).alias("place"),
+            )
+            for c, index in self.indexes.items()
+        ]
+        return reduce(DataFrame.unionByName, parts)
+
+
 class ColumnTransform(Transformer):
     """One vector of encoded, scaled and passed columns; made by :func:`column_transform`."""
 
-    def __init__(self, parts: dict[str, list[Column]], out: str, names: list[str]):
+    def __init__(
+        self, hot: SparseOneHotModel | None, numbers: dict[str, Column], out: str, handle_invalid: str
+    ):
         super().__init__()
-        self.parts, self.out, self.names = parts, out, names
+        self.hot, self.numbers, self.out, self.handle_invalid = hot, numbers, out, handle_invalid
+
+    @property
+    def width(self) -> int:
+        return (sum(self.hot.sizes.values()) if self.hot else 0) + len(self.numbers)
+
+    def _cell(self, name: str, value: Column) -> Column:
+        known = F.when(~F.isnan(value), value)
+        if self.handle_invalid == "keep":
+            return F.coalesce(known, F.lit(float("nan")))
+        return F.coalesce(known, F.raise_error(F.lit(f"{name} has a missing value: impute it")).cast("double"))
 
     def _transform(self, df: DataFrame) -> DataFrame:
-        cells = [cell.cast("double") for column in self.parts.values() for cell in column]
-        return df.withColumn(self.out, array_to_vector(F.array(*cells)))
+        kept = [c for c in df.columns if c != self.out]
+        cells = {f"__n{i}": self._cell(c, x.cast("double")) for i, (c, x) in enumerate(self.numbers.items())}
+        df, inputs = df.withColumns(cells) if cells else df, []
+        if self.hot:
+            df = self.hot.transform(df)
+            inputs = [f"{c}{self.hot.suffix}" for c in self.hot.cols if self.hot.sizes[c]]
+        assembled = VectorAssembler(inputCols=[*inputs, *cells], outputCol=self.out, handleInvalid="keep")
+        return assembled.transform(df.drop(self.out)).select(*kept, self.out)
+
+
+class ColumnTransformer(Estimator):
+    """:func:`column_transform` as an estimator: inside a pipeline it is fitted on training rows only."""
+
+    def __init__(self, **settings):
+        super().__init__()
+        self.settings = settings
+
+    def _fit(self, df: DataFrame) -> ColumnTransform:
+        return column_transform(df, **self.settings)
 
 
 def column_transform(
@@ -80,16 +214,19 @@ def column_transform(
     impute: dict[str, str] | None = None,
     remainder: str = "drop",
     out: str = "features",
+    handle_invalid: str = "error",
 ) -> ColumnTransform:
     """Fit one transform per column and assemble the results, in the order they are named.
 
-    Categories are 0/1 values, zeros for unknown ones; ``categories_of`` gives them in advance,
-    and ``drop`` leaves out the ``first`` one, or does so ``if_binary``. ``scaled_cols`` are
-    centred and divided by the population deviation. ``impute`` fills a numeric column with its
-    ``mean`` or ``median`` before that. With ``remainder`` ``passthrough`` all other columns
-    follow as they are, otherwise they are dropped.
+    Categories are 0/1 values, zeros for unknown ones, sparse where that is shorter;
+    ``categories_of`` gives them in advance, and ``drop`` leaves out the ``first`` one, or does so
+    ``if_binary``. ``scaled_cols`` are centred and divided by the population deviation. ``impute``
+    fills a numeric column with its ``mean`` or ``median`` before that. A number that is still
+    missing (NULL or NaN) is an error that names its column, or NaN if ``handle_invalid`` is
+    ``keep``. With ``remainder`` ``passthrough`` all other columns follow as they are, otherwise
+    they are dropped.
     """
-    given, drops, fills = categories_of or {}, drop or {}, impute or {}
+    fills = impute or {}
     named = [*one_hot_cols, *scaled_cols, *passthrough]
     rest = [c for c in df.columns if c not in named] if remainder == "passthrough" else []
     facts = {c: _finite(c) for c in {*scaled_cols, *fills}}
@@ -108,15 +245,8 @@ def column_transform(
         x = F.col(c).cast("double")
         return F.coalesce(_finite(c), F.lit(middle.get(c, fit[f"mean_{c}"]))) if c in fills else x
 
-    parts: dict[str, list[Column]] = {}
-    names: list[str] = []
-    for c in one_hot_cols:
-        values = list(given[c]) if c in given else categories(df, c)
-        how = drops.get(c)
-        if how == "first" or (how == "if_binary" and len(values) == 2):
-            values = values[1:]
-        parts[c] = [equals_flag(c, v) for v in values]
-        names += [f"{c}_{v}" for v in values]
+    hot = SparseOneHot(one_hot_cols, drop=drop, given=categories_of).fit(df) if one_hot_cols else None
+    numbers: dict[str, Column] = {}
     for c in scaled_cols:
         # filling with the mean or the median moves the moments
         mean, std = fit[f"mean_{c}"], fit[f"std_{c}"]
@@ -125,12 +255,10 @@ def column_transform(
                 F.avg(value(c)).alias("m"), F.stddev_pop(value(c)).alias("s")
             ).first()
             mean, std = total["m"], total["s"]
-        parts[c] = [(value(c) - F.lit(mean)) / F.lit(std or 1.0)]
-        names.append(c)
+        numbers[c] = (value(c) - F.lit(mean)) / F.lit(std or 1.0)
     for c in [*passthrough, *rest]:
-        parts[c] = [value(c)]
-        names.append(c)
-    return ColumnTransform(parts, out, names)
+        numbers[c] = value(c)
+    return ColumnTransform(hot, numbers, out, handle_invalid)
 
 
 def _finite(c: str) -> Column:
@@ -138,7 +266,7 @@ def _finite(c: str) -> Column:
     return F.when(~F.isnan(x), x)
 
 
-# -- scaling: parameters are scalar subqueries over the training rows -------------------------
+# -- scaling: parameters are scalar subqueries over the training rows; NaN is missing ----------
 
 
 def _over(num: Column, den: Column) -> Column:
@@ -148,6 +276,7 @@ def _over(num: Column, den: Column) -> Column:
 
 def standardize(train: DataFrame, other: DataFrame, cols: Sequence[str]) -> DataFrame:
     """``other`` with columns centred and divided by the population deviation of ``train``."""
+    train, other = without_nan(train, cols), without_nan(other, cols)
     facts = [f.alias(f"{k}_{c}") for c in cols for k, f in (("mean", F.avg(c)), ("std", F.stddev_pop(c)))]
     fit = train.agg(*facts).select(F.struct("*")).scalar()
     return other.withColumns({c: _over(F.col(c) - fit[f"mean_{c}"], fit[f"std_{c}"]) for c in cols})
@@ -155,6 +284,7 @@ def standardize(train: DataFrame, other: DataFrame, cols: Sequence[str]) -> Data
 
 def minmax(train: DataFrame, other: DataFrame, cols: Sequence[str]) -> DataFrame:
     """``other`` with columns mapped so that the range of ``train`` becomes 0 to 1."""
+    train, other = without_nan(train, cols), without_nan(other, cols)
     facts = [f.alias(f"{k}_{c}") for c in cols for k, f in (("min", F.min(c)), ("max", F.max(c)))]
     fit = train.agg(*facts).select(F.struct("*")).scalar()
     return other.withColumns(
@@ -164,6 +294,7 @@ def minmax(train: DataFrame, other: DataFrame, cols: Sequence[str]) -> DataFrame
 
 def robust_scale(train: DataFrame, other: DataFrame, cols: Sequence[str]) -> DataFrame:
     """``other`` with columns minus the median of ``train`` over its interquartile range."""
+    train, other = without_nan(train, cols), without_nan(other, cols)
     q = column_quantiles(train, cols, (0.25, 0.5, 0.75))
     fit = fit_row(q, "column", cols, ("q_0", "q_1", "q_2"))
     return other.withColumns(

@@ -7,6 +7,7 @@ from itertools import combinations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from loomframe.functions.scalar import without_nan
 from loomframe.operators.joins import salted_join
 from loomframe.operators.quantiles import (
     column_quantiles,
@@ -17,12 +18,6 @@ from loomframe.operators.quantiles import (
 QUARTILES = (0.25, 0.5, 0.75)
 
 
-def without_nan(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """NaN in floating columns as NULL: a missing value like any other."""
-    floats = [c for c in cols if df.schema[c].dataType.simpleString() in ("float", "double")]
-    return df.withColumns({c: F.when(~F.isnan(c), F.col(c)) for c in floats}) if floats else df
-
-
 def profile_columns(df: DataFrame) -> DataFrame:
     """Position, name, type and number of known values of every column."""
     counts = df.agg(*[F.count(c).alias(c) for c in df.columns])

@@ -60,6 +60,21 @@ def group_mean(spark, d):
     return means.orderBy(F.desc("mean_l_quantity"), F.desc("mean_l_discount"))
 
 
+@query(
+    "group_mean_nan",
+    """SELECT l_returnflag, CAST(round(CAST(avg(nullif(l_quantity, 1)) AS DECIMAL(38,10)), 2) AS DOUBLE)
+              AS mean_l_quantity, CAST(round(CAST((avg(nullif(l_quantity, 1)) + avg(l_tax)) / 2
+              AS DECIMAL(38,10)), 2) AS DOUBLE) AS mean_score
+       FROM lineitem GROUP BY l_returnflag""",
+)
+def group_mean_nan(spark, d):
+    """NaN counts as missing in means, and in means of means."""
+    x = F.when(F.col("l_quantity") == 1, float("nan")).otherwise(F.col("l_quantity"))
+    lines = table(spark, d, "lineitem").select("l_returnflag", x.alias("l_quantity"), "l_tax")
+    means = agg.group_mean(lines, ["l_returnflag"], ["l_quantity"])
+    return means.join(agg.mean_of_means(lines, "l_returnflag", ["l_quantity", "l_tax"]), "l_returnflag")
+
+
 @query(
     "group_extremes",
     """SELECT event_type, min(value) AS min_value, max(value) AS max_value FROM events

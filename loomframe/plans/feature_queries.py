@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import functions as F
+from pyspark.sql.functions import unwrap_udt
 
 from loomframe.functions.scalar import round_half_up
 from loomframe.models.classifiers import CentredPCA
@@ -148,6 +149,74 @@ def _robust(c: str) -> str:
     return f"{_r(f'({x} - {q[1]}) / ({q[2]} - {q[0]})', 6)} AS {c}"
 
 
+def _with_nan(spark, d):
+    """Parts whose size is NaN where 7 divides it."""
+    size = F.when(F.col("p_size") % 7 == 0, float("nan")).otherwise(F.col("p_size").cast("double"))
+    return table(spark, d, "part").select("p_partkey", size.alias("size"))
+
+
+_SIZES = "(SELECT p_partkey, CASE WHEN p_size % 7 <> 0 THEN CAST(p_size AS DOUBLE) END AS size FROM part)"
+
+
+@query(
+    "standardize_nan",
+    f"""WITH f AS (SELECT avg(size) AS m, stddev_pop(size) AS s FROM {_SIZES})
+        SELECT p_partkey, {_r('(size - m) / s', 6)} AS size FROM {_SIZES}, f""",
+)
+def standardize_nan(spark, d):
+    """NaN is missing: it moves no moment and stays missing."""
+    part = _with_nan(spark, d)
+    return encoding.standardize(part, part, ["size"]).withColumn("size", round_half_up("size", 6))
+
+
+@query(
+    "minmax_nan",
+    f"""WITH f AS (SELECT min(size) AS lo, max(size) AS hi FROM {_SIZES})
+        SELECT p_partkey, {_r('(size - lo) / (hi - lo)', 6)} AS size FROM {_SIZES}, f""",
+)
+def minmax_nan(spark, d):
+    part = _with_nan(spark, d)
+    return encoding.minmax(part, part, ["size"]).withColumn("size", round_half_up("size", 6))
+
+
+@query(
+    "one_hot_open",
+    """SELECT p_partkey, CAST(place_name AS INTEGER) AS place_name, n_names,
+              CAST(place_brand AS INTEGER) AS place_brand, n_brands
+       FROM (SELECT p_partkey, dense_rank() OVER (ORDER BY p_name) - 1 AS place_name,
+                    (SELECT count(DISTINCT p_name) FROM part) AS n_names,
+                    nullif(dense_rank() OVER (ORDER BY p_brand), 1) - 2 AS place_brand,
+                    (SELECT count(DISTINCT p_brand) - 1 FROM part) AS n_brands FROM part)""",
+)
+def one_hot_open(spark, d):
+    """Every part name as a category of its own: the place of the one in each sparse vector."""
+    part = table(spark, d, "part").select("p_partkey", "p_name", "p_brand")
+    model = encoding.SparseOneHot(["p_name", "p_brand"], drop={"p_brand": "first"}).fit(part)
+    hot = model.transform(part)
+    place = lambda c: F.get(F.col(f"v_{c}.indices"), F.lit(0))
+    shown = hot.select("p_partkey", *[unwrap_udt(f"{c}_hot").alias(f"v_{c}") for c in ("p_name", "p_brand")])
+    return shown.select(
+        "p_partkey", place("p_name").alias("place_name"), F.col("v_p_name.size").cast("bigint").alias("n_names"),
+        place("p_brand").alias("place_brand"), F.col("v_p_brand.size").cast("bigint").alias("n_brands"),
+    )
+
+
+@query(
+    "column_transform_keep",
+    f"""WITH f AS (SELECT avg(size) AS m, stddev_pop(size) AS s FROM {_SIZES})
+        SELECT p_partkey, size IS NULL AS missing, {_r('(size - m) / s', 6)} AS size FROM {_SIZES}, f""",
+)
+def column_transform_keep(spark, d):
+    """A missing number stays missing in the vector, where that is asked for."""
+    part = _with_nan(spark, d)
+    model = encoding.column_transform(part, scaled_cols=["size"], handle_invalid="keep")
+    x = vector_to_array("features")[0]
+    known = F.when(~F.isnan(x), x)
+    return model.transform(part).select(
+        "p_partkey", F.isnan(x).alias("missing"), round_half_up(known, 6).alias("size")
+    )
+
+
 @query(
     "robust_scale",
     f"SELECT p_partkey, {_robust('p_size')}, {_robust('p_retailprice')} FROM part",

@@ -67,14 +67,14 @@ def nunique(spark, d):
 
 @query(
     "missing_counts",
-    """SELECT 'lang' AS "column", CAST(count(*) FILTER (lang = 'en') AS BIGINT) AS n_missing
-       FROM documents UNION ALL SELECT 'source', 0""",
+    """SELECT unnest(['doc_id', 'text', 'lang', 'source', 'n_chars']) AS "column",
+              unnest([count(*) - count(doc_id), count(*) - count(text), count(*) - count(nullif(lang, 'en')),
+                      count(*) - count(source), count(*) - count(n_chars)]) AS n_missing
+       FROM documents""",
 )
 def missing_counts(spark, d):
-    gaps = table(spark, d, "documents").select(
-        F.nullif("lang", F.lit("en")).alias("lang"), "source"
-    )
-    return st.missing_counts(gaps, ["lang", "source"])
+    gaps = table(spark, d, "documents").withColumn("lang", F.nullif("lang", F.lit("en")))
+    return st.missing_counts(gaps, gaps.columns)
 
 
 @query(
