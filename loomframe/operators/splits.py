@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from loomframe.operators.joins import salted_join
 from loomframe.operators.ordering import number_rows, seeded_hash
@@ -17,6 +17,11 @@ def hash_split(df: DataFrame, frac: float, key: Sequence[str], seed: int) -> Dat
     return df.withColumn("is_test", (draw < round(frac * buckets)).cast("int"))
 
 
+def fold_of(key: Sequence[str], k: int, seed: int) -> Column:
+    """Fold 0 .. k-1 of a row by its own key: of about equal sizes, and without a shuffle."""
+    return (seeded_hash(key, seed) % k).cast("int")
+
+
 def stratified_split(
     df: DataFrame, label: str, frac: float, key: Sequence[str], seed: int
 ) -> DataFrame:
