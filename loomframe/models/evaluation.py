@@ -114,6 +114,12 @@ def auc(df: DataFrame, label: str, score: str) -> DataFrame:
     return area.select((F.col("twice") / 2 / F.col("p") / F.col("n")).alias("auc"))
 
 
+def log_loss(df: DataFrame, label: str, probability: str | Column) -> DataFrame:
+    """Mean negative log of the probability given to the true one of two labels."""
+    p = F.col(probability) if isinstance(probability, str) else probability
+    return df.agg(F.avg(-F.log(F.when(F.col(label) == 1, p).otherwise(1 - p))).alias("log_loss"))
+
+
 def train_test_gap(train: DataFrame, test: DataFrame, label: str, prediction: str) -> DataFrame:
     """Accuracy on both parts and their difference."""
     a = accuracy(train, label, prediction).scalar()

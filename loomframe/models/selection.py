@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
 from functools import reduce
-from math import exp
 from multiprocessing.pool import ThreadPool
 
 from pyspark.ml import Estimator, Model, Pipeline
@@ -16,7 +15,7 @@ from pyspark.ml.tuning import CrossValidator
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from loomframe.models.classifiers import FEATURES, LABEL, RAW, CentredPCA
-from loomframe.operators.ordering import seeded_hash
+from loomframe.models.many import poisson_copies
 from loomframe.operators.splits import assign_folds
 from loomframe.session import stage
 
@@ -120,13 +119,7 @@ def bootstrap(df: DataFrame, key: str, frac: float, seed: int) -> DataFrame:
 
     The draw depends on the key and the seed alone, so it is the same on any partitioning.
     """
-    draw = (seeded_hash([key], seed) % 1_000_000) / F.lit(1_000_000.0)
-    copies, weight, below = F.lit(0), exp(-frac), 0.0
-    for times in range(1, 12):  # beyond that less than one row in a thousand million
-        below += weight
-        weight *= frac / times
-        copies = copies + (draw >= F.lit(below)).cast("int")
-    counted = df.withColumn("__copies", copies).where("__copies > 0")
+    counted = df.withColumn("__copies", poisson_copies(key, frac, [seed])[0]).where("__copies > 0")
     return counted.withColumn("__copy", F.explode(F.sequence(F.lit(1), "__copies"))).select(df.columns)
 
 

@@ -11,6 +11,7 @@ from loomframe.plans import (  # noqa: F401
     filter_queries,
     join_queries,
     lifecycle_queries,
+    many_queries,
     model_queries,
     scalar_queries,
     source_queries,
