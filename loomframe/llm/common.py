@@ -20,6 +20,25 @@ def text_of(column: str = "text") -> Column:
     return F.coalesce(F.col(column).cast("string"), F.lit(""))
 
 
+def whole_row(df: DataFrame) -> Column:
+    """All columns as one, so that columns beside it may have any name."""
+    return F.struct(*[F.col(f"`{c}`") for c in df.columns])
+
+
+def one_per_key(marked: DataFrame, kept: DataFrame) -> DataFrame:
+    """The ``row`` of each ``key`` in ``kept``; of several rows that with the smallest hash."""
+    found = marked.join(kept, "key", "left_semi")
+    return found.groupBy("key").agg(F.min_by("row", F.xxhash64("row")).alias("row")).select("row.*")
+
+
+def unused(columns: list[str], name: str) -> str:
+    """``name``, with as many underscores behind it as make it new among the columns."""
+    taken = {c.lower() for c in columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def remainder(column: str, divisor: int) -> Column:
     """crc32 of the id as text, modulo ``divisor``; null counts as the empty string."""
     return F.crc32(F.coalesce(F.col(column).cast("string"), F.lit("")).cast("binary")) % divisor

@@ -17,7 +17,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
-from loomframe.llm.common import text_of
+from loomframe.llm.common import one_per_key, text_of, whole_row
 from loomframe.session import ship_package, stage
 
 #: Distinct digests that one filter holds on average; buckets grow in number, not in size.
@@ -250,10 +250,17 @@ def dedup_table(docs: DataFrame) -> DataFrame:
 
 
 def keep_first(docs: DataFrame) -> DataFrame:
-    """One whole row per distinct text: that of the smallest doc_id; columns as they are."""
+    """One whole row per distinct text: that of the smallest doc_id; columns as they are.
+
+    Null text counts as empty, and rows without a doc_id come last. Of rows that share doc_id and
+    text the one with the smallest hash of all its columns stays. Other columns may have any name;
+    an empty table gives none.
+    """
     key = lambda digest: F.concat_ws(":", F.col("doc_id").cast("string"), digest)
     kept = dedup_table(docs.select("doc_id", "text")).where("kept").select(
-        key(F.col("text_sha256")).alias("_key")
+        key(F.col("text_sha256")).alias("key")
+    )
+    marked = docs.select(
+        whole_row(docs).alias("row"), key(F.sha2(normalised(text_of()).cast("binary"), 256)).alias("key")
     )
-    marked = docs.withColumn("_key", key(F.sha2(normalised(text_of()).cast("binary"), 256)))
-    return marked.join(kept, "_key", "left_semi").dropDuplicates(["_key"]).select(docs.columns)
+    return one_per_key(marked, kept)

@@ -22,7 +22,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from loomframe.llm.common import in_batches, text_of
+from loomframe.llm.common import in_batches, one_per_key, text_of, unused, whole_row
 from loomframe.llm.components import components
 from loomframe.session import ship_package, stage
 
@@ -229,24 +229,29 @@ def near_duplicates(
 
 
 def keep_one(docs: DataFrame, words: int = SHINGLE, bits: int = BITS) -> DataFrame:
-    """One document of each component, that with the smallest doc_id; columns as they are."""
+    """One document of each component, that with the smallest doc_id; columns as they are.
+
+    A component of rows without doc_id keeps the row with its smallest fingerprint. Of rows that
+    share doc_id and fingerprint the one with the smallest hash of all its columns stays. Texts
+    without words are one component. Other columns may have any name; an empty table gives none.
+    """
     found = near_duplicates(docs.select("doc_id", "text"), words, bits)
     key = lambda fp: F.concat_ws(":", F.col("doc_id").cast("string"), fp.cast("string"))
     # a component without ids keeps the row with its smallest fingerprint
     first = F.col("doc_id").eqNullSafe(F.col("component_id"))
     kept = (
         found.where(first).groupBy("doc_id", "root").agg(F.min("fp").alias("fp"))
-        .select(key(F.col("fp")).alias("_key"))
+        .select(key(F.col("fp")).alias("key"))
     )
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
-    at = docs.columns.index("text")
+    at, added = docs.columns.index("text"), unused(docs.columns, "_fp")
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         values = [fingerprint(t or "", words) for t in batch.column(at).to_pylist()]
         return pa.RecordBatch.from_arrays(
             [*batch.columns, pa.array(np.array(values, np.uint64).view(np.int64))],
-            names=[*batch.schema.names, "_fp"],
+            names=[*batch.schema.names, added],
         )
 
-    marked = in_batches(docs, run, f"{schema}, _fp long", at).withColumn("_key", key(F.col("_fp")))
-    return marked.join(kept, "_key", "left_semi").dropDuplicates(["_key"]).select(docs.columns)
+    marked = in_batches(docs, run, f"{schema}, {added} long", at)
+    return one_per_key(marked.select(whole_row(docs).alias("row"), key(F.col(added)).alias("key")), kept)

@@ -67,3 +67,31 @@ def test_each_operator_has_one_query():
     assert [n for n, _ in corpus_pipeline.STAGES] == [
         "quality classifier", "exact dedup", "SimHash near-dedup", "secret scans", "packing"
     ]
+
+
+def test_columns_of_any_name_and_ties_survive_the_dedup_stages(spark):
+    schema = "doc_id long, text string, _key string, _fp string, key int, row string, digest int"
+    data = [
+        (1, "one two three four", "k1", "f1", 5, "r", 1), (2, "one  two three four", "k2", "f2", 6, "r", 2),
+        (3, None, "k3", None, 7, "r", 3), (3, None, "k3", None, 7, "r", 3), (4, "", "k4", "f4", None, None, 4),
+        (None, "five six seven eight", "k5", "f5", 8, "r", 5), (6, "a b\tc", "x", "f", 1, "r", 6), (6, "a b c", "y", "f", 1, "r", 6),
+    ]
+    df = spark.createDataFrame(data, schema)
+    one, other = (corpus_pipeline.exact(spark, df.repartition(n), "") for n in (1, 5))
+    assert one.columns == df.columns and sorted(map(tuple, one.collect()), key=repr) == sorted(map(tuple, other.collect()), key=repr)
+    got = {r.doc_id: r for r in one.collect()}
+    assert set(got) == {1, 3, None, 6} and got[1]._key == "k1" and got[1]._fp == "f1" and got[3].key == 7 and got[None].digest == 5
+    near = corpus_pipeline.near(spark, df, "")
+    kept = {r.doc_id: r for r in near.collect()}
+    assert near.columns == df.columns and kept[1]._fp == "f1" and kept[3]._key == "k3" and len(kept) == near.count()
+
+
+def test_stages_on_empty_and_null_tables(spark, tmp_path):
+    labels = "doc_id long, quality int, toxic int"
+    spark.createDataFrame([], labels).write.parquet(f"{tmp_path}/labels.parquet")
+    schema = "doc_id long, text string, lang string, source string, n_chars long, _key int, _fp int"
+    for data in ([], [(None,) * 7] * 3, [(1, "x y z", None, None, 5, 1, 2)]):
+        docs = spark.createDataFrame(data, schema)
+        for _, function in corpus_pipeline.STAGES:
+            docs = stage(function(spark, docs, str(tmp_path)), "step")
+        assert docs.count() == (1 if data else 0)
