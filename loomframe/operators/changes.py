@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from loomframe.operators.joins import salted_join
 from loomframe.operators.ordering import number_rows
+from loomframe.session import stage
 
 
 def append_rows(df: DataFrame, rows: DataFrame, key: str, order_by: Sequence[str]) -> DataFrame:
@@ -160,6 +161,28 @@ def _marked(df: DataFrame, columns: Sequence[str], keys: DataFrame, mark: str) -
     return df.join(distinct, same, "left").drop(*named).withColumn(mark, F.coalesce(mark, F.lit(False)))
 
 
+def _closure(df: DataFrame, links: Sequence[ForeignKey], gone: DataFrame, names: list[str]) -> DataFrame:
+    """Keys of ``df`` that go because its own links, from child to parent row, lead to one in ``gone``.
+
+    Each round follows the keys of the round before only, and ends when it finds no new one; so a
+    circle of rows ends, too. A round is two joins on keys, stored; ``gone`` is part of the result.
+    """
+    found = stage(gone.select(*names).dropna().distinct(), "gone")
+    frontier = found
+    columns = list(dict.fromkeys([*names, *(c for link in links for c in _names(link.child_key))]))
+    keys = stage(df.select(*columns), "own-keys")
+    while not frontier.isEmpty():
+        reached = []
+        for link in links:
+            above = frontier.toDF(*[f"__p{i}" for i in range(len(names))])
+            same = [keys[c] == above[f"__p{i}"] for i, c in enumerate(_names(link.child_key))]
+            reached.append(keys.join(above, same, "left_semi").select(*names))
+        new = reduce(DataFrame.unionByName, reached).dropna().distinct()
+        frontier = stage(new.join(found, names, "left_anti"), "frontier")
+        found = stage(found.unionByName(frontier), "gone")
+    return found
+
+
 def cascade_delete(
     tables: dict[str, DataFrame],
     links: Sequence[ForeignKey],
@@ -171,9 +194,12 @@ def cascade_delete(
 
     ``doomed`` holds the keys to delete. A child goes when any of its cascading links points to a
     deleted row, on whatever path; otherwise its other links to deleted rows become NULL. Links
-    may be listed in any order, but must not form a circle.
+    may be listed in any order. A table may refer to itself, by its own parent key: then deletions
+    run down its rows to the end of every branch. Several tables must not form a circle.
     """
     out, removed = dict(tables), {}
+    own = {t: [k for k in links if k.child == k.parent == t] for t in tables}
+    links = [k for k in links if k.child != k.parent]
     for table in _top_down(links, root):
         df, columns = tables[table], tables[table].columns
         if table == root:
@@ -186,8 +212,21 @@ def cascade_delete(
                 df = _marked(df, _names(link.child_key), keys, f"__m{i}")
                 if link.on_delete == "cascade":
                     goes = goes | F.col(f"__m{i}")
+        down = [k for k in own.get(table, []) if k.on_delete == "cascade"]
+        if down:
+            names = _names(down[0].parent_key)
+            if any(_names(k.parent_key) != names for k in down):
+                raise ValueError(f"{table} refers to itself by different keys")
+            doomed_keys = _closure(tables[table], down, df.where(goes).select(*names), names)
+            # a row goes with its parent row, whether it has a key of its own or not
+            for i, link in enumerate(down):
+                df = _marked(df, _names(link.child_key), doomed_keys, f"__b{i}")
+                goes = goes | F.col(f"__b{i}")
         removed[table] = df.where(goes).select(columns)
         left = df.where(~goes)
+        for i, link in enumerate(k for k in own.get(table, []) if k.on_delete != "cascade"):
+            left = _marked(left, _names(link.child_key), removed[table].select(*_names(link.parent_key)), f"__s{i}")
+            left = left.withColumns({c: F.when(~F.col(f"__s{i}"), F.col(c)) for c in _names(link.child_key)})
         if table != root:
             for i, link in enumerate(incoming):
                 if link.on_delete != "cascade":

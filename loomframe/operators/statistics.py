@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 from itertools import combinations
 
 from pyspark.sql import Column, DataFrame, functions as F
@@ -62,6 +63,33 @@ def nunique(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     return counts
 
 
+#: Bits of a distinct sketch; its relative error is about 1.04 / 2 ** (bits / 2).
+SKETCH_BITS = 14
+
+
+def distinct_sketches(df: DataFrame, cols: Sequence[str], by: Sequence[str] = (), bits: int = SKETCH_BITS) -> DataFrame:
+    """``column, sketch`` per group: mergeable HyperLogLog sketches of the known values.
+
+    One pass; a sketch is a few kilobytes. Kept per part of a table, the sketches of new rows are
+    merged with the old ones (:func:`merge_sketches`), and no old row is read again.
+    """
+    texts = df.select(*by, *[F.col(c).cast("string").alias(c) for c in cols if c not in by])
+    wide = texts.groupBy(*by).agg(*[F.hll_sketch_agg(c, bits).alias(f"__{c}") for c in cols])
+    cells = [F.struct(F.lit(c).alias("column"), F.col(f"__{c}").alias("sketch")) for c in cols]
+    return wide.select(*by, F.inline(F.array(*cells)))
+
+
+def merge_sketches(*sketches: DataFrame) -> DataFrame:
+    """``column, sketch`` of all rows behind several tables of :func:`distinct_sketches`."""
+    together = reduce(DataFrame.unionByName, [s.select("column", "sketch") for s in sketches])
+    return together.groupBy("column").agg(F.hll_union_agg("sketch").alias("sketch"))
+
+
+def nunique_approx(sketches: DataFrame) -> DataFrame:
+    """Estimated distinct values per column, from sketches of any number of parts."""
+    return merge_sketches(sketches).select("column", F.hll_sketch_estimate("sketch").alias("n_distinct"))
+
+
 def missing_counts(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """Missing values per column; NaN is one."""
     df = without_nan(df, cols)

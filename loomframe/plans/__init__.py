@@ -16,5 +16,6 @@ from loomframe.plans import (  # noqa: F401
     scalar_queries,
     source_queries,
     statistic_queries,
+    stream_queries,
 )
 from loomframe.plans.registry import CHECKS, QUERIES  # noqa: F401

@@ -159,6 +159,37 @@ def cascade_delete(spark, d):
     return reduce(DataFrame.unionByName, counts)
 
 
+_TREE = """WITH RECURSIVE c AS (SELECT *, nullif(c_custkey // 3, 0) AS boss FROM customer),
+    gone AS (SELECT c_custkey FROM c WHERE c_custkey IN (2, 31)
+             UNION SELECT c.c_custkey FROM c JOIN gone ON c.boss = gone.c_custkey)"""
+
+
+@query(
+    "cascade_delete_tree",
+    f"""{_TREE} SELECT 'customer' AS name, count(*) AS n_rows, sum(c_custkey)::BIGINT AS total FROM c
+        WHERE c_custkey NOT IN (SELECT c_custkey FROM gone)
+        UNION ALL SELECT 'orders', count(*), sum(o_orderkey)::BIGINT FROM orders
+        WHERE o_custkey NOT IN (SELECT c_custkey FROM gone)""",
+)
+def cascade_delete_tree(spark, d):
+    """Customers below a deleted one go, on every level, and the orders of all of them."""
+    boss = F.expr("nullif(c_custkey div 3, 0)").cast("bigint")
+    tables = {"customer": table(spark, d, "customer").withColumn("boss", boss), "orders": table(spark, d, "orders")}
+    links = [
+        changes.ForeignKey("customer", "boss", "customer", "c_custkey"),
+        changes.ForeignKey("orders", "o_custkey", "customer", "c_custkey"),
+    ]
+    doomed = tables["customer"].where("c_custkey IN (2, 31)").select("c_custkey")
+    left = changes.cascade_delete(tables, links, "customer", doomed, "c_custkey")
+    counts = [
+        left[name].agg(F.count("*").alias("n_rows"), F.sum(key).cast("bigint").alias("total")).select(
+            F.lit(name).alias("name"), "n_rows", "total"
+        )
+        for name, key in (("customer", "c_custkey"), ("orders", "o_orderkey"))
+    ]
+    return reduce(DataFrame.unionByName, counts)
+
+
 @query(
     "set_null_delete",
     """SELECT c_custkey, CASE WHEN n_regionkey <> 1 THEN c_nationkey END AS c_nationkey

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from loomframe.functions.scalar import round_half_up
 from loomframe.models import classifiers as c, evaluation as ev, regression, selection as sel
+from loomframe.models.perceptron import MixedPerceptron
 from loomframe.operators import splits, timeseries
 from loomframe.plans.feature_queries import _SERIES, PAST, _draw, _r, event_windows
 from loomframe.plans.registry import query
@@ -308,7 +309,8 @@ def m_lda(spark, d):
 
 @query("m_perceptron", _good("perceptron"))
 def m_perceptron(spark, d):
-    return _judged("perceptron", c.scaled(c.perceptron()), languages(spark, d))
+    """The perceptron rule itself, mixed over partitions."""
+    return _judged("perceptron", c.scaled(MixedPerceptron(epochs=30)), languages(spark, d))
 
 
 @query("m_mlp", _good("mlp"))

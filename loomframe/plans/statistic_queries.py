@@ -65,6 +65,29 @@ def nunique(spark, d):
     return st.nunique(table(spark, d, "orders"), _ORDER_COLS)
 
 
+_EXACT = ("o_orderstatus", "o_orderpriority")  # few values: the sketch still holds each of them
+
+
+@query(
+    "nunique_approx",
+    " UNION ALL ".join(
+        f"""SELECT '{c}' AS "column", TRUE AS near, {f"count(DISTINCT {c})" if c in _EXACT else "CAST(NULL AS BIGINT)"}
+            AS n_few FROM orders"""
+        for c in _ORDER_COLS
+    ),
+)
+def nunique_approx(spark, d):
+    """Sketches of two parts of the orders, merged: within three per cent of the exact numbers."""
+    orders = table(spark, d, "orders")
+    half = F.col("o_orderkey") % 2 == 0
+    sketches = [st.distinct_sketches(orders.where(part), _ORDER_COLS) for part in (half, ~half)]
+    found = st.nunique_approx(st.merge_sketches(*sketches))
+    exact = st.nunique(orders, _ORDER_COLS).withColumnRenamed("n_distinct", "n_exact")
+    off = F.abs(F.col("n_distinct") - F.col("n_exact"))
+    few = F.when(F.col("column").isin(*_EXACT), F.col("n_distinct"))
+    return found.join(exact, "column").select("column", (off <= 0.03 * F.col("n_exact")).alias("near"), few.alias("n_few"))
+
+
 @query(
     "missing_counts",
     """SELECT unnest(['doc_id', 'text', 'lang', 'source', 'n_chars']) AS "column",

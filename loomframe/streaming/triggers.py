@@ -1,59 +1,56 @@
 """Insert triggers as Structured Streaming jobs.
 
-A trigger reacts to each inserted row. Here each micro-batch of new rows runs a job in
-``foreachBatch``. The state (a total or a count per key) is a versioned table: batch ``n`` reads
-version ``n - 1`` and overwrites version ``n``, so a batch that runs again after a failure gives
-the same result. Versions before the last one may be deleted at any time.
+A trigger reacts to each inserted row. The totals and the places taken per key are kept in Spark's
+own state store, which a micro-batch reads and writes only for the keys it holds; the checkpoint
+restores it after a failure. Results are appended to a folder, one part per batch: a batch that
+runs again overwrites its own part.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
-from loomframe.operators.changes import admit_until_full, taken_places
 
+def _part(root: str, batch: int) -> str:
+    return f"{root}/batch={batch}"
 
-def _version(root: str, batch: int) -> str:
-    return f"{root}/version={batch}"
 
+def _run(results: DataFrame, mode: str, root: str, checkpoint: str) -> StreamingQuery:
+    def store(batch: DataFrame, batch_id: int) -> None:
+        batch.write.mode("overwrite").parquet(_part(root, batch_id))
 
-def _advance(
-    spark: SparkSession, root: str, batch: int, change: DataFrame, key: str, total: str
-) -> None:
-    """Store the state after a batch: the state before it plus the change per key."""
-    if batch > 0:
-        before = spark.read.schema(change.schema).parquet(_version(root, batch - 1))
-        change = before.unionByName(change).groupBy(key).agg(F.sum(total).alias(total))
-    change.select(key, F.col(total)).write.mode("overwrite").parquet(_version(root, batch))
+    return (
+        results.writeStream.outputMode(mode).foreachBatch(store)
+        .option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    )
 
 
-def _run(stream: DataFrame, apply, checkpoint: str) -> StreamingQuery:
-    return (
-        stream.writeStream.foreachBatch(apply)
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start()
-    )
+def stored(spark: SparkSession, root: str, schema: T.StructType | str) -> DataFrame:
+    """What all batches have written, with the number of the ``batch``."""
+    kind = T._parse_datatype_string(schema) if isinstance(schema, str) else schema
+    return spark.read.schema(T.StructType([*kind.fields, T.StructField("batch", T.LongType())])).parquet(root)
 
 
 def rollup_batches(
     stream: DataFrame, key: str, amount: Column, root: str, checkpoint: str
 ) -> StreamingQuery:
-    """Keep the total amount per key up to date while rows arrive."""
+    """Keep the total amount per key up to date while rows arrive.
 
-    def apply(batch: DataFrame, batch_id: int) -> None:
-        change = batch.groupBy(key).agg(F.sum(amount).cast("decimal(38,2)").alias("total"))
-        _advance(batch.sparkSession, root, batch_id, change, key, "total")
-
-    return _run(stream, apply, checkpoint)
+    Each batch writes the new totals of the keys it has touched; :func:`totals` reads the last ones.
+    """
+    sums = stream.groupBy(key).agg(F.sum(amount).cast("decimal(38,2)").alias("total"))
+    return _run(sums, "update", root, checkpoint)
 
 
-def state(spark: SparkSession, root: str, schema: T.StructType | str, batch: int) -> DataFrame:
-    """The state after a batch."""
-    return spark.read.schema(schema).parquet(_version(root, batch))
+def totals(spark: SparkSession, root: str, key: str, kind: str) -> DataFrame:
+    """The total of each key after the last batch; ``kind`` is the type of the key."""
+    rows = stored(spark, root, f"`{key}` {kind}, total decimal(38,2)")
+    return rows.groupBy(key).agg(F.max_by("total", "batch").alias("total"))
 
 
 def admission_batches(
@@ -67,22 +64,26 @@ def admission_batches(
 ) -> StreamingQuery:
     """Admit arrivals while there is room, counting those of earlier batches first.
 
-    Accepted rows go to ``root/accepted``, the others to ``root/rejected``, one folder per batch.
+    Writes the arrivals with ``accepted`` 1 or 0. ``capacity`` is a static table with one row per
+    key; a NULL limit, or no row for the key, always admits. The state of a key is the number of
+    places taken. Rows of a key in one batch are put in order together, so a batch is to be bounded
+    (``maxFilesPerTrigger``).
     """
-    taken_root = f"{root}/taken"
-
-    def apply(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        taken = None
-        if batch_id > 0:
-            key_type = batch.schema[key].dataType.simpleString()
-            taken = state(spark, taken_root, f"{key} {key_type}, taken bigint", batch_id - 1)
-        result = admit_until_full(batch, capacity, key, limit, order_by, taken)
-        for part, rows in (("accepted", result.accepted), ("rejected", result.rejected)):
-            rows.write.mode("overwrite").parquet(_version(f"{root}/{part}", batch_id))
-        accepted = spark.read.schema(result.accepted.schema).parquet(
-            _version(f"{root}/accepted", batch_id)
-        )
-        _advance(spark, taken_root, batch_id, taken_places(accepted, key), key, "taken")
-
-    return _run(stream, apply, checkpoint)
+    room = capacity.select(F.col(key).alias("__key"), F.col(limit).cast("bigint").alias("__limit"))
+    arrivals = stream.join(room, stream[key] == room["__key"], "left").drop("__key")
+    columns, order = stream.columns, list(order_by)
+    schema = T.StructType([*stream.schema.fields, T.StructField("accepted", T.IntegerType())])
+
+    def admit(_: tuple, parts: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        taken = state.get[0] if state.exists else 0
+        rows = pd.concat(parts).sort_values(order, kind="stable", na_position="first").reset_index(drop=True)
+        most = rows["__limit"].iloc[0]
+        free = len(rows) if pd.isna(most) else max(int(most) - taken, 0)
+        accepted = (rows.index < free).astype("int32")
+        state.update((taken + int(accepted.sum()),))
+        yield rows[columns].assign(accepted=accepted)
+
+    judged = arrivals.groupBy(key).applyInPandasWithState(
+        admit, schema, "taken long", "append", GroupStateTimeout.NoTimeout
+    )
+    return _run(judged, "append", root, checkpoint)
