@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from loomframe.functions.scalar import round_half_up
-from loomframe.operators import statistics as st
+from loomframe.operators import gram, statistics as st
 from loomframe.plans.registry import query
 from loomframe.sources.tables import table
 
@@ -71,8 +71,8 @@ _EXACT = ("o_orderstatus", "o_orderpriority")  # few values: the sketch still ho
 @query(
     "nunique_approx",
     " UNION ALL ".join(
-        f"""SELECT '{c}' AS "column", TRUE AS near, {f"count(DISTINCT {c})" if c in _EXACT else "CAST(NULL AS BIGINT)"}
-            AS n_few FROM orders"""
+        f"""SELECT '{c}' AS "column", TRUE AS near,
+            {f"(SELECT count(DISTINCT {c}) FROM orders)" if c in _EXACT else "CAST(NULL AS BIGINT)"} AS n_few"""
         for c in _ORDER_COLS
     ),
 )
@@ -116,6 +116,36 @@ def missing_nan(spark, d):
     return st.missing_counts(gaps, ["l_quantity", "l_tax", "l_linenumber"])
 
 
+_WIDE = 8  # further columns made of each of the first ones
+
+
+def _widened(c: str, i: int) -> str:
+    return f"CASE WHEN l_orderkey % {i + 7} <> {i} THEN {c} * (1 + (l_orderkey * {i + 3} + l_linenumber) % {2 * i + 5}) END"
+
+
+@query(
+    "corr_wide",
+    "WITH w AS (SELECT "
+    + ", ".join(f"{_widened(c, i)} AS {c[2:5]}{i}" for c in ("l_quantity", "l_discount") for i in range(_WIDE))
+    + " FROM lineitem) "
+    + " UNION ALL ".join(
+        f"""SELECT '{a}' AS a, '{b}' AS b, CAST(round(CAST(corr({a}, {b}) AS DECIMAL(38,10)), 6) AS DOUBLE) AS corr,
+            CAST(count(CASE WHEN {a} IS NOT NULL AND {b} IS NOT NULL THEN 1 END) AS BIGINT) AS n FROM w"""
+        for a in [f"{c}{i}" for c in ("qua", "dis") for i in range(_WIDE)]
+        for b in [f"{c}{i}" for c in ("qua", "dis") for i in range(_WIDE)]
+        if a < b
+    ),
+)
+def corr_wide(spark, d):
+    """Correlations of many columns with gaps, from one matrix of sums."""
+    lines = table(spark, d, "lineitem")
+    wide = lines.select(
+        *[F.expr(_widened(c, i)).alias(f"{c[2:5]}{i}") for c in ("l_quantity", "l_discount") for i in range(_WIDE)]
+    )
+    found = gram.corr_pairs(wide, wide.columns).where("a < b")
+    return found.select("a", "b", round_half_up("corr", 6).alias("corr"), "n")
+
+
 _CORR = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
 
 
