@@ -17,5 +17,6 @@ from loomframe.plans import (  # noqa: F401
     source_queries,
     statistic_queries,
     stream_queries,
+    tree_queries,
 )
 from loomframe.plans.registry import CHECKS, QUERIES  # noqa: F401
