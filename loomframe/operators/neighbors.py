@@ -287,25 +287,28 @@ def _meetings(chosen: DataFrame, blocks: DataFrame, k: int, boxes: _Boxes) -> Da
     every query of the block then meets part by part.
     """
     load = chosen.groupBy("block").agg(F.ceil(F.count("*") / QUERY_ROWS).alias("tasks"))
+    parts = np.maximum(-(-boxes.counts // DONOR_ROWS), 1).astype(int)
+    sizes = chosen.sparkSession.createDataFrame(
+        [(str(name), int(n)) for name, n in zip(boxes.names, parts)], "block string, parts int"
+    )
     # as many rows as there are blocks, bounded like the table of boxes
-    load = F.broadcast(load)
-    n_parts = max(-(-int(boxes.counts.max(initial=1)) // DONOR_ROWS), 1)
+    load = F.broadcast(load.join(F.broadcast(sizes), "block"))
     left = chosen.join(load, "block").withColumns(
         {
             "task": F.pmod(F.xxhash64("query"), "tasks"),
-            "part": F.explode(F.sequence(F.lit(0), F.lit(n_parts - 1))),
+            "part": F.explode(F.sequence(F.lit(0), F.col("parts") - 1)),
         }
     )
     right = blocks.drop("mixed").join(load, "block").withColumns(
         {
             "task": F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("tasks") - 1)),
-            "part": F.pmod(F.xxhash64("donor"), F.lit(n_parts)).cast("int"),
+            "part": F.pmod(F.xxhash64("donor"), F.col("parts")).cast("int"),
         }
     )
     # a meeting is heavy for its size in bytes: spread blocks instead of merging small partitions
-    n_tasks = max(len(boxes.names), 1) * n_parts
+    n_tasks = max(int(parts.sum()), 1)
     keys = ("block", "task", "part")
-    sides = [s.drop("tasks").repartition(n_tasks, *keys).groupBy(*keys) for s in (left, right)]
+    sides = [s.drop("tasks", "parts").repartition(n_tasks, *keys).groupBy(*keys) for s in (left, right)]
     return sides[0].cogroup(sides[1]).applyInPandas(lambda a, b: _meet(a, b, k), _PAIRS)
 
 
