@@ -11,7 +11,8 @@ So the merge-join never leaves a block: a text that is cut carries its next few
 take part in joins and are not counted. Groups cross the network once per block and phrase, never
 once per occurrence, and a phrase is known by the numbers of its two overlapping shorter phrases,
 which is exact. A bitmap of a fixed size drops most infrequent groups before the semi-join, which
-decides alone.
+decides alone. Pairs go to the semi-join as one packed question per block and part of the frequent
+groups, and come back as one packed answer.
 """
 
 from __future__ import annotations
@@ -37,6 +38,9 @@ BLOCK, CUT = 400_000, 2_000_000
 #: Bits of the map of frequent groups; at most 2 MB, whatever the number of groups.
 BITS = 1 << 24
 
+#: Frequent pairs a part of the semi-join holds in memory, and the least number of parts.
+HELD, LEAST_PARTS = 100_000, 32
+
 #: Parts in which the best phrases of a language are chosen before they meet.
 PARTS = 256
 
@@ -50,15 +54,15 @@ _WORD = re.compile(rb" *[^ \n]+")
 
 # --- the relation of single words ---------------------------------------------------------------
 
-def _pack(values: np.ndarray) -> bytes:
-    """Whole numbers below 2**31 by the planes of their bytes, compressed."""
-    planes = np.ascontiguousarray(values, "<i4").view(np.uint8).reshape(-1, 4).T
+def _pack(values: np.ndarray, width: int = 4) -> bytes:
+    """Whole numbers of ``width`` bytes by the planes of their bytes, compressed."""
+    planes = np.ascontiguousarray(values, f"<i{width}").view(np.uint8).reshape(-1, width).T
     return zstandard.ZstdCompressor(level=1).compress(planes.tobytes())
 
 
-def _numbers(packed: bytes) -> np.ndarray:
-    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(packed), np.uint8).reshape(4, -1)
-    return np.ascontiguousarray(planes.T).view("<i4").ravel()
+def _numbers(packed: bytes, width: int = 4) -> np.ndarray:
+    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(packed), np.uint8).reshape(width, -1)
+    return np.ascontiguousarray(planes.T).view(f"<i{width}").ravel()
 
 
 def _cuts(raw: bytes, tail: int, cut: int) -> Iterator[tuple[bytes, bytes]]:
@@ -197,7 +201,7 @@ def _unpack(row: dict) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 def _groups(row: dict) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """place of each pair, number of its group; of each group the head, tail and counted pairs."""
     at, code, own = _unpack(row)
-    ids = np.frombuffer(row["ids"], np.int64)
+    ids = _numbers(row["ids"], 8)
     meet, head, tail = _pairs(at, code)
     keys, which = np.unique(head.astype(np.int64) * (len(ids) + 1) + tail, return_inverse=True)
     counted = np.bincount(which[own[meet]], minlength=len(keys))
@@ -211,41 +215,112 @@ _RELATION = pa.schema(
 _RELATION_SQL = "block long, at binary, code binary, own binary, ids binary"
 
 
-def _kept(row: dict, at: np.ndarray, code: np.ndarray, own: np.ndarray) -> tuple:
-    """Rows of a block whose group is frequent; ``row`` lists those groups by local and global number."""
-    numbers, ids = np.array(row["numbers"], np.int64), np.array(row["gids"], np.int64)
+def _kept(block: int, numbers: np.ndarray, ids: np.ndarray, at: np.ndarray, code: np.ndarray, own: np.ndarray) -> tuple:
+    """Rows of a block whose group is frequent; those groups come by local and global number."""
     order = np.argsort(numbers)
     numbers, ids = numbers[order], ids[order]
     place = np.minimum(np.searchsorted(numbers, code), len(numbers) - 1)
     stays = numbers[place] == code
     return (
-        row["block"], _pack(np.diff(at[stays], prepend=0)), _pack(place[stays]),
-        np.packbits(own[stays]).tobytes(), ids.tobytes(),
+        block, _pack(np.diff(at[stays], prepend=0)), _pack(place[stays]),
+        np.packbits(own[stays]).tobytes(), _pack(ids, 8),
     )
 
 
-def _per_block(found: DataFrame) -> DataFrame:
-    """Frequent groups of each block as two lists; a block bounds how many it has."""
-    return found.groupBy("block").agg(F.collect_list(F.struct("number", "gid")).alias("g")).select(
-        "block", F.col("g.number").alias("numbers"), F.col("g.gid").alias("gids")
-    )
-
-
 def _restrict(stored: DataFrame, found: DataFrame, words: bool) -> DataFrame:
-    """Semi-join: the occurrences of ``stored`` (words, or pairs of them) with a frequent group."""
+    """Semi-join: the occurrences of ``stored`` (words, or pairs of them) with a frequent group.
+
+    ``found`` has the frequent groups of a block, by local and global number: one row each for
+    words, packed lists for pairs. A block bounds how many it has.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i in range(batch.num_rows):
                 row = batch.slice(i, 1).to_pylist()[0]
                 at, code, own = _unpack(row)
-                if not words:
+                if words:
+                    numbers, ids = (np.array([g[c] for g in row["g"]], np.int64) for c in ("number", "gid"))
+                else:
+                    numbers = np.concatenate([np.cumsum(_numbers(g["number"])) for g in row["g"]])
+                    ids = np.concatenate([_numbers(g["gid"], 8) for g in row["g"]])
                     meet, code, *_ = _groups(row)
                     at, own = at[meet], own[meet]
-                yield _batch([_kept(row, at, code, own)], _RELATION)
+                yield _batch([_kept(row["block"], numbers, ids, at, code, own)], _RELATION)
 
     columns = ["block", "at", "code", "own", *([] if words else ["ids"])]
-    return stored.select(*columns).join(_per_block(found), "block").mapInArrow(run, _RELATION_SQL)
+    per_block = found.groupBy("block").agg(F.collect_list(F.struct("number", "gid")).alias("g"))
+    return stored.select(*columns).join(per_block, "block").mapInArrow(run, _RELATION_SQL)
+
+
+_MESSAGE = pa.schema(
+    [("part", pa.int64()), ("block", pa.int64()), ("number", pa.binary()), ("head", pa.binary()), ("tail", pa.binary())]
+)
+_MESSAGE_SQL = "part long, block long, number binary, head binary, tail binary"
+_ANSWER = pa.schema([("block", pa.int64()), ("number", pa.binary()), ("gid", pa.binary())])
+
+
+def _by_part(head: np.ndarray, tail: np.ndarray, parts: int) -> Iterator[tuple[int, np.ndarray]]:
+    """Places of the pairs of each part, in order."""
+    part = (head % 1_000_000_007 * 998_244_353 + tail % 1_000_000_007) % parts
+    order = np.argsort(part, kind="stable")
+    there, first = np.unique(part[order], return_index=True)
+    yield from zip(there.tolist(), np.split(order, first[1:]))
+
+
+class _Held:
+    """The frequent pairs of one part, looked up many at once."""
+
+    def __init__(self, lists: list[tuple[np.ndarray, np.ndarray, np.ndarray]]):
+        gid, head, tail = map(np.concatenate, zip(*lists))
+        self.heads, h = np.unique(head, return_inverse=True)
+        self.tails, t = np.unique(tail, return_inverse=True)
+        keys = h * len(self.tails) + t
+        order = np.argsort(keys)
+        self.keys, self.gid = keys[order], gid[order]
+
+    def find(self, head: np.ndarray, tail: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Which pairs are held, and the numbers of those."""
+        h = np.minimum(np.searchsorted(self.heads, head), len(self.heads) - 1)
+        t = np.minimum(np.searchsorted(self.tails, tail), len(self.tails) - 1)
+        key = h * len(self.tails) + t
+        place = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
+        held = (self.keys[place] == key) & (self.heads[h] == head) & (self.tails[t] == tail)
+        return held, self.gid[place[held]]
+
+
+def _answers(asks: DataFrame, frequent: DataFrame, parts: int) -> DataFrame:
+    """Packed questions meet the frequent pairs of their part, which come first (block -1)."""
+
+    def listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            gid, head, tail = (c.to_numpy() for c in batch.columns)
+            yield _batch(
+                [(part, -1, *(_pack(c[some], 8) for c in (gid, head, tail))) for part, some in _by_part(head, tail, parts)],
+                _MESSAGE,
+            )
+
+    def answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        here, lists, held = None, [], None
+        for batch in batches:
+            out = []
+            for i in range(batch.num_rows):
+                part, block, number, head, tail = (c[i].as_py() for c in batch.columns)
+                if part != here:
+                    here, lists, held = part, [], None
+                if block < 0:
+                    lists.append(tuple(_numbers(c, 8) for c in (number, head, tail)))
+                elif lists:
+                    held = held or _Held(lists)
+                    yes, gid = held.find(_numbers(head, 8), _numbers(tail, 8))
+                    if len(gid):
+                        numbers = np.cumsum(_numbers(number))[yes]
+                        out.append((block, _pack(np.diff(numbers, prepend=0)), _pack(gid, 8)))
+            yield _batch(out, _ANSWER)
+
+    table = frequent.select("gid", "head", "tail").mapInArrow(listed, _MESSAGE_SQL)
+    met = table.unionByName(asks).repartition(parts, "part").sortWithinPartitions("part", "block")
+    return met.mapInArrow(answer, "block long, number binary, gid binary")
 
 
 def _each_block(stored: DataFrame, function, schema: str) -> DataFrame:
@@ -310,18 +385,22 @@ def _next_level(stored: DataFrame, groups: DataFrame, least: int, last: bool) ->
         return longer, None
     bitmap = _bitmap(frequent, _pair_bit(F.col("head"), F.col("tail")))
 
+    parts = max(LEAST_PARTS, frequent.count() // HELD + 1)
+
     def asked(row: dict) -> pa.RecordBatch:
         *_, head, tail, _ = _groups(row)
         ask = np.flatnonzero(_set(bitmap, _pair_bit(head, tail)))
-        return pa.RecordBatch.from_arrays(
-            [pa.array(np.full(len(ask), row["block"]), pa.int64()), pa.array(ask, pa.int32()),
-             pa.array(head[ask], pa.int64()), pa.array(tail[ask], pa.int64())],
-            names=["block", "number", "head", "tail"],
-        )
+        head, tail = head[ask], tail[ask]
+        return _batch(
+            [
+                (part, row["block"], _pack(np.diff(ask[some], prepend=0)), _pack(head[some], 8), _pack(tail[some], 8))
+                for part, some in _by_part(head, tail, parts)
+            ],
+            _MESSAGE,
+        )
 
-    asks = _each_block(stored, asked, "block long, number int, head long, tail long")
-    found = asks.join(frequent.select("head", "tail", "gid"), ["head", "tail"]).select("block", "number", "gid")
-    return longer, stage(_restrict(stored, found, words=False), "occurrences")
+    answers = _answers(_each_block(stored, asked, _MESSAGE_SQL), frequent, parts)
+    return longer, stage(_restrict(stored, answers, words=False), "occurrences")
 
 
 # --- phrases and scores -------------------------------------------------------------------------
