@@ -1,10 +1,9 @@
 """Exact interpolated quantiles without holding an unbounded group in one task.
 
-Where every group has few distinct values, which is checked first, Spark's ``percentile`` counts
-them whole. Otherwise a sketch gives, per group and probability, a narrow bracket of values
-around the quantile. A further scan folds everything outside the brackets to a few counts and
-keeps only the values inside, counted per value. Cumulative counts over that small rest give
-the exact order statistics.
+A first scan sketches, per group and probability, a narrow bracket of values around the quantile.
+A second folds everything outside the brackets to a few counts and keeps only the values inside,
+counted per value. Cumulative counts over that small rest give the exact order statistics. Should
+a bracket miss its quantile, the groups concerned go again with wider ones.
 """
 
 from __future__ import annotations
@@ -12,35 +11,75 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Row, functions as F
 
 from loomframe.operators.joins import salted_join
 from loomframe.operators.ordering import running_total
 from loomframe.session import stage
 
-FEW = 100_000       # distinct values of a group that one task may count
 ACCURACY = 10_000   # of the sketch behind the brackets
+WIDEST = 20         # below this accuracy a bracket holds everything
+
+
+def _wanted(probs: Sequence[float], accuracy: int) -> list[float]:
+    """Probabilities of the ends of the brackets: ten times the error of the sketch on each side."""
+    margin = 10.0 / accuracy
+    return [*(max(0.0, p - margin) for p in probs), *(min(1.0, p + margin) for p in probs)]
+
+
+def _number(value: str | Column) -> Column:
+    x = (F.col(value) if isinstance(value, str) else value).cast("double")
+    return F.when(~F.isnan(x), x)
+
+
+def _picked(cells: DataFrame, by: list[str], probs: Sequence[float]) -> DataFrame:
+    """Quantiles per group from ``cells``, NULL where one lies in no bracket.
+
+    A cell is a value (``__v``, ``__gap`` 0) or everything between two brackets (the end of the one
+    below, ``__gap`` 1), with its rows ``__n`` and the rows of the group, ``__total``.
+    """
+    cumulated = running_total(
+        cells, {"__cum": "__n"}, [F.col("__v").asc_nulls_first(), "__gap"], within=by
+    )
+    known = F.when(F.col("__gap") == 0, F.col("__v"))
+    picks = []
+    for i, p in enumerate(probs):
+        rank = (F.col("__total") - 1) * F.lit(float(p))
+        for name, r in ((f"__a{i}", F.floor(rank)), (f"__b{i}", F.ceil(rank))):
+            here = (r < F.col("__cum")) & (r >= F.col("__cum") - F.col("__n"))
+            picks.append(F.max(F.when(here, known)).alias(name))
+        picks.append(F.max(rank - F.floor(rank)).alias(f"__f{i}"))
+    picked = cumulated.groupBy(*by).agg(*picks)
+    quantiles = [
+        (F.col(f"__a{i}") + (F.col(f"__b{i}") - F.col(f"__a{i}")) * F.col(f"__f{i}")).alias(f"q_{i}")
+        for i in range(len(probs))
+    ]
+    return picked.select(*by, *quantiles)
+
+
+def _missed(probs: Sequence[float]) -> Column:
+    return reduce(Column.__or__, [F.col(f"q_{i}").isNull() for i in range(len(probs))])
+
+
+# -- quantiles per group -----------------------------------------------------------------------
 
 
 def _brackets(values: DataFrame, by: list[str], probs: Sequence[float], accuracy: int) -> DataFrame:
     """Per group ``__total`` and, per probability, ``__lo`` and ``__hi`` around its quantile.
 
-    The margin is ten times the error of the sketch. Where it spans less than a few rows the
-    group is small, and the bracket holds all of it.
+    Where a margin spans less than a few rows the group is small, and the bracket holds all of it.
     """
-    margin = 10.0 / accuracy
-    lows = [max(0.0, p - margin) for p in probs]
-    highs = [min(1.0, p + margin) for p in probs]
-    sketch = F.percentile_approx("__x", [*lows, *highs], accuracy)
     n = len(probs)
-    found = values.groupBy(*by).agg(sketch.alias("__q"), F.count("*").alias("__total"))
-    small = F.col("__total") * margin < 8
+    found = values.groupBy(*by).agg(
+        F.percentile_approx("__x", _wanted(probs, accuracy), accuracy).alias("__q"), F.count("*").alias("__total")
+    )
+    whole = (F.col("__total") * (10.0 / accuracy) < 8) | F.lit(accuracy < WIDEST)
     everything = [F.array_repeat(F.lit(sign * float("inf")), n) for sign in (-1, 1)]
     return found.select(
         *by,
         "__total",
-        F.when(small, everything[0]).otherwise(F.slice("__q", 1, n)).alias("__lo"),
-        F.when(small, everything[1]).otherwise(F.slice("__q", n + 1, n)).alias("__hi"),
+        F.when(whole, everything[0]).otherwise(F.slice("__q", 1, n)).alias("__lo"),
+        F.when(whole, everything[1]).otherwise(F.slice("__q", n + 1, n)).alias("__hi"),
     )
 
 
@@ -52,37 +91,9 @@ def _with_brackets(values: DataFrame, by: list[str], brackets: DataFrame) -> Dat
     return values.withColumn("__b", facts).select("__x", "__b.*")
 
 
-def exact_quantiles(
-    df: DataFrame,
-    value: str | Column,
-    probs: Sequence[float],
-    by: Sequence[str] = (),
-    accuracy: int = ACCURACY,
-    few: int = FEW,
-) -> DataFrame:
-    """Linearly interpolated quantiles ``q_0``, ``q_1``, ... per known group, skipping NULLs."""
-    by = list(by)
-    value = F.col(value) if isinstance(value, str) else value
-    x = value.cast("double")
-    values = df.select(*by, F.when(~F.isnan(x), x).alias("__x")).dropna()
-    if _most_distinct(values, by) <= few:
-        whole = F.percentile("__x", [float(p) for p in probs])
-        counted = values.groupBy(*by).agg(whole.alias("__q"))
-        return counted.select(*by, *[F.col("__q")[i].alias(f"q_{i}") for i in range(len(probs))])
-    return _by_brackets(values, probs, by, accuracy)
-
-
-def _most_distinct(values: DataFrame, by: list[str]) -> int:
-    """Estimated number of distinct values in the group that has most."""
-    sketch = values.groupBy(*by).agg(F.approx_count_distinct("__x").alias("n"))
-    return sketch.agg(F.coalesce(F.max("n"), F.lit(0))).first()[0]
-
-
-def _by_brackets(
-    values: DataFrame, probs: Sequence[float], by: list[str], accuracy: int
-) -> DataFrame:
+def group_cells(values: DataFrame, by: list[str], probs: Sequence[float], accuracy: int) -> DataFrame:
+    """The cells of :func:`_picked`, folded in the tasks that read the values ``__x``."""
     bracketed = _with_brackets(values, by, _brackets(values, by, probs, accuracy))
-
     inside, below = F.lit(False), []
     for i in range(len(probs)):
         lo, hi = F.col("__lo")[i], F.col("__hi")[i]
@@ -90,7 +101,7 @@ def _by_brackets(
         below.append(F.when(hi < F.col("__x"), hi))
     edge = F.greatest(*below) if len(below) > 1 else below[0]
     # values between brackets fold to one row that sorts right after the bracket below them
-    cells = (
+    return (
         bracketed.select(
             *by,
             "__total",
@@ -100,26 +111,32 @@ def _by_brackets(
         .groupBy(*by, "__total", "__v", "__gap")
         .agg(F.count("*").alias("__n"))
     )
-    cumulated = running_total(
-        cells, {"__cum": "__n"}, [F.col("__v").asc_nulls_first(), "__gap"], within=by
-    )
 
-    picks = []
-    for i, p in enumerate(probs):
-        rank = (F.col("__total") - 1) * F.lit(float(p))
-        for name, r in ((f"__a{i}", F.floor(rank)), (f"__b{i}", F.ceil(rank))):
-            here = (r < F.col("__cum")) & (r >= F.col("__cum") - F.col("__n"))
-            exact = F.when(F.col("__gap") == 0, F.col("__v")).otherwise(
-                F.raise_error("quantile outside its bracket: raise accuracy").cast("double")
-            )
-            picks.append(F.max(F.when(here, exact)).alias(name))
-        picks.append(F.max(rank - F.floor(rank)).alias(f"__f{i}"))
-    picked = cumulated.groupBy(*by).agg(*picks)
-    quantiles = [
-        (F.col(f"__a{i}") + (F.col(f"__b{i}") - F.col(f"__a{i}")) * F.col(f"__f{i}")).alias(f"q_{i}")
-        for i in range(len(probs))
-    ]
-    return picked.select(*by, *quantiles)
+
+def exact_quantiles(
+    df: DataFrame,
+    value: str | Column,
+    probs: Sequence[float],
+    by: Sequence[str] = (),
+    accuracy: int = ACCURACY,
+) -> DataFrame:
+    """Linearly interpolated quantiles ``q_0``, ``q_1``, ... per known group, skipping NULLs.
+
+    Without ``by`` there is one row, of NULLs if no value is known.
+    """
+    by = list(by)
+    values = df.select(*by, _number(value).alias("__x")).dropna()
+    found = stage(_picked(group_cells(values, by, probs, accuracy), by, probs), "quantiles")
+    missed = found.where(_missed(probs))
+    if accuracy < WIDEST or missed.isEmpty():
+        return found
+    if not by:
+        return exact_quantiles(values, "__x", probs, by, accuracy // 10)
+    again = exact_quantiles(values.join(missed.select(*by), by, "left_semi"), "__x", probs, by, accuracy // 10)
+    return found.where(~_missed(probs)).unionByName(again)
+
+
+# -- quantiles of columns side by side -----------------------------------------------------------
 
 
 def long_values(df: DataFrame, cols: Sequence[str]) -> DataFrame:
@@ -128,92 +145,79 @@ def long_values(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     return doubles.unpivot([], list(cols), "column", "value")
 
 
-def _finite(c: str) -> Column:
-    x = F.col(c).cast("double")
-    return F.when(~F.isnan(x), x)
-
+def column_facts(
+    df: DataFrame, cols: Sequence[str], probs: Sequence[float], also: Sequence[Column] = (), accuracy: int = ACCURACY
+) -> Row:
+    """The first scan: ``n_<column>``, the brackets ``q_<column>``, and other sums of the same scan."""
+    return df.agg(
+        *[F.percentile_approx(_number(c), _wanted(probs, accuracy), accuracy).alias(f"q_{c}") for c in cols],
+        *[F.count(_number(c)).alias(f"n_{c}") for c in cols],
+        *also,
+    ).first()
 
-def column_quantiles(
-    df: DataFrame, cols: Sequence[str], probs: Sequence[float], few: int = FEW
-) -> DataFrame:
-    """Exact quantiles ``q_0``, ``q_1``, ... of several columns, one row per ``column``.
 
-    Columns with few distinct values are counted side by side in one pass.
-    """
-    sizes = df.agg(*[F.approx_count_distinct(c).alias(c) for c in cols]).first()
-    small, large = ([c for c in cols if (sizes[c] <= few) == flag] for flag in (True, False))
-    parts = []
-    if small:
-        wide = df.agg(*[F.percentile(_finite(c), [float(p) for p in probs]).alias(c) for c in small])
-        lines = [
-            F.struct(
-                F.lit(c).alias("column"),
-                *[F.get(F.col(c), F.lit(i)).alias(f"q_{i}") for i in range(len(probs))],
-            )
-            for c in small
-        ]
-        parts.append(wide.select(F.inline(F.array(*lines))))
-    if large:
-        parts.append(_side_by_side(df, large, probs))
-    return reduce(DataFrame.unionByName, parts)
+def _joined(facts: Row, column: str, n: int, accuracy: int) -> list[tuple[float, float]]:
+    """The brackets of a column in order, those that overlap as one."""
+    if accuracy < WIDEST or facts[f"n_{column}"] * (10.0 / accuracy) < 8:
+        return [(-float("inf"), float("inf"))]
+    ends = facts[f"q_{column}"]
+    out: list[tuple[float, float]] = []
+    for low, high in sorted(zip(ends[:n], ends[n:])):
+        if out and low <= out[-1][1]:
+            out[-1] = (out[-1][0], max(high, out[-1][1]))
+        else:
+            out.append((low, high))
+    return out
 
 
-def _side_by_side(df: DataFrame, cols: Sequence[str], probs: Sequence[float]) -> DataFrame:
-    """Exact quantiles of columns with many values: the brackets of all columns are one row.
+def exact_columns(
+    df: DataFrame, cols: Sequence[str], probs: Sequence[float], facts: Row, accuracy: int = ACCURACY
+) -> dict[str, list[float | None]]:
+    """The second scan: the exact quantiles of each column, given its :func:`column_facts`.
 
-    One scan sketches the brackets and counts the values, a second counts the values below each
-    bracket, and a third keeps the few inside. No row is shuffled but those, counted per value.
+    A row is folded in the task that reads it; only values inside a bracket are shuffled, counted.
     """
-    margin, n = 10.0 / ACCURACY, len(probs)
-    wanted = [*(max(0.0, p - margin) for p in probs), *(min(1.0, p + margin) for p in probs)]
-    facts = df.agg(
-        *[F.percentile_approx(_finite(c), wanted, ACCURACY).alias(f"q_{c}") for c in cols],
-        *[F.count(_finite(c)).alias(f"n_{c}") for c in cols],
-    ).first()
-    brackets = []  # column number, probability number, low, high
+    out: dict[str, list[float | None]] = {c: [None] * len(probs) for c in cols}
+    cols = [c for c in cols if facts[f"n_{c}"]]
+    if not cols:
+        return out
+    cells = []
     for j, c in enumerate(cols):
-        small = (facts[f"n_{c}"] or 0) * margin < 8
-        for i in range(n):
-            low, high = (-float("inf"), float("inf")) if small else (facts[f"q_{c}"][i], facts[f"q_{c}"][n + i])
-            brackets.append((j, i, low, high))
-    xs = [_finite(c) for c in cols]
-    below = df.agg(
-        *[F.count_if(xs[j] < F.lit(low)).alias(f"b_{j}_{i}") for j, i, low, _ in brackets]
-    )
-    offsets = below.select(
-        F.inline(F.array(*[
-            F.struct(F.lit(j).alias("j"), F.lit(i).alias("i"), F.col(f"b_{j}_{i}").alias("below"))
-            for j, i, _, _ in brackets
-        ]))
-    )
-    inside = F.array_compact(
-        F.array(*[
-            F.when(xs[j].between(low, high), F.struct(F.lit(j).alias("j"), F.lit(i).alias("i"), xs[j].alias("x")))
-            for j, i, low, high in brackets
-        ])
-    )
-    counted = df.select(F.inline(inside)).groupBy("j", "i", "x").agg(F.count("*").alias("n"))
-    cumulated = running_total(counted, {"upto": "n"}, ["x"], within=["j", "i"])
-    placed = cumulated.join(F.broadcast(offsets), ["j", "i"])  # one row per bracket
-    total, rank = F.lit(0), F.lit(0.0)
-    for j, c in enumerate(cols):
-        total = F.when(F.col("j") == j, F.lit(facts[f"n_{c}"])).otherwise(total)
-    for i, p in enumerate(probs):
-        rank = F.when(F.col("i") == i, (total - 1) * F.lit(float(p))).otherwise(rank)
-    end = F.col("below") + F.col("upto")
-    pick = lambda r: F.max(F.when((r < end) & (r >= end - F.col("n")), F.col("x")))
-    picked = placed.groupBy("j", "i").agg(
-        pick(F.floor(rank)).alias("a"), pick(F.ceil(rank)).alias("b"), F.max(rank - F.floor(rank)).alias("f")
-    )
-    found = F.when(F.col("a").isNotNull() & F.col("b").isNotNull(), F.col("a") + (F.col("b") - F.col("a")) * F.col("f"))
-    sure = F.coalesce(found, F.raise_error(F.lit("quantile outside its bracket: raise accuracy")).cast("double"))
-    name = F.lit(None)
+        x, inside, edge = F.col(f"__x{j}"), F.lit(False), F.lit(None).cast("double")
+        for low, high in _joined(facts, c, len(probs), accuracy):
+            inside = inside | x.between(F.lit(low), F.lit(high))
+            edge = F.when(x > F.lit(high), F.lit(high)).otherwise(edge)
+        cells.append(
+            F.struct(
+                F.when(x.isNotNull(), F.lit(j)).alias("__j"),
+                F.when(inside, x).otherwise(edge).alias("__v"),
+                F.when(inside, 0).otherwise(1).alias("__gap"),
+            )
+        )
+    total = F.lit(0).cast("bigint")
     for j, c in enumerate(cols):
-        name = F.when(F.col("j") == j, F.lit(c)).otherwise(name)
-    values = picked.select(name.cast("string").alias("column"), "i", sure.alias("q"))
-    return values.groupBy("column").agg(
-        *[F.max(F.when(F.col("i") == i, F.col("q"))).alias(f"q_{i}") for i in range(n)]
+        total = F.when(F.col("__j") == j, F.lit(facts[f"n_{c}"])).otherwise(total)
+    numbers = df.select(*[_number(c).alias(f"__x{j}") for j, c in enumerate(cols)])
+    counted = numbers.select(F.inline(F.array(*cells))).where("__j IS NOT NULL").groupBy("__j", "__v", "__gap").agg(
+        F.count("*").alias("__n")
     )
+    found = _picked(counted.withColumn("__total", total), ["__j"], probs).collect()  # one row per column
+    for row in found:
+        out[cols[row["__j"]]] = [row[f"q_{i}"] for i in range(len(probs))]
+    missed = [c for c in cols if None in out[c]]
+    if missed and accuracy >= WIDEST:
+        wider = accuracy // 10
+        out |= exact_columns(df, missed, probs, column_facts(df, missed, probs, (), wider), wider)
+    return out
+
+
+def column_quantiles(
+    df: DataFrame, cols: Sequence[str], probs: Sequence[float], accuracy: int = ACCURACY
+) -> DataFrame:
+    """Exact quantiles ``q_0``, ``q_1``, ... of several columns, one row per ``column``, in two scans."""
+    found = exact_columns(df, cols, probs, column_facts(df, cols, probs, (), accuracy), accuracy)
+    fields = ", ".join(f"q_{i} double" for i in range(len(probs)))
+    return df.sparkSession.createDataFrame([(c, *found[c]) for c in cols], f"column string, {fields}")
 
 
 def fit_row(stats: DataFrame, key: str, names: Sequence[str], fields: Sequence[str]) -> Column:

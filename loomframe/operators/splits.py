@@ -25,13 +25,23 @@ def fold_of(key: Sequence[str], k: int, seed: int) -> Column:
 def stratified_split(
     df: DataFrame, label: str, frac: float, key: Sequence[str], seed: int
 ) -> DataFrame:
-    """Mark exactly ``round(frac * n)`` rows of each label as test rows; NULL is a label, too."""
+    """Mark exactly ``round(frac * n)`` rows of each label as test rows; NULL is a label, too.
+
+    Labels, keys and draws alone are sorted: the last test row of each label is its cut, and every
+    row decides by itself on which side of it it stands. So rows with one key stay on one side.
+    """
+    # no field of the place is ever NULL, so places compare
+    place = F.struct("__draw", *[F.struct(F.col(k).isNotNull(), F.col(k)).alias(f"__k{i}") for i, k in enumerate(key)])
     drawn = df.withColumn("__draw", seeded_hash(key, seed))
-    placed = number_rows(drawn, ["__draw", *key], within=[label], name="__place")
-    sizes = df.groupBy(label).agg(F.count("*").alias("__n"))
-    joined = salted_join(placed, sizes, [label], "__n", F.col("__draw"), null_safe=True)
-    cut = F.round(F.col("__n") * F.lit(frac)).cast("bigint")
-    return joined.withColumn("is_test", (F.col("__place") <= cut).cast("int")).select(
+    narrow = drawn.select(F.col(label).alias("__label"), place.alias("__at"))
+    placed = number_rows(narrow, ["__at"], within=["__label"], name="__place")
+    sizes = narrow.groupBy("__label").agg(F.count("*").alias("__n"))
+    sized = salted_join(placed, sizes, ["__label"], "__n", F.col("__at"), null_safe=True)
+    last = F.max(F.when(F.col("__place") <= F.round(F.col("__n") * F.lit(frac)), F.col("__at")))
+    cuts = sized.groupBy("__label").agg(last.alias("__cut"), F.first("__n").alias("__n"))
+    cuts = cuts.withColumnRenamed("__label", label)
+    joined = salted_join(drawn, cuts, [label], "__n", F.col("__draw"), null_safe=True)
+    return joined.withColumn("is_test", F.coalesce(place <= F.col("__cut"), F.lit(False)).cast("int")).select(
         *df.columns, "is_test"
     )
 
@@ -44,11 +54,17 @@ def ordered_split(df: DataFrame, order_by: Sequence[str], n: int) -> DataFrame:
 
 
 def tail_split(
-    df: DataFrame, order_by: Sequence[str], frac: float, parts: tuple[str, str] = ("train", "validation")
+    df: DataFrame, order_by: Sequence[str], frac: float, parts: tuple[str, str] = ("train", "validation"),
+    number: str | None = None,
 ) -> DataFrame:
-    """The second of ``parts`` for the last ``frac`` of the order, the first before it."""
+    """The second of ``parts`` for the last ``frac`` of the order, the first before it.
+
+    ``number`` names a further column with the place of a row in its part, from 1.
+    """
     numbered = number_rows(df, order_by, name="__place")
     cut = numbered.select(F.floor(F.count("*") * F.lit(1.0 - frac))).scalar()
+    if number:
+        numbered = numbered.withColumn(number, F.col("__place") - F.when(F.col("__place") <= cut, 0).otherwise(cut))
     part = F.when(F.col("__place") <= cut, parts[0]).otherwise(parts[1])
     return numbered.withColumn("part", part).drop("__place")
 

@@ -11,7 +11,9 @@ from pyspark.sql import Column, DataFrame, functions as F
 from loomframe.functions.scalar import without_nan
 from loomframe.operators.joins import salted_join
 from loomframe.operators.quantiles import (
+    column_facts,
     column_quantiles,
+    exact_columns,
     exact_quantiles,
     fit_row,
 )
@@ -34,25 +36,24 @@ def profile_columns(df: DataFrame) -> DataFrame:
 def describe(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """Count, mean, sample deviation, extremes and quartiles, one row per column.
 
-    The moments of all columns come from one pass without a shuffle of rows. NaN is missing.
+    Two scans: the moments come with the sketches of the quartiles. NaN is missing.
     """
     df = without_nan(df, cols)
-    wide = df.agg(
-        *[
-            F.struct(
-                F.lit(c).alias("column"), F.count(c).alias("n_known"), F.avg(c).alias("mean"),
-                F.stddev_samp(c).alias("std"), F.min(c).cast("double").alias("min"),
-                F.max(c).cast("double").alias("max"),
-            ).alias(c)
-            for c in cols
-        ]
-    )
-    moments = wide.select(F.inline(F.array(*cols)))
-    quartiles = column_quantiles(df, cols, QUARTILES)
-    return moments.join(quartiles, "column", "left").select(
-        "column", "n_known", "mean", "std", "min", F.col("q_0").alias("q25"),
-        F.col("q_1").alias("q50"), F.col("q_2").alias("q75"), "max",
-    )
+    moments = [
+        F.struct(
+            F.avg(c).cast("double").alias("mean"), F.stddev_samp(c).alias("std"),
+            F.min(c).cast("double").alias("min"), F.max(c).cast("double").alias("max"),
+        ).alias(f"m_{c}")
+        for c in cols
+    ]
+    facts = column_facts(df, cols, QUARTILES, moments)
+    quartiles = exact_columns(df, cols, QUARTILES, facts)
+    rows = []
+    for c in cols:
+        m = facts[f"m_{c}"]
+        rows.append((c, facts[f"n_{c}"], m["mean"], m["std"], m["min"], *quartiles[c], m["max"]))
+    kinds = "".join(f", {name} double" for name in ("mean", "std", "min", "q25", "q50", "q75", "max"))
+    return df.sparkSession.createDataFrame(rows, "column string, n_known long" + kinds)
 
 
 def nunique(df: DataFrame, cols: Sequence[str]) -> DataFrame:

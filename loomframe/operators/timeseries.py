@@ -21,19 +21,24 @@ def create_windows(
     order_by: Sequence[str],
     part: str | None = None,
     block_rows: int = BLOCK_ROWS,
+    number: str | None = None,
 ) -> DataFrame:
     """``past`` consecutive rows as input, and the target ``horizon`` rows after them.
 
     One row per window: ``window_no`` from 0, an array ``x_<feature>`` for each feature, and
     ``y``. Windows stay inside their ``part``. A long series is cut into blocks that run in
-    parallel; each block also gets the first rows of the next one, so no window is lost.
+    parallel; each block also gets the first rows of the next one, so no window is lost. ``number`` names a
+    column that already has the place of a row in its part, from 1; the rows are then not sorted again.
     """
     reach = past + horizon - 1
     if block_rows <= reach:
         raise ValueError("block_rows must exceed past + horizon")
     parts = [part] if part else []
     cols = list(dict.fromkeys([*features, target]))
-    rows = number_rows(df.select(*{*parts, *cols, *order_by}), order_by, parts, "__no")
+    if number:
+        rows = df.select(*parts, *cols, F.col(number).alias("__no"))
+    else:
+        rows = number_rows(df.select(*{*parts, *cols, *order_by}), order_by, parts, "__no")
     place = F.col("__no") - 1
     home = F.floor(place / block_rows)
     shared = (place % block_rows < reach) & (home > 0)

@@ -407,9 +407,9 @@ def event_windows(spark, d):
     events = table(spark, d, "events").select("ts", "event_id", "value")
     events = timeseries.add_season(events, "ts")
     order = ["ts", "event_id"]
-    marked = splits.tail_split(events, order, TEST_SHARE, ("train", "test"))
+    marked = splits.tail_split(events, order, TEST_SHARE, ("train", "test"), number="place")
     return timeseries.create_windows(
-        marked, PAST, HORIZON, ["value", "portion_year"], "value", order, part="part"
+        marked, PAST, HORIZON, ["value", "portion_year"], "value", order, part="part", number="place"
     )
 
 

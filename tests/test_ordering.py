@@ -55,15 +55,15 @@ def test_order_is_required(skewed):
             call(skewed[0], [])
 
 
-@pytest.mark.parametrize("few", [0, 100_000], ids=["brackets", "counted"])
-def test_quantiles_equal_numpy(skewed, few):
+@pytest.mark.parametrize("accuracy", [10_000, 500, 10], ids=["narrow", "wide", "everything"])
+def test_quantiles_equal_numpy(skewed, accuracy):
     df, pdf = skewed
     probs = (0.0, 0.1, 0.25, 0.5, 0.75, 1.0)
-    got = quantiles.exact_quantiles(df, "v", probs, by=["k"], few=few).toPandas().set_index("k")
+    got = quantiles.exact_quantiles(df, "v", probs, by=["k"], accuracy=accuracy).toPandas().set_index("k")
     for key, group in pdf.groupby("k"):
         want = np.quantile(group.v, probs)
         assert np.allclose(got.loc[key].to_numpy(dtype=float), want, atol=1e-9), key
-    whole = quantiles.exact_quantiles(df, "v", probs, few=few).first()
+    whole = quantiles.exact_quantiles(df, "v", probs, accuracy=accuracy).first()
     assert np.allclose(list(whole), np.quantile(pdf.v, probs), atol=1e-9)
 
 
@@ -72,24 +72,38 @@ def test_brackets_with_many_rows_per_group(spark):
     rng = np.random.default_rng(2)
     values = np.concatenate([rng.lognormal(size=60_000), np.full(30_000, 2.0)])
     df = spark.createDataFrame(pd.DataFrame({"v": values})).repartition(6)
-    got = quantiles.exact_quantiles(df, "v", (0.25, 0.5, 0.75), few=0, accuracy=1000).first()
+    got = quantiles.exact_quantiles(df, "v", (0.25, 0.5, 0.75), accuracy=1000).first()
     assert np.allclose(list(got), np.quantile(values, (0.25, 0.5, 0.75)), atol=1e-12)
 
 
-@pytest.mark.parametrize("few", [0, 200, 100_000])
-def test_column_quantiles_mix_both_ways(skewed, few):
+@pytest.mark.parametrize("accuracy", [10_000, 500, 10])
+def test_column_quantiles_equal_numpy(skewed, accuracy):
     df, pdf = skewed
     both = df.select("v", (F.col("id") % 100).alias("w"))
-    got = quantiles.column_quantiles(both, ["v", "w"], (0.25, 0.6), few=few).toPandas().set_index("column")
+    got = quantiles.column_quantiles(both, ["v", "w"], (0.25, 0.6), accuracy=accuracy).toPandas().set_index("column")
     assert np.allclose(got.loc["v"].to_numpy(dtype=float), np.quantile(pdf.v, (0.25, 0.6)))
     assert np.allclose(got.loc["w"].to_numpy(dtype=float), np.quantile(pdf.id % 100, (0.25, 0.6)))
 
 
 def test_quantiles_of_the_empty_and_the_tiny(spark):
     tiny = spark.createDataFrame([("a", 1.0), ("b", 1.0), ("b", 2.0), ("c", None)], "k string, v double")
-    for few in (0, 100):
-        got = quantiles.exact_quantiles(tiny, "v", (0.25, 0.75), by=["k"], few=few)
-        assert rows(got) == [("a", 1.0, 1.0), ("b", 1.25, 1.75)]
+    got = quantiles.exact_quantiles(tiny, "v", (0.25, 0.75), by=["k"])
+    assert rows(got) == [("a", 1.0, 1.0), ("b", 1.25, 1.75)]
+    none = tiny.where("k = 'c'")
+    assert rows(quantiles.exact_quantiles(none, "v", (0.5,))) == [(None,)]
+    assert rows(quantiles.column_quantiles(none, ["v"], (0.5,))) == [("v", None)]
+
+
+def test_a_bracket_that_misses_is_widened(spark, monkeypatch):
+    """Brackets of the wrong place hold none of the quantiles; the next ones are right."""
+    df = spark.range(5_000).select((F.col("id") % 2).alias("k"), F.col("id").cast("double").alias("v"))
+    right = quantiles._wanted
+    monkeypatch.setattr(
+        quantiles, "_wanted", lambda probs, accuracy: right([0.9] * len(probs) if accuracy == 10_000 else probs, accuracy)
+    )
+    assert rows(quantiles.column_quantiles(df, ["v"], (0.25, 0.5))) == [("v", 1249.75, 2499.5)]
+    assert rows(quantiles.exact_quantiles(df, "v", (0.5,))) == [(2499.5,)]
+    assert sorted(rows(quantiles.exact_quantiles(df, "v", (0.5,), by=["k"]))) == [(0, 2499.0), (1, 2500.0)]
 
 
 def test_outlier_bounds_come_from_the_full_table(spark):
@@ -173,6 +187,24 @@ def test_stratified_share(skewed):
     assert (marked.groupby("k").is_test.sum() == want).all()
 
 
+def test_repeated_rows_stay_on_one_side(spark):
+    df = spark.createDataFrame([(i // 3, "a" if i < 90 else None, "x") for i in range(120)], "id int, k string, more string")
+    sides = splits.stratified_split(df, "k", 0.3, ["id"], 5).groupBy("id").agg(F.countDistinct("is_test").alias("n"))
+    assert {r.n for r in sides.collect()} == {1}
+
+
+def test_windows_on_given_places_equal_sorted_ones(spark):
+    from loomframe.operators import timeseries
+
+    df = spark.range(60).select((F.col("id") * 7 % 60).alias("t"), (F.col("id") * 3 % 11).alias("v"))
+    marked = splits.tail_split(df, ["t"], 0.3, number="place")
+    made = [
+        timeseries.create_windows(marked, 4, 2, ["v"], "v", ["t"], part="part", block_rows=9, number=n)
+        for n in (None, "place")
+    ]
+    assert made[0].count() == 60 - 2 * 5 and rows(made[0]) == rows(made[1])
+
+
 # -- hot keys --------------------------------------------------------------------------------
 
 
