@@ -307,6 +307,64 @@ def m_lda(spark, d):
     return _judged("lda", c.scaled(c.LinearDiscriminant()), languages(spark, d))
 
 
+@query(
+    "m_lda_counts",
+    f"""WITH s AS (SELECT CAST(label AS DOUBLE) AS label, CAST(embedding[1] AS DOUBLE) AS x,
+                   CAST(embedding[2] AS DOUBLE) AS y, {_draw('vec_id', SEED)} % 10000 < 3000 AS is_test,
+                   vec_id FROM embeddings),
+             m AS (SELECT label AS c, avg(x) AS mx, avg(y) AS my, count(*) AS n FROM s
+                   WHERE NOT is_test GROUP BY label),
+             v AS (SELECT sum((x - mx) * (x - mx)) / any_value(d) AS xx, sum((x - mx) * (y - my)) / any_value(d) AS xy,
+                   sum((y - my) * (y - my)) / any_value(d) AS yy FROM s JOIN m ON label = c,
+                   (SELECT sum(n) - count(*) AS d FROM m) WHERE NOT is_test),
+             w AS (SELECT c, mx, my, ln(n / (SELECT sum(n) FROM m)) AS prior,
+                   (mx * yy - my * xy) / (xx * yy - xy * xy) AS wx,
+                   (my * xx - mx * xy) / (xx * yy - xy * xy) AS wy FROM m, v),
+             p AS (SELECT label, c, row_number() OVER (PARTITION BY vec_id ORDER BY
+                   prior - 0.5 * (wx * mx + wy * my) + wx * x + wy * y DESC, c) AS r
+                   FROM s, w WHERE is_test)
+        SELECT label, c AS prediction, CAST(count(*) AS BIGINT) AS n_rows FROM p WHERE r = 1
+        GROUP BY label, c""",
+)
+def m_lda_counts(spark, d):
+    """Linear discriminants of two features, whose equations SQL can solve: rows per pair of classes."""
+    train, test, _ = held_out(_first_two(spark, d), "vec_id")
+    return predicted(c.LinearDiscriminant().fit(train), test)
+
+
+_FOLDS = 5
+
+
+@query(
+    "m_cross_val_scores",
+    f"""WITH s AS (SELECT vec_id, CAST(label AS DOUBLE) AS label, CAST(embedding[1] AS DOUBLE) AS x,
+                   CAST(embedding[2] AS DOUBLE) AS y, (row_number() OVER (PARTITION BY label
+                   ORDER BY {_draw('vec_id', SEED)}, vec_id) - 1) % {_FOLDS} AS fold FROM embeddings),
+             g AS (SELECT DISTINCT fold AS g FROM s),
+             f AS (SELECT g, label AS c, count(*) AS n, avg(x) AS mx, var_pop(x) AS vx, avg(y) AS my,
+                   var_pop(y) AS vy FROM s JOIN g ON fold <> g GROUP BY g, label),
+             e AS (SELECT g, greatest(var_pop(x), var_pop(y)) * 1e-9 AS eps FROM s JOIN g ON fold <> g GROUP BY g),
+             p AS (SELECT fold, label, c, row_number() OVER (PARTITION BY vec_id ORDER BY
+                   ln(n) - 0.5 * (ln(vx + eps) + (x - mx) * (x - mx) / (vx + eps)
+                                  + ln(vy + eps) + (y - my) * (y - my) / (vy + eps)) DESC, c) AS r
+                   FROM s JOIN f ON fold = f.g JOIN e ON fold = e.g)
+        SELECT 'nb' AS model, CAST(fold AS INTEGER) AS fold, {_r('avg(CAST(label = c AS INTEGER))', 9)} AS score
+        FROM p WHERE r = 1 GROUP BY fold""",
+)
+def m_cross_val_scores(spark, d):
+    """The accuracy of each fold, by a model that SQL can fit as well."""
+    rows = sel.fold_rows(_first_two(spark, d), _FOLDS, "vec_id", SEED)
+    scores = sel.cross_val({"nb": c.gaussian_nb()}, rows, _FOLDS, "vec_id")
+    return scores.select("model", "fold", round_half_up("score", 9).alias("score"))
+
+
+def _first_two(spark, d) -> DataFrame:
+    x = F.col("embedding").cast("array<double>")
+    return table(spark, d, "embeddings").select(
+        "vec_id", F.col("label").cast("double").alias("label"), array_to_vector(F.slice(x, 1, 2)).alias("features")
+    )
+
+
 @query("m_perceptron", _good("perceptron"))
 def m_perceptron(spark, d):
     """The perceptron rule itself, mixed over partitions."""
