@@ -39,6 +39,25 @@ def test_admission_counts_earlier_batches(spark):
         assert rows(got.where(f"accepted = {part}").select("person")) == rows(getattr(whole, name).select("person"))
 
 
+def test_admission_judges_the_keys_of_a_group_together(spark):
+    source, root, checkpoint = (new_path(spark, n) for n in ("source", "admitted", "checkpoint"))
+    n_keys, schema = 3 * triggers.GROUPS, "k double, at int"
+    capacity = spark.range(1, n_keys).selectExpr("double(id) k", "nullif(id % 3, 2) most")
+    for start in (0, 1):  # a key's second arrival comes in the next batch
+        data = spark.range(n_keys).selectExpr("double(id) k", f"int({start} * 10 + id) at")
+        odd = spark.sql(f"SELECT {'-0.0D' if start else '0.0D'} k, {start} at UNION ALL SELECT null, {start}")
+        data.union(odd).write.mode("append").parquet(source)
+        query = triggers.admission_batches(
+            spark.readStream.schema(schema).parquet(source), capacity, "k", "most", ["at"], root, checkpoint
+        )
+        query.awaitTermination(120)
+    updated = max(p["stateOperators"][0]["numRowsUpdated"] for p in query.recentProgress)
+    assert 0 < updated <= triggers.GROUPS < n_keys  # states grow with the groups, not with the keys
+    got = {r.k: r.n for r in triggers.stored(spark, root, f"{schema}, accepted int").groupBy("k").agg(F.sum("accepted").alias("n")).collect()}
+    want = {float(i): {0: 0, 1: 1, 2: 2}[i % 3] for i in range(1, n_keys)}
+    assert got == want | {0.0: 4, None: 2}  # no row in capacity admits always
+
+
 def test_a_batch_touches_the_state_of_its_own_keys_only(spark):
     source, root, checkpoint = (new_path(spark, n) for n in ("source", "rollup", "checkpoint"))
     updated = []
