@@ -1,7 +1,8 @@
 """Exact k nearest neighbours, for classification and for filling gaps.
 
-A classifier keeps a bounded number of labelled rows as one matrix, which all queries meet. To
-fill gaps, where any row can be a donor:
+A classifier keeps a bounded number of labelled rows as one matrix, cut into small leaves with their
+bounding boxes: a query meets the rows of its own leaf, and then of those whose box is nearer than what
+it found there. To fill gaps, where any row can be a donor:
 
 Donor rows are cut into blocks of nearby rows, each with its bounding box. The boxes alone tell
 a query row how far its k-th neighbour can be at most, and so which blocks cannot hold any
@@ -23,7 +24,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from loomframe.operators.joins import salted_join
-from loomframe.session import ship_package, stage
+from loomframe.session import ship_package, spread, stage
 
 BLOCK_ROWS = 4_096      # donors per block, unless there would be more than MAX_CELLS blocks
 MAX_CELLS = 16_384      # bounds the table of boxes that every task receives
@@ -33,6 +34,10 @@ DONOR_ROWS = 50_000     # donors of one block in one task
 AXES = 3                # leading features by which rows count as nearby
 FEW_BLOCKS = 32         # up to here one round of meetings is cheaper than two
 LABELLED_ROWS, LABELLED_BYTES = 200_000, 256_000_000  # labelled rows of a classifier, at most
+LEAF_ROWS = 256         # labelled rows under one box
+TOGETHER = 16           # neighbouring queries that look through the same leaves
+AT_ONCE = 4_096         # queries per round, each with its distances to all boxes
+VOTER_ROWS = 2_000      # test rows worth a task of their own
 ANY = -1                # target of a query that takes any donor
 
 
@@ -321,9 +326,12 @@ def _nearest_rows(q: np.ndarray, x: np.ndarray, k: int) -> np.ndarray:
     k = min(k, len(x))
     known_q, known_x = ~np.isnan(q), ~np.isnan(x)
     q0, x0 = np.where(known_q, q, 0.0), np.where(known_x, x, 0.0)
-    shared = known_q.astype(float) @ known_x.T
-    far = (q0**2) @ known_x.T + known_q @ (x0**2).T - 2 * q0 @ x0.T
-    far = np.where(shared > 0, far * q.shape[1] / np.maximum(shared, 1), np.inf)
+    if known_q.all() and known_x.all():
+        far = (q0**2).sum(1, keepdims=True) + (x0**2).sum(1) - 2 * q0 @ x0.T
+    else:
+        shared = known_q.astype(float) @ known_x.T
+        far = (q0**2) @ known_x.T + known_q @ (x0**2).T - 2 * q0 @ x0.T
+        far = np.where(shared > 0, far * q.shape[1] / np.maximum(shared, 1), np.inf)
     bar = np.partition(far, k - 1, axis=1)[:, k - 1 : k]
     scale = (q0**2).sum(1, keepdims=True) + (x0**2).sum(1).max(initial=0.0)
     row, col = np.nonzero(far <= bar + 1e-9 * scale + 1e-12)
@@ -337,6 +345,64 @@ def _nearest_rows(q: np.ndarray, x: np.ndarray, k: int) -> np.ndarray:
     return col[first[:, None] + np.arange(k)]
 
 
+class _Leaves:
+    """Rows cut at medians into leaves of neighbouring rows, each with its bounding box."""
+
+    def __init__(self, x: np.ndarray):
+        self.x = x
+        #: boxes rule nothing out where values are missing or not finite
+        self.whole = len(x) > LEAF_ROWS and bool(np.isfinite(x).all())
+        if not self.whole:
+            return
+        order, open_, spans = np.arange(len(x)), [(0, len(x))], []
+        while open_:
+            a, b = open_.pop()
+            part = x[order[a:b]]
+            wide = part.max(0) - part.min(0)
+            if b - a <= LEAF_ROWS or not wide.any():
+                spans.append((a, b))
+                continue
+            axis, m = int(np.where(wide > 0, part.var(0), -1.0).argmax()), (b - a) // 2
+            order[a:b] = order[a:b][np.argpartition(part[:, axis], m)]
+            open_ += [(a, a + m), (a + m, b)]
+        starts, ends = zip(*sorted(spans))
+        self.rows = [np.sort(order[a:b]) for a, b in zip(starts, ends)]
+        self.low, self.high = (f.reduceat(x[order], starts) for f in (np.minimum, np.maximum))
+
+    def _apart(self, q: np.ndarray) -> np.ndarray:
+        """Squared distance of each query to each box."""
+        out = np.zeros((len(q), len(self.low)))
+        for j in range(q.shape[1]):
+            v = q[:, j, None]
+            gap = np.maximum(np.maximum(self.low[:, j] - v, v - self.high[:, j]), 0.0)
+            out += gap * gap
+        return out
+
+    def nearest(self, q: np.ndarray, k: int) -> np.ndarray:
+        """What :func:`_nearest_rows` finds among all rows."""
+        if not self.whole or not np.isfinite(q).all():
+            step = max(1, 4_000_000 // len(self.x))
+            return np.concatenate([_nearest_rows(q[i : i + step], self.x, k) for i in range(0, len(q), step)])
+        k = min(k, len(self.x))
+        out = np.empty((len(q), k), dtype=np.int64)
+        for start in range(0, len(q), AT_ONCE):
+            some = q[start : start + AT_ONCE]
+            apart = self._apart(some)
+            home = apart.argmin(1)
+            order = np.argsort(home, kind="stable")
+            for i in range(0, len(order), TOGETHER):
+                at = order[i : i + TOGETHER]
+                near = np.concatenate([self.rows[h] for h in np.unique(home[at])])
+                gap = some[at][:, None] - self.x[near]
+                square = (gap * gap).sum(2)
+                limit = np.partition(square, k - 1, axis=1)[:, k - 1 : k] if len(near) >= k else np.inf
+                # a hair of slack keeps rounding from excluding a box that touches the limit
+                leaves = np.flatnonzero((apart[at] * (1 - 1e-9) <= limit).any(0))
+                rows = np.sort(np.concatenate([self.rows[leaf] for leaf in leaves]))
+                out[start + at] = rows[_nearest_rows(some[at], self.x[rows], k)]
+        return out
+
+
 def knn_votes(
     train: DataFrame, test: DataFrame, key: str, x: Column, n_features: int, label: str, k: int = 5,
     max_rows: int = LABELLED_ROWS,
@@ -345,7 +411,8 @@ def knn_votes(
 
     ``x`` is the array of features, and ``key`` a bigint that identifies a row. At most
     ``max_rows`` training rows take part, drawn by their key, and no more than fit in
-    LABELLED_BYTES: one matrix that every task receives. Test rows pass once, without a shuffle.
+    LABELLED_BYTES: one matrix that every task receives. Test rows pass once; where few tasks hold
+    many of them they are dealt out first, for their bytes say little of the work.
     """
     spark = train.sparkSession
     ship_package(spark)
@@ -356,21 +423,21 @@ def knn_votes(
     schema = f"`{key}` bigint, prediction {kind}, votes bigint"
     if kept.empty:
         return spark.createDataFrame([], schema)
-    held = spark.sparkContext.broadcast((_matrix(kept["x"]), kept["prediction"].to_numpy()))
+    held = spark.sparkContext.broadcast((_Leaves(_matrix(kept["x"])), kept["prediction"].to_numpy()))
 
     def vote(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        donors, labels = held.value
-        step = max(1, 4_000_000 // len(donors))
+        leaves, labels = held.value
         for batch in batches:
-            for at in range(0, len(batch), step):
-                some = batch.iloc[at : at + step]
-                near = _nearest_rows(_matrix(some["x"]), donors, k)
-                pairs = pd.DataFrame(
-                    {key: np.repeat(some[key].to_numpy(), near.shape[1]), "prediction": labels[near.ravel()]}
-                )
-                yield pairs.groupby([key, "prediction"], sort=False).size().rename("votes").reset_index()
+            if batch.empty:
+                continue
+            near = leaves.nearest(_matrix(batch["x"]), k)
+            pairs = pd.DataFrame(
+                {key: np.repeat(batch[key].to_numpy(), near.shape[1]), "prediction": labels[near.ravel()]}
+            )
+            yield pairs.groupby([key, "prediction"], sort=False).size().rename("votes").reset_index()
 
-    return test.select(F.col(key).cast("bigint"), x.alias("x")).mapInPandas(vote, schema)
+    asked = test.select(F.col(key).cast("bigint"), x.alias("x"))
+    return spread(asked, VOTER_ROWS).mapInPandas(vote, schema)
 
 
 def knn_classify(

@@ -10,6 +10,8 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+TASK_ROWS = 200_000  # rows of a task that :func:`spread` makes, at most
+
 _local_dirs: dict[str, str] = {}
 _shipped: set[str] = set()
 _shipping = threading.Lock()
@@ -70,6 +72,18 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def spread(df: DataFrame, rows: int, n: int | None = None) -> DataFrame:
+    """``df``, which has ``n`` rows, in a task for each so many ``rows``.
+
+    For work that is heavy for its bytes, which alone decide how Spark cuts files and shuffles. No
+    more tasks than run side by side, unless they would be very large.
+    """
+    n = df.count() if n is None else n
+    most = max(df.sparkSession.sparkContext.defaultParallelism, n // TASK_ROWS)
+    tasks = min(most, -(-n // rows))
+    return df.repartition(tasks) if tasks > 1 else df
+
+
 def _delete(spark: SparkSession, name: str) -> None:
     path = spark._jvm.org.apache.hadoop.fs.Path(name)
     path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)

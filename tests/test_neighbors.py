@@ -130,3 +130,31 @@ def test_votes_tie_to_the_smaller_label(spark):
     test = spark.createDataFrame([(7, 0.4)], "id bigint, v double")
     got = neighbors.knn_classify(train, test, "id", F.array("v"), 1, "y", k=2).first()
     assert (got.id, got.prediction) == (7, 1)
+
+
+def test_leaves_find_what_brute_force_finds():
+    rng = np.random.default_rng(8)
+    x = np.concatenate([rng.normal(size=(4000, 5)) * [5, 1, 1, 0, 1], np.repeat(rng.normal(size=(3, 5)), 400, axis=0)])
+    q = np.concatenate([rng.normal(size=(300, 5)), x[::37]])
+    leaves = neighbors._Leaves(x)
+    assert leaves.whole and len(leaves.rows) > 10
+    assert (leaves.nearest(q, 5) == neighbors._nearest_rows(q, x, 5)).all()
+    q[7, 2] = np.nan  # a gap meets all rows
+    assert (leaves.nearest(q, 5) == neighbors._nearest_rows(q, x, 5)).all()
+    assert leaves.nearest(q[:9], 10_000).shape == (9, len(x))
+
+
+def test_a_query_of_a_classifier_meets_few_labelled_rows(monkeypatch):
+    rng = np.random.default_rng(9)
+    x, met, plain = rng.normal(size=(20_000, 4)), [], neighbors._nearest_rows
+    monkeypatch.setattr(neighbors, "_nearest_rows", lambda q, rows, k: met.append(len(q) * len(rows)) or plain(q, rows, k))
+    neighbors._Leaves(x).nearest(rng.normal(size=(500, 4)), 5)
+    assert sum(met) < 500 * len(x) / 4
+
+
+def test_votes_of_one_file_are_counted_in_several_tasks(spark, tmp_path):
+    spark.range(6 * neighbors.VOTER_ROWS).selectExpr("id", "double(id) v", "int(id % 2) y").coalesce(1).write.parquet(str(tmp_path / "t"))
+    one = spark.read.parquet(str(tmp_path / "t"))
+    votes = neighbors.knn_votes(one, one, "id", F.array("v"), 1, "y", k=1)
+    assert votes.where("votes = 1 AND prediction = id % 2").count() == one.count() == votes.count()
+    assert votes.rdd.getNumPartitions() == 6
