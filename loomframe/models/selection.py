@@ -17,9 +17,10 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from loomframe.models.classifiers import FEATURES, LABEL, RAW, CentredPCA
 from loomframe.models.many import poisson_copies
 from loomframe.operators.splits import assign_folds
-from loomframe.session import stage
+from loomframe.session import spread, stage
 
 PARALLELISM = 4
+FIT_ROWS = 5_000  # rows worth a task of their own in a fit: it scans them many times
 
 
 def _in_parallel(work: Callable, items: Sequence) -> list:
@@ -29,9 +30,9 @@ def _in_parallel(work: Callable, items: Sequence) -> list:
 
 
 def fold_rows(df: DataFrame, k: int, key: str, seed: int, stratify: bool = True) -> DataFrame:
-    """Stored rows with a ``fold``, read again by every fit."""
+    """Stored rows with a ``fold``, read again by every fit, in tasks for all cores."""
     folds = assign_folds(df, k, [key], seed, LABEL if stratify else None)
-    return stage(folds, "folds")
+    return stage(spread(folds, FIT_ROWS, df.count()), "folds")
 
 
 def cross_val_predict(models: Mapping[str, Estimator], rows: DataFrame, k: int, key: str) -> DataFrame:
@@ -194,7 +195,7 @@ class Stacking(Estimator, HasLabelCol):
             for name in self.bases:
                 part = _class_shares(fitted[name, fold], part, f"__{name}", self.n_classes)
             held_out.append(part)
-        scores = stage(reduce(DataFrame.unionByName, held_out), "out-of-fold")
+        scores = stage(spread(reduce(DataFrame.unionByName, held_out), FIT_ROWS, rows.count()), "out-of-fold")
         meta = self.meta.fit(_meta_features(scores, list(self.bases), self.n_classes))
         names = list(self.bases)
         full = dict(zip(names, _in_parallel(lambda name: self.bases[name].fit(rows), names)))

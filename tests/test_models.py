@@ -103,6 +103,13 @@ def test_stacking(binary):
     assert score(model, binary) > 0.7
 
 
+def test_folds_are_stored_for_all_cores(spark):
+    few = spark.range(4 * sel.FIT_ROWS).selectExpr("id", "double(id % 2) label").coalesce(1)
+    stored = sel.fold_rows(few, 3, "id", 1)
+    assert len(stored.inputFiles()) == 4 and stored.count() == few.count()
+    assert len(sel.fold_rows(few.limit(100), 3, "id", 1).inputFiles()) <= 8  # what sorting left
+
+
 def test_cross_validation_covers_each_row_once(blobs):
     df, _, _ = blobs
     rows_ = sel.fold_rows(df, 3, "id", 1)
