@@ -3,10 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
+from dataclasses import replace
 from functools import reduce
 from multiprocessing.pool import ThreadPool
 
-from pyspark.ml import Estimator, Model, Pipeline
+import numpy as np
+from pyspark.ml import Estimator, Model
+from pyspark.ml.classification import LinearSVC, LogisticRegression, OneVsRest
 from pyspark.ml.evaluation import Evaluator, MulticlassClassificationEvaluator
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import array_to_vector, vector_to_array
@@ -14,8 +17,8 @@ from pyspark.ml.param.shared import HasLabelCol, HasPredictionCol, HasProbabilit
 from pyspark.ml.tuning import CrossValidator
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from loomframe.models.classifiers import FEATURES, LABEL, RAW, CentredPCA
-from loomframe.models.many import poisson_copies
+from loomframe.models.classifiers import FEATURES, LABEL, RAW, CentredPCA, CentredPCAModel
+from loomframe.models.many import Fit, Projection, fit_many, held_out_accuracy, one_vs_rest, poisson_copies, prepare
 from loomframe.operators.splits import assign_folds
 from loomframe.session import spread, stage
 
@@ -55,24 +58,112 @@ def cross_val(models: Mapping[str, Estimator], rows: DataFrame, k: int, key: str
     return predictions.groupBy("model", "fold").agg(F.avg(hit).alias("score"))
 
 
-def pca_steps(n: int, estimator: Estimator) -> Pipeline:
-    """Project to ``n`` centred components, then fit the estimator on them."""
-    estimator = estimator.copy()
-    estimator.set(estimator.getParam("featuresCol"), "__components")
-    pca = CentredPCA(k=n, inputCol=FEATURES, outputCol="__components")
-    return Pipeline(stages=[pca, estimator])
+def fold_axes(rows: DataFrame, n: int, folds: Sequence[int]) -> list[CentredPCAModel]:
+    """For each fold, at most ``n`` components of the rows outside it, as ``components0``, ...
+
+    The first of them are the same for any larger ``n``, so one covariance and one decomposition
+    serve all numbers of components.
+    """
+
+    def one(fold: int) -> CentredPCAModel:
+        pca = CentredPCA(k=n, inputCol=FEATURES, outputCol=f"components{fold}")
+        return pca.fit(rows.where(F.col("fold") != fold))
+
+    return _in_parallel(one, folds)
+
+
+def fold_components(rows: DataFrame, axes: Sequence[CentredPCAModel]) -> DataFrame:
+    """Stored ``fold``, label and the components of every fold, as arrays."""
+    projected = reduce(lambda df, model: model.transform(df), axes, rows)
+    arrays = [vector_to_array(m.getOutputCol()).alias(m.getOutputCol()) for m in axes]
+    return stage(projected.select("fold", LABEL, *arrays), "components")
+
+
+def _unit(estimator: Estimator) -> LogisticRegression | LinearSVC | None:
+    """The linear model whose loss :func:`fit_many` minimises for the estimator, if it is one of those."""
+    unit = estimator.getClassifier() if isinstance(estimator, OneVsRest) else estimator
+    if type(unit) is not (LinearSVC if isinstance(estimator, OneVsRest) else LogisticRegression):
+        return None
+    if isinstance(unit, LogisticRegression):
+        special = ("weightCol", "thresholds", "lowerBoundsOnCoefficients", "upperBoundsOnCoefficients",
+                   "lowerBoundsOnIntercepts", "upperBoundsOnIntercepts")
+        usual = unit.getElasticNetParam() == 0 and unit.getFamily() == "auto" and unit.getThreshold() == 0.5
+    else:
+        special, usual = ("weightCol",), unit.getThreshold() == 0
+    plain = usual and unit.getFitIntercept() and unit.getStandardization()
+    return unit if plain and not any(unit.isSet(name) for name in special) else None
+
+
+def _linear_scores(
+    units: Mapping[str, LogisticRegression | LinearSVC], components: Sequence[int], rows: DataFrame,
+    axes: Sequence[CentredPCAModel],
+) -> list[tuple[str, int, int, float]]:
+    """Held-out accuracy of linear models on the components of each fold, all fitted in the same scans."""
+    sizes = {r["fold"]: r["count"] for r in rows.groupBy("fold").count().collect()}  # one row per fold
+    # a handful of labels
+    labels = [r[0] for r in rows.select(F.col(LABEL).cast("double")).distinct().collect()]
+    if any(v is None or not v >= 0 or v != int(v) for v in labels):
+        raise ValueError("labels must be whole numbers from 0")
+    classes = [float(i) for i in range(int(max(labels)) + 1)]
+    folds = range(len(axes))
+
+    def seen(n: int, fold: int) -> Projection:
+        model = axes[fold]
+        flat = model.spreads <= 1e-9 * model.spreads.max()
+        scaled = model.axes * np.where(flat, 0, 1 / np.where(flat, 1, model.spreads))[:, None]
+        return Projection(scaled[:n], model.axes.T @ model.offsets)
+
+    features = {(n, fold): seen(n, fold) for n in components for fold in folds}
+    ready = prepare(rows, FEATURES, LABEL, fold=F.col("fold"))
+    jobs, models = [], []
+    for name, unit in units.items():
+        single = isinstance(unit, LogisticRegression)
+        loss = "hinge" if not single else "logistic" if len(classes) == 2 else "softmax"
+        fits = []
+        for (n, fold), z in features.items():
+            learned = sum(size for other, size in sizes.items() if other != fold)
+            C = 1 / (unit.getRegParam() * learned) if unit.getRegParam() and learned else None
+            fit = Fit(f"{name}|{n}", loss, C, fold, features=z, scale=False)
+            fits += [fit] if single else [replace(fit, positive=v) for v in classes]
+        fitted = fit_many(ready, fits, classes, unit.getMaxIter(), unit.getTol())
+        each = 1 if single else len(classes)
+        jobs += [(name, n, fold) for n, fold in features]
+        models += fitted if single else [one_vs_rest(fitted[i : i + each]) for i in range(0, len(fitted), each)]
+    hits = held_out_accuracy(ready, models, classes)
+    return [(*job, float(hit)) for job, hit in zip(jobs, hits) if not np.isnan(hit)]
 
 
 def pca_study(
     models: Mapping[str, Estimator], components: Sequence[int], rows: DataFrame, k: int, key: str
 ) -> DataFrame:
-    """Mean accuracy for every model on every number of components."""
-    steps = {f"{name}|{n}": pca_steps(n, m) for name, m in models.items() for n in components}
-    scores = cross_val(steps, rows, k, key)
-    parts = F.split("model", "\\|")
-    return scores.groupBy(
-        parts[0].alias("model"), parts[1].cast("int").alias("components")
-    ).agg(F.avg("score").alias("score"))
+    """Mean accuracy for every model on every number of components.
+
+    Each model is fitted on the first components of each fold, and judged on the rows held out as
+    soon as it is fitted. What reaches the driver is one score per model, number and fold. Logistic
+    regressions and linear support vectors per class, which take many short scans, share them
+    (:func:`fit_many`, where the corner of the hinge is rounded); others are fitted by themselves.
+    """
+    axes = fold_axes(rows, max(components), range(k))
+    units = {name: unit for name, m in models.items() if (unit := _unit(m)) is not None}
+    scores = _linear_scores(units, components, rows, axes) if units else []
+    jobs = [(name, n, fold) for fold in range(k) for name in models if name not in units for n in components]
+    projected = fold_components(rows, axes) if jobs else None
+
+    def one(job: tuple[str, int, int]) -> tuple[str, int, int, float | None] | None:
+        name, n, fold = job
+        some = array_to_vector(F.slice(f"components{fold}", 1, n))
+        ready = projected.select("fold", LABEL, some.alias("__components"))
+        estimator = models[name].copy()
+        estimator.set(estimator.getParam("featuresCol"), "__components")
+        fitted = estimator.fit(ready.where(F.col("fold") != fold))
+        held_out = fitted.transform(ready.where(F.col("fold") == fold))
+        hit = (F.col("prediction") == F.col(LABEL)).cast("int")
+        judged = held_out.agg(F.count("*").alias("n"), F.avg(hit).alias("score")).first()
+        return (*job, judged["score"]) if judged["n"] else None
+
+    scores += [score for score in _in_parallel(one, jobs) if score]
+    table = rows.sparkSession.createDataFrame(scores, "model string, components int, fold int, score double")
+    return table.groupBy("model", "components").agg(F.avg("score").alias("score"))
 
 
 def grid_search(

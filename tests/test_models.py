@@ -134,6 +134,23 @@ def test_pca_study_names_every_setting(blobs):
     assert [(r.model, r.components) for r in study.orderBy("components").collect()] == [("NB", 1), ("NB", 2)]
 
 
+def test_pca_study_decomposes_once_a_fold_and_agrees_with_single_fits(blobs, monkeypatch):
+    df, _, _ = blobs
+    rows_ = sel.fold_rows(df, 2, "id", 1)
+    models = {"LR": c.logreg(600), "PER": c.perceptron(20), "DT": c.tree(2)}
+    calls, fit = [], c.CentredPCA._fit
+    monkeypatch.setattr(c.CentredPCA, "_fit", lambda self, d: calls.append(self.k) or fit(self, d))
+    got = {(r.model, r.components): r.score for r in sel.pca_study(models, [1, 2], rows_, 2, "id").collect()}
+    assert calls == [2, 2] and len(got) == 6  # a decomposition per setting and fold before
+    pca = [c.CentredPCA(k=2).fit(rows_.where(f"fold != {fold}")) for fold in (0, 1)]
+    for name, model in models.items():
+        one = model.copy()
+        one.set(one.getParam("featuresCol"), "components")
+        parts = [[p.transform(rows_.where(f"fold {sign} {f}")) for sign in ("!=", "=")] for f, p in enumerate(pca)]
+        want = np.mean([score(one.fit(train), test) for train, test in parts])
+        assert abs(got[name, 2] - want) < (0.04 if name == "PER" else 0.01), (name, got, want)
+
+
 def test_boosting_stops_early(spark):
     rng = np.random.default_rng(0)
     x = rng.uniform(size=500)
