@@ -8,8 +8,8 @@ away; and what is left is stored, sorted, as the relation of length k + 1.
 
 Relations are stored in blocks of :data:`BLOCK` words, each sorted by position, pieces a gap apart.
 So the merge-join never leaves a block: a text that is cut carries its next few words along, which
-take part in joins and are not counted. Groups cross the network once per block and phrase, never
-once per occurrence, and a phrase is known by the numbers of its two overlapping shorter phrases,
+take part in joins and are not counted. Groups cross the network in packed lists, once per
+:data:`MERGED` groups of a task and part, never once per occurrence, and a phrase is known by the numbers of its two overlapping shorter phrases,
 which is exact. A bitmap of a fixed size drops most infrequent groups before the semi-join, which
 decides alone. Pairs go to the semi-join as one packed question per block and part of the frequent
 groups, and come back as one packed answer.
@@ -41,6 +41,9 @@ BITS = 1 << 24
 #: Frequent pairs a part of the semi-join holds in memory, and the least number of parts.
 HELD, LEAST_PARTS = 100_000, 32
 
+#: Groups a task gathers before it packs their counts, and occurrences of a part of the counting.
+MERGED, COUNTED = 1_000_000, 4_000_000
+
 #: Parts in which the best phrases of a language are chosen before they meet.
 PARTS = 256
 
@@ -332,6 +335,75 @@ def _each_block(stored: DataFrame, function, schema: str) -> DataFrame:
     return stored.mapInArrow(run, schema)
 
 
+_COUNTS = pa.schema([("part", pa.int64()), ("head", pa.binary()), ("tail", pa.binary()), ("n", pa.binary())])
+_COUNTS_SQL = "part long, head binary, tail binary, n binary"
+
+
+def _sums(lists: list[tuple[np.ndarray, np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Each pair once, in order, with the sum of its counts."""
+    head, tail, n = map(np.concatenate, zip(*lists))
+    order = np.lexsort((tail, head))
+    head, tail, n = head[order], tail[order], n[order]
+    new = (np.diff(head, prepend=-1) != 0) | (np.diff(tail, prepend=-1) != 0)
+    first = np.flatnonzero(new)
+    return head[first], tail[first], np.add.reduceat(n, first) if len(first) else n
+
+
+def _totals(stored: DataFrame, parts: int, least: int) -> DataFrame:
+    """head, tail and counted occurrences ``a`` of the pairs of adjacent rows found ``least`` times in all blocks.
+
+    A task adds up the pairs of its blocks and sends them as one packed list per part; a part adds
+    up what all tasks send it.
+    """
+
+    def packed(lists: list[tuple]) -> pa.RecordBatch:
+        head, tail, n = _sums(lists)
+        return _batch(
+            [
+                (part, _pack(np.diff(head[some], prepend=0), 8), _pack(tail[some], 8), _pack(n[some], 8))
+                for part, some in _by_part(head, tail, parts)
+            ],
+            _COUNTS,
+        )
+
+    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        lists, held = [], 0
+        for batch in batches:
+            for i in range(batch.num_rows):
+                *_, head, tail, n = _groups(batch.slice(i, 1).to_pylist()[0])
+                some = n > 0
+                lists.append((head[some], tail[some], n[some]))
+                held += int(some.sum())
+                if held >= MERGED:
+                    yield packed(lists)
+                    lists, held = [], 0
+        if lists:
+            yield packed(lists)
+
+    def frequent(lists: list[tuple]) -> pa.RecordBatch:
+        head, tail, n = _sums(lists)
+        often = n >= least
+        return pa.RecordBatch.from_arrays(
+            [pa.array(c[often], pa.int64()) for c in (head, tail, n)], names=["head", "tail", "a"]
+        )
+
+    def added(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        here, lists = None, []
+        for batch in batches:
+            for i in range(batch.num_rows):
+                part, head, tail, n = (c[i].as_py() for c in batch.columns)
+                if part != here and lists:
+                    yield frequent(lists)
+                    lists = []
+                here = part
+                lists.append((np.cumsum(_numbers(head, 8)), _numbers(tail, 8), _numbers(n, 8)))
+        if lists:
+            yield frequent(lists)
+
+    met = stored.mapInArrow(counted, _COUNTS_SQL).repartition(parts, "part").sortWithinPartitions("part")
+    return met.mapInArrow(added, "head long, tail long, a long")
+
+
 def _first_level(blocks: DataFrame, least: int) -> tuple[DataFrame, DataFrame]:
     """Frequent words with a number each, and the sorted relation of their occurrences."""
 
@@ -360,16 +432,12 @@ def _first_level(blocks: DataFrame, least: int) -> tuple[DataFrame, DataFrame]:
     return groups, stage(_restrict(blocks, found, words=True), "occurrences")
 
 
-def _next_level(stored: DataFrame, groups: DataFrame, least: int, last: bool) -> tuple[DataFrame, DataFrame | None]:
+def _next_level(
+    stored: DataFrame, groups: DataFrame, least: int, last: bool, block: int
+) -> tuple[DataFrame, DataFrame | None]:
     """Frequent phrases one word longer, and their occurrences unless this is the last length."""
 
-    def counted(row: dict) -> pa.RecordBatch:
-        *_, head, tail, n = _groups(row)
-        some = n > 0
-        return pa.RecordBatch.from_arrays([pa.array(c[some], pa.int64()) for c in (head, tail, n)], names=["head", "tail", "n"])
-
-    totals = _each_block(stored, counted, "head long, tail long, n long")
-    frequent = totals.groupBy("head", "tail").agg(F.sum("n").alias("a")).where(F.col("a") >= least)
+    frequent = _totals(stored, max(LEAST_PARTS, stored.count() * block // COUNTED + 1), least)
     frequent = stage(frequent.withColumn("gid", F.monotonically_increasing_id()), "pairs")
     left = groups.select(F.col("gid").alias("head"), "lang", F.col("words").alias("w"), F.col("heads").alias("h"))
     right = groups.select(F.col("gid").alias("tail"), F.col("words").alias("v"), F.col("tails").alias("t"))
@@ -435,7 +503,7 @@ def mine(
     levels = []
     for length in range(2, longest + 1):
         before = stored
-        groups, stored = _next_level(before, groups, least, length == longest)
+        groups, stored = _next_level(before, groups, least, length == longest, block)
         discard(before)
         levels.append(groups)
     out = None

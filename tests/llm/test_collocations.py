@@ -3,9 +3,11 @@ from __future__ import annotations
 import re
 from collections import Counter, defaultdict
 
+import numpy as np
 import pytest
 
 from loomframe.llm import collocations
+from loomframe.session import ship_package
 
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 SCHEMA = "lang string, text string, n long, rank int, phrase string"
@@ -80,3 +82,23 @@ def test_products_beyond_64_bits(spark):
 
 def test_empty_table(spark):
     assert collocations.collocations(spark.createDataFrame([], SCHEMA)).count() == 0
+
+
+def test_counts_cross_the_network_in_packed_lists(spark, monkeypatch):
+    """Pairs of many blocks and tasks: sums as by brute force, from few messages."""
+    ship_package(spark)
+    rng = np.random.default_rng(0)
+    blocks = []
+    for i in range(12):
+        code = rng.integers(0, 40, 500)
+        ids = (np.arange(40) % 7 << 33) + np.arange(40)
+        at, own = np.arange(500), np.ones(500, bool)
+        packed = collocations._pack(np.diff(at, prepend=0)), collocations._pack(code), np.packbits(own).tobytes()
+        blocks.append((i, *packed, collocations._pack(ids, 8), code, ids))
+    stored = spark.createDataFrame([b[:5] for b in blocks], collocations._RELATION_SQL).repartition(3)
+    want = Counter((int(ids[x]), int(ids[y])) for *_, code, ids in blocks for x, y in zip(code, code[1:]))
+    for merged in (300, 1_000_000):
+        monkeypatch.setattr(collocations, "MERGED", merged)
+        got = {(r.head, r.tail): r.a for r in collocations._totals(stored, 32, 4).collect()}
+        assert got == {pair: n for pair, n in want.items() if n >= 4}
+    assert collocations._totals(stored.limit(0), 32, 1).count() == 0
