@@ -8,11 +8,12 @@ away; and what is left is stored, sorted, as the relation of length k + 1.
 
 Relations are stored in blocks of :data:`BLOCK` words, each sorted by position, pieces a gap apart.
 So the merge-join never leaves a block: a text that is cut carries its next few words along, which
-take part in joins and are not counted. Groups cross the network in packed lists, once per
-:data:`MERGED` groups of a task and part, never once per occurrence, and a phrase is known by the numbers of its two overlapping shorter phrases,
-which is exact. A bitmap of a fixed size drops most infrequent groups before the semi-join, which
-decides alone. Pairs go to the semi-join as one packed question per block and part of the frequent
-groups, and come back as one packed answer.
+take part in joins and are not counted. Groups, words as well as pairs, cross the network in packed
+lists, once per :data:`MERGED` groups (:data:`WORDS` words) of a task and part, never once per
+occurrence, and a phrase is known by the numbers of its two overlapping shorter phrases, which is
+exact. A bitmap of a fixed size drops most infrequent groups before the semi-join, which decides
+alone. Groups go to the semi-join as one packed question per block and part of the frequent groups,
+and come back as one packed answer.
 """
 
 from __future__ import annotations
@@ -30,10 +31,11 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from loomframe.llm.common import slices, text_of
-from loomframe.session import discard, ship_package, stage
+from loomframe.session import discard, ship_package, stage, sweep
 
-#: Words a block holds, and bytes after which a text is cut (at the next separator).
-BLOCK, CUT = 400_000, 2_000_000
+#: Words a block holds (a fifth as many distinct ones), and bytes after which a text is cut (at the
+#: next separator).
+BLOCK, CUT = 2_000_000, 2_000_000
 
 #: Bits of the map of frequent groups; at most 2 MB, whatever the number of groups.
 BITS = 1 << 24
@@ -44,6 +46,9 @@ HELD, LEAST_PARTS = 100_000, 32
 #: Groups a task gathers before it packs their counts, and occurrences of a part of the counting.
 MERGED, COUNTED = 1_000_000, 4_000_000
 
+#: Words a task gathers before it packs their counts, and words of all blocks to a part of them.
+WORDS, LISTED = 300_000, 1_000_000
+
 #: Parts in which the best phrases of a language are chosen before they meet.
 PARTS = 256
 
@@ -57,15 +62,46 @@ _WORD = re.compile(rb" *[^ \n]+")
 
 # --- the relation of single words ---------------------------------------------------------------
 
+def _planes(values: np.ndarray, width: int) -> np.ndarray:
+    return np.ascontiguousarray(values, f"<i{width}").view(np.uint8).reshape(-1, width).T
+
+
 def _pack(values: np.ndarray, width: int = 4) -> bytes:
-    """Whole numbers of ``width`` bytes by the planes of their bytes, compressed."""
-    planes = np.ascontiguousarray(values, f"<i{width}").view(np.uint8).reshape(-1, width).T
-    return zstandard.ZstdCompressor(level=1).compress(planes.tobytes())
+    """Whole numbers of ``width`` bytes: how many, and the planes of their bytes, each compressed by itself.
+
+    A plane of zeros takes no room.
+    """
+    packer = zstandard.ZstdCompressor(level=1)
+    planes = [packer.compress(plane.tobytes()) if plane.any() else b"" for plane in _planes(values, width)]
+    return np.array([len(values), *map(len, planes)], "<u4").tobytes() + b"".join(planes)
 
 
 def _numbers(packed: bytes, width: int = 4) -> np.ndarray:
-    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(packed), np.uint8).reshape(width, -1)
-    return np.ascontiguousarray(planes.T).view(f"<i{width}").ravel()
+    n, *sizes = np.frombuffer(packed, "<u4", 1 + width).tolist()
+    out, at, unpacker = np.zeros((n, width), np.uint8), 4 * (1 + width), zstandard.ZstdDecompressor()
+    for k, size in enumerate(sizes):
+        if size:
+            out[:, k] = np.frombuffer(unpacker.decompress(packed[at : at + size]), np.uint8)
+        at += size
+    return out.view(f"<i{width}").ravel()
+
+
+def _key(lang: str, word: bytes) -> bytes:
+    """A word and its language as one; the word has no space."""
+    return lang.encode() + b" " + word
+
+
+def _pack_keys(keys: list[bytes]) -> bytes:
+    """Keys as their packed sizes and their bytes, compressed."""
+    sizes = _pack(np.fromiter(map(len, keys), np.int64, len(keys)))
+    return np.array([len(sizes)], "<u4").tobytes() + sizes + zstandard.ZstdCompressor(level=3).compress(b"".join(keys))
+
+
+def _keys(packed: bytes) -> list[bytes]:
+    upto = 4 + int(np.frombuffer(packed, "<u4", 1)[0])
+    raw = zstandard.ZstdDecompressor().decompress(packed[upto:])
+    ends = np.cumsum(_numbers(packed[4:upto]), dtype=np.int64).tolist()
+    return [raw[a:b] for a, b in zip([0, *ends], ends)]
 
 
 def _cuts(raw: bytes, tail: int, cut: int) -> Iterator[tuple[bytes, bytes]]:
@@ -112,31 +148,38 @@ class _Block:
             if counted:
                 self.sizes[lang] += int((codes >= 0).sum())
 
+    def full(self, size: int) -> bool:
+        return self.n >= size or 5 * sum(map(len, self.words.values())) >= size
+
     def row(self, block: int) -> tuple:
-        """block, at, code, own, langs, words, counts, numbers (all by word), sizes by language."""
+        """block, at, code, own, keys, counts, numbers (all by key), how many keys, sizes by language."""
         codes, own = np.concatenate(self.codes), np.concatenate(self.own)
         at = np.flatnonzero(codes >= 0)
         code, own = codes[at], own[at]
         seen = np.bincount(code[own], minlength=next(self._next))
-        listed = [
-            (lang, word, int(seen[i]), i)
+        # numbered by how often they occur, words pack better
+        rank = np.empty(len(seen), np.int64)
+        rank[np.argsort(-seen, kind="stable")] = np.arange(len(seen))
+        listed = sorted(
+            (_key(lang, word), i)
             for lang, number in self.words.items() for word, i in number.items() if word not in (b"", b"\n")
-        ]
-        langs, words, counts, numbers = (list(c) for c in zip(*listed)) if listed else ([], [], [], [])
+        )
+        numbers = np.fromiter((i for _, i in listed), np.int64, len(listed))
         return (
-            block, _pack(np.diff(at, prepend=0)), _pack(code), np.packbits(own).tobytes(),
-            langs, words, counts, numbers, list(self.sizes), list(self.sizes.values()),
+            block, _pack(np.diff(at, prepend=0)), _pack(rank[code]), np.packbits(own).tobytes(),
+            _pack_keys([key for key, _ in listed]), _pack(seen[numbers], 8), _pack(rank[numbers]), len(listed),
+            list(self.sizes), list(self.sizes.values()),
         )
 
 
 _BLOCKS = pa.schema(
     [("block", pa.int64()), ("at", pa.binary()), ("code", pa.binary()), ("own", pa.binary()),
-     ("langs", pa.list_(pa.string())), ("words", pa.list_(pa.string())), ("counts", pa.list_(pa.int64())),
-     ("numbers", pa.list_(pa.int32())), ("sized", pa.list_(pa.string())), ("sizes", pa.list_(pa.int64()))]
+     ("keys", pa.binary()), ("counts", pa.binary()), ("numbers", pa.binary()), ("listed", pa.int64()),
+     ("sized", pa.list_(pa.string())), ("sizes", pa.list_(pa.int64()))]
 )
 _BLOCKS_SQL = (
-    "block long, at binary, code binary, own binary, langs array<string>, words array<string>, "
-    "counts array<long>, numbers array<int>, sized array<string>, sizes array<long>"
+    "block long, at binary, code binary, own binary, keys binary, counts binary, numbers binary, "
+    "listed long, sized array<string>, sizes array<long>"
 )
 
 
@@ -155,7 +198,7 @@ def _blocks(docs: DataFrame, longest: int, size: int, cut: int) -> DataFrame:
                 for lang, text in zip(some.column(0).to_pylist(), some.column(1)):
                     for part, tail in _cuts(text.as_buffer().to_pybytes().translate(_TABLE), longest - 1, cut):
                         block.add(lang, part, tail)
-                        if block.n >= size:
+                        if block.full(size):
                             yield _batch([block.row(number)], _BLOCKS)
                             number, block = number + 1, _Block()
         if block.n:
@@ -233,8 +276,8 @@ def _kept(block: int, numbers: np.ndarray, ids: np.ndarray, at: np.ndarray, code
 def _restrict(stored: DataFrame, found: DataFrame, words: bool) -> DataFrame:
     """Semi-join: the occurrences of ``stored`` (words, or pairs of them) with a frequent group.
 
-    ``found`` has the frequent groups of a block, by local and global number: one row each for
-    words, packed lists for pairs. A block bounds how many it has.
+    ``found`` has the frequent groups of a block in packed lists, by local and global number. A
+    block bounds how many it has.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -242,11 +285,9 @@ def _restrict(stored: DataFrame, found: DataFrame, words: bool) -> DataFrame:
             for i in range(batch.num_rows):
                 row = batch.slice(i, 1).to_pylist()[0]
                 at, code, own = _unpack(row)
-                if words:
-                    numbers, ids = (np.array([g[c] for g in row["g"]], np.int64) for c in ("number", "gid"))
-                else:
-                    numbers = np.concatenate([np.cumsum(_numbers(g["number"])) for g in row["g"]])
-                    ids = np.concatenate([_numbers(g["gid"], 8) for g in row["g"]])
+                numbers = np.concatenate([np.cumsum(_numbers(g["number"])) for g in row["g"]])
+                ids = np.concatenate([np.cumsum(_numbers(g["gid"], 8)) for g in row["g"]])
+                if not words:
                     meet, code, *_ = _groups(row)
                     at, own = at[meet], own[meet]
                 yield _batch([_kept(row["block"], numbers, ids, at, code, own)], _RELATION)
@@ -265,25 +306,34 @@ _ANSWER = pa.schema([("block", pa.int64()), ("number", pa.binary()), ("gid", pa.
 
 def _by_part(head: np.ndarray, tail: np.ndarray, parts: int) -> Iterator[tuple[int, np.ndarray]]:
     """Places of the pairs of each part, in order."""
-    part = (head % 1_000_000_007 * 998_244_353 + tail % 1_000_000_007) % parts
+    yield from _each_part((head % 1_000_000_007 * 998_244_353 + tail % 1_000_000_007) % parts)
+
+
+def _each_part(part: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
     order = np.argsort(part, kind="stable")
     there, first = np.unique(part[order], return_index=True)
     yield from zip(there.tolist(), np.split(order, first[1:]))
 
 
 class _Held:
-    """The frequent pairs of one part, looked up many at once."""
+    """The frequent pairs of one part, looked up many at once; all come packed."""
 
-    def __init__(self, lists: list[tuple[np.ndarray, np.ndarray, np.ndarray]]):
-        gid, head, tail = map(np.concatenate, zip(*lists))
+    def __init__(self, lists: list[tuple[bytes, bytes, bytes]]):
+        gid, head, tail = map(np.concatenate, zip(*map(self._unpacked, lists)))
         self.heads, h = np.unique(head, return_inverse=True)
         self.tails, t = np.unique(tail, return_inverse=True)
         keys = h * len(self.tails) + t
         order = np.argsort(keys)
         self.keys, self.gid = keys[order], gid[order]
 
-    def find(self, head: np.ndarray, tail: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    @staticmethod
+    def _unpacked(row: tuple[bytes, bytes, bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        gid, head, tail = (_numbers(c, 8) for c in row)
+        return np.cumsum(gid), np.cumsum(head), tail
+
+    def find(self, head: bytes, tail: bytes) -> tuple[np.ndarray, np.ndarray]:
         """Which pairs are held, and the numbers of those."""
+        head, tail = np.cumsum(_numbers(head, 8)), _numbers(tail, 8)
         h = np.minimum(np.searchsorted(self.heads, head), len(self.heads) - 1)
         t = np.minimum(np.searchsorted(self.tails, tail), len(self.tails) - 1)
         key = h * len(self.tails) + t
@@ -292,16 +342,56 @@ class _Held:
         return held, self.gid[place[held]]
 
 
-def _answers(asks: DataFrame, frequent: DataFrame, parts: int) -> DataFrame:
-    """Packed questions meet the frequent pairs of their part, which come first (block -1)."""
+class _HeldWords:
+    """The frequent words of one part by their keys (heads; tails are empty)."""
+
+    def __init__(self, lists: list[tuple[bytes, bytes, bytes]]):
+        self.gid: dict[bytes, int] = {}
+        for gid, keys, _ in lists:
+            self.gid.update(zip(_keys(keys), np.cumsum(_numbers(gid, 8)).tolist()))
+
+    def find(self, head: bytes, tail: bytes) -> tuple[np.ndarray, np.ndarray]:
+        """Which words are held, and the numbers of those."""
+        keys = _keys(head)
+        gid = np.fromiter((self.gid.get(key, -1) for key in keys), np.int64, len(keys))
+        return gid >= 0, gid[gid >= 0]
+
+
+def _pair_lists(batch: pa.RecordBatch, parts: int) -> pa.RecordBatch:
+    """Frequent pairs (gid, head, tail) as one list for each part."""
+    gid, head, tail = (c.to_numpy() for c in batch.columns)
+    lists = []
+    for part, some in _by_part(head, tail, parts):
+        some = some[np.lexsort((tail[some], head[some]))]
+        gids, heads = (_pack(np.diff(c[some], prepend=0), 8) for c in (gid, head))
+        lists.append((part, -1, gids, heads, _pack(tail[some], 8)))
+    return _batch(lists, _MESSAGE)
+
+
+def _word_lists(batch: pa.RecordBatch, parts: int) -> pa.RecordBatch:
+    """Frequent words (gid, lang, word) as one list for each part."""
+    gid, langs, words = batch.columns
+    gid = gid.to_numpy()
+    keys = [_key(lang, word) for lang, word in zip(langs.to_pylist(), words.cast(pa.binary()).to_pylist())]
+    return _batch(
+        [
+            (part, -1, _pack(np.diff(gid[some], prepend=0), 8), _pack_keys([keys[i] for i in some.tolist()]), b"")
+            for part, some in _each_part(_crcs(keys) % parts)
+        ],
+        _MESSAGE,
+    )
+
+
+def _crcs(keys: list[bytes]) -> np.ndarray:
+    return np.fromiter(map(crc32, keys), np.int64, len(keys))
+
+
+def _answers(asks: DataFrame, frequent: DataFrame, parts: int, lists_of, held_by) -> DataFrame:
+    """Packed questions meet the frequent groups of their part, which come first (block -1)."""
 
     def listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            gid, head, tail = (c.to_numpy() for c in batch.columns)
-            yield _batch(
-                [(part, -1, *(_pack(c[some], 8) for c in (gid, head, tail))) for part, some in _by_part(head, tail, parts)],
-                _MESSAGE,
-            )
+            yield lists_of(batch, parts)
 
     def answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         here, lists, held = None, [], None
@@ -312,16 +402,16 @@ def _answers(asks: DataFrame, frequent: DataFrame, parts: int) -> DataFrame:
                 if part != here:
                     here, lists, held = part, [], None
                 if block < 0:
-                    lists.append(tuple(_numbers(c, 8) for c in (number, head, tail)))
+                    lists.append((number, head, tail))
                 elif lists:
-                    held = held or _Held(lists)
-                    yes, gid = held.find(_numbers(head, 8), _numbers(tail, 8))
+                    held = held or held_by(lists)
+                    yes, gid = held.find(head, tail)
                     if len(gid):
                         numbers = np.cumsum(_numbers(number))[yes]
-                        out.append((block, _pack(np.diff(numbers, prepend=0)), _pack(gid, 8)))
+                        out.append((block, _pack(np.diff(numbers, prepend=0)), _pack(np.diff(gid, prepend=0), 8)))
             yield _batch(out, _ANSWER)
 
-    table = frequent.select("gid", "head", "tail").mapInArrow(listed, _MESSAGE_SQL)
+    table = frequent.mapInArrow(listed, _MESSAGE_SQL)
     met = table.unionByName(asks).repartition(parts, "part").sortWithinPartitions("part", "block")
     return met.mapInArrow(answer, "block long, number binary, gid binary")
 
@@ -404,31 +494,95 @@ def _totals(stored: DataFrame, parts: int, least: int) -> DataFrame:
     return met.mapInArrow(added, "head long, tail long, a long")
 
 
-def _first_level(blocks: DataFrame, least: int) -> tuple[DataFrame, DataFrame]:
-    """Frequent words with a number each, and the sorted relation of their occurrences."""
+_WORD_COUNTS = pa.schema([("part", pa.int64()), ("keys", pa.binary()), ("counts", pa.binary())])
 
-    totals = blocks.select(F.inline(F.arrays_zip("langs", "words", "counts"))).toDF("lang", "word", "n")
-    frequent = totals.groupBy("lang", "word").agg(F.sum("n").alias("a")).where(F.col("a") >= least)
-    groups = stage(frequent.withColumn("gid", F.monotonically_increasing_id()), "words")
-    bit = F.crc32(F.concat(F.encode("lang", "UTF-8"), F.lit(b"\0"), F.encode("word", "UTF-8"))) % BITS + 1
-    bitmap = _bitmap(groups, bit)
 
-    def asked(row: dict) -> pa.RecordBatch:
-        starts = {lang: crc32(lang.encode() + b"\0") for lang in set(row["langs"])}
-        bits = np.fromiter(
-            (crc32(w.encode(), starts[lang]) for lang, w in zip(row["langs"], row["words"])), np.int64, len(row["words"])
-        )
-        ask = pa.array(_set(bitmap, bits % BITS + 1), pa.bool_())
+def _word_totals(blocks: DataFrame, parts: int, least: int) -> DataFrame:
+    """lang, word and occurrences ``a`` of the words found ``least`` times in all blocks.
+
+    As :func:`_totals` does for pairs; the words of a part come sorted.
+    """
+
+    def packed(sums: dict[bytes, int]) -> pa.RecordBatch:
+        keys = sorted(sums)
+        return _batch(
+            [
+                (part, _pack_keys(chosen := [keys[i] for i in some.tolist()]),
+                 _pack(np.fromiter(map(sums.__getitem__, chosen), np.int64, len(chosen)), 8))
+                for part, some in _each_part(_crcs(keys) % parts)
+            ],
+            _WORD_COUNTS,
+        )
+
+    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums = defaultdict(int)
+        for batch in batches:
+            for keys, counts in zip(*(c.to_pylist() for c in batch.columns)):
+                for key, n in zip(_keys(keys), _numbers(counts, 8).tolist()):
+                    sums[key] += n
+                if len(sums) >= WORDS:
+                    yield packed(sums)
+                    sums = defaultdict(int)
+        if sums:
+            yield packed(sums)
+
+    def frequent(sums: dict[bytes, int]) -> pa.RecordBatch:
+        often = sorted(key for key, n in sums.items() if n >= least)
+        langs, words = zip(*(key.rsplit(b" ", 1) for key in often)) if often else ((), ())
+        counts = pa.array([sums[key] for key in often], pa.int64())
         return pa.RecordBatch.from_arrays(
-            [pa.array([row["block"]] * len(bits), pa.int64()), pa.array(row["langs"], pa.string()),
-             pa.array(row["words"], pa.string()), pa.array(row["numbers"], pa.int32())],
-            names=["block", "lang", "word", "number"],
-        ).filter(ask)
+            [pa.array(langs, pa.string()), pa.array(words, pa.string()), counts], names=["lang", "word", "a"]
+        )
 
-    asks = _each_block(
-        blocks.select("block", "langs", "words", "numbers"), asked, "block long, lang string, word string, number int"
+    def added(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        here, sums = None, defaultdict(int)
+        for batch in batches:
+            for part, keys, counts in zip(*(c.to_pylist() for c in batch.columns)):
+                if part != here and sums:
+                    yield frequent(sums)
+                    sums = defaultdict(int)
+                here = part
+                for key, n in zip(_keys(keys), _numbers(counts, 8).tolist()):
+                    sums[key] += n
+        if sums:
+            yield frequent(sums)
+
+    lists = blocks.select("keys", "counts").mapInArrow(counted, "part long, keys binary, counts binary")
+    met = lists.repartition(parts, "part").sortWithinPartitions("part")
+    return met.mapInArrow(added, "lang string, word string, a long")
+
+
+def _found_words(blocks: DataFrame, groups: DataFrame, parts: int) -> DataFrame:
+    """The frequent words of each block, as packed lists of their numbers in it and in ``groups``."""
+    key = F.concat(F.col("lang").cast("binary"), F.lit(b" "), F.col("word").cast("binary"))
+    bitmap = _bitmap(groups, F.crc32(key) % BITS + 1)
+
+    def asked(row: dict) -> pa.RecordBatch:
+        keys, numbers = _keys(row["keys"]), _numbers(row["numbers"])
+        crcs = _crcs(keys)
+        ask = np.flatnonzero(_set(bitmap, crcs % BITS + 1))
+        return _batch(
+            [
+                (part, row["block"], _pack(np.diff(numbers[ask[some]], prepend=0)),
+                 _pack_keys([keys[i] for i in ask[some].tolist()]), b"")
+                for part, some in _each_part(crcs[ask] % parts)
+            ],
+            _MESSAGE,
+        )
+
+    asks = _each_block(blocks.select("block", "keys", "numbers"), asked, _MESSAGE_SQL)
+    return _answers(asks, groups.select("gid", "lang", "word"), parts, _word_lists, _HeldWords)
+
+
+def _first_level(blocks: DataFrame, least: int) -> tuple[DataFrame, DataFrame]:
+    """Frequent words with a number each, and the sorted relation of their occurrences."""
+
+    parts = max(LEAST_PARTS, (blocks.agg(F.sum("listed")).first()[0] or 0) // LISTED + 1)
+    groups = stage(
+        _word_totals(blocks, parts, least).withColumn("gid", F.monotonically_increasing_id()), "words"
     )
-    found = asks.join(groups.select("lang", "word", "gid"), ["lang", "word"]).select("block", "number", "gid")
+    sweep(blocks.sparkSession)
+    found = _found_words(blocks, groups, parts)
     return groups, stage(_restrict(blocks, found, words=True), "occurrences")
 
 
@@ -451,6 +605,7 @@ def _next_level(
     )
     if last:
         return longer, None
+    sweep(stored.sparkSession)
     bitmap = _bitmap(frequent, _pair_bit(F.col("head"), F.col("tail")))
 
     parts = max(LEAST_PARTS, frequent.count() // HELD + 1)
@@ -461,13 +616,16 @@ def _next_level(
         head, tail = head[ask], tail[ask]
         return _batch(
             [
-                (part, row["block"], _pack(np.diff(ask[some], prepend=0)), _pack(head[some], 8), _pack(tail[some], 8))
+                (part, row["block"], _pack(np.diff(ask[some], prepend=0)),
+                 _pack(np.diff(head[some], prepend=0), 8), _pack(tail[some], 8))
                 for part, some in _by_part(head, tail, parts)
             ],
             _MESSAGE,
-        )
+        )
 
-    answers = _answers(_each_block(stored, asked, _MESSAGE_SQL), frequent, parts)
+    answers = _answers(
+        _each_block(stored, asked, _MESSAGE_SQL), frequent.select("gid", "head", "tail"), parts, _pair_lists, _Held
+    )
     return longer, stage(_restrict(stored, answers, words=False), "occurrences")
 
 

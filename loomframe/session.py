@@ -89,19 +89,23 @@ def _delete(spark: SparkSession, name: str) -> None:
     path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
-def discard(staged: DataFrame) -> None:
-    """Delete one staged copy that nothing reads any more.
+def sweep(spark: SparkSession) -> None:
+    """Let go of the shuffle files of finished jobs.
 
-    Shuffle files of finished jobs go as well: Spark removes them when the driver collects its
-    garbage, which it is asked to do here.
+    Spark removes them when the driver collects its garbage, which it is asked to do here.
     """
+    spark.sparkContext._jvm.System.gc()
+
+
+def discard(staged: DataFrame) -> None:
+    """Delete one staged copy that nothing reads any more, and :func:`sweep`."""
     spark = staged.sparkSession
     folders = {name.rsplit("/", 1)[0] for name in staged.inputFiles()}
     held = _staged.get(spark.sparkContext.applicationId, [])
     for name in [n for n in held if any(f.endswith(n.split("://")[-1].split(":", 1)[-1]) for f in folders)]:
         held.remove(name)
         _delete(spark, name)
-    spark.sparkContext._jvm.System.gc()
+    sweep(spark)
 
 
 def drop_staged(spark: SparkSession) -> int:

@@ -102,3 +102,56 @@ def test_counts_cross_the_network_in_packed_lists(spark, monkeypatch):
         got = {(r.head, r.tail): r.a for r in collocations._totals(stored, 32, 4).collect()}
         assert got == {pair: n for pair, n in want.items() if n >= 4}
     assert collocations._totals(stored.limit(0), 32, 1).count() == 0
+
+
+def test_words_cross_the_network_in_packed_lists(spark, monkeypatch):
+    """Words of many blocks and tasks: sums and numbers as by brute force, from few messages."""
+    ship_package(spark)
+    rng = np.random.default_rng(1)
+    langs = ["en", "e n", "", "x\0\ny"]
+    rows = [
+        (langs[i % 4], " ".join(f"w{k}" if k else "été" for k in rng.integers(0, 30, 50)) + " once" + str(i))
+        for i in range(40)
+    ] + [("en", ".,;"), ("en", "")]
+    blocks = collocations._blocks(spark.createDataFrame(rows, "lang string, text string").repartition(3), 2, 200, 1000)
+    blocks = spark.createDataFrame(blocks.collect(), blocks.schema).repartition(3)
+    want = Counter((lang, word) for lang, text in rows for word in re.findall("[^ .,;]+", text))
+    for words in (5, 1_000_000):
+        monkeypatch.setattr(collocations, "WORDS", words)
+        totals = collocations._word_totals(blocks, 7, 2)
+        assert {(r.lang, r.word): r.a for r in totals.collect()} == {k: n for k, n in want.items() if n >= 2}
+    ids = {key: i << 33 for i, key in enumerate(sorted(k for k, n in want.items() if n >= 2))}
+    groups = spark.createDataFrame([(*k, i) for k, i in ids.items()], "lang string, word string, gid long")
+    got, messages = defaultdict(dict), Counter()
+    for r in collocations._found_words(blocks, groups, 7).collect():
+        messages[r.block] += 1
+        got[r.block].update(
+            zip(np.cumsum(collocations._numbers(r.number)).tolist(), np.cumsum(collocations._numbers(r.gid, 8)).tolist())
+        )
+    assert max(messages.values()) <= 7
+    for r in blocks.collect():
+        keys = [k.decode().rsplit(" ", 1) for k in collocations._keys(r["keys"])]
+        numbers = collocations._numbers(r.numbers).tolist()
+        assert got[r.block] == {n: ids[tuple(k)] for n, k in zip(numbers, keys) if tuple(k) in ids}
+    assert collocations._word_totals(blocks.limit(0), 32, 1).count() == 0
+
+
+def test_no_join_or_count_deals_rows_by_word(spark, monkeypatch):
+    """One row for each word of a block grows faster than the input as more words become frequent."""
+    plans, stage = {}, collocations.stage
+
+    def kept(df, label):
+        plans.setdefault(label, df._jdf.queryExecution().analyzed().toString())
+        return stage(df, label)
+
+    monkeypatch.setattr(collocations, "stage", kept)
+    collocations.collocations(spark.createDataFrame([(*r, 7, 7, "x") for r in ROWS], SCHEMA), 2)
+    assert not re.search(r"Join .*word|Aggregate \[.*word", plans["words"] + plans["occurrences"])
+
+
+@pytest.mark.parametrize("width, values", [(4, []), (4, [0, 0]), (4, [5, -1, 2**31 - 1]), (8, [-(2**62), 3, 1 << 40])])
+def test_numbers_and_keys_pack_without_loss(width, values):
+    packed = collocations._pack(np.array(values, np.int64), width)
+    assert collocations._numbers(packed, width).tolist() == values
+    keys = [str(v).encode() * (i + 1) for i, v in enumerate(values)]
+    assert collocations._keys(collocations._pack_keys(keys)) == keys
