@@ -1,8 +1,10 @@
 """Exact k nearest neighbours, for classification and for filling gaps.
 
-A classifier keeps a bounded number of labelled rows as one matrix, cut into small leaves with their
-bounding boxes: a query meets the rows of its own leaf, and then of those whose box is nearer than what
-it found there. To fill gaps, where any row can be a donor:
+A classifier keeps its labelled rows as one matrix, cut into small leaves with their bounding boxes: a
+query meets the rows of its own leaf, and then of those whose box is nearer than what it found there.
+More labelled rows than such a matrix may hold are cut into shards with boxes, each held by the tasks
+whose queries need it: a query meets the nearest shard, and then all that are not farther than what it
+found there. To fill gaps, where any row can be a donor:
 
 Donor rows are cut into blocks of nearby rows, each with its bounding box. The boxes alone tell
 a query row how far its k-th neighbour can be at most, and so which blocks cannot hold any
@@ -18,6 +20,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator, Sequence
 from functools import reduce
+from heapq import heappop, heappush
 
 import numpy as np
 import pandas as pd
@@ -33,7 +36,9 @@ QUERY_ROWS = 20_000     # queries that meet one block in one task
 DONOR_ROWS = 50_000     # donors of one block in one task
 AXES = 3                # leading features by which rows count as nearby
 FEW_BLOCKS = 32         # up to here one round of meetings is cheaper than two
-LABELLED_ROWS, LABELLED_BYTES = 200_000, 256_000_000  # labelled rows of a classifier, at most
+LABELLED_ROWS, LABELLED_BYTES = 200_000, 256_000_000  # labelled rows that every task receives, at most
+SHARD_BYTES = 64_000_000  # labelled rows, or queries, that meet in one task where there are more
+CUT_ROWS = 32           # labelled rows that say where to cut, for each shard
 LEAF_ROWS = 256         # labelled rows under one box
 TOGETHER = 16           # neighbouring queries that look through the same leaves
 AT_ONCE = 4_096         # queries per round, each with its distances to all boxes
@@ -345,6 +350,16 @@ def _nearest_rows(q: np.ndarray, x: np.ndarray, k: int) -> np.ndarray:
     return col[first[:, None] + np.arange(k)]
 
 
+def _apart(q: np.ndarray, low: np.ndarray, high: np.ndarray) -> np.ndarray:
+    """Squared distance of each query to each box."""
+    out = np.zeros((len(q), len(low)))
+    for j in range(q.shape[1]):
+        v = q[:, j, None]
+        gap = np.maximum(np.maximum(low[:, j] - v, v - high[:, j]), 0.0)
+        out += gap * gap
+    return out
+
+
 class _Leaves:
     """Rows cut at medians into leaves of neighbouring rows, each with its bounding box."""
 
@@ -369,15 +384,6 @@ class _Leaves:
         self.rows = [np.sort(order[a:b]) for a, b in zip(starts, ends)]
         self.low, self.high = (f.reduceat(x[order], starts) for f in (np.minimum, np.maximum))
 
-    def _apart(self, q: np.ndarray) -> np.ndarray:
-        """Squared distance of each query to each box."""
-        out = np.zeros((len(q), len(self.low)))
-        for j in range(q.shape[1]):
-            v = q[:, j, None]
-            gap = np.maximum(np.maximum(self.low[:, j] - v, v - self.high[:, j]), 0.0)
-            out += gap * gap
-        return out
-
     def nearest(self, q: np.ndarray, k: int) -> np.ndarray:
         """What :func:`_nearest_rows` finds among all rows."""
         if not self.whole or not np.isfinite(q).all():
@@ -387,7 +393,7 @@ class _Leaves:
         out = np.empty((len(q), k), dtype=np.int64)
         for start in range(0, len(q), AT_ONCE):
             some = q[start : start + AT_ONCE]
-            apart = self._apart(some)
+            apart = _apart(some, self.low, self.high)
             home = apart.argmin(1)
             order = np.argsort(home, kind="stable")
             for i in range(0, len(order), TOGETHER):
@@ -403,23 +409,196 @@ class _Leaves:
         return out
 
 
+class _Cuts:
+    """Cuts at medians, each of the most crowded cell, until there are ``cells`` of them or nothing to cut."""
+
+    def __init__(self, x: np.ndarray, cells: int):
+        axis, cut, child, members = [-1], [0.0], [(0, 0)], {0: np.arange(len(x))}
+        crowds = [(-len(x), 0)]
+        while crowds and len(members) < cells:
+            _, node = heappop(crowds)
+            part = x[members[node]]
+            wide = part.max(0) - part.min(0) if len(part) else np.zeros(1)
+            if not wide.any():
+                continue
+            j = int(np.where(wide > 0, part.var(0), -1.0).argmax())
+            v, middle = part[:, j], np.median(part[:, j])
+            middle = v[v < v.max()].max() if middle >= v.max() else middle
+            axis[node], cut[node], child[node] = j, middle, (len(axis), len(axis) + 1)
+            rows = members.pop(node)
+            for side in (rows[v <= middle], rows[v > middle]):
+                members[len(axis)] = side
+                heappush(crowds, (-len(side), len(axis)))
+                axis.append(-1), cut.append(0.0), child.append((0, 0))
+        self.axis, self.cut, self.child = np.array(axis), np.array(cut), np.array(child)
+
+    def cell(self, x: np.ndarray) -> np.ndarray:
+        """The number of each row's cell; -1 for rows with gaps."""
+        whole = np.isfinite(x).all(1)
+        at, open_ = np.zeros(len(x), dtype=np.int64), np.flatnonzero(whole)
+        while len(open_ := open_[self.axis[at[open_]] >= 0]):
+            node = at[open_]
+            above = x[open_, self.axis[node]] > self.cut[node]
+            at[open_] = self.child[node, above.astype(int)]
+        return np.where(whole, at, -1)
+
+
+def _shards(train: DataFrame, n_features: int, k: int) -> tuple[DataFrame, _Boxes]:
+    """Labelled rows in blocks that one task can hold, and the boxes of these.
+
+    The cuts between them follow some of the rows; all rows are in one of them. Rows with gaps are
+    in blocks that nothing rules out.
+    """
+    # equal rows are equally far from everything, and ties go to the smaller id
+    rank = F.row_number().over(W.partitionBy("x").orderBy("donor", "prediction"))
+    kept = stage(train.withColumn("__rank", rank).where(F.col("__rank") <= k).drop("__rank"), "labelled")
+    wide = 8 * max(n_features, 1)
+    rows = max(1, min(DONOR_ROWS, SHARD_BYTES // wide))
+    cells = min(-(-2 * kept.count() // rows), MAX_CELLS)
+    whole = F.forall("x", lambda v: v.isNotNull() & ~F.isnan(v) & (F.abs(v) < float("inf")))
+    some = kept.where(whole).select("x").orderBy(F.xxhash64("x"), "x")
+    some = some.limit(max(1, min(CUT_ROWS * cells, SHARD_BYTES // wide))).toPandas()
+    cuts = kept.sparkSession.sparkContext.broadcast(_Cuts(_matrix(some["x"]), cells))
+
+    @F.pandas_udf("int")
+    def cell(x: pd.Series) -> pd.Series:
+        return pd.Series(cuts.value.cell(_matrix(x)) if len(x) else [], dtype="int32")
+
+    placed = stage(kept.withColumn("cell", cell("x")), "placed")
+    # one row per cell
+    crowd = F.broadcast(placed.groupBy("cell").agg(F.ceil(F.count("*") / rows).alias("parts")))
+    part = F.pmod(F.xxhash64("donor", "x"), F.col("parts"))
+    blocks = placed.join(crowd, "cell").select(
+        "donor", "x", "prediction", (F.col("cell") < 0).alias("mixed"), F.concat_ws("/", "cell", part).alias("block")
+    )
+    boxes = _Boxes(blocks, n_features)
+    boxes.low[boxes.mixed], boxes.high[boxes.mixed] = -np.inf, np.inf
+    return blocks, boxes
+
+
+_ASKED = "query bigint, key bigint, x array<double>, block string, limit double"
+_FOUND = f"{_ASKED}, distance array<double>, donor array<bigint>, prediction array<string>"
+
+
+def _reached(queries: DataFrame, boxes, home: bool) -> DataFrame:
+    """Queries with the shard nearest to them, or with all others that are within their ``limit``."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        low, high, names = boxes.value.low, boxes.value.high, boxes.value.names
+        number = {name: i for i, name in enumerate(names)}
+        step = max(1, 4_000_000 // len(names))
+        for batch in batches:
+            for start in range(0, len(batch), step):
+                some = batch.iloc[start : start + step]
+                q = _matrix(some["x"])
+                # a query with gaps meets every shard
+                whole = np.isfinite(q).all(1)[:, None]
+                apart = np.where(whole, _apart(np.where(whole, q, 0.0), low, high), 0.0)
+                if home:
+                    row, at = np.arange(len(q)), apart.argmin(1)
+                else:
+                    # a hair of slack keeps rounding from excluding a box that touches the limit
+                    near = apart * (1 - 1e-9) <= some["limit"].to_numpy()[:, None]
+                    near[np.arange(len(q)), some["block"].map(number)] = False
+                    row, at = np.nonzero(near)
+                limit = np.inf if home else some["limit"].to_numpy()[row]
+                yield some.iloc[row][["query", "key", "x"]].assign(block=names[at], limit=limit)
+
+    return stage(queries.mapInPandas(run, _ASKED), "reached")
+
+
+def _near_in_shard(queries: pd.DataFrame, labelled: pd.DataFrame, k: int) -> pd.DataFrame:
+    """The ``k`` nearest rows of a shard for each query, up to its limit."""
+    if queries.empty or labelled.empty:
+        return pd.DataFrame(columns=[column.split()[0] for column in _FOUND.split(", ")])
+    labelled = labelled.sort_values(["donor", "prediction"], ignore_index=True)
+    q, x = _matrix(queries["x"]), _matrix(labelled["x"])
+    near = _Leaves(x).nearest(q, k)
+    distance = np.concatenate([_distances(q[i : i + 256], x[near[i : i + 256]]) for i in range(0, len(q), 256)])
+    within = (distance <= queries["limit"].to_numpy()[:, None]).sum(1)
+    donor, label = labelled["donor"].to_numpy()[near], labelled["prediction"].to_numpy()[near]
+    columns = ("query", "key", "x", "block", "limit")
+    found = queries[[*columns]].assign(
+        distance=[d[:n] for d, n in zip(distance, within)], donor=[d[:n] for d, n in zip(donor, within)],
+        prediction=[p[:n] for p, n in zip(label, within)],
+    )
+    return found[within > 0]
+
+
+def _distances(q: np.ndarray, x: np.ndarray) -> np.ndarray:
+    """Squared distance of each query to each of its rows, as :func:`_nearest_rows` takes it."""
+    both = ~np.isnan(q[:, None]) & ~np.isnan(x)
+    gap = np.where(both, q[:, None] - x, 0.0)
+    n = both.sum(2)
+    return np.where(n > 0, (gap * gap).sum(2) * q.shape[1] / np.maximum(n, 1), np.inf)
+
+
+def _near_in_shards(chosen: DataFrame, blocks: DataFrame, n_features: int, k: int) -> DataFrame | None:
+    """What the chosen queries find in their shards, a crowd of them in several tasks; None if there are none."""
+    rows = max(1, min(QUERY_ROWS, SHARD_BYTES // (8 * max(n_features, 1))))
+    # one row per shard
+    load = [(r["block"], -(-r["count"] // rows)) for r in chosen.groupBy("block").count().collect()]
+    if not load:
+        return None
+    tasks = F.broadcast(chosen.sparkSession.createDataFrame(load, "block string, tasks bigint"))
+    left = chosen.join(tasks, "block").withColumn("task", F.pmod(F.xxhash64("query"), "tasks"))
+    right = blocks.join(tasks, "block").withColumn(
+        "task", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("tasks") - 1))
+    )
+    # a meeting is heavy for its size in bytes: spread shards instead of merging small partitions
+    n_tasks = sum(n for _, n in load)
+    sides = [s.drop("tasks").repartition(n_tasks, "block", "task").groupBy("block", "task") for s in (left, right)]
+    return sides[0].cogroup(sides[1]).applyInPandas(lambda a, b: _near_in_shard(a, b, k), _FOUND)
+
+
+def _sharded_votes(train: DataFrame, test: DataFrame, n_features: int, k: int) -> DataFrame:
+    """``key, prediction, votes`` of the test rows ``key, x``, whatever the number of training rows."""
+    blocks, table = _shards(train, n_features, k)
+    boxes = train.sparkSession.sparkContext.broadcast(table)
+    asked = spread(test.where("key IS NOT NULL"), VOTER_ROWS)
+    asked = asked.withColumn("query", F.monotonically_increasing_id())
+    first = _near_in_shards(_reached(asked, boxes, True), blocks, n_features, k)
+    if first is None:
+        return asked.select("key", F.lit(None).cast("string").alias("prediction"), F.lit(0).cast("bigint").alias("votes"))
+    found = stage(first, "near")
+    # the distances found in the nearest shard rule out most of the others
+    enough = F.when(F.size("distance") >= k, F.array_max("distance")).otherwise(F.lit(float("inf")))
+    others = _reached(found.select("query", "key", "x", "block", enough.alias("limit")), boxes, False)
+    rest = _near_in_shards(others, blocks, n_features, k)
+    every = found if rest is None else found.unionByName(rest)
+    pairs = every.select("query", "key", F.explode(F.arrays_zip("distance", "donor", "prediction")).alias("p"))
+    place = F.row_number().over(W.partitionBy("query").orderBy("p.distance", "p.donor", "p.prediction"))
+    nearest_ = pairs.withColumn("place", place).where(F.col("place") <= k)
+    votes = nearest_.groupBy("query", "key", F.col("p.prediction").alias("prediction")).agg(F.count("*").alias("votes"))
+    return votes.where("prediction IS NOT NULL").drop("query")
+
+
 def knn_votes(
     train: DataFrame, test: DataFrame, key: str, x: Column, n_features: int, label: str, k: int = 5,
     max_rows: int = LABELLED_ROWS,
 ) -> DataFrame:
     """Votes per test row and label among its ``k`` nearest training rows.
 
-    ``x`` is the array of features, and ``key`` a bigint that identifies a row. At most
-    ``max_rows`` training rows take part, drawn by their key, and no more than fit in
-    LABELLED_BYTES: one matrix that every task receives. Test rows pass once; where few tasks hold
-    many of them they are dealt out first, for their bytes say little of the work.
+    ``x`` is the array of features, and ``key`` a bigint that identifies a row. Up to ``max_rows``
+    training rows, if they fit in LABELLED_BYTES, are one matrix that every task receives. Test rows
+    then pass once; where few tasks hold many of them they are dealt out first, for their bytes say
+    little of the work. More training rows are cut into shards. All of them take part either way.
     """
     spark = train.sparkSession
     ship_package(spark)
     rows = max(1, min(max_rows, LABELLED_BYTES // (8 * max(n_features, 1))))
     kept = train.select(F.col(key).alias("donor"), x.alias("x"), F.col(label).alias("prediction"))
-    kept = kept.orderBy(F.xxhash64("donor"), "donor").limit(rows).toPandas().sort_values("donor")
     kind = train.schema[label].dataType.simpleString()
+    if kept.count() > rows:
+        text = F.col("prediction").cast("string")
+        text = F.when(~F.isnan("prediction"), text) if kind in ("float", "double") else text
+        # rows without a key come last
+        donor = F.coalesce(F.col("donor").cast("bigint"), F.lit(2**63 - 1))
+        labelled = kept.select(donor.alias("donor"), "x", text.alias("prediction"))
+        asked = test.select(F.col(key).cast("bigint").alias("key"), x.alias("x"))
+        votes = _sharded_votes(labelled, asked, n_features, k)
+        return votes.select(F.col("key").alias(key), F.col("prediction").cast(kind).alias("prediction"), "votes")
+    kept = kept.orderBy(F.xxhash64("donor"), "donor").toPandas().sort_values("donor")
     schema = f"`{key}` bigint, prediction {kind}, votes bigint"
     if kept.empty:
         return spark.createDataFrame([], schema)

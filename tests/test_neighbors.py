@@ -6,6 +6,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from conftest import rows
 from loomframe.operators import neighbors
 
 
@@ -158,3 +159,59 @@ def test_votes_of_one_file_are_counted_in_several_tasks(spark, tmp_path):
     votes = neighbors.knn_votes(one, one, "id", F.array("v"), 1, "y", k=1)
     assert votes.where("votes = 1 AND prediction = id % 2").count() == one.count() == votes.count()
     assert votes.rdd.getNumPartitions() == 6
+
+
+def all_votes(train, test, k):
+    """Votes per test row and label by plain search among all labelled rows, which are in the order of their keys."""
+    out = {}
+    for i, near in enumerate(brute(test[:, :-1], train[:, :-1], k)):
+        for donor, _ in near:
+            out[i, int(train[donor, -1])] = out.get((i, int(train[donor, -1])), 0) + 1
+    return out
+
+
+def labelled(spark, values):
+    data = [(i, [None if np.isnan(v) else float(v) for v in row[:-1]], int(row[-1])) for i, row in enumerate(values)]
+    return spark.createDataFrame(data, "id bigint, x array<double>, y int").repartition(3)
+
+
+def test_labelled_rows_beyond_one_matrix_all_vote(spark, monkeypatch):
+    """Shards of at most 60 rows, with copies, ties and gaps; the votes are those of a search among all rows."""
+    monkeypatch.setattr(neighbors, "DONOR_ROWS", 60)
+    rng = np.random.default_rng(10)
+    train = np.column_stack([rng.normal(size=(700, 4)).round(1), rng.integers(0, 3, 700)])
+    train[100:350, :4] = train[100, :4]
+    test = np.concatenate([train[::20], np.column_stack([rng.normal(size=(40, 4)) * 2, np.zeros(40)])])
+    for gaps in (False, True):
+        if gaps:
+            train[5:60:4, 1], test[::5, 2], train[90:600:50, :4] = np.nan, np.nan, np.nan
+        votes = neighbors.knn_votes(labelled(spark, train), labelled(spark, test), "id", F.col("x"), 4, "y", max_rows=200)
+        got = {(r.id, r.prediction): r.votes for r in votes.collect()}
+        assert got == all_votes(train, test, 5)
+
+
+def test_shards_give_what_one_matrix_gives(spark, monkeypatch):
+    """Repeated keys, missing keys and labels, and fewer rows than neighbours, with few and with all rows in one matrix."""
+    monkeypatch.setattr(neighbors, "DONOR_ROWS", 4)
+    train = [(i % 7, float(i * i % 11), None if i % 7 == 4 else float(i % 7 % 2)) for i in range(30)] + [(None, 2.5, 1.0)]
+    train = spark.createDataFrame(train, "id bigint, v double, y double")
+    test = spark.createDataFrame([(1, 0.2), (1, 7.3), (None, 3.0), (2, 50.0), (3, None)], "id bigint, v double")
+    for k in (5, 40):
+        both = []
+        for most in (2, 1000):
+            votes = neighbors.knn_votes(train, test, "id", F.array("v"), 1, "y", k=k, max_rows=most)
+            assert votes.dtypes == [("id", "bigint"), ("prediction", "double"), ("votes", "bigint")]
+            both.append(votes.groupBy("id", "prediction").agg(F.sum("votes").alias("n")))
+        assert rows(both[0]) == rows(both[1]) != []
+    none = neighbors.knn_votes(train, test.limit(0), "id", F.array("v"), 1, "y", max_rows=2)
+    assert none.count() == 0
+
+
+def test_a_query_meets_few_shards(spark, monkeypatch):
+    monkeypatch.setattr(neighbors, "DONOR_ROWS", 50)
+    rng = np.random.default_rng(11)
+    train = labelled(spark, np.column_stack([rng.uniform(0, 100, size=(2000, 2)), np.zeros(2000)]))
+    blocks, boxes = neighbors._shards(train.select(F.col("id").alias("donor"), "x", F.lit("a").alias("prediction")), 2, 3)
+    assert len(boxes.names) > 50 and boxes.counts.max() <= 100 and boxes.counts.sum() == 2000 == blocks.count()
+    apart = neighbors._apart(rng.uniform(0, 100, size=(100, 2)), boxes.low, boxes.high)
+    assert (apart < 4.0).sum(1).mean() < 5
