@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from conftest import rows
 from loomframe.models import classifiers as c, evaluation as ev, regression, selection as sel
-from loomframe.operators import aggregates, encoding
+from loomframe.operators import aggregates, encoding, neighbors
 
 
 @pytest.fixture(scope="module")
@@ -103,6 +103,23 @@ def test_stacking(binary):
     assert score(model, binary) > 0.7
 
 
+def test_stacking_learns_from_all_rows_of_its_neighbours(binary, monkeypatch):
+    """Labelled rows that do not fit in one matrix give the probabilities they give in one."""
+    seen, plain = [], sel._meta_features
+
+    def meta(df, names, n_classes):
+        seen.append(sorted((r.id, *r["__knn"]) for r in df.select("id", "__knn").collect()))
+        return plain(df, names, n_classes)
+
+    monkeypatch.setattr(sel, "_meta_features", meta)
+    for most in (neighbors.LABELLED_BYTES, 8 * 3 * 40):
+        monkeypatch.setattr(neighbors, "LABELLED_BYTES", most)
+        monkeypatch.setattr(neighbors, "SHARD_BYTES", most)
+        bases = {"knn": c.KNNClassifier(key="id", n_features=3)}
+        sel.Stacking(bases, c.tree(3), key="id", folds=2).fit(binary).transform(binary).count()
+    assert len(seen) == 4 and seen[:2] == seen[2:]
+
+
 def test_folds_are_stored_for_all_cores(spark):
     few = spark.range(4 * sel.FIT_ROWS).selectExpr("id", "double(id % 2) label").coalesce(1)
     stored = sel.fold_rows(few, 3, "id", 1)
